@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from marquee.llm import substring_dedup, suffix_array_dedup
+from marquee.llm import bpe, packing, substring_dedup, suffix_array_dedup, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_fm_index_dedup": substring_dedup.op1,
+        "op2_transducer_bpe": bpe.op2,
+        "op5_cost_balanced_packing": packing.op5,
+        "op6_token_counts": token_counts.op6,
         "op7_suffix_array_dedup": suffix_array_dedup.op7,
     }
 

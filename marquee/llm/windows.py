@@ -30,6 +30,7 @@ from marquee.llm import common as C
 #: One value per window start: True where an equal window starts earlier.
 Finder = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 CHUNK = 1 << 17
+PART = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -183,7 +184,7 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         return pa.table({"g": table["g"], "shard": table["shard"], "bits": pa.array(bits, pa.binary())})
 
     def send_contexts(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("shard", pa.int32()), ("g", pa.int32()), ("symbols", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
+        schema = pa.schema([("shard", pa.int32()), ("g", pa.int32()), ("symbols", pa.binary()), ("lengths", pa.binary()), ("hashes", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         block = Block(left, spec, n)
@@ -194,43 +195,42 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
             mine = lead[p]
             a, b = block.first[mine], block.last[mine] + spec.length
             take = np.repeat(a - np.concatenate(([0], np.cumsum(b - a)[:-1])), b - a) + np.arange(int((b - a).sum()))
-            rows.append((shard, key[0].as_py(), block.symbols[take].tobytes(), (b - a).astype(np.uint32).tobytes(), block.doc_key()[mine].astype(np.int64).tobytes(), (a - block.bounds[block.doc[mine]]).astype(np.int64).tobytes()))
+            rows.append((shard, key[0].as_py(), block.symbols[take].tobytes(), (b - a).astype(np.uint32).tobytes(), block.code[mine].astype(np.uint32).tobytes(), block.doc_key()[mine].astype(np.int64).tobytes(), (a - block.bounds[block.doc[mine]]).astype(np.int64).tobytes()))
         return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
 
     def decide(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         kind = np.uint64 if spec.words else np.uint8
-        joined = {c: [np.frombuffer(x, t) for x in table[c].to_pylist()] for c, t in (("symbols", kind), ("lengths", np.uint32), ("ids", np.int64), ("starts", np.int64))}
-        lengths, ids, starts = (np.concatenate(joined[c]).astype(np.int64) for c in ("lengths", "ids", "starts"))
-        symbols = np.concatenate(joined["symbols"])
+        lists = {c: [np.frombuffer(x, t) for x in table[c].to_pylist()] for c, t in (("symbols", kind), ("lengths", np.uint32), ("hashes", np.uint32), ("ids", np.int64), ("starts", np.int64))}
+        sent = [len(x) for x in lists["lengths"]]
+        lengths, hashes, ids, starts = (np.concatenate(lists.pop(c)).astype(np.int64) for c in ("lengths", "hashes", "ids", "starts"))
+        symbols = np.concatenate(lists.pop("symbols"))
         if not spec.by_start:
             starts = np.zeros_like(starts)
-        # Equal contexts of different blocks: only the earliest needs the index, the others are repeats throughout.
-        ends = np.cumsum(lengths)
-        raw, width, seen = symbols.tobytes(), symbols.dtype.itemsize, {}
-        order = np.lexsort((starts, ids))
-        a, b = ((ends - lengths) * width).tolist(), (ends * width).tolist()
-        leader = np.empty(len(ids), np.int64)
-        for i in order.tolist():
-            leader[i] = seen.setdefault(raw[a[i] : b[i]], i)
-        own = np.sort(np.unique(leader))
-        begin = (ends - lengths)[own]
-        size = lengths[own]
-        take = np.repeat(begin - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
-        counts = size - spec.length + 1
-        hit = finder(symbols[take], size, ids[own], starts[own])
-        cut_at = np.concatenate(([0], np.cumsum(counts)))
-        where = np.full(len(ids), -1)
-        where[own] = np.arange(len(own))
-        out, at = [], 0
-        for g_lengths in joined["lengths"]:
-            bits = []
-            for i in range(at, at + len(g_lengths)):
-                lead = leader[i]
-                w = where[lead]
-                earlier = (ids[lead], starts[lead]) < (ids[i], starts[i])
-                bits.append(np.ones(counts[w], bool) if earlier else hit[cut_at[w] : cut_at[w + 1]])
-            at += len(g_lengths)
-            out.append(_pack(np.concatenate(bits)))
+        begins = np.cumsum(lengths) - lengths
+        counts = lengths - spec.length + 1
+        at = np.cumsum(counts) - counts
+        bits = np.zeros(int(counts.sum()), bool)
+        raw, width = symbols.tobytes(), symbols.dtype.itemsize
+        order = np.lexsort((starts, ids, hashes))
+        # Equal windows have equal anchors, so the shard is done hash by hash, a bounded number of symbols at a time.
+        part = np.cumsum(lengths[order]) // PART
+        head = np.concatenate(([True], np.diff(hashes[order]) != 0))
+        part = np.maximum.accumulate(np.where(head, part, 0))
+        for mine in np.split(order, np.flatnonzero(np.diff(part)) + 1):
+            a, b = (begins[mine] * width).tolist(), ((begins[mine] + lengths[mine]) * width).tolist()
+            # Equal contexts of different blocks: only the earliest needs the index, the others are repeats throughout.
+            seen: dict[bytes, int] = {}
+            leader = np.array([seen.setdefault(raw[x:y], i) for i, (x, y) in enumerate(zip(a, b, strict=True))])
+            own, place = np.unique(leader, return_inverse=True)
+            size = lengths[mine[own]]
+            take = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begins[mine[own]], size)
+            hit = finder(symbols[take], size, ids[mine[own]], starts[mine[own]])
+            later = (ids[mine] != ids[mine[leader]]) | (starts[mine] != starts[mine[leader]])
+            n_windows, hit_at = counts[mine], np.cumsum(counts[mine[own]]) - counts[mine[own]]
+            inner = np.arange(int(n_windows.sum())) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+            bits[np.repeat(at[mine], n_windows) + inner] = hit[np.repeat(hit_at[place], n_windows) + inner] | np.repeat(later, n_windows)
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum([0, *sent])]
+        out = [_pack(bits[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return pa.table({"g": table["g"], "shard": table["shard"], "bits": pa.array(out, pa.binary())})
 
     def apply(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
@@ -268,7 +268,7 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
     empty = pa.schema([])
     hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary")
     shared = hashes.groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary")
-    contexts = blocks.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, ids binary, starts binary")
+    contexts = blocks.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, hashes binary, ids binary, starts binary")
     decided = contexts.groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
     answers = shared.select("g", "shard", "bits", F.lit(0).alias("step")).unionByName(decided.select("g", "shard", "bits", F.lit(1).alias("step")))
     return blocks.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(apply, cut_schema)

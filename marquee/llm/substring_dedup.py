@@ -159,7 +159,7 @@ def earlier_window(length: int):
     return find
 
 
-def remove_repeated_windows(docs: DataFrame, length: int = 20, gram: int = 8, block_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeated_windows(docs: DataFrame, length: int = 20, gram: int = 8, block_bytes: int = 8 << 20) -> DataFrame:
     """Removes every word covered by a window of ``length`` words whose sequence also starts earlier.
 
     Words are runs of anything but space and U+0009 to U+000D, unchanged. Earlier: a smaller doc_id, or an

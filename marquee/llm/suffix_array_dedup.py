@@ -78,7 +78,7 @@ def earlier_document(length: int):
     return find
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, whole_characters: bool = False, block_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, whole_characters: bool = False, block_bytes: int = 8 << 20) -> DataFrame:
     """Removes every byte covered by a ``length``-byte string that also starts in a document of smaller id.
 
     Reads ``doc_id`` and ``text`` of ``docs``; other columns may have any name. Returns doc_id, n_bytes,

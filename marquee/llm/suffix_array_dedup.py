@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import common as C
@@ -78,7 +78,7 @@ def earlier_document(length: int):
     return find
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, whole_characters: bool = False, block_bytes: int = 8 << 20) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, whole_characters: bool = False, block_bytes: int = 8 << 20, carry: Column | None = None) -> DataFrame:
     """Removes every byte covered by a ``length``-byte string that also starts in a document of smaller id.
 
     Reads ``doc_id`` and ``text`` of ``docs``; other columns may have any name. Returns doc_id, n_bytes,
@@ -88,6 +88,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, who
     * null text: empty; empty and short texts lose nothing; a text of any length is read whole;
     * rows of null doc_id have no place in the order and are left out;
     * rows that share a doc_id are reported each and never remove each other's bytes;
+    * ``carry`` is one more column to return beside each row;
     * ``whole_characters`` keeps characters of which only a part is covered, so that kept stays UTF-8.
     """
 
@@ -110,7 +111,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, who
         return pa.table({"doc_id": pa.array(block.ids), "n_bytes": np.diff(offsets), "n_removed": removed, "spans": spans, "kept": kept})
 
     spec = Windows(length=length, gram=gram, words=False, by_start=False)
-    return removed_text(docs, spec, earlier_document(length), cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary", block_bytes)
+    return removed_text(docs, spec, earlier_document(length), cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary", block_bytes, carry=carry)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

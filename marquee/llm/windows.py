@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import common as C
@@ -104,8 +104,9 @@ class Block:
     """One block of documents in the order of their ids, with its runs. Built alike in every pass."""
 
     def __init__(self, table: pa.Table, spec: Windows, shards: int):
-        table = table.set_column(table.schema.get_field_index("text"), "text", pa.chunked_array([pa.array(C.pc.fill_null(table["text"], ""))] if not isinstance(table["text"], pa.ChunkedArray) else C.pc.fill_null(table["text"], "").chunks, type=pa.string()))
+        table = table.set_column(table.schema.get_field_index("text"), "text", C.pc.fill_null(table["text"], ""))
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        self.carry = table["carry"] if "carry" in table.schema.names else None
         self.spec, self.ids = spec, np.asarray(table["doc_id"].to_numpy())
         self.parts = spec.symbols(table["text"])
         self.symbols, self.bounds = self.parts["symbols"], self.parts["bounds"]
@@ -160,9 +161,15 @@ def _pack(bits: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[Block, np.ndarray], pa.Table], cut_schema: str, block_bytes: int, least_blocks: int = 64) -> DataFrame:
-    """Runs the five steps; ``cut`` turns a block and its covered symbols into rows of ``cut_schema``."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
+def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[Block, np.ndarray], pa.Table], cut_schema: str, block_bytes: int, least_blocks: int = 64, carry: Column | None = None) -> DataFrame:
+    """Runs the five steps; ``cut`` turns a block and its covered symbols into rows of ``cut_schema``.
+
+    ``carry`` is any one column that travels with a document and comes back beside its row.
+    """
+    extra = [] if carry is None else [carry.alias("carry")]
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *extra).where("doc_id is not null")
+    if extra:
+        cut_schema += f", carry {docs.schema['carry'].dataType.simpleString()}"
     n = max(least_blocks, -(-C.text_bytes(docs) // block_bytes))
     blocks = C.with_group(docs, "doc_id", n)
 
@@ -263,7 +270,8 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         begin = (np.repeat(block.first[some], size) + inner)[hits[np.repeat(at[which], size) + inner]]
         np.add.at(change, begin, 1)
         np.add.at(change, begin + spec.length, -1)
-        return cut(block, np.cumsum(change[:-1]) > 0)
+        out = cut(block, np.cumsum(change[:-1]) > 0)
+        return out.append_column("carry", block.carry) if extra else out
 
     empty = pa.schema([])
     hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary")

@@ -1,10 +1,64 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: toxicity, near-duplicates, repeated substrings, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as
+the next one's ``docs``. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marquee.llm import minhash, packing, suffix_array_dedup, toxicity
+from marquee.llm.bpe import default_path
+from marquee.llm.common import materialize
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that the classifier doesn't flag; it learns from the labels of these documents."""
+    scores = toxicity.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _keep(docs, scores.where("predicted = 1").select("doc_id"), "left_anti")
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest document of each near-duplicate group: runs of five words, similarity 0.8."""
+    groups = minhash.near_duplicates(docs, shingle=5, least=80)
+    return _keep(docs, groups.where("not kept").select("doc_id"), "left_anti")
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes 50-byte strings that an earlier document holds; characters stay whole. Emptied documents stay, empty; rows of null doc_id go."""
+    rest = F.struct("lang", "source", "n_chars", F.col("text").isNull().alias("none"))
+    out = suffix_array_dedup.remove_repeated_bytes(docs, whole_characters=True, carry=rest)
+    text = F.when(~F.col("carry.none"), F.decode("kept", "UTF-8"))
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("carry.n_chars"))
+    return out.withColumn("text", text).select("doc_id", "text", "carry.lang", "carry.source", n_chars.alias("n_chars"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences of at most 4096 tokens: one row per piece."""
+    return packing.pack(docs, default_path("word_bpe_49k.json"))
+
+
+def _keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    return docs.select(*COLUMNS).join(ids.distinct(), "doc_id", how).select(*COLUMNS)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", keep_one_of_each_group),
+    ("suffix_array_dedup", remove_repeated_passages),
+    ("packing", pack_sequences),
+]
+
+#: A trained classifier and a tokenizer have no SQL form; tests/llm compares the stages with plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

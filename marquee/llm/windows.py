@@ -168,7 +168,8 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
     """
     extra = [] if carry is None else [carry.alias("carry")]
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *extra).where("doc_id is not null")
-    if extra:
+    carried = bool(extra)
+    if carried:
         cut_schema += f", carry {docs.schema['carry'].dataType.simpleString()}"
     n = max(least_blocks, -(-C.text_bytes(docs) // block_bytes))
     blocks = C.with_group(docs, "doc_id", n)
@@ -271,7 +272,7 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         np.add.at(change, begin, 1)
         np.add.at(change, begin + spec.length, -1)
         out = cut(block, np.cumsum(change[:-1]) > 0)
-        return out.append_column("carry", block.carry) if extra else out
+        return out.append_column("carry", block.carry) if carried else out
 
     empty = pa.schema([])
     hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary")

@@ -164,7 +164,7 @@ def _pack(bits: np.ndarray) -> bytes:
 def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[Block, np.ndarray], pa.Table], cut_schema: str, block_bytes: int, least_blocks: int = 64, carry: Column | None = None) -> DataFrame:
     """Runs the five steps; ``cut`` turns a block and its covered symbols into rows of ``cut_schema``.
 
-    ``carry`` is any one column that travels with a document and comes back beside its row.
+    ``carry`` is any one column (a struct's fields all nullable) that travels with a document and comes back beside its row.
     """
     extra = [] if carry is None else [carry.alias("carry")]
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *extra).where("doc_id is not null")

@@ -30,9 +30,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes 50-byte strings that an earlier document holds; characters stay whole. Emptied documents stay, empty; rows of null doc_id go."""
-    rest = F.struct("lang", "source", "n_chars", F.col("text").isNull().alias("none"))
+    rest = F.struct("lang", "source", "n_chars", F.when(F.col("text").isNull(), True).alias("none"))
     out = suffix_array_dedup.remove_repeated_bytes(docs, whole_characters=True, carry=rest)
-    text = F.when(~F.col("carry.none"), F.decode("kept", "UTF-8"))
+    text = F.when(F.col("carry.none").isNull(), F.decode("kept", "UTF-8"))
     n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("carry.n_chars"))
     return out.withColumn("text", text).select("doc_id", "text", "carry.lang", "carry.source", n_chars.alias("n_chars"))
 

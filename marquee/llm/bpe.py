@@ -8,7 +8,7 @@ import os
 import tempfile
 import unicodedata
 import uuid
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -43,6 +43,44 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+class PairTable:
+    """Rank of a pair of ids, vectorised: hash tables of falling size, each with what collided in the one before."""
+
+    def __init__(self, merges: dict[int, tuple[int, int]]):
+        keys = np.fromiter(merges, np.int64, len(merges)).astype(np.uint64)
+        ranks = np.array([r for r, _ in merges.values()], np.int64)
+        self.none = int(ranks.max(initial=0)) + 1
+        self.merged = np.zeros(self.none, np.int64)
+        self.merged[ranks] = [m for _, m in merges.values()]
+        self.levels = []
+        while len(keys):
+            bits = max(4, int(8 * len(keys)).bit_length())
+            multiplier = np.uint64(0x9E3779B97F4A7C15 + 2 * len(self.levels))
+            slot = self._slot(keys, multiplier, bits)
+            owner, first = np.unique(slot, return_index=True)
+            table, value = np.full(1 << bits, 2**64 - 1, np.uint64), np.full(1 << bits, self.none, np.int64)
+            table[owner], value[owner] = keys[first], ranks[first]
+            self.levels.append((multiplier, bits, table, value))
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, ranks = keys[rest], ranks[rest]
+
+    @staticmethod
+    def _slot(keys: np.ndarray, multiplier: np.uint64, bits: int) -> np.ndarray:
+        return ((keys ^ (keys >> np.uint64(29))) * multiplier) >> np.uint64(64 - bits)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair; ``none`` where it doesn't merge or an id is negative."""
+        keys = (a.astype(np.uint64) << np.uint64(32)) | (b.astype(np.uint64) & np.uint64(0xFFFFFFFF))
+        out = np.full(keys.shape, self.none, np.int64)
+        for multiplier, bits, table, value in self.levels:
+            slot = self._slot(keys, multiplier, bits)
+            hit = table[slot] == keys
+            out[hit] = value[slot[hit]]
+        out[(a < 0) | (b < 0)] = self.none
+        return out
+
+
 class Bpe:
     """A tokenizer file: normalisation, pre-tokens, and exact merges of single pre-tokens."""
 
@@ -64,6 +102,7 @@ class Bpe:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges.setdefault(vocab[a] << 32 | vocab[b], (rank, vocab[a + b]))
+        self.pairs = PairTable(self.merges)
         names = {i: x for x, i in vocab.items()} | {i: x for x, i in self.added.items()}
         self.names = [names.get(i, "").encode() for i in range(max(names) + 1)]
         self.name_bytes = np.frombuffer(b"".join(self.names), np.uint8)
@@ -148,6 +187,67 @@ class Bpe:
             offer(i)
         return [x for x in ids if x >= 0]
 
+    def merge_many(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids, end to end, of many pre-tokens: each round merges one pair in every word at once."""
+        sizes = np.zeros(len(pieces), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []  # rows of equal width: word numbers, ids padded with -1
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        lengths = np.array([len(r) for r in raw], np.int64)
+        single = np.array([p[0] == "\0" for p in pieces], bool)
+        low = 0
+        for width in (6, 9, 13, 20, 48):
+            rows = np.flatnonzero((lengths > low) & (lengths <= width) & ~single)
+            low = width
+            if len(rows):
+                parts += self._merge_rows(rows, [raw[i] for i in rows.tolist()], lengths[rows], width)
+        for i in np.flatnonzero((lengths > 48) | single).tolist():
+            own = np.array(self.merge(pieces[i]), np.int32)
+            parts.append((np.array([i]), own[None, :]))
+        for rows, ids in parts:
+            sizes[rows] = (ids >= 0).sum(axis=1)
+        at = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.int32)
+        for rows, ids in parts:
+            r, c = np.nonzero(ids >= 0)
+            out[at[rows[r]] + c] = ids[r, c]
+        return sizes, out
+
+    def _merge_rows(self, rows: np.ndarray, words: list[bytes], lengths: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, done = len(words), []
+        data = np.frombuffer(b"".join(words), np.uint8)
+        row = np.repeat(np.arange(n), lengths)
+        column = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        ids = np.full((n, width), -1, np.int64)
+        ids[row, column] = np.array(self.byte_ids)[data]
+        last = lengths - 1
+        ids[np.arange(n), last] = np.array(self.last_ids)[data[np.cumsum(lengths) - 1]]
+        rank = self.pairs.find(ids[:, :-1], ids[:, 1:])
+        places = np.arange(width)
+        while n:
+            best = rank.argmin(axis=1)
+            low = rank[np.arange(n), best]
+            live = low < self.pairs.none
+            if not live.all():
+                done.append((rows[~live], ids[~live].astype(np.int32)))
+                rows, ids, rank, best, low = rows[live], ids[live], rank[live], best[live], low[live]
+                n = len(rows)
+                if not n:
+                    break
+            every = np.arange(n)
+            ids[every, best] = self.pairs.merged[low]
+            shift = places[None, :-1] + (places[None, :-1] > best[:, None])
+            ids = np.concatenate((np.take_along_axis(ids, shift, axis=1), np.full((n, 1), -1)), axis=1)
+            # Ranks left of the merge stay, those right of it move one place; its two neighbours are new.
+            shift = np.minimum(places[None, :-1] + (places[None, :-1] >= best[:, None]), width - 2)
+            rank = np.take_along_axis(rank, shift, axis=1)
+            rank[:, -1] = self.pairs.none
+            right = np.minimum(best + 1, width - 1)
+            at = np.minimum(best, width - 2)
+            rank[every, at] = np.where(best + 1 < width, self.pairs.find(ids[every, best], ids[every, right]), self.pairs.none)
+            has = np.flatnonzero(best > 0)
+            rank[has, best[has] - 1] = self.pairs.find(ids[has, best[has] - 1], ids[has, best[has]])
+        return done
+
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of each list's token names joined by one space, and where each begins."""
         size = np.diff(self.name_ends)[ids] + 1
@@ -271,15 +371,25 @@ class Encoder:
         new = list(self.index)[self.known :]
         if not new:
             return
-        numbers = self.lexicon.lookup([w.encode("utf-8", "surrogatepass") for w in new]) if self.lexicon else np.full(len(new), -1)
-        sizes, ids, merge = [], [], self.bpe.merge
-        for w, n in zip(new, numbers.tolist(), strict=True):
-            own = self.lexicon.ids[self.lexicon.ends[n] : self.lexicon.ends[n + 1]].tolist() if n >= 0 else merge(w)
-            sizes.append(len(own))
-            ids += own
+        known = self.lexicon.lookup([w.encode("utf-8", "surrogatepass") for w in new]) if self.lexicon else np.full(len(new), -1)
+        listed, other = np.flatnonzero(known >= 0), np.flatnonzero(known < 0)
+        sizes = np.zeros(len(new), np.int64)
+        if len(listed):
+            begin = self.lexicon.ends[known[listed]].astype(np.int64)
+            sizes[listed] = self.lexicon.ends[known[listed] + 1] - begin
+        sizes[other], merged = self.bpe.merge_many([new[i] for i in other.tolist()])
+        ends = np.cumsum(sizes)
+        ids = np.empty(int(sizes.sum()), np.int32)
+        from_list = np.zeros(len(new), bool)
+        from_list[listed] = True
+        which = np.repeat(from_list, sizes)
+        ids[~which] = merged
+        if len(listed):
+            size = sizes[listed]
+            ids[which] = self.lexicon.ids[np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begin, size)]
         self.known = len(self.index)
-        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, np.array(ids, np.int32)))
+        self.ids = np.concatenate((self.ids, ids))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + ends))
 
     def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and where each text's begin."""
@@ -299,28 +409,19 @@ class Encoder:
         return ids, at[np.array(bounds)]
 
 
-def frequent_pieces(docs: DataFrame, path: str, most: int) -> DataFrame:
-    """(piece, n) of the ``most`` most frequent pre-tokens, counted over every text."""
+def frequent_words(docs: DataFrame, most: int) -> DataFrame:
+    """(piece, n) of the ``most`` most frequent runs of letters, counted over every text.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, seen = model(path), Counter()
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
-                    seen.update(bpe.pieces(t))
-        words = list(seen)
-        for i in range(0, len(words), 100_000):
-            part = words[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8", "surrogatepass") for w in part], pa.binary()), pa.array([seen[w] for w in part], pa.int64())], ["piece", "n"])
-
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "piece binary, n long")
-    return counts.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most)
+    Case is folded by Spark's own rule here: which words are listed affects speed, never ids.
+    """
+    words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("piece")).where("piece <> ''")
+    return words.groupBy("piece").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "piece").limit(most)
 
 
 def publish_lexicon(docs: DataFrame, path: str, most: int) -> str | None:
-    """Compiles the frequent pre-tokens (at most ``most``) and ships the file to every executor; its name."""
+    """Compiles the frequent words (at most ``most``) and ships the file to every executor; its name."""
     bpe = model(path)
-    entries = {bytes(r.piece): bpe.merge(bytes(r.piece).decode("utf-8", "surrogatepass")) for r in frequent_pieces(docs, path, most).collect()}
+    entries = {p.encode(): bpe.merge(p) for r in frequent_words(docs, most).collect() for p in bpe.pieces(r.piece)}
     if not entries:
         return None
     folder = os.path.realpath(tempfile.mkdtemp(prefix="lexicon-"))
@@ -333,7 +434,7 @@ def publish_lexicon(docs: DataFrame, path: str, most: int) -> str | None:
 def encode_and_decode(docs: DataFrame, path: str, lexicon_words: int = 30_000) -> DataFrame:
     """Encodes every whole text and decodes the ids again: doc_id, ids, decoded (UTF-8 bytes).
 
-    The most frequent ``lexicon_words`` pre-tokens of all texts (a bound on what the driver holds and ships)
+    The most frequent ``lexicon_words`` words of all texts (a bound on what the driver holds and ships)
     go into a memory-mapped transducer with their ids; other pre-tokens are merged exactly, once per task.
     Ids equal the public library's with ``add_special_tokens=False``: added tokens' strings in a text become
     their ids, every other character is encoded. ``decoded`` is what the library's ``decode`` with

@@ -55,7 +55,7 @@ def count_tokens(docs: DataFrame, path: str, common: int = 200_000, least: int =
         for w in often:
             index[w]
         base = len(often)
-        pieces = np.array([len(bpe.merge(w)) for w in often], np.int64)
+        pieces = bpe.merge_many(often)[0]
         for batch in batches:
             for part in slices(batch, 2):
                 codes: list[int] = []
@@ -82,17 +82,14 @@ def count_tokens(docs: DataFrame, path: str, common: int = 200_000, least: int =
                         del index[w]
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merge, known = model(path).merge, {}
+        bpe, known = model(path), {}
         for batch in batches:
             if len(known) > 1_000_000:
                 known.clear()
-            size = [1] * batch.num_rows
-            for i, w in enumerate(batch.column(4).to_pylist()):
-                if w is not None:
-                    k = known.get(w)
-                    if k is None:
-                        k = known[w] = len(merge(w.decode("utf-8", "surrogatepass")))
-                    size[i] = k
+            words = batch.column(4).to_pylist()
+            new = [w for w in dict.fromkeys(words) if w is not None and w not in known]
+            known.update(zip(new, bpe.merge_many([w.decode("utf-8", "surrogatepass") for w in new])[0].tolist(), strict=True))
+            size = [1 if w is None else known[w] for w in words]
             n = np.asarray(batch.column(3).to_numpy()) * np.array(size, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(n)], ["uid", "doc_id", "n_bytes", "n"])
 

@@ -73,10 +73,25 @@ class Sketch:
         out = ((zeros + np.uint64(1)) << np.uint64(MANTISSA)) | bits
         return np.where(empty, 0, out).astype(np.uint16).reshape(len(sets), m)
 
+    def dense(self, registers: np.ndarray) -> np.ndarray:
+        """Registers whose empty ones are filled from the first full one in an order of their own, so that registers of two
+        sets agree about as often as the sets do even when sets are small."""
+        m, out = self.registers, registers.copy()
+        order = np.random.default_rng(3).permuted(np.tile(np.arange(m), (m, 1)), axis=1)
+        row, column = np.nonzero((registers == 0) & registers.any(axis=1)[:, None])
+        for t in range(m):
+            if not len(row):
+                break
+            value = registers[row, order[column, t]]
+            full = value > 0
+            out[row[full], column[full]] = value[full]
+            row, column = row[~full], column[~full]
+        return out
+
     def bands(self, registers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and key of every band that is not empty."""
         r, b = self.rows, self.registers // self.rows
-        x = registers[:, : r * b].reshape(-1, b, r).astype(np.uint64)
+        x = self.dense(registers)[:, : r * b].reshape(-1, b, r).astype(np.uint64)
         key = np.broadcast_to(np.arange(1, b + 1, dtype=np.uint64), x.shape[:2]).copy()
         for i in range(r):
             key = C.mix(key * C.MULTIPLIER + x[:, :, i])

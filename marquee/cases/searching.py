@@ -1 +1,190 @@
-CASES: dict = {}
+"""Queries for search, families, sections, neighbours, concepts and similarity."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from marquee.functions import exprs as X
+from marquee.operators import search as S
+from marquee.plans import fixed, testbed
+from marquee.plans.testbed import duck
+
+#: The stated query set.
+TEXTS = ["small ring", "red", "widget  BLUE", "Été", "brand#2", "Customer#000000001", "gear"]
+CONCEPTS = ["romance in college", "Action/adventure for adults", "slice of life", "drama"]
+
+
+def folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+def _texts(spark):
+    return spark.createDataFrame([(t,) for t in TEXTS], "query string")
+
+
+def _hits(spark, d):
+    return S.search(testbed.entities(spark, d), _texts(spark))
+
+
+def title_matches(spark, d):
+    return _hits(spark, d).groupBy("query", "score", F.array_join("matched_fields", "|").alias("fields")).agg(F.count("*").alias("n"))
+
+
+def title_search(spark, d):
+    return S.top(_hits(spark, d), S.search_order(), 10, ["query"]).select("query", "rank", "entity_id", "score", F.array_join("matched_fields", "|").alias("fields"))
+
+
+def resolve_title(spark, d):
+    names = testbed.anime(spark, d).select("entity_id", X.fold(F.col("title")).alias("folded"))
+    queries = _texts(spark).select("query", X.fold(F.col("query")).alias("folded"))
+    return names.join(F.broadcast(queries), "folded").join(testbed.anime(spark, d).select("entity_id", "episodes"), "entity_id", "left").select("query", "entity_id", "episodes")
+
+
+def families(spark, d):
+    return S.families(testbed.graph(spark, d), folder(spark))
+
+
+def _both_ways(spark, d):
+    edges = testbed.edges(spark, d)
+    back = edges.select(F.col("target_entity_id").alias("source_entity_id"), "pos", F.col("source_entity_id").alias("target_entity_id"), F.lit("sequel").alias("relationship"), "target_url", "supporting_urls")
+    return edges.unionByName(back)
+
+
+def incoming(spark, d):
+    return S.incoming(_both_ways(spark, d)).groupBy("target_entity_id", "relationship", "direction").agg(F.count("*").alias("n"))
+
+
+def sections(spark, d):
+    return S.related_sections(testbed.entities(spark, d), _both_ways(spark, d))
+
+
+def family_graph(spark, d):
+    pairs = testbed.graph(spark, d)
+    members = S.families(pairs, folder(spark))
+    edges = pairs.select(F.col("src").alias("source_entity_id"), F.lit(0).alias("pos"), F.col("dst").alias("target_entity_id"), F.lit("sequel").alias("relationship"), F.concat(F.lit("https://anilist.co/anime/"), "dst").alias("target_url"), F.array().cast("array<string>").alias("supporting_urls"))
+    nodes, inside = S.family_graph(testbed.anime(spark, d), edges, members)
+    n = nodes.groupBy("family").agg(F.count("*").alias("node_count"))
+    return n.join(inside.groupBy("family").agg(F.count("*").alias("edge_count"), F.sum("confidence").alias("confidence")), "family")
+
+
+def _roots(spark, d):
+    return title_search(spark, d).where("rank = 1 and entity_id like 'anime:%'").select("entity_id").distinct()
+
+
+def shared_studios(spark, d):
+    return S.shared_metadata(testbed.anime(spark, d), "studios", "same_studio", _roots(spark, d), S.families(testbed.graph(spark, d), folder(spark)))
+
+
+def shared_creators(spark, d):
+    return S.shared_metadata(testbed.anime(spark, d), "creators", "same_creator", _roots(spark, d), S.families(testbed.graph(spark, d), folder(spark)))
+
+
+def tag_neighbours(spark, d):
+    return S.tag_neighbours(testbed.anime(spark, d), _roots(spark, d), 20)
+
+
+def concept_parse(spark, d):
+    t = testbed.table(spark, d, "documents").select("doc_id", S.parse_concept(F.concat_ws(" ", "text", F.when(F.col("doc_id") % 3 == 0, "Romance/University"), F.when(F.col("doc_id") % 4 == 0, "slice of  life"))).alias("c"))
+    return t.select("doc_id", *[F.array_join(f"c.{k}", "|").alias(k) for k in ("genres", "tags", "notes")])
+
+
+def _concept_entities(spark, d):
+    genres = F.array(*[F.lit(g) for g in fixed.GENRE_WORDS.values()])
+    return testbed.anime(spark, d).withColumn("tags", F.when(F.col("release_year") > 2015, F.array_append("tags", F.lit("COLLEGE"))).otherwise(F.col("tags"))).withColumn("genres", F.array(F.element_at(genres, (F.col("episodes") % 7 + 1).cast("int"))))
+
+
+def concept_search(spark, d):
+    queries = spark.createDataFrame([(q,) for q in CONCEPTS], "query string")
+    return S.concept_search(_concept_entities(spark, d), queries).drop("title", "release_year")
+
+
+def concept_top(spark, d):
+    queries = spark.createDataFrame([(q,) for q in CONCEPTS], "query string")
+    return S.top(S.concept_search(_concept_entities(spark, d), queries), S.concept_order(), 10, ["query"]).select("query", "rank", "entity_id", "score")
+
+
+def retrieval(spark, d):
+    return S.retrieval_text(testbed.entities(spark, d))
+
+
+def preview(spark, d):
+    return S.query_preview(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))
+
+
+def franchise_pairs(spark, d):
+    m = testbed.movies(spark, d).select("entity_id", F.explode(F.filter("tags", lambda t: t.startswith("franchise:"))).alias("tag"))
+    return m.join(m.select(F.col("entity_id").alias("other_id"), "tag"), "tag").where("entity_id <> other_id").select("entity_id", "other_id").distinct()
+
+
+def exclude_family(spark, d):
+    members = S.families(testbed.graph(spark, d), folder(spark))
+    return testbed.anime(spark, d).join(members.select(F.col("node").alias("entity_id")), "entity_id", "left_anti").select("entity_id", "title")
+
+
+def similar_vectors(spark, d):
+    """Every vector whose id is divisible by 20 against all vectors of its block, exact dot product in Spark."""
+    v = testbed.table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    q = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label", F.col("x").alias("q"))
+    dot = F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
+    pairs = q.join(v, "label").where("vec_id <> query_id").withColumn("score", F.round(dot, 6))
+    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where("rank <= 5").select("query_id", "rank", "vec_id", "score")
+
+
+_FOLD = "trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '\\s+', ' ', 'g'))"
+_Q = "q as (select query, " + _FOLD.format("query") + " q from (values " + ", ".join(f"('{t}')" for t in TEXTS) + ") t(query))"
+_NAMES = f"""n as (select entity_id, title, release_year, 1 o, 'title' f, {_FOLD.format("title")} name from v_ent union all select entity_id, title, release_year, 2, 'original_title', {_FOLD.format("original_title")} from v_ent where original_title is not null union all select entity_id, title, release_year, 3, 'synonym', {_FOLD.format("s")} from (select *, unnest(synonyms) s from v_ent))"""
+_HITS = f"""with {_Q}, {_NAMES}, s as (select query, entity_id, title, release_year, o, f, case when name = q then case when o = 1 then 100 else 96 end when starts_with(name, q) then case when o = 1 then 92 else 84 end when contains(name, q) then case when o = 1 then 88 else 80 end
+ else case when len(list_intersect(string_split(q, ' '), string_split(name, ' '))) > 0 then 60 + least(4 * len(list_intersect(string_split(q, ' '), string_split(name, ' '))), 16) else 0 end end score from n cross join q), b as (select *, max(score) over (partition by query, entity_id) best from s),
+ h as (select query, entity_id, any_value(title) title, any_value(release_year) release_year, best::int score, string_agg(distinct f, '|' order by f desc) fields0, max(o) filter (o = 1) a1, max(o) filter (o = 2) a2, max(o) filter (o = 3) a3 from b where score = best and best > 0 group by query, entity_id, best),
+ m as (select query, entity_id, title, release_year, score, concat_ws('|', case when a1 is not null then 'title' end, case when a2 is not null then 'original_title' end, case when a3 is not null then 'synonym' end) fields from h),
+ t as (select *, row_number() over (partition by query order by score desc, release_year, {_FOLD.format("title")}, entity_id) "rank" from m) """
+_FAM = """p as (select p_partkey k, p_size, lag(p_size) over (order by p_partkey) l from part), i as (select k, sum(case when l is null or abs(l - p_size) >= 20 then 1 else 0 end) over (order by k) g from p), fm as (select 'anime:part:'||k node, min('anime:part:'||k) over (partition by g) family, count(*) over (partition by g) size, k, g from i) """
+_BOTH = "bw as (select source_entity_id s, target_entity_id t, relationship r, pos, target_url, supporting_urls from v_edge union all select target_entity_id, source_entity_id, 'sequel', pos, target_url, supporting_urls from v_edge)"
+_BASE = "case relationship " + " ".join(f"when '{r}' then {v}::double" for r, v in fixed.BASE_CONFIDENCE.items()) + " else 0.4::double end"
+_CONF = """round(least(case r when 'related_anime' then 0.42::double else 0.78::double end + least(len(supporting_urls) - 1, 5) * 0.04::double + least(len(list_distinct(list_transform(supporting_urls, lambda u: regexp_extract(u, '//([^/]+)/', 1)))) - 1, 4) * 0.05::double + case when r <> 'related_anime' and len(list_filter(supporting_urls, lambda u: u like 'https://anilist.co/%')) > 0 then 0.06::double else 0 end, 0.98), 2)"""
+_SECTIONS = f"""with {_BOTH}, c as (select s e, t o, r, pos, 'outgoing' dir, {_CONF} conf from bw union all select t, s, r, pos, 'incoming', {_CONF} from bw), k as (select e, o, r, row_number() over (partition by e, o, r order by (dir = 'outgoing') desc, case when dir = 'outgoing' then -pos else pos end) i, count(distinct dir) over (partition by e, o, r) nd, dir, conf from c),
+ z as (select e entity_id, r relationship, o other_id, case when nd > 1 then 'bidirectional' else dir end direction, conf confidence, title, release_year from k join v_ent on entity_id = o where i = 1) select entity_id, relationship, row_number() over (partition by entity_id, relationship order by confidence desc, release_year, {_FOLD.format("title")}, other_id) place, other_id, direction, confidence from z"""
+_ROOTS = _HITS + f", {_FAM}, ro as (select distinct entity_id from t where \"rank\" = 1 and entity_id like 'anime:%') "
+
+
+def _shared(column: str, relationship: str) -> str:
+    return _ROOTS + f""", x as (select ro.entity_id, b.entity_id other_id, b.title, b.release_year, len(list_intersect(list_transform(a.{column}, lambda v: lower(v)), list_transform(b.{column}, lambda v: lower(v)))) overlap from ro join v_anime a on a.entity_id = ro.entity_id join v_anime b on b.entity_id <> a.entity_id join fm f on f.node = a.entity_id join fm g on g.node = b.entity_id where (f.family <> g.family or f.size = 1 or g.size = 1) and overlap > 0)
+ select entity_id, '{relationship}' relationship, row_number() over (partition by entity_id order by overlap desc, release_year, {_FOLD.format("title")}, other_id) place, other_id, overlap, {fixed.BASE_CONFIDENCE[relationship]}::double confidence from x"""
+
+
+_TAGS = _ROOTS + f""", x as (select ro.entity_id, b.entity_id other_id, b.title, b.release_year, len(list_intersect(a.tags, b.tags)) n, len(list_distinct(list_concat(a.tags, b.tags))) u from ro join v_anime a on a.entity_id = ro.entity_id join v_anime b on b.entity_id <> a.entity_id), y as (select *, ((200 * n * (u + 1) + u) // (2 * u)) / 100.0::double score from x where n > 0),
+ z as (select entity_id, other_id, n overlap, score, row_number() over (partition by entity_id order by score desc, n desc, release_year, {_FOLD.format("title")}, other_id) "rank" from y) select * from z where "rank" <= 20"""
+_TEXT = _FOLD.format("replace(concat_ws(' ', text, case when doc_id % 3 = 0 then 'Romance/University' end, case when doc_id % 4 = 0 then 'slice of  life' end), '/', ' ')")
+_PARSE = f"""with f as (select doc_id, {_TEXT} t from documents), g as (select doc_id, contains(t, 'college') or contains(t, 'university') u, contains(t, 'adult') a, contains(t, 'romance') r, concat_ws('|', """ + ", ".join(f"case when contains(t, '{w}') then '{g}' end" for w, g in fixed.GENRE_WORDS.items()) + """) genres from f) select doc_id, genres, case when u then 'College|Primarily Adult Cast' when a then 'Primarily Adult Cast' else '' end tags, concat_ws('|', case when u then 'mapped university/college language to AniList College + Primarily Adult Cast tags' end, case when r then 'mapped romance language to AniList Romance genre' end) notes from g"""
+_CONCEPTS = """with q(query, genres, tags) as (values ('romance in college', ['Romance'], ['College', 'Primarily Adult Cast']), ('Action/adventure for adults', ['Action', 'Adventure'], ['Primarily Adult Cast']), ('slice of life', ['Slice of Life'], cast([] as varchar[])), ('drama', ['Drama'], cast([] as varchar[]))),
+ e as (select entity_id, title, release_year, ['Action', 'Adventure', 'Comedy', 'Drama', 'Fantasy', 'Romance', 'Slice of Life'][episodes % 7 + 1] g, case when release_year > 2015 then list_append(tags, 'COLLEGE') else tags end tg from v_anime),
+ m as (select query, entity_id, title, release_year, list_contains(genres, g) hg, list_contains(q.tags, 'College') and list_contains(tg, 'COLLEGE') ht, len(q.tags) wanted, g, least(len(tg), 20) nt from q cross join e),
+ c as (select query, entity_id, title, release_year, round(hg::int * 3.0::double + ht::int * 2.0::double + nt * 0.01::double + case when hg and ht then 0.5::double else 0 end, 2) score, ht::int n_tags, concat_ws('; ', case when hg then 'genre match: '||g end, case when ht then 'tag match: College' end) rationale from m where (hg or ht) and (wanted = 0 or ht)) """
+
+CASES = {
+    "title_search": (title_search, duck(_HITS + 'select query, "rank", entity_id, score, fields from t where "rank" <= 10', "v_ent")),
+    "y_title_matches": (title_matches, duck(_HITS + "select query, score, fields, count(*) n from m group by all", "v_ent")),
+    "j_resolve_title": (resolve_title, duck(f"with {_Q} select query, entity_id, episodes from v_anime join q on q = {_FOLD.format('title')}", "v_anime")),
+    "y_families": (families, f"with {_FAM} select node, family from fm where size > 1"),
+    "j_incoming": (incoming, duck(f"with {_BOTH} select t target_entity_id, r relationship, case when exists (select 1 from bw b where b.s = a.t and b.t = a.s and b.r = a.r) then 'bidirectional' else 'incoming' end direction, count(*) n from bw a group by all", "v_edge")),
+    "y_related_sections": (sections, duck(_SECTIONS, "v_ent", "v_edge")),
+    "y_family_graph": (family_graph, f"with {_FAM} select family, count(*) node_count, count(*) - 1 edge_count, (count(*) - 1) * 0.78::double confidence from fm where size > 1 group by 1"),
+    "y_shared_studios": (shared_studios, duck(_shared("studios", "same_studio"), "v_ent", "v_anime")),
+    "y_shared_creators": (shared_creators, duck(_shared("creators", "same_creator"), "v_ent", "v_anime")),
+    "y_tag_neighbours": (tag_neighbours, duck(_TAGS, "v_ent", "v_anime")),
+    "y_concept_parse": (concept_parse, _PARSE),
+    "y_concept_search": (concept_search, duck(_CONCEPTS + "select query, entity_id, score, n_tags, rationale from c", "v_anime")),
+    "y_concept_top": (concept_top, duck(_CONCEPTS + f"select * from (select query, row_number() over (partition by query order by score desc, n_tags desc, release_year, {_FOLD.format('title')}, entity_id) \"rank\", entity_id, score from c) where \"rank\" <= 10", "v_anime")),
+    "y_retrieval_text": (retrieval, duck("select entity_id, concat_ws(' | ', title, original_title, media_type, status, nullif(release_year, 0)::varchar, nullif(array_to_string(synonyms, ', '), ''), nullif(array_to_string(genres, ', '), ''), nullif(array_to_string(studios, ', '), ''), nullif(array_to_string(creators, ', '), ''), nullif(array_to_string(tags, ', '), '')) retrieval_text from v_ent", "v_ent")),
+    "y_query_preview": (preview, None),
+    "j_franchise_pairs": (franchise_pairs, "with m as (select 'movie:wikidata:Q'||c_custkey e, lower(c_mktsegment)||floor(c_acctbal / 10)::bigint t from customer) select a.e entity_id, b.e other_id from m a join m b on a.t = b.t and a.e <> b.e"),
+    "j_exclude_family": (exclude_family, f"with {_FAM} select node entity_id, p_name title from fm join part on k = p_partkey where size = 1"),
+    "y_similar_vectors": (similar_vectors, "with p as (select a.vec_id query_id, b.vec_id, round(list_dot_product(a.embedding::double[], b.embedding::double[]), 6) score from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id where a.vec_id % 20 = 0), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) \"rank\" from p) select query_id, \"rank\", vec_id, score from r where \"rank\" <= 5"),
+}

@@ -410,12 +410,12 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, most: int) -> DataFrame:
-    """(piece, n) of the ``most`` most frequent runs of letters, counted over every text.
+    """(piece, n) of the most frequent runs of letters, ``most`` at most, counted over every text.
 
     Case is folded by Spark's own rule here: which words are listed affects speed, never ids.
     """
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("piece")).where("piece <> ''")
-    return words.groupBy("piece").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "piece").limit(most)
+    return C.most_frequent(words.groupBy("piece").agg(F.count("*").alias("n")), most, "words")
 
 
 def publish_lexicon(docs: DataFrame, path: str, most: int) -> str | None:

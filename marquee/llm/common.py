@@ -41,6 +41,23 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
+def most_frequent(counts: DataFrame, most: int, name: str) -> DataFrame:
+    """Rows of ``counts`` (with a column n) above a frequency that at most ``most`` rows reach.
+
+    The frequency comes from a histogram of a few hundred steps, so no task or driver ever holds or sorts more than
+    ``most`` rows; steps are narrow, and the one that would exceed ``most`` is left out whole.
+    """
+    counts = materialize(counts, name)
+    step = F.floor(F.log2("n") * 8).cast("int")
+    total, low = 0, 1 << 30
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect():
+        total += r.rows
+        if total > most:
+            break
+        low = r.step
+    return counts.where(step >= low)
+
+
 def with_group(df: DataFrame, key: str, groups: int) -> DataFrame:
     return df.withColumn("g", F.expr(f"cast(pmod(xxhash64({key}), {groups}) as int)"))
 

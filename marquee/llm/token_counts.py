@@ -44,7 +44,7 @@ def count_tokens(docs: DataFrame, path: str, common: int = 200_000, least: int =
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    top = piece_counts(docs, path, least).orderBy(F.desc("n"), "piece").limit(common).select("piece").collect()
+    top = C.most_frequent(piece_counts(docs, path, least), common, "pieces").select("piece").collect()
     shared = spark.sparkContext.broadcast([bytes(r.piece) for r in top])
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

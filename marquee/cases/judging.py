@@ -1 +1,167 @@
-CASES: dict = {}
+"""Queries for judgments, runs, budgets, pacing, refresh and streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marquee.cases.searching import folder
+from marquee.functions import exprs as X
+from marquee.operators import edges as E
+from marquee.operators import judgments as J
+from marquee.plans import testbed
+from marquee.plans.testbed import duck
+from marquee.streaming import incremental as N
+
+LABELS = ["sequel", "prequel", "unrelated", "uncertain"]
+DAY_LIMIT, STEP_US, LEASE_US = 100, 300_000_000, 6 * 3_600_000_000
+
+
+def _candidates(spark, d):
+    return J.candidates(testbed.edges(spark, d), testbed.previous_edges(spark, d), testbed.entities(spark, d))
+
+
+def candidates(spark, d):
+    return _candidates(spark, d).select("source_entity_id", "target_entity_id", "relationship", "score", "previous_relationship", "previous_score", "changed_since_previous", F.length("input_fingerprint").alias("fingerprint_length"))
+
+
+def prompts(spark, d):
+    return J.prompts(_candidates(spark, d), LABELS).select("cache_key", F.md5("prompt").alias("prompt_md5"))
+
+
+def changed(spark, d):
+    out = J.changed_since(E.scored(testbed.edges(spark, d)), E.scored(testbed.previous_edges(spark, d)))
+    return out.where("changed_since_previous").select("source_entity_id", "target_entity_id", "relationship", "previous_relationship")
+
+
+def _responses(spark, d):
+    k = F.get_json_object("props", "$.k").cast("int")
+    label = F.element_at(F.array(*[F.lit(x) for x in [*LABELS, "other"]]), (F.col("event_id") % 5 + 1).cast("int"))
+    body = F.concat(F.lit('{"relationship": "'), label, F.lit('", "confidence": '), (k / 80).cast("string"), F.lit(', "reasoning": "r"'), F.when(F.col("event_id") % 11 == 0, ', "more": 1}').otherwise("}"))
+    raw = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("so: "), F.left(body, F.lit(20)))).when(F.col("event_id") % 2 == 0, F.concat(F.lit("Answer: "), body, F.lit(" end"))).otherwise(body)
+    return testbed.table(spark, d, "events").select("event_id", k.alias("k"), label.alias("label"), raw.alias("raw"))
+
+
+def responses(spark, d):
+    return J.parse_responses(_responses(spark, d), LABELS).select("event_id", "status", "relationship", "confidence", "reasoning")
+
+
+def response_counts(spark, d):
+    return J.decision_counts(J.parse_responses(_responses(spark, d), LABELS, "api_error"))
+
+
+def records(spark, d):
+    edges = testbed.edges(spark, d)
+    decisions = edges.select("source_entity_id", "target_entity_id", F.concat(F.lit("j:"), "source_entity_id", F.lit(":"), "target_entity_id").alias("cache_key"), F.lit("ok").alias("status"), F.when(F.col("relationship") == "related_anime", "uncertain").otherwise(F.col("relationship")).alias("judged"), (F.size("supporting_urls") / 5.0).alias("confidence"))
+    out = J.records(decisions, edges)
+    return out.select("judgment_id", "judged", "confidence_tier", F.array_join("quality_flags", "|").alias("quality_flags"), F.array_join(F.transform("evidence_refs", lambda e: e["evidence_id"]), "|").alias("evidence_ids"))
+
+
+def _gated(spark, d):
+    j = testbed.judgments(spark, d)
+    j = j.withColumn("inputs", F.array(F.struct(F.col("input_publishable").alias("publishable"), "allowed_uses"))).withColumn("parameters", F.create_map(F.lit("temperature"), F.when(F.col("zero_temperature"), "0").otherwise("1")))
+    return J.gate(j, J.Recipe(parameters={"temperature": "0"}))
+
+
+def gate(spark, d):
+    return _gated(spark, d).select("judgment_id", F.array_join("reasons", "|").alias("reasons"), "eligible")
+
+
+def applied(spark, d):
+    return J.apply(_gated(spark, d))
+
+
+def scores(spark, d):
+    return J.run_scores(testbed.runs(spark, d))
+
+
+def ranking(spark, d):
+    runs = testbed.runs(spark, d)
+    qualified = runs.groupBy("model").agg(F.avg("value").alias("v")).where("v > 0").select("model")
+    return J.rank_models(J.run_scores(runs), qualified).select("model", "rank", "correct", "valid_json", "reachable")
+
+
+def fixtures(spark, d):
+    cases = spark.createDataFrame([(i, f"t{i % 3}", i % 2 == 0) for i in range(23)], "case_id long, expected_label string, expected_same boolean")
+    results = testbed.table(spark, d, "events").select((F.col("user_id") % 23).alias("case_id"), F.col("event_id").alias("run_id"), F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("t"), (F.col("event_id") % 3).cast("string"))).alias("label"), F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 2 == 0).alias("same"))
+    out = J.score_runs(results, cases)
+    return out.groupBy("case_id").agg(F.count("*").alias("n"), *[F.count_if(F.col(c)).alias(c) for c in ("valid", "same_entity_correct", "label_correct")])
+
+
+def budget(spark, d):
+    calls = testbed.requests(spark, d).withColumn("cost", F.round(F.col("value") * 100).cast("long"))
+    return J.budget_admission(calls, 50_000, "provider", "event_id", "cost").groupBy("provider", "admitted").agg(F.count("*").alias("n"), F.max("running").alias("running"))
+
+
+def daily(spark, d):
+    return N.daily_budget(testbed.requests(spark, d), DAY_LIMIT)
+
+
+def pacing(spark, d):
+    return N.pacing(testbed.requests(spark, d).withColumn("us", F.col("us")), STEP_US).select("event_id", "provider", "wait_us", "violation")
+
+
+def leases(spark, d):
+    return N.lease_conflicts(testbed.requests(spark, d), LEASE_US).select("event_id", "conflict")
+
+
+def uncached(spark, d):
+    calls = testbed.table(spark, d, "events").select("event_id", "user_id", X.cache_key("t", "p", "m", "r", F.col("props")).alias("cache_key"))
+    return N.uncached(calls, calls.where("user_id < 10").select("cache_key")).select("event_id")
+
+
+def refresh(spark, d):
+    """Three batches of a job, the state handed on from one to the next."""
+    cands = testbed.candidates(spark, d).select("pos", "title")
+    size = max(1, cands.count() // 3)
+    state = spark.createDataFrame([], "job string, snapshot_id string, status string, next_offset long, last_checkpoint_path string")
+    out = None
+    for i in range(3):
+        rows, state = N.refresh_batch(cands, state, "anime", "s1", size)
+        found = rows.agg(F.lit(i).alias("batch"), F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+        out = found if out is None else out.unionByName(found)
+    return out.join(state.select("next_offset"), how="cross")
+
+
+def stream_refresh(spark, d):
+    """Documents as they land, validated batch by batch."""
+    schema = spark.read.parquet(f"{d}/documents.parquet").schema
+    work = f"{folder(spark)}/stream-{spark.sql('select uuid()').first()[0]}"
+    out = N.refresh_stream(spark, f"{d}/documents.parquet", schema, work, lambda df: df.selectExpr("doc_id", "n_chars", "lang"))
+    return spark.read.parquet(out).groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
+def stream_budget(spark, d):
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    work = f"{folder(spark)}/stream-{spark.sql('select uuid()').first()[0]}"
+    out = N.daily_budget_stream(spark, f"{d}/events.parquet", schema, work, DAY_LIMIT)
+    return spark.read.schema("provider string, day string, n long, exhausted boolean").parquet(out)
+
+
+_CONF = """round(least(case {r} when 'related_anime' then 0.42::double when 'spinoff' then 0.4::double else 0.78::double end + least(len(supporting_urls) - 1, 5) * 0.04::double + least(len(list_distinct(list_transform(supporting_urls, lambda u: regexp_extract(u, '//([^/]+)/', 1)))) - 1, 4) * 0.05::double + case when {r} <> 'related_anime' and len(list_filter(supporting_urls, lambda u: u like 'https://anilist.co/%')) > 0 then 0.06::double else 0 end, 0.98), 2)"""
+_CHANGED = f"""with a as (select *, {_CONF.format(r="relationship")} score from v_edge), b as (select source_entity_id, target_entity_id, relationship previous_relationship, {_CONF.format(r="relationship")} previous_score from v_prev), c as (select a.*, previous_relationship, previous_score, relationship is distinct from previous_relationship or score is distinct from previous_score changed_since_previous from a left join b using (source_entity_id, target_entity_id)) """
+_RESP = """with e as (select event_id, json_extract(props, '$.k')::int k, ['sequel', 'prequel', 'unrelated', 'uncertain', 'other'][event_id % 5 + 1] label from events), s as (select *, case when event_id % 7 = 0 then 'parse_error' when label <> 'other' and k / 80.0::double <= 1 and event_id % 11 <> 0 then 'ok' else 'schema_error' end status from e) """
+_GATE = """with g as (select judgment_id, kind, confidence, concat_ws('|', case when status <> 'approved' then 'judgment_status_not_approved' end, case when kind <> 'relationship_classification' then 'judgment_kind_not_allowed' end, case when output_schema_version <> 'v1' then 'output_schema_version_mismatch' end, case when confidence < 0.8::double then 'confidence_below_recipe_minimum' end, case when n_chars % 2 <> 0 then 'parameter_mismatch:temperature' end,
+ case when toxic = 1 then 'blocked_quality_flag:low_confidence|blocked_quality_flag:unsupported_relationship' end, case when toxic <> 0 then 'non_publishable_input_ref' end, case when n_chars % 3 = 0 then 'input_use_not_allowed' end, case when n_chars % 5 = 0 then 'insufficient_publishable_evidence_refs' end) reasons from v_judg) """
+_SCORES = "s as (select model, count(*) attempts, count(*) filter (reachable) reachable, count(*) filter (valid_json) valid_json, count(*) filter (correct) correct, min(nullif(latency_ms, 0)) best_latency_ms from v_run group by 1)"
+
+CASES = {
+    "l_candidates": (candidates, duck(_CHANGED + "select source_entity_id, target_entity_id, relationship, score, previous_relationship, previous_score, changed_since_previous, 64 fingerprint_length from c where (score < 0.7 or relationship = 'related_anime') and target_entity_id in (select entity_id from v_ent) and source_entity_id in (select entity_id from v_ent)", "v_ent", "v_edge", "v_prev")),
+    "l_prompts": (prompts, None),
+    "i_changed_edges": (changed, duck(_CHANGED + "select source_entity_id, target_entity_id, relationship, previous_relationship from c where changed_since_previous", "v_edge", "v_prev")),
+    "l_parse_responses": (responses, _RESP + "select event_id, status, case when status = 'ok' then label end relationship, case when status = 'ok' then k / 80.0::double end confidence, case when status = 'ok' then 'r' end reasoning from s"),
+    "a_decision_counts": (response_counts, _RESP + "select count(*) executed, count(*) filter (status = 'ok') ok, count(*) filter (status = 'parse_error') parse_error, count(*) filter (status = 'schema_error') api_error from s"),
+    "l_records": (records, duck("select 'j:'||source_entity_id||':'||target_entity_id judgment_id, case when relationship = 'related_anime' then 'uncertain' else relationship end judged, case when len(supporting_urls) / 5.0::double >= 0.9 then 'high' when len(supporting_urls) / 5.0::double >= 0.8 then 'medium' else 'low' end confidence_tier, 'model_inferred'||case when relationship = 'related_anime' then '|unsupported_relationship' else '' end quality_flags, array_to_string(list_transform(range(1, len(supporting_urls) + 1), lambda i: 'j:'||source_entity_id||':'||target_entity_id||':supporting_url:'||i), '|') evidence_ids from v_edge", "v_edge")),
+    "l_gate": (gate, duck(_GATE + "select judgment_id, reasons, reasons = '' eligible from g", "v_judg")),
+    "l_apply": (applied, duck(_GATE + "select judgment_id, kind, confidence from g where reasons = ''", "v_judg")),
+    "a_run_scores": (scores, duck(f"with {_SCORES} select * from s", "v_run")),
+    "w_rank_models": (ranking, duck(f"with {_SCORES} select model, row_number() over (order by correct desc, valid_json desc, reachable desc, coalesce(best_latency_ms, 999999999), model) \"rank\", correct, valid_json, reachable from s", "v_run")),
+    "l_score_runs": (fixtures, "with e as (select user_id % 23 c, event_id i from events) select c case_id, count(*) n, count(*) filter (i % 5 <> 0) valid, count(*) filter (i % 5 <> 0 and (i % 2 = 0) = (c % 2 = 0)) same_entity_correct, count(*) filter (i % 5 <> 0 and i % 3 = c % 3) label_correct from e group by 1"),
+    "l_budget": (budget, duck("with r as (select provider, sum(round(value * 100)::bigint) over (partition by provider order by event_id rows unbounded preceding) running from v_req) select provider, running <= 50000 admitted, count(*) n, max(running)::bigint running from r group by all", "v_req")),
+    "i_daily_budget": (daily, duck("select provider, strftime(ts, '%Y-%m-%d') \"day\", count(*) n, count(*) >= 100 exhausted from v_req group by all", "v_req")),
+    "w_pacing": (pacing, duck("with i as (select *, row_number() over w - 1 i, us - lag(us) over w < 300000000 v from v_req window w as (partition by provider order by us, event_id)), s as (select *, i * 300000000 + max(us - i * 300000000) over (partition by provider order by us, event_id rows unbounded preceding) st from i) select event_id, provider, (st - us)::bigint wait_us, coalesce(v, false) violation from s", "v_req")),
+    "w_leases": (leases, duck("select event_id, coalesce(us < max(us + 21600000000) over (partition by provider order by us, event_id rows between unbounded preceding and 1 preceding), false) conflict from v_req", "v_req")),
+    "i_uncached": (uncached, "select event_id from events where props not in (select props from events where user_id < 10)"),
+    "i_refresh": (refresh, "with o as (select doc_id, row_number() over (order by doc_id) - 1 i, (count(*) over ()) // 3 s from documents) select (i // s)::int batch, count(*) n, min(doc_id) low, max(doc_id) high, any_value(s) * 3 next_offset from o where i < 3 * s group by 1"),
+    "i_stream_refresh": (stream_refresh, "select lang, count(*) n, sum(n_chars)::bigint chars from documents group by 1"),
+    "i_stream_budget": (stream_budget, None),
+}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import common as C
 from marquee.llm.bpe import slices
+from marquee.llm.embedding_dedup import settle
 
 MANTISSA = 10
 #: Expected share of equal registers of unlike sets, by the analysis of the sketch (0.1699 / 2^r).
@@ -107,15 +108,74 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return j, 3 / np.sqrt(np.maximum(used, 1))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, fan: int = 32) -> DataFrame:
+PACKED = ("docs", "components", "counts", "hashes")
+
+
+def _packed(members: DataFrame) -> DataFrame:
+    """One row per group and tile: ids, components, set sizes and all hashes of its members, end to end."""
+
+    def gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        raw = table["hashes"].to_pylist()
+        row = {"grp": key[0].as_py(), "tile": key[1].as_py(), "docs": table["doc"].to_numpy().astype(np.int64).tobytes(), "components": table["component"].to_numpy().astype(np.int64).tobytes(), "counts": np.array([len(x) // 8 for x in raw], np.int64).tobytes(), "hashes": b"".join(raw)}
+        return pa.Table.from_pylist([row], schema=pa.schema([("grp", pa.int64()), ("tile", pa.int32()), *((c, pa.binary()) for c in PACKED)]))
+
+    columns = ", ".join(f"{c} binary" for c in PACKED)
+    return members.select("grp", "tile", "doc", "component", "hashes").groupBy("grp", "tile").applyInArrow(gather, f"grp long, tile int, {columns}")
+
+
+def intersections(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, block: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of two tiles. Hashes that many hold are multiplied as matrices, the others are counted pair by pair."""
+    out = np.zeros((len(na), len(nb)), np.float32)
+    row_a, row_b = np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)
+    order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+    ua, fa, ca = np.unique(a[order_a], return_index=True, return_counts=True)
+    ub, fb, cb = np.unique(b[order_b], return_index=True, return_counts=True)
+    _, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
+    fa, ca, fb, cb = fa[ia], ca[ia], fb[ib], cb[ib]
+    row_a, row_b = row_a[order_a], row_b[order_b]
+    heavy = np.flatnonzero(ca * cb >= 256)
+    for at in range(0, len(heavy), block):
+        part = heavy[at : at + block]
+        sides = []
+        for rows, first, count, n in ((row_a, fa[part], ca[part], len(na)), (row_b, fb[part], cb[part], len(nb))):
+            x = np.zeros((n, len(part)), np.float32)
+            take = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - first, count)
+            x[rows[take], np.repeat(np.arange(len(part)), count)] = 1
+            sides.append(x)
+        out += sides[0] @ sides[1].T
+    light = np.flatnonzero(ca * cb < 256)
+    for at in range(0, len(light), 1 << 16):
+        part = light[at : at + (1 << 16)]
+        x, y, both = ca[part], cb[part], ca[part] * cb[part]
+        k = np.arange(int(both.sum())) - np.repeat(np.cumsum(both) - both, both)
+        wide = np.repeat(y, both)
+        pair = row_a[np.repeat(fa[part], both) + k // wide] * len(nb) + row_b[np.repeat(fb[part], both) + k % wide]
+        out += np.bincount(pair, minlength=out.size).reshape(out.shape).astype(np.float32)
+    return out
+
+
+def tile_links(left: dict, right: dict, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest (document, root) of the links between members of different components of two tiles."""
+    (da, ka, na), (db, kb, nb) = (tuple(np.frombuffer(t[c], np.int64) for c in PACKED[:3]) for t in (left, right))
+    both = intersections(np.frombuffer(left["hashes"], np.uint64), na, np.frombuffer(right["hashes"], np.uint64), nb)
+    i, j = np.nonzero((100 * both >= least * (na[:, None] + nb[None, :] - both)) & (ka[:, None] != kb[None, :]))
+    label = settle(np.arange(len(da) + len(db)), i, j + len(da)) if len(i) else np.arange(len(da) + len(db))
+    names = np.concatenate((da, db))
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return names[moved], names[label[moved]]
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: int = 512) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked where 100 * intersection >= ``least`` * union.
 
     Sets hold the distinct ``shingle``-word runs of the whole text, A-Z lowered; a shorter text is one run; no
     words: an empty set, which links with nothing. Equal sets are one class from the start. Candidates share a
     band of HyperMinHash registers; those whose corrected estimate is not clearly too low are verified on the
-    full sets. In a bucket every member is compared with the smallest; then, where several components remain,
-    up to ``fan`` members outside the largest one are compared with all others, round by round until none
-    is left. So a bucket of n members never makes n * n pairs, and no link between its components is lost.
+    full sets. In a bucket every member is compared with the smallest. Buckets that share members form groups; where
+    a group holds several components, its members outside the largest one meet all its members in tiles of
+    about ``tile`` documents, which return the links between components as a forest. So no list of a group's pairs
+    is made, members that are already joined are not compared again, and no link between components is lost. Work
+    on such a group grows with the number of its members times that of those outside its largest component.
     component_id is the smallest doc_id reachable, kept marks that document.
 
     Null texts count as empty; rows of null doc_id are left out; rows that repeat a doc_id are one document,
@@ -198,28 +258,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, fan: int
     checked = C.materialize(members.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = C.materialize(verified(checked), "links")
     component = C.connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-components")
-    done = None
-    while True:
-        tagged = members.select("key", "doc").join(component.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        several = tagged.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        open_ = tagged.join(several, "key", "left_semi")
-        largest = open_.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-        outside = open_.join(largest, "key").where("component <> largest").select("key", "doc", "component")
-        if done is not None:
-            outside = outside.join(done, ["key", "doc"], "left_anti")
-        first = outside.withColumn("i", F.row_number().over(Window.partitionBy("key").orderBy("doc"))).where(F.col("i") <= fan)
-        first = C.materialize(first.select("key", F.col("doc").alias("d"), F.col("component").alias("c")), "outside")
-        if first.isEmpty():
-            break
-        pairs = first.join(open_, "key").where("component <> c").select(F.least("d", "doc").alias("a"), F.greatest("d", "doc").alias("b")).distinct()
-        fresh = C.materialize(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
-        marks = first.select("key", F.col("d").alias("doc"))
-        done = C.materialize(marks if done is None else done.unionByName(marks), "done")
-        more = C.materialize(verified(fresh), "links")
-        checked = C.materialize(checked.unionByName(fresh), "pairs")
-        if not more.isEmpty():
-            links = C.materialize(links.unionByName(more), "links")
-            component = C.connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-components")
+    # Any two members of a bucket lie in one group here, whether or not they are similar.
+    group = C.connected_components(checked.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-groups")
+    tagged = group.select(F.col("node").alias("doc"), F.col("component").alias("grp")).join(component.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    sizes = tagged.groupBy("grp", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("grp").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    sizes = sizes.select("grp", F.col("top.component").alias("largest"), F.ceil(F.col("total") / tile).cast("int").alias("tiles"), F.ceil((F.col("total") - F.col("top.n")) / tile).cast("int").alias("outer"))
+    open_ = C.materialize(tagged.join(sizes, "grp"), "open")
+    spread = lambda seed, column: F.pmod(F.xxhash64("doc", F.lit(seed)), F.col(column).cast("long")).cast("int")
+    full = open_.join(sets, "doc")
+    inner = _packed(full.withColumn("tile", spread(1, "tiles")))
+    outer = _packed(full.where("component <> largest").withColumn("tile", spread(2, "outer"))).join(sizes.select("grp", "tiles"), "grp")
+    left = outer.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("grp", "other", *PACKED)
+    right = inner.select("grp", F.col("tile").alias("other"), *[F.col(c).alias(f"{c}2") for c in PACKED])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                docs, root = tile_links({c: r[c] for c in PACKED}, {c: r[f"{c}2"] for c in PACKED}, hundred)
+                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(root)], ["a", "b"])
+
+    more = C.materialize(left.join(right, ["grp", "other"]).select(*PACKED, *[f"{c}2" for c in PACKED]).mapInArrow(compare, "a long, b long"), "links")
+    if not more.isEmpty():
+        component = C.connected_components(links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-components")
 
     roots = classes.select("name", F.col("doc_id").alias("node")).join(component, "node", "left").select("name", F.coalesce("component", "node").alias("root"))
     out = signed.select("doc_id", "n", "name").join(roots, "name", "left")

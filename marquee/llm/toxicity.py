@@ -88,20 +88,21 @@ def learn(texts: list[str | None], labels: np.ndarray, languages: list[str | Non
     (the overall one where a language has too few rows).
     """
     rng = np.random.default_rng(seed)
-    slots, bounds = word_slots(pa.array(texts, pa.string()))
+    parts = [word_slots(pa.array(texts[i : i + 200], pa.string())) for i in range(0, len(texts), 200)]
+    slots = np.concatenate([s for s, _ in parts])
+    bounds = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(b) for _, b in parts]))))
     n = len(labels)
     fold = rng.permutation(n)
     held, kept = fold[: n // 5], np.sort(fold[n // 5 :])
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    training = np.zeros(n, bool)
-    training[kept] = True
-    seen = np.unique(slots[training[owner]])
+    seen = np.unique(np.concatenate([np.unique(slots[bounds[d] : bounds[d + 1]]) for d in kept] or [slots[:0].ravel()]))
     width = slots.shape[1]
-    pairs = np.unique((np.searchsorted(seen, slots[training[owner]]).astype(np.int64) * n + owner[training[owner]][:, None]).ravel())
-    column, row = pairs // n, pairs % n
+    local = np.searchsorted(seen, slots).astype(np.int32)
+    local[local == len(seen)] = 0
+    known = seen[local] == slots if len(seen) else np.zeros(slots.shape, bool)
     toxic, clean = max(1, int(labels[kept].sum())), max(1, int((labels[kept] == 0).sum()))
-    p = np.bincount(column, weights=labels[row] == 1, minlength=len(seen))
-    q = np.bincount(column, weights=labels[row] == 0, minlength=len(seen))
+    p, q = np.zeros(len(seen)), np.zeros(len(seen))
+    for d in kept:  # documents that hold a slot, by label
+        (p if labels[d] else q)[np.unique(local[bounds[d] : bounds[d + 1]])] += 1
     lift = np.log((p + 0.25) / (toxic + 0.5)) - np.log((q + 0.25) / (clean + 0.5))
     lift = np.where((p + q) >= 2, lift * (1 - np.exp(-(p + q) / 4)), 0)
     vectors = rng.normal(0, 0.01, (len(seen), size)).astype(np.float32)
@@ -113,9 +114,6 @@ def learn(texts: list[str | None], labels: np.ndarray, languages: list[str | Non
     net.head[: each // 2] = 0.5
     if not len(seen) or labels[kept].min(initial=1) == labels[kept].max(initial=0):
         return net
-    local = np.searchsorted(seen, slots)
-    local[local == len(seen)] = 0
-    known = seen[local] == slots
     params = [net.vectors, *net.filters, *net.biases, net.head]
     first, second = [np.zeros_like(a) for a in params], [np.zeros_like(a) for a in params]
     moved, offset_m, offset_v, step = np.zeros(len(seen), np.int64), 0.0, 0.0, 0
@@ -212,7 +210,7 @@ def held_out(doc_id):
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 3000, most_bytes: int = 60_000_000) -> Network | None:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 2000, most_bytes: int = 16_000_000) -> Network | None:
     """The network, from at most ``most`` labelled rows of each label and ``most_bytes`` of text (the documented bound of the sample)."""
     rows, size = [], 0
     for r in sorted(labelled(docs, labels, most).collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):
@@ -225,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 3000, most_bytes: int =
     return learn([r.text for r in rows], np.array([r.toxic for r in rows]), [r.lang for r in rows])
 
 
-def score(docs: DataFrame, labels: DataFrame, most: int = 3000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, most: int = 2000) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= 0.3) and language_flag of every whole text.
 
     Labels, lang, source and doc_id never enter a score; lang only chooses the threshold of language_flag.

@@ -14,10 +14,13 @@ def fold(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), r"\s+", " "))
 
 
-@F.pandas_udf("string")
-def fold_strict(texts: pd.Series) -> pd.Series:
+def fold_strict(c: Column) -> Column:
     """Exact Unicode case folding, where ``fold`` isn't enough."""
-    return texts.map(lambda t: None if t is None else " ".join(t.casefold().split()))
+
+    def strict(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else " ".join(t.casefold().split()))
+
+    return F.pandas_udf(strict, "string")(c)
 
 
 def slug(c: Column) -> Column:

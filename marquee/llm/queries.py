@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, embedding_dedup, minhash, packing, substring_dedup, suffix_array_dedup, token_counts, topk, toxicity, url_filter
+from marquee.llm import bpe, embedding_dedup, minhash, packing, sql, substring_dedup, suffix_array_dedup, token_counts, topk, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -21,4 +21,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_fm_index_dedup": sql.OP1,
+        "op4_pca_tiled_links": sql.OP4,
+        "op8_hyperminhash_dedup": sql.OP8,
+        "op10_norm_sorted_topk": sql.OP10,
+    }

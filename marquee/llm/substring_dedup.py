@@ -107,9 +107,8 @@ class FMIndex:
         """For each position of each streamed sequence: length of the longest match up to ``depth`` words, and its rows.
 
         All sequences are read from right to left at once. A match of ``depth`` words first gives up its last
-        word (its rows widen to the class of ``depth - 1``) and then takes in the word before; a word that
-        can't be taken in begins a new match, which is sound here because only matches of ``depth`` are
-        reported and a shorter one is always re-extended from its own start.
+        word (its rows widen to the class of ``depth - 1``), then takes in the word before. Where that
+        fails, the longest match that begins at the word is searched for by halving its length.
         """
         values, total = self.encode(symbols), int(sizes.sum())
         length, low, high = (np.zeros(total, np.int64) for _ in range(3))
@@ -120,21 +119,39 @@ class FMIndex:
         head, tail = self.classes[depth - 1]
         for step in range(int(sizes.max(initial=0))):
             live = int(np.searchsorted(-sizes[lanes], -step, side="left"))
-            who = lanes[:live]
-            at = ends[who] - 1 - step
-            v, l, h, m = values[at], lo[:live], hi[:live], matched[:live]
+            at = ends[lanes[:live]] - 1 - step
+            v, left, right, m = values[at], lo[:live], hi[:live], matched[:live]
             full = m >= depth
-            l, h, m = np.where(full, head[np.minimum(l, n - 1)], l), np.where(full, tail[np.minimum(l, n - 1)], h), np.where(full, depth - 1, m)
-            a, b = self.extend(l, h, v)
-            good = (a < b) & (v > 0)
-            fresh_a = self.first[v]
-            fresh_b = np.append(self.first[1:], n)[v]
-            lo[:live] = np.where(good, a, np.where(v > 0, fresh_a, 0))
-            hi[:live] = np.where(good, b, np.where(v > 0, fresh_b, n))
-            matched[:live] = np.where(good, m + 1, np.where(v > 0, 1, 0))
-            length[at], low[at], high[at] = matched[:live], lo[:live], hi[:live]
+            row = np.minimum(left, n - 1)
+            left, right, m = np.where(full, head[row], left), np.where(full, tail[row], right), np.where(full, depth - 1, m)
+            a, b = self.extend(left, right, v)
+            found = (a < b) & (v > 0)
+            a, b, m = np.where(found, a, 0), np.where(found, b, n), np.where(found, m + 1, 0)
+            lost = np.flatnonzero(~found & (v > 0))
+            if len(lost):
+                a[lost], b[lost], m[lost] = self._longest(values, at[lost], np.where(full, depth - 1, matched[:live])[lost])
+            lo[:live], hi[:live], matched[:live] = a, b, m
+            length[at], low[at], high[at] = m, a, b
         return length, low, high
 
+    def _longest(self, values: np.ndarray, start: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows and length of the longest match, of ``most`` words at most, that begins at each start."""
+        low, high = np.ones(len(start), np.int64), np.maximum(most, 1)
+        while (low < high).any():
+            middle = (low + high + 1) // 2
+            a, b = self._rows(values, start, middle)
+            low, high = np.where(a < b, middle, low), np.where(a < b, high, middle - 1)
+        return *self._rows(values, start, low), low
+
+    def _rows(self, values: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi = np.zeros(len(start), np.int64), np.full(len(start), len(self.order))
+        for step in range(int(size.max(initial=0))):
+            live = np.flatnonzero((step < size) & (lo < hi))
+            v = values[start[live] + size[live] - 1 - step]
+            a, b = self.extend(lo[live], hi[live], v)
+            lo[live], hi[live] = a, np.where(v > 0, b, a)
+        return lo, hi
+
 
 def _dense(ordered: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate(([0], (ordered[1:] != ordered[:-1]).astype(np.int64)))) if len(ordered) else ordered

@@ -256,10 +256,11 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
             hits.append(np.unpackbits(np.frombuffer(answer[1][shard], np.uint8), count=int(counts[p].sum())).astype(bool))
         hits = np.concatenate(hits)
         at = np.concatenate(([0], np.cumsum(counts)))
+        earliest = lead[number]
+        later = block.doc_key()[run] != block.doc_key()[earliest]
         if spec.by_start:
-            later = run != lead[number]
-        else:
-            later = block.doc_key()[run] != block.doc_key()[lead[number]]
+            start = block.first - block.bounds[block.doc]
+            later |= start[run] != start[earliest]
         change = np.zeros(len(block.symbols) + 1, np.int32)
         full = run[later]
         np.add.at(change, block.first[full], 1)

@@ -40,7 +40,7 @@ def nulls(spark, d):
 
 
 def orphans(spark, d):
-    return G.orphan_refs(testbed.table(spark, d, "customer"), "c_custkey", testbed.table(spark, d, "orders"), "o_custkey").select("c_custkey", "c_name")
+    return G.orphan_refs(testbed.table(spark, d, "orders"), "o_orderkey", testbed.table(spark, d, "lineitem"), "l_orderkey").select("o_orderkey", "o_custkey")
 
 
 def coverage(spark, d):
@@ -101,7 +101,7 @@ CASES = {
     "f_identity_changes": (identity_checks, f"with {_SUP} select k::varchar old_entity_id, unnest(list_filter([case when list_contains(nw, k) then 'targets_itself' end, case when n % 5 = 1 then 'repeated_target' end, case when kind = 'split' and len(nw) < 2 then 'split_needs_two' end, case when kind = 'merge' and len(nw) <> 1 then 'needs_one_target' end, case when kind = 'withdrawal' and len(nw) <> 0 then 'needs_no_target' end], lambda x: x is not null)) finding from s"),
     "q_resolve_identity": (identity_resolution, "with recursive w as (select s_suppkey k, case when s_nationkey = 0 then -1 when s_suppkey % 7 <> 0 then s_suppkey + 1 end nx from supplier), r as (select k, k pl from w union all select r.k, w.nx from r join w on w.k = r.pl where nx is not null and nx >= 0) select k::varchar entity_id, pl::varchar current_id from r where not exists (select 1 from w x where x.k = r.pl and x.nx is not null)"),
     "a_null_counts": (nulls, duck("select 'entity_id' column_name, 0 nulls union all select 'original_title', count(*) - count(original_title) from v_ent union all select 'episodes', count(*) - count(episodes) from v_ent union all select 'release_year', 0", "v_ent")),
-    "j_orphans": (orphans, "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)"),
+    "j_orphans": (orphans, "select o_orderkey, o_custkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey)"),
     "j_domain_coverage": (coverage, duck("select domain, count(*) entities, count(*) filter (entity_id in (select source_entity_id from v_edge)) covered from v_ent group by 1", "v_ent", "v_edge")),
     "u_set_difference": (set_difference, "select distinct n_nationkey k from nation where n_nationkey not in (select s_nationkey + 1 from supplier)"),
     "q_release_findings": (release, duck("""with e as (select * from v_ent), o as (select distinct source_entity_id from v_edge where source_entity_id not in (select entity_id from e)), t as (select distinct target_entity_id from v_edge where target_entity_id not in (select entity_id from e)), s as (select distinct source_entity_id x from v_edge semi join e on entity_id = source_entity_id)

@@ -105,8 +105,8 @@ def leases(spark, d):
 
 
 def uncached(spark, d):
-    calls = testbed.table(spark, d, "events").select("event_id", "user_id", X.cache_key("t", "p", "m", "r", F.col("props")).alias("cache_key"))
-    return N.uncached(calls, calls.where("user_id < 10").select("cache_key")).select("event_id")
+    calls = testbed.table(spark, d, "events").select("event_id", "event_type", X.cache_key("t", "p", "m", "r", F.concat("props", F.col("user_id").cast("string"))).alias("cache_key"))
+    return N.uncached(calls, calls.where("event_type = 'error'").select("cache_key").distinct()).select("event_id")
 
 
 def refresh(spark, d):
@@ -160,7 +160,7 @@ CASES = {
     "i_daily_budget": (daily, duck("select provider, strftime(ts, '%Y-%m-%d') \"day\", count(*) n, count(*) >= 100 exhausted from v_req group by all", "v_req")),
     "w_pacing": (pacing, duck("with i as (select *, row_number() over w - 1 i, us - lag(us) over w < 300000000 v from v_req window w as (partition by provider order by us, event_id)), s as (select *, i * 300000000 + max(us - i * 300000000) over (partition by provider order by us, event_id rows unbounded preceding) st from i) select event_id, provider, (st - us)::bigint wait_us, coalesce(v, false) violation from s", "v_req")),
     "w_leases": (leases, duck("select event_id, coalesce(us < max(us + 21600000000) over (partition by provider order by us, event_id rows between unbounded preceding and 1 preceding), false) conflict from v_req", "v_req")),
-    "i_uncached": (uncached, "select event_id from events where props not in (select props from events where user_id < 10)"),
+    "i_uncached": (uncached, "select event_id from events where props||user_id not in (select props||user_id from events where event_type = 'error')"),
     "i_refresh": (refresh, "with o as (select doc_id, row_number() over (order by doc_id) - 1 i, (count(*) over ()) // 3 s from documents) select (i // s)::int batch, count(*) n, min(doc_id) low, max(doc_id) high, any_value(s) * 3 next_offset from o where i < 3 * s group by 1"),
     "i_stream_refresh": (stream_refresh, "select lang, count(*) n, sum(n_chars)::bigint chars from documents group by 1"),
     "i_stream_budget": (stream_budget, None),

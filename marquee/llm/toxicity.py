@@ -19,6 +19,8 @@ BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 #: A word's embedding is the sum of hashed vectors: of the whole word and of its first bytes.
 PREFIXES = (4, 5, 6)
 SLOTS = 1 << 20
+#: Texts of at most so many bytes are learned from first.
+SHORT = 64 << 10
 
 
 def word_slots(column) -> tuple[np.ndarray, np.ndarray]:
@@ -196,14 +198,33 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
     return float((z[k] + z[k + 1]) / 2) if k + 1 < len(z) else float(z[k] - 1)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows of each label, by id hash: (text, lang, toxic), of ids whose crc32 mod 4 is not 2."""
+def labelled(docs: DataFrame, labels: DataFrame, most: int, most_bytes: int) -> DataFrame | None:
+    """The sample: (doc_id, toxic, text, lang) of ids whose crc32 mod 4 is not 2; None without any.
+
+    Each label gives at most ``most`` rows and half of ``most_bytes``. Its texts of at most SHORT bytes come first, by
+    id hash, then longer ones, the shortest first. A text that no longer fits is passed over and the next one tried.
+    If every text of a label is longer than the label's half, the shortest gives its beginning. The choice is made on
+    sizes, so no other text reaches the driver. An id that repeats gives its shortest text.
+    """
     labels = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     labels = labels.where(~held_out(F.col("doc_id")))
-    chosen = labels.where("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).unionByName(labels.where("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), lang.alias("lang"))
-    return docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"), F.max("lang").alias("lang"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), lang.alias("lang")).withColumn("size", F.octet_length("text"))
+    sizes = docs.select("doc_id", "size").join(labels, "doc_id").groupBy("doc_id", "toxic").agg(F.coalesce(F.min("size"), F.lit(0)).alias("size"))
+    chosen = []
+    for toxic in (0, 1):
+        left = most_bytes // 2
+        order = (F.when(F.col("size") > SHORT, F.col("size")).otherwise(0), F.xxhash64("doc_id"), "doc_id")
+        for i, r in enumerate(sizes.where(F.col("toxic") == toxic).orderBy(*order).limit(most).collect()):
+            if r.size <= left or (i == 0 and r.size > SHORT):
+                left -= r.size
+                chosen.append((r.doc_id, toxic, r.size))
+    if not chosen:
+        return None
+    picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int, least int")
+    rows = docs.join(F.broadcast(picked), "doc_id").where("size is null or size = least")
+    rows = rows.withColumn("text", F.when(F.col("size") > most_bytes // 2, F.substring("text", 1, most_bytes // 8)).otherwise(F.col("text")))
+    return rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"), F.max("lang").alias("lang"))
 
 
 def held_out(doc_id):
@@ -212,14 +233,10 @@ def held_out(doc_id):
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = 2000, most_bytes: int = 16_000_000) -> Network | None:
     """The network, from at most ``most`` labelled rows of each label and ``most_bytes`` of text (the documented bound of the sample)."""
-    rows, size = [], 0
-    for r in sorted(labelled(docs, labels, most).collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):
-        size += len((r.text or "").encode())
-        if size > most_bytes and rows:
-            break
-        rows.append(r)
-    if not rows:
+    sample = labelled(docs, labels, most, most_bytes)
+    if sample is None:
         return None
+    rows = sorted(sample.collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
     return learn([r.text for r in rows], np.array([r.toxic for r in rows]), [r.lang for r in rows])
 
 

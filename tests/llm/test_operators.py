@@ -283,6 +283,22 @@ def test_toxicity_learns_and_holds_out(spark):
     assert not any(r.predicted for r in toxicity.score(docs, labels.where("false")).collect())
 
 
+def test_toxicity_passes_over_long_texts(spark):
+    rng = random.Random(10)
+    words = [f"w{i}" for i in range(300)]
+    learned = sorted((i for i in range(600) if zlib.crc32(str(i).encode()) % 4 != 2), key=lambda i: zlib.crc32(str(i).encode()))
+    long = learned[0]
+    data = [(i, " ".join([*rng.choices(words, k=20), "vilethe" if i % 4 == 0 else "well"]) * (1 if i != long else 20_000_000 // 80), "en") for i in range(600)]
+    assert len(data[long][1]) > 16_000_000
+    docs, labels = spark.createDataFrame(data, EMPTY_DOCS), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600)], "doc_id long, toxic int")
+    sample = rows(toxicity.labelled(docs, labels, 2000, 16_000_000))
+    assert set(sample) == set(learned) - {long}
+    got = rows(toxicity.score(docs, labels))
+    assert all(got[i].predicted == int(i % 4 == 0) for i in range(600) if i != long)
+    small = rows(toxicity.labelled(docs.where(docs.doc_id.isin(long, learned[1])), labels.where(labels.doc_id.isin(long, learned[1])).withColumn("toxic", (labels.doc_id == long).cast("int")), 2000, 16_000_000))
+    assert (small[long].toxic, len(small[long].text)) == (1, 2_000_000) and small[learned[1]].toxic == 0
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], EMPTY_DOCS)
     vec = spark.createDataFrame([], "vec_id long, embedding array<float>")

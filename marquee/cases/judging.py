@@ -134,7 +134,7 @@ def stream_budget(spark, d):
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     work = f"{folder(spark)}/stream-{spark.sql('select uuid()').first()[0]}"
     out = N.daily_budget_stream(spark, f"{d}/events.parquet", schema, work, DAY_LIMIT)
-    return spark.read.schema("provider string, day string, n long, exhausted boolean").parquet(out)
+    return N.daily_counts(spark, out, DAY_LIMIT)
 
 
 _CONF = """round(least(case {r} when 'related_anime' then 0.42::double when 'spinoff' then 0.4::double else 0.78::double end + least(len(supporting_urls) - 1, 5) * 0.04::double + least(len(list_distinct(list_transform(supporting_urls, lambda u: regexp_extract(u, '//([^/]+)/', 1)))) - 1, 4) * 0.05::double + case when {r} <> 'related_anime' and len(list_filter(supporting_urls, lambda u: u like 'https://anilist.co/%')) > 0 then 0.06::double else 0 end, 0.98), 2)"""
@@ -143,6 +143,7 @@ _RESP = """with e as (select event_id, json_extract(props, '$.k')::int k, ['sequ
 _GATE = """with g as (select judgment_id, kind, confidence, concat_ws('|', case when status <> 'approved' then 'judgment_status_not_approved' end, case when kind <> 'relationship_classification' then 'judgment_kind_not_allowed' end, case when output_schema_version <> 'v1' then 'output_schema_version_mismatch' end, case when confidence < 0.8::double then 'confidence_below_recipe_minimum' end, case when n_chars % 2 <> 0 then 'parameter_mismatch:temperature' end,
  case when toxic = 1 then 'blocked_quality_flag:low_confidence|blocked_quality_flag:unsupported_relationship' end, case when toxic <> 0 then 'non_publishable_input_ref' end, case when n_chars % 3 = 0 then 'input_use_not_allowed' end, case when n_chars % 5 = 0 then 'insufficient_publishable_evidence_refs' end) reasons from v_judg) """
 _SCORES = "s as (select model, count(*) attempts, count(*) filter (reachable) reachable, count(*) filter (valid_json) valid_json, count(*) filter (correct) correct, min(nullif(latency_ms, 0)) best_latency_ms from v_run group by 1)"
+_DAYS = duck("select provider, strftime(ts, '%Y-%m-%d') \"day\", count(*) n, count(*) >= 100 exhausted from v_req group by all", "v_req")
 
 CASES = {
     "l_candidates": (candidates, duck(_CHANGED + "select source_entity_id, target_entity_id, relationship, score, previous_relationship, previous_score, changed_since_previous, 64 fingerprint_length from c where (score < 0.7 or relationship = 'related_anime') and target_entity_id in (select entity_id from v_ent) and source_entity_id in (select entity_id from v_ent)", "v_ent", "v_edge", "v_prev")),
@@ -157,11 +158,11 @@ CASES = {
     "w_rank_models": (ranking, duck(f"with {_SCORES} select model, row_number() over (order by correct desc, valid_json desc, reachable desc, coalesce(best_latency_ms, 999999999), model) \"rank\", correct, valid_json, reachable from s", "v_run")),
     "l_score_runs": (fixtures, "with e as (select user_id % 23 c, event_id i from events) select c case_id, count(*) n, count(*) filter (i % 5 <> 0) valid, count(*) filter (i % 5 <> 0 and (i % 2 = 0) = (c % 2 = 0)) same_entity_correct, count(*) filter (i % 5 <> 0 and i % 3 = c % 3) label_correct from e group by 1"),
     "l_budget": (budget, duck("with r as (select provider, sum(round(value * 100)::bigint) over (partition by provider order by event_id rows unbounded preceding) running from v_req) select provider, running <= 50000 admitted, count(*) n, max(running)::bigint running from r group by all", "v_req")),
-    "i_daily_budget": (daily, duck("select provider, strftime(ts, '%Y-%m-%d') \"day\", count(*) n, count(*) >= 100 exhausted from v_req group by all", "v_req")),
+    "i_daily_budget": (daily, _DAYS),
     "w_pacing": (pacing, duck("with i as (select *, row_number() over w - 1 i, us - lag(us) over w < 300000000 v from v_req window w as (partition by provider order by us, event_id)), s as (select *, i * 300000000 + max(us - i * 300000000) over (partition by provider order by us, event_id rows unbounded preceding) st from i) select event_id, provider, (st - us)::bigint wait_us, coalesce(v, false) violation from s", "v_req")),
     "w_leases": (leases, duck("select event_id, coalesce(us < max(us + 21600000000) over (partition by provider order by us, event_id rows between unbounded preceding and 1 preceding), false) conflict from v_req", "v_req")),
     "i_uncached": (uncached, "select event_id from events where props||user_id not in (select props||user_id from events where event_type = 'error')"),
     "i_refresh": (refresh, "with o as (select doc_id, row_number() over (order by doc_id) - 1 i, (count(*) over ()) // 3 s from documents) select (i // s)::int batch, count(*) n, min(doc_id) low, max(doc_id) high, any_value(s) * 3 next_offset from o where i < 3 * s group by 1"),
     "i_stream_refresh": (stream_refresh, "select lang, count(*) n, sum(n_chars)::bigint chars from documents group by 1"),
-    "i_stream_budget": (stream_budget, None),
+    "i_stream_budget": (stream_budget, _DAYS),
 }

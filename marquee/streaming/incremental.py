@@ -68,14 +68,25 @@ def daily_budget(requests: DataFrame, limit: int) -> DataFrame:
 
 
 def daily_budget_stream(spark: SparkSession, source: str, schema: StructType, work: str, limit: int) -> str:
-    """The same as a stream with a watermark of one hour: later requests are dropped, finished days are appended."""
+    """The same as a stream: each batch writes its partial counts into its own folder under ``work``/days, and a batch
+    that is repeated after a failure overwrites it. No row is late and no day stays open; ``daily_counts`` reads them."""
     out = f"{work}/days"
-    stream = landing(spark, source, schema).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
-    days = daily_budget(stream.withColumn("provider", F.concat(F.lit("p"), F.col("user_id") % 3)), limit)
-    days.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
+
+    def put(df: DataFrame, batch: int) -> None:
+        rows = df.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("provider", F.concat(F.lit("p"), F.col("user_id") % 3))
+        daily_budget(rows, limit).select("provider", "day", "n").write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    stream = landing(spark, source, schema)
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
     return out
 
 
+def daily_counts(spark: SparkSession, out: str, limit: int) -> DataFrame:
+    """The days of ``daily_budget`` from the partial counts of all batches so far."""
+    parts = spark.read.schema("provider string, day string, n long").parquet(out)
+    return parts.groupBy("provider", "day").agg(F.sum("n").alias("n")).withColumn("exhausted", F.col("n") >= limit)
+
+
 def pacing(requests: DataFrame, step_us: int) -> DataFrame:
     """Earliest allowed start of each request at one per ``step_us``, its wait, and whether the gap before it was too short."""
     order = Window.partitionBy("provider").orderBy("us", "event_id")

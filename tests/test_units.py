@@ -190,6 +190,21 @@ def test_stream_restart_adds_nothing_twice(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(15))
 
 
+def test_stream_budget_counts_all_rows_of_unordered_files(spark, tmp_path):
+    source, work = f"file://{tmp_path}/in", f"file://{tmp_path}/work"
+    days = [30, 30, 1, 15, 2, 30, 29, 1]
+    for i, day in enumerate(days):
+        rows = spark.range(6).selectExpr("id user_id", f"timestamp '2024-01-{day:02} 23:50:00' ts")
+        rows.coalesce(1).write.mode("append").parquet(source)
+    schema = spark.read.parquet(source).schema
+    out = N.daily_budget_stream(spark, source, schema, work, 5)
+    got = N.daily_counts(spark, out, 5)
+    assert sorted(values(got, "provider", "day", "n", "exhausted")) == sorted((f"p{p}", f"2024-01-{d:02}", 2 * days.count(d), 2 * days.count(d) >= 5) for p in range(3) for d in set(days))
+    spark.range(3).selectExpr("id user_id", "timestamp '2024-01-01 00:00:01' ts").coalesce(1).write.mode("append").parquet(source)
+    N.daily_budget_stream(spark, source, schema, work, 5)
+    assert {r.n for r in N.daily_counts(spark, out, 5).where("day = '2024-01-01'").collect()} == {5}
+
+
 def test_partitions_do_not_change_results(spark):
     rows = [("a", i, f"t{i % 3}", "sequel", "https://anidb.net/anime/1", [f"https://kitsu.app/anime/{i}"]) for i in range(9)]
     ents = spark.createDataFrame([(1, "t0", "https://c/0", ["https://anilist.co/anime/5"])], "pos int, entity_id string, canonical_source string, sources array<string>")

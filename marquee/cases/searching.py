@@ -137,6 +137,11 @@ def similar_vectors(spark, d):
     return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where("rank <= 5").select("query_id", "rank", "vec_id", "score")
 
 
+def nearest_vectors(spark, d):
+    """The same queries against all vectors, whatever their label."""
+    return S.nearest_vectors(testbed.table(spark, d, "embeddings"))
+
+
 _FOLD = "trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '\\s+', ' ', 'g'))"
 _Q = "q as (select query, " + _FOLD.format("query") + " q from (values " + ", ".join(f"('{t}')" for t in TEXTS) + ") t(query))"
 _NAMES = f"""n as (select entity_id, title, release_year, 1 o, 'title' f, {_FOLD.format("title")} name from v_ent union all select entity_id, title, release_year, 2, 'original_title', {_FOLD.format("original_title")} from v_ent where original_title is not null union all select entity_id, title, release_year, 3, 'synonym', {_FOLD.format("s")} from (select *, unnest(synonyms) s from v_ent))"""
@@ -187,4 +192,5 @@ CASES = {
     "j_franchise_pairs": (franchise_pairs, "with m as (select 'movie:wikidata:Q'||c_custkey e, lower(c_mktsegment)||floor(c_acctbal / 10)::bigint t from customer) select a.e entity_id, b.e other_id from m a join m b on a.t = b.t and a.e <> b.e"),
     "j_exclude_family": (exclude_family, f"with {_FAM} select node entity_id, p_name title from fm join part on k = p_partkey where size = 1"),
     "y_similar_vectors": (similar_vectors, "with p as (select a.vec_id query_id, b.vec_id, round(list_dot_product(a.embedding::double[], b.embedding::double[]), 6) score from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id where a.vec_id % 20 = 0), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) \"rank\" from p) select query_id, \"rank\", vec_id, score from r where \"rank\" <= 5"),
+    "y_nearest_vectors": (nearest_vectors, "with p as (select a.vec_id query_id, b.vec_id, round(list_dot_product(a.embedding::double[], b.embedding::double[]), 6) score from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) \"rank\" from p) select query_id, \"rank\", vec_id, score from r where \"rank\" <= 5"),
 }

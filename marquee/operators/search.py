@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -210,3 +213,37 @@ def retrieval_text(ents: DataFrame) -> DataFrame:
     lists = [F.array_join(c, ", ") for c in ("synonyms", "genres", "studios", "creators", "tags")]
     parts = [F.col("title"), F.col("original_title"), F.col("media_type"), F.col("status"), F.nullif(F.col("release_year"), F.lit(0)).cast("string"), *[F.nullif(x, F.lit("")) for x in lists]]
     return ents.select("entity_id", F.concat_ws(" | ", *parts).alias("retrieval_text"))
+
+
+def nearest_vectors(vectors: DataFrame, k: int = 5, every: int = 20, chunk_rows: int = 8192, query_rows: int = 1024) -> DataFrame:
+    """query_id, rank, vec_id, score: for each vector whose id is divisible by ``every`` the ``k`` highest dot products, to
+    six places, among all other vectors whatever their label; ties go to the smaller id.
+
+    Which vectors take part is as in ``marquee.llm.vectors.usable``. Each block of queries meets each chunk once, and a
+    chunk gives at most ``k`` rows per query, so no list of pairs is made.
+    """
+    from marquee.llm import vectors as V
+
+    good = V.usable(vectors, "vec_id", "embedding")
+    n = max(1, good.count())
+    chunks, blocks = -(-n // chunk_rows), -(-n // (every * query_rows))
+    candidates = V.pack(good.withColumn("chunk", F.expr(f"cast(pmod(xxhash64(vec_id), {chunks}) as int)")), "chunk")
+    queries = V.pack(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
+    meet = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(queries.select("block", F.col("ids").alias("qids"), F.col("x").alias("q")), "block")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in V.rows(batches):
+            cids, c = V.unpack(r["ids"], r["x"])
+            qids, q = V.unpack(r["qids"], r["q"])
+            for at in range(0, len(qids), 128):
+                score = np.round(q[at : at + 128] @ c.T, 6)
+                score[qids[at : at + 128, None] == cids] = -np.inf
+                # Ids ascend within a chunk, so a stable sort leaves ties to the smaller id.
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                i, j = np.repeat(np.arange(len(score)), best.shape[1]), best.ravel()
+                i, j = i[score[i, j] > -np.inf], j[score[i, j] > -np.inf]
+                yield pa.RecordBatch.from_arrays([pa.array(qids[at + i]), pa.array(cids[j]), pa.array(score[i, j])], ["query_id", "vec_id", "score"])
+
+    found = meet.select("ids", "x", "qids", "q").mapInArrow(search, "query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -205,6 +205,15 @@ def test_stream_budget_counts_all_rows_of_unordered_files(spark, tmp_path):
     assert {r.n for r in N.daily_counts(spark, out, 5).where("day = '2024-01-01'").collect()} == {5}
 
 
+def test_nearest_vectors_of_any_label(spark):
+    rng = random.Random(3)
+    data = [(i, [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(3)], None if i % 3 == 0 else i % 4) for i in range(130)]
+    got = S.nearest_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int"), chunk_rows=20, query_rows=3)
+    want = [(i, n + 1, j, -s) for i, x, _ in data if i % 20 == 0 for n, (s, j) in enumerate(sorted((-sum(a * b for a, b in zip(x, y)), j) for j, y, _ in data if j != i)[:5])]
+    assert sorted(values(got, "query_id", "rank", "vec_id", "score")) == want
+    assert S.nearest_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
 def test_partitions_do_not_change_results(spark):
     rows = [("a", i, f"t{i % 3}", "sequel", "https://anidb.net/anime/1", [f"https://kitsu.app/anime/{i}"]) for i in range(9)]
     ents = spark.createDataFrame([(1, "t0", "https://c/0", ["https://anilist.co/anime/5"])], "pos int, entity_id string, canonical_source string, sources array<string>")

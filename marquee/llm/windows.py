@@ -5,13 +5,16 @@ leftmost smallest hash among the ``gram``-symbol strings inside it, so equal win
 About one position in ``(length - gram) / 2`` is an anchor, and only those travel:
 
 1. each block of documents sends its distinct anchor hashes, packed, to shards by hash;
-2. a shard answers with one bit per hash: does it occur anywhere else;
+2. a shard answers with one bit per hash: does it occur anywhere else; and lists its hot hashes;
 3. a block sends the text around its shared anchors (once per distinct text) to the shard of the anchor;
 4. the shard decides for every window whether an equal one starts earlier, by the index that the
    operator supplies, and answers with one bit per window;
 5. the block cuts its documents.
 
-A hash or passage that a third of all documents hold reaches a shard once per block, not once per document.
+A hash or passage that a third of all documents hold reaches a shard once per block, not once per document, while
+its surroundings are equal. Where they differ, one hash has a context for each document: hashes whose contexts may hold
+more than PART symbols are *hot*. Their windows travel one by one, to the shard of a hash of the whole window, so equal
+windows still meet and the others spread.
 Blocks and shards both number ``total bytes / block bytes``, so neither outgrows a task.
 """
 
@@ -100,6 +103,15 @@ class Windows:
         return np.concatenate(firsts), np.concatenate(lasts), np.concatenate(keys), np.concatenate(places)
 
 
+    def window_hashes(self, symbols: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """A hash of the whole window at each start."""
+        whole = np.zeros(len(start), np.uint64)
+        for i in range(self.length):
+            x = symbols[start + i]
+            whole = whole * np.uint64(0xD6E8FEB86659FD93) + (C.BYTE_VALUES[x] if symbols.dtype == np.uint8 else x)
+        return C.mix(whole)
+
+
 class Block:
     """One block of documents in the order of their ids, with its runs. Built alike in every pass."""
 
@@ -112,7 +124,8 @@ class Block:
         self.symbols, self.bounds = self.parts["symbols"], self.parts["bounds"]
         self.first, self.last, key, self.place = spec.runs(self.symbols, self.bounds)
         self.doc = np.searchsorted(self.bounds, self.first, side="right") - 1
-        self.code = ((key % np.uint64(shards)) << np.uint64(32)) | (key >> np.uint64(32))
+        self.shards = np.uint64(shards)
+        self.code = self.coded(key)
         self.order = np.argsort(self.code, kind="stable")
         sorted_codes = self.code[self.order]
         new = np.concatenate(([True], sorted_codes[1:] != sorted_codes[:-1])) if len(sorted_codes) else np.zeros(0, bool)
@@ -121,6 +134,14 @@ class Block:
         self.rank = np.empty(len(self.code), np.int64)
         self.rank[self.order] = np.cumsum(new) - 1
 
+    def coded(self, key: np.ndarray) -> np.ndarray:
+        """Shard and 32 bits of each hash."""
+        return ((key % self.shards) << np.uint64(32)) | (key >> np.uint64(32))
+
+    def counts(self) -> np.ndarray:
+        """Runs of each distinct hash."""
+        return np.diff(np.append(self.heads, len(self.code)))
+
     def repeated(self) -> np.ndarray:
         """For each distinct hash: does it recur within this block."""
         x = (self.place if self.spec.by_start else self.doc_key())[self.order]
@@ -137,14 +158,33 @@ class Block:
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             yield int(shard[a]), slice(int(a), int(b))
 
-    def shared(self, answers: dict[int, bytes]) -> np.ndarray:
-        """Runs whose anchor occurs elsewhere, ordered by shard; answers hold a bit for each distinct hash of a shard."""
-        bits = np.zeros(len(self.codes), dtype=bool)
+    def shared(self, answers: dict[int, tuple[bytes, bytes]]) -> np.ndarray:
+        """Runs whose anchor occurs elsewhere, ordered by shard, once those of hot anchors are split into windows.
+
+        Answers hold a bit for each distinct hash of a shard, and the shard's hot hashes.
+        """
+        bits, hot = np.zeros(len(self.codes), dtype=bool), np.zeros(len(self.codes), dtype=bool)
         for shard, part in self.shard_slices(self.codes):
-            bits[part] = np.unpackbits(np.frombuffer(answers[shard], np.uint8), count=part.stop - part.start).astype(bool)
+            have, listed = answers[shard]
+            bits[part] = np.unpackbits(np.frombuffer(have, np.uint8), count=part.stop - part.start).astype(bool)
+            if listed:
+                hot[part] = bits[part] & np.isin(self.codes[part].astype(np.uint32), np.frombuffer(listed, np.uint32))
         run = np.flatnonzero(bits[self.rank])
+        if hot.any():
+            split = hot[self.rank[run]]
+            run = self.split(run[~split], run[split])
         return run[np.argsort(self.code[run] >> np.uint64(32), kind="stable")]
 
+    def split(self, whole: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """Keeps only these runs, each of ``hot`` as runs of one window with the code of the whole window; equal windows stay in order."""
+        size = self.last[hot] - self.first[hot] + 1
+        start = np.repeat(self.first[hot] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        code = self.coded(self.spec.window_hashes(self.symbols, start))
+        self.first, self.last = np.concatenate((self.first[whole], start)), np.concatenate((self.last[whole], start))
+        self.doc = np.concatenate((self.doc[whole], np.repeat(self.doc[hot], size)))
+        self.code = np.concatenate((self.code[whole], code))
+        return np.arange(len(self.code))
+
     def contexts(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each run the number of its context (equal contexts share it), and the first run of each context."""
         size, seen, number, leaders = self.spec.length, {}, np.empty(len(run), np.int64), []
@@ -173,30 +213,40 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         cut_schema += f", carry {docs.schema['carry'].dataType.simpleString()}"
     n = max(least_blocks, -(-C.text_bytes(docs) // block_bytes))
     blocks = C.with_group(docs, "doc_id", n)
+    most = PART // spec.length
 
     def send_hashes(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         block = Block(table, spec, n)
-        again = block.repeated()
-        rows = [(s, key[0].as_py(), block.codes[p].astype(np.uint32).tobytes(), _pack(again[p])) for s, p in block.shard_slices(block.codes)]
-        return pa.Table.from_pylist([dict(zip(("shard", "g", "hashes", "again"), r, strict=True)) for r in rows], schema=pa.schema([("shard", pa.int32()), ("g", pa.int32()), ("hashes", pa.binary()), ("again", pa.binary())]))
+        again, counts = block.repeated(), block.counts()
+        several = counts > 1
+        schema = pa.schema([("shard", pa.int32()), ("g", pa.int32()), ("hashes", pa.binary()), ("again", pa.binary()), ("several", pa.binary()), ("counts", pa.binary())])
+        rows = [(s, key[0].as_py(), block.codes[p].astype(np.uint32).tobytes(), _pack(again[p]), _pack(several[p]), counts[p][several[p]].astype(np.uint32).tobytes()) for s, p in block.shard_slices(block.codes)]
+        return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
 
     def find_shared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, np.uint32) for x in table["hashes"].to_pylist()]
         again = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(p)).astype(bool) for x, p in zip(table["again"].to_pylist(), parts, strict=True)]
         every = np.sort(np.concatenate(parts))
         more = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *(p[a] for p, a in zip(parts, again, strict=True))]))
+        # Runs of each hash: one in each block that holds it, and the others of blocks that hold it several times.
+        several = [p[np.unpackbits(np.frombuffer(x, np.uint8), count=len(p)).astype(bool)] for x, p in zip(table["several"].to_pylist(), parts, strict=True)]
+        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
+        own, place = np.unique(np.concatenate(several), return_inverse=True)
+        total = np.searchsorted(every, own, side="right") - np.searchsorted(every, own) + np.bincount(place, counts - 1, len(own))
+        wide = every[most:][every[most:] == every[: len(every) - most]] if len(every) > most else every[:0]
+        hot = np.union1d(own[total > most], wide).astype(np.uint32).tobytes()
         bits = []
         for p in parts:
             at = np.minimum(np.searchsorted(more, p), max(len(more) - 1, 0))
             bits.append(_pack(more[at] == p if len(more) else np.zeros(len(p), bool)))
-        return pa.table({"g": table["g"], "shard": table["shard"], "bits": pa.array(bits, pa.binary())})
+        return pa.table({"g": table["g"], "shard": table["shard"], "bits": pa.array(bits, pa.binary()), "hot": pa.array([hot] * len(bits), pa.binary())})
 
     def send_contexts(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("shard", pa.int32()), ("g", pa.int32()), ("symbols", pa.binary()), ("lengths", pa.binary()), ("hashes", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         block = Block(left, spec, n)
-        run = block.shared(dict(zip(right["shard"].to_pylist(), right["bits"].to_pylist(), strict=True)))
+        run = block.shared(dict(zip(right["shard"].to_pylist(), zip(right["bits"].to_pylist(), right["hot"].to_pylist(), strict=True), strict=True)))
         _, lead = block.contexts(run)
         rows = []
         for shard, p in block.shard_slices(block.code[lead]):
@@ -220,7 +270,8 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         bits = np.zeros(int(counts.sum()), bool)
         raw, width = symbols.tobytes(), symbols.dtype.itemsize
         order = np.lexsort((starts, ids, hashes))
-        # Equal windows have equal anchors, so the shard is done hash by hash, a bounded number of symbols at a time.
+        # Equal windows have equal hashes (of the anchor, or of the window where that is hot), so the shard is done hash by
+        # hash. One hash has contexts of about PART symbols at most, or equal ones, so the number of symbols at a time is bounded.
         part = np.cumsum(lengths[order]) // PART
         head = np.concatenate(([True], np.diff(hashes[order]) != 0))
         part = np.maximum.accumulate(np.where(head, part, 0))
@@ -246,8 +297,8 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
             return empty.empty_table()
         block = Block(left, spec, n)
         answer = {k: {} for k in (0, 1)}
-        for step, shard, bits in zip(right["step"].to_pylist(), right["shard"].to_pylist(), right["bits"].to_pylist(), strict=True):
-            answer[step][shard] = bits
+        for step, shard, bits, hot in zip(right["step"].to_pylist(), right["shard"].to_pylist(), right["bits"].to_pylist(), right["hot"].to_pylist(), strict=True):
+            answer[step][shard] = bits if step else (bits, hot)
         run = block.shared(answer[0])
         number, lead = block.contexts(run)
         counts = block.last[lead] - block.first[lead] + 1
@@ -276,9 +327,9 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         return out.append_column("carry", block.carry) if carried else out
 
     empty = pa.schema([])
-    hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary")
-    shared = hashes.groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary")
+    hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary, several binary, counts binary")
+    shared = hashes.groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary, hot binary")
     contexts = blocks.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, hashes binary, ids binary, starts binary")
     decided = contexts.groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
-    answers = shared.select("g", "shard", "bits", F.lit(0).alias("step")).unionByName(decided.select("g", "shard", "bits", F.lit(1).alias("step")))
+    answers = shared.select("g", "shard", "bits", "hot", F.lit(0).alias("step")).unionByName(decided.select("g", "shard", "bits", F.lit(None).cast("binary").alias("hot"), F.lit(1).alias("step")))
     return blocks.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(apply, cut_schema)

@@ -9,7 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from marquee.llm import bpe, embedding_dedup, minhash, packing, substring_dedup, suffix_array_dedup, token_counts, topk, toxicity, url_filter
+from marquee.llm import bpe, embedding_dedup, minhash, packing, substring_dedup, suffix_array_dedup, token_counts, topk, toxicity, url_filter, windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, g int, shard int, n long, uid string, key string"
@@ -66,6 +66,45 @@ def test_repeated_bytes(table, docs):
         assert (got[i].n_bytes, got[i].n_removed, [tuple(s) for s in got[i].spans], bytes(got[i].kept)) == (len(b), sum(m), spans, bytes(c for c, k in zip(b, m) if not k))
 
 
+def test_hot_anchor_is_split(spark, monkeypatch):
+    rng = random.Random(11)
+    make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line, part = "This line is in a third of all documents, between others.", 4000
+    bodies = [make(60) + (line if i % 3 == 0 else "") + make(60) for i in range(900)]
+    bodies[600] = bodies[300][:-20] + "x" * 20
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    monkeypatch.setattr(windows, "PART", part)
+    for module, name in ((suffix_array_dedup, "earlier_document"), (substring_dedup, "earlier_window")):
+        def checked(length, plain=getattr(module, name)):
+            find = plain(length)
+
+            def run(symbols, sizes, ids, starts):
+                assert len(symbols) <= 3 * part
+                return find(symbols, sizes, ids, starts)
+
+            return run
+
+        monkeypatch.setattr(module, name, checked)
+    first = {}
+    for i, t in enumerate(bodies):
+        for j in range(len(t) - 49):
+            first.setdefault(t[j : j + 50], i)
+    got = rows(suffix_array_dedup.remove_repeated_bytes(docs))
+    for i, t in enumerate(bodies):
+        cover = {k for j in range(len(t) - 49) if first[t[j : j + 50]] < i for k in range(j, j + 50)}
+        assert got[i].n_removed == len(cover)
+    # The same on words: each letter is one.
+    spaced = [" ".join(t.replace(" ", "_")) for t in bodies]
+    early = {}
+    for i, t in enumerate(bodies):
+        for j in range(len(t) - 19):
+            early.setdefault(t[j : j + 20], (i, j))
+    got = rows(substring_dedup.remove_repeated_windows(spark.createDataFrame(list(enumerate(spaced)), "doc_id long, text string")))
+    for i, t in enumerate(bodies):
+        cover = {k for j in range(len(t) - 19) if early[t[j : j + 20]] < (i, j) for k in range(j, j + 20)}
+        assert got[i].n_removed == len(cover)
+
+
 def test_whole_characters_stay(table):
     for r in suffix_array_dedup.remove_repeated_bytes(table, whole_characters=True).collect():
         bytes(r.kept).decode()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import common as C
 from marquee.llm.suffix_array_dedup import window_starts
-from marquee.llm.windows import Block, Windows, removed_text
+from marquee.llm.windows import Block, Windows, covered_spans, removed_text
 
 
 class WaveletMatrix:
@@ -176,7 +176,7 @@ def earlier_window(length: int):
     return find
 
 
-def remove_repeated_windows(docs: DataFrame, length: int = 20, gram: int = 8, block_bytes: int = 8 << 20) -> DataFrame:
+def remove_repeated_windows(docs: DataFrame, length: int = 20, gram: int = 8, block_bytes: int = 4 << 20) -> DataFrame:
     """Removes every word covered by a window of ``length`` words whose sequence also starts earlier.
 
     Words are runs of anything but space and U+0009 to U+000D, unchanged. Earlier: a smaller doc_id, or an
@@ -193,27 +193,25 @@ def remove_repeated_windows(docs: DataFrame, length: int = 20, gram: int = 8, bl
     def cut(block: Block, covered: np.ndarray) -> pa.Table:
         data, bounds = block.parts["data"], block.bounds
         starts, ends = block.parts["starts"], block.parts["ends"]
-        total = np.concatenate(([0], np.cumsum(covered)))
-        edge = np.zeros(len(covered) + 1, bool)
-        edge[bounds] = True
-        a = np.flatnonzero(covered & (np.concatenate(([True], ~covered[:-1])) | edge[:-1])) if len(covered) else np.zeros(0, np.int64)
-        b = np.flatnonzero(covered & (np.concatenate((~covered[1:], [True])) | edge[1:])) + 1 if len(covered) else a
+        a, b, number, before = covered_spans(covered, bounds)
         base = bounds[np.searchsorted(bounds, a, side="right") - 1]
-        spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(a, bounds), pa.int32()), pa.StructArray.from_arrays([pa.array(a - base), pa.array(b - base)], ["start", "end"]))
+        spans = pa.ListArray.from_arrays(pa.array(number, pa.int32()), pa.StructArray.from_arrays([pa.array(a - base), pa.array(b - base)], ["start", "end"]))
         keep = np.flatnonzero(~covered)
-        s, size = starts[keep], ends[keep] - starts[keep] + 1  # with the space that follows
-        kept_bounds = np.searchsorted(keep, bounds)
-        at = np.cumsum(size) - size
-        out = np.full(int(size.sum()), 0x20, np.uint8)
-        inner = np.arange(len(out)) - np.repeat(at, size)
-        letter = inner < np.repeat(size - 1, size)
-        out[letter] = data[(np.repeat(s, size) + inner)[letter]]
-        edges = np.append(at, len(out))[kept_bounds]
-        full = np.diff(edges) > 0
-        drop = np.ones(len(out), bool)
-        drop[edges[1:][full] - 1] = False  # no space after a document's last word
-        kept = C.bytes_column(out[drop], edges - np.concatenate(([0], np.cumsum(full))))
-        return pa.table({"doc_id": pa.array(block.ids), "n_words": np.diff(bounds), "n_removed": total[bounds[1:]] - total[bounds[:-1]], "spans": spans, "kept": kept})
+        words = np.diff(np.searchsorted(keep, bounds))
+        edges = np.concatenate(([0], np.cumsum(words)))
+        full = words > 0
+        spaced = np.ones(len(keep), bool)
+        spaced[edges[1:][full] - 1] = False  # no space after a document's last word
+        change = np.zeros(len(data) + 1, np.int8)
+        change[starts[keep]] += 1
+        change[ends[keep]] -= 1
+        inside = np.cumsum(change[:-1], dtype=np.int8) > 0
+        space = ends[keep[spaced]]  # a separator follows every other word
+        letters = data.copy()
+        letters[space], inside[space] = 0x20, True
+        size = np.concatenate(([0], np.cumsum(ends[keep] - starts[keep] + spaced)))
+        kept = C.bytes_column(letters[inside], size[edges])
+        return pa.table({"doc_id": pa.array(block.ids), "n_words": np.diff(bounds), "n_removed": np.diff(before), "spans": spans, "kept": kept})
 
     spec = Windows(length=length, gram=gram, words=True, by_start=True)
     return removed_text(docs, spec, earlier_window(length), cut, "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept binary", block_bytes)

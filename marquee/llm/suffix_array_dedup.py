@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import common as C
-from marquee.llm.windows import Block, Windows, removed_text
+from marquee.llm.windows import Block, Windows, covered_spans, removed_text
 
 
 def bucket_pointers(symbols: np.ndarray, depth: int, first: int = 8) -> np.ndarray:
@@ -78,7 +78,7 @@ def earlier_document(length: int):
     return find
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, whole_characters: bool = False, block_bytes: int = 8 << 20, carry: Column | None = None) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, whole_characters: bool = False, block_bytes: int = 4 << 20, carry: Column | None = None) -> DataFrame:
     """Removes every byte covered by a ``length``-byte string that also starts in a document of smaller id.
 
     Reads ``doc_id`` and ``text`` of ``docs``; other columns may have any name. Returns doc_id, n_bytes,
@@ -97,18 +97,11 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 25, who
         if whole_characters and len(data):
             head = np.flatnonzero((data & 0xC0) != 0x80)
             covered = np.repeat(np.minimum.reduceat(covered, head), np.diff(np.append(head, len(data)))) if len(head) else covered
-        total = np.concatenate(([0], np.cumsum(covered)))
-        removed = total[offsets[1:]] - total[offsets[:-1]]
-        edge = np.zeros(len(data) + 1, bool)
-        edge[offsets] = True
-        open_ = covered & (np.concatenate(([True], ~covered[:-1])) | edge[:-1])
-        close = covered & (np.concatenate((~covered[1:], [True])) | edge[1:])
-        a, b = np.flatnonzero(open_), np.flatnonzero(close) + 1
-        bounds = np.searchsorted(a, offsets)
+        a, b, bounds, before = covered_spans(covered, offsets)
         base = offsets[np.searchsorted(offsets, a, side="right") - 1]
         spans = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(a - base), pa.array(b - base)], ["start", "end"]))
-        kept = C.bytes_column(data[~covered], offsets - total[offsets])
-        return pa.table({"doc_id": pa.array(block.ids), "n_bytes": np.diff(offsets), "n_removed": removed, "spans": spans, "kept": kept})
+        kept = C.bytes_column(data[~covered], offsets - before)
+        return pa.table({"doc_id": pa.array(block.ids), "n_bytes": np.diff(offsets), "n_removed": np.diff(before), "spans": spans, "kept": kept})
 
     spec = Windows(length=length, gram=gram, words=False, by_start=False)
     return removed_text(docs, spec, earlier_document(length), cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary", block_bytes, carry=carry)

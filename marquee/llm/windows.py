@@ -15,7 +15,11 @@ A hash or passage that a third of all documents hold reaches a shard once per bl
 its surroundings are equal. Where they differ, one hash has a context for each document: hashes whose contexts may hold
 more than PART symbols are *hot*. Their windows travel one by one, to the shard of a hash of the whole window, so equal
 windows still meet and the others spread.
-Blocks and shards both number ``total bytes / block bytes``, so neither outgrows a task.
+There is a block for every ``block_bytes`` of text and a shard for every few blocks, each a partition of its own, so
+neither outgrows a task. A block sends a shard one packed row, so rows number blocks times shards, and never more than
+anchors: past some terabytes a packed row holds only a few hashes, and the shuffle is that of a row for each anchor.
+Blocks are of bounded size but for a single longer text, which is a block of its own and takes some 16 bytes of
+memory for each of its bytes.
 """
 
 from __future__ import annotations
@@ -32,8 +36,50 @@ from marquee.llm import common as C
 
 #: One value per window start: True where an equal window starts earlier.
 Finder = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
-CHUNK = 1 << 17
-PART = 1 << 20
+CHUNK = 1 << 16
+PART = 1 << 19
+#: Windows with one anchor make one run; where ties go on (one byte repeated), runs are cut at so many times the usual length.
+LONGEST = 8
+#: Blocks for each shard, once there are shards for so many tasks.
+BLOCKS_A_SHARD, TASKS = 4, 16
+
+
+def portions(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of consecutive items with about ``most`` of the summed sizes each, one item at least."""
+    part = (np.cumsum(sizes) - sizes) // most
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)])) if len(part) else np.zeros(1, np.int64)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield slice(a, b)
+
+
+def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of spans end to end."""
+    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
+def distinct_spans(symbols: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each (non-empty) span's content, in the order of first appearance, and the first span of each.
+
+    Spans meet by a hash and are then compared symbol by symbol; one that only shares its hash stands for itself.
+    """
+    n = len(begin)
+    h, differ = np.zeros(n, np.uint64), np.zeros(n, bool)
+    for p in portions(size, CHUNK):
+        at = np.cumsum(size[p]) - size[p]
+        x = symbols[spread(begin[p], size[p])]
+        x = C.BYTE_VALUES[x] if symbols.dtype == np.uint8 else x
+        h[p] = C.mix(np.add.reduceat(x * C.powers(int(size[p].max()))[spread(np.zeros_like(at), size[p])], at) + size[p].astype(np.uint64))
+    _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+    leader = first[inverse]
+    differ = size != size[leader]
+    rest = np.flatnonzero(~differ & (leader != np.arange(n)))
+    for p in portions(size[rest], CHUNK):
+        mine = rest[p]
+        unequal = symbols[spread(begin[mine], size[mine])] != symbols[spread(begin[leader[mine]], size[mine])]
+        differ[mine] = np.logical_or.reduceat(unequal, np.cumsum(size[mine]) - size[mine])
+    leader[differ] = np.flatnonzero(differ)
+    own = leader == np.arange(n)
+    return (np.cumsum(own) - 1)[leader], np.flatnonzero(own)
 
 
 @dataclass(frozen=True)
@@ -71,14 +117,12 @@ class Windows:
             h = h[:-size] * np.uint64(0xA0761D6478BD642F + 2 * size) + h[size:]
             size *= 2
 
-    def runs(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """First and last window start of each run with one anchor, the anchor's hash, and where it is."""
-        n, firsts, lasts, keys, places = len(symbols), [], [], [], []
-        none = np.uint64(2**64 - 1)
-        tails = bounds[1:, None] - np.arange(1, self.length)
-        tails = tails[tails >= bounds[:-1, None]]
-        valid = np.ones(n, dtype=bool)
-        valid[tails] = False
+    def runs(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First and last window start of each run whose anchors have one hash, the hash, where the first anchor is, and whether later ones lie elsewhere."""
+        n, firsts, lasts, keys, places, several = len(symbols), [], [], [], [], []
+        sizes = np.diff(bounds)
+        good = np.maximum(sizes - self.length + 1, 0)
+        valid = np.repeat(np.tile(np.array([True, False]), len(sizes)), np.stack((good, sizes - good), axis=1).ravel())
         for at in range(0, n - self.length + 1, CHUNK):
             stop = min(at + CHUNK, n - self.length + 1)
             h = self.gram_hashes(symbols[at : stop + self.length - 1])
@@ -88,20 +132,24 @@ class Windows:
                 step = min(size, self.span - size)
                 low = np.minimum(low[:-step], low[step:])
                 size += step
-            low = np.where(valid[at:stop], low, none)
-            change = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
-            end = np.concatenate((change[1:], [len(low)])) - 1
-            keep = low[change] != none
-            change, end = change[keep], end[keep]
-            place = (low[change] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            firsts.append(change + at)
-            lasts.append(end + at)
-            places.append(place + at)
-            keys.append(C.mix(h[place] ^ np.uint64(0x5851F42D4C957F2D)))
+            place = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            ok, own = valid[at:stop], h[place]
+            head = ok.copy()
+            head[1:] &= (own[1:] != own[:-1]) | ~ok[:-1]
+            every = np.arange(len(ok))
+            head |= ok & ((every - np.maximum.accumulate(np.where(head, every, 0))) % (LONGEST * self.span) == 0)
+            first = np.flatnonzero(head)
+            if not len(first):
+                continue
+            last = first + np.add.reduceat(ok.astype(np.int32), first) - 1
+            firsts.append(first + at)
+            lasts.append(last + at)
+            places.append(place[first] + at)
+            several.append(place[first] != place[last])
+            keys.append(C.mix(own[first] ^ np.uint64(0x5851F42D4C957F2D)))
         if not firsts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(firsts), np.concatenate(lasts), np.concatenate(keys), np.concatenate(places)
-
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return tuple(np.concatenate(x) for x in (firsts, lasts, keys, places, several))
 
     def window_hashes(self, symbols: np.ndarray, start: np.ndarray) -> np.ndarray:
         """A hash of the whole window at each start."""
@@ -122,7 +170,7 @@ class Block:
         self.spec, self.ids = spec, np.asarray(table["doc_id"].to_numpy())
         self.parts = spec.symbols(table["text"])
         self.symbols, self.bounds = self.parts["symbols"], self.parts["bounds"]
-        self.first, self.last, key, self.place = spec.runs(self.symbols, self.bounds)
+        self.first, self.last, key, self.place, self.several = spec.runs(self.symbols, self.bounds)
         self.doc = np.searchsorted(self.bounds, self.first, side="right") - 1
         self.shards = np.uint64(shards)
         self.code = self.coded(key)
@@ -139,15 +187,23 @@ class Block:
         return ((key % self.shards) << np.uint64(32)) | (key >> np.uint64(32))
 
     def counts(self) -> np.ndarray:
-        """Runs of each distinct hash."""
-        return np.diff(np.append(self.heads, len(self.code)))
+        """Contexts of each distinct hash; equal ones of a frequent hash count once."""
+        out = np.diff(np.append(self.heads, len(self.code)))
+        run = np.flatnonzero((out > 64)[self.rank])
+        if len(run):
+            mine = self.rank[run[self.contexts(run)[1]]]
+            out[out > 64] = np.bincount(mine, minlength=len(out))[out > 64]
+        return out
 
     def repeated(self) -> np.ndarray:
         """For each distinct hash: does it recur within this block."""
         x = (self.place if self.spec.by_start else self.doc_key())[self.order]
         low = np.minimum.reduceat(x, self.heads) if len(self.heads) else x
         high = np.maximum.reduceat(x, self.heads) if len(self.heads) else x
-        return low != high
+        again = low != high
+        if self.spec.by_start:
+            again[self.rank[self.several]] = True
+        return again
 
     def doc_key(self) -> np.ndarray:
         return self.ids[self.doc]
@@ -186,22 +242,27 @@ class Block:
         return np.arange(len(self.code))
 
     def contexts(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each run the number of its context (equal contexts share it), and the first run of each context."""
-        size, seen, number, leaders = self.spec.length, {}, np.empty(len(run), np.int64), []
-        raw, width = self.symbols.tobytes(), self.symbols.dtype.itemsize
-        for i, (r, a, b) in enumerate(zip(run.tolist(), (self.first[run] * width).tolist(), ((self.last[run] + size) * width).tolist(), strict=True)):
-            n = seen.setdefault(raw[a:b], len(leaders))
-            if n == len(leaders):
-                leaders.append(r)
-            number[i] = n
-        return number, np.array(leaders, dtype=np.int64)
+        """For each run the number of its context (equal contexts share it), and the place in ``run`` of the first run of each."""
+        return distinct_spans(self.symbols, self.first[run], self.last[run] - self.first[run] + self.spec.length)
+
+
+def covered_spans(covered: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal covered spans inside each text, the number of spans and of covered symbols before each text."""
+    edge = np.zeros(len(covered) + 1, bool)
+    edge[bounds] = True
+    head, tail = covered & edge[:-1], covered & edge[1:]
+    head[1:] |= covered[1:] & ~covered[:-1]
+    tail[:-1] |= covered[:-1] & ~covered[1:]
+    a, b = np.flatnonzero(head), np.flatnonzero(tail) + 1
+    number = np.searchsorted(a, bounds)
+    return a, b, number, np.concatenate(([0], np.cumsum(b - a)))[number]
 
 
 def _pack(bits: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[Block, np.ndarray], pa.Table], cut_schema: str, block_bytes: int, least_blocks: int = 64, carry: Column | None = None) -> DataFrame:
+def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[Block, np.ndarray], pa.Table], cut_schema: str, block_bytes: int, carry: Column | None = None) -> DataFrame:
     """Runs the five steps; ``cut`` turns a block and its covered symbols into rows of ``cut_schema``.
 
     ``carry`` is any one column (a struct's fields all nullable) that travels with a document and comes back beside its row.
@@ -211,12 +272,13 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
     carried = bool(extra)
     if carried:
         cut_schema += f", carry {docs.schema['carry'].dataType.simpleString()}"
-    n = max(least_blocks, -(-C.text_bytes(docs) // block_bytes))
-    blocks = C.with_group(docs, "doc_id", n)
+    n = max(1, -(-C.text_bytes(docs) // block_bytes))
+    shards = max(-(-n // BLOCKS_A_SHARD), min(n, TASKS))
+    blocks = C.with_group(docs, "doc_id", n).repartition(n, "g")
     most = PART // spec.length
 
     def send_hashes(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        block = Block(table, spec, n)
+        block = Block(table, spec, shards)
         again, counts = block.repeated(), block.counts()
         several = counts > 1
         schema = pa.schema([("shard", pa.int32()), ("g", pa.int32()), ("hashes", pa.binary()), ("again", pa.binary()), ("several", pa.binary()), ("counts", pa.binary())])
@@ -245,15 +307,14 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         schema = pa.schema([("shard", pa.int32()), ("g", pa.int32()), ("symbols", pa.binary()), ("lengths", pa.binary()), ("hashes", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        block = Block(left, spec, n)
+        block = Block(left, spec, shards)
         run = block.shared(dict(zip(right["shard"].to_pylist(), zip(right["bits"].to_pylist(), right["hot"].to_pylist(), strict=True), strict=True)))
-        _, lead = block.contexts(run)
+        lead = run[block.contexts(run)[1]]
         rows = []
         for shard, p in block.shard_slices(block.code[lead]):
             mine = lead[p]
             a, b = block.first[mine], block.last[mine] + spec.length
-            take = np.repeat(a - np.concatenate(([0], np.cumsum(b - a)[:-1])), b - a) + np.arange(int((b - a).sum()))
-            rows.append((shard, key[0].as_py(), block.symbols[take].tobytes(), (b - a).astype(np.uint32).tobytes(), block.code[mine].astype(np.uint32).tobytes(), block.doc_key()[mine].astype(np.int64).tobytes(), (a - block.bounds[block.doc[mine]]).astype(np.int64).tobytes()))
+            rows.append((shard, key[0].as_py(), block.symbols[spread(a, b - a)].tobytes(), (b - a).astype(np.uint32).tobytes(), block.code[mine].astype(np.uint32).tobytes(), block.doc_key()[mine].astype(np.int64).tobytes(), (a - block.bounds[block.doc[mine]]).astype(np.int64).tobytes()))
         return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
 
     def decide(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -268,7 +329,6 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         counts = lengths - spec.length + 1
         at = np.cumsum(counts) - counts
         bits = np.zeros(int(counts.sum()), bool)
-        raw, width = symbols.tobytes(), symbols.dtype.itemsize
         order = np.lexsort((starts, ids, hashes))
         # Equal windows have equal hashes (of the anchor, or of the window where that is hot), so the shard is done hash by
         # hash. One hash has contexts of about PART symbols at most, or equal ones, so the number of symbols at a time is bounded.
@@ -276,18 +336,14 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         head = np.concatenate(([True], np.diff(hashes[order]) != 0))
         part = np.maximum.accumulate(np.where(head, part, 0))
         for mine in np.split(order, np.flatnonzero(np.diff(part)) + 1):
-            a, b = (begins[mine] * width).tolist(), ((begins[mine] + lengths[mine]) * width).tolist()
             # Equal contexts of different blocks: only the earliest needs the index, the others are repeats throughout.
-            seen: dict[bytes, int] = {}
-            leader = np.array([seen.setdefault(raw[x:y], i) for i, (x, y) in enumerate(zip(a, b, strict=True))])
-            own, place = np.unique(leader, return_inverse=True)
+            place, own = distinct_spans(symbols, begins[mine], lengths[mine])
+            leader = own[place]
             size = lengths[mine[own]]
-            take = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begins[mine[own]], size)
-            hit = finder(symbols[take], size, ids[mine[own]], starts[mine[own]])
+            hit = finder(symbols[spread(begins[mine[own]], size)], size, ids[mine[own]], starts[mine[own]])
             later = (ids[mine] != ids[mine[leader]]) | (starts[mine] != starts[mine[leader]])
             n_windows, hit_at = counts[mine], np.cumsum(counts[mine[own]]) - counts[mine[own]]
-            inner = np.arange(int(n_windows.sum())) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-            bits[np.repeat(at[mine], n_windows) + inner] = hit[np.repeat(hit_at[place], n_windows) + inner] | np.repeat(later, n_windows)
+            bits[spread(at[mine], n_windows)] = hit[spread(hit_at[place], n_windows)] | np.repeat(later, n_windows)
         ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum([0, *sent])]
         out = [_pack(bits[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return pa.table({"g": table["g"], "shard": table["shard"], "bits": pa.array(out, pa.binary())})
@@ -295,12 +351,13 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
     def apply(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return empty.empty_table()
-        block = Block(left, spec, n)
+        block = Block(left, spec, shards)
         answer = {k: {} for k in (0, 1)}
         for step, shard, bits, hot in zip(right["step"].to_pylist(), right["shard"].to_pylist(), right["bits"].to_pylist(), right["hot"].to_pylist(), strict=True):
             answer[step][shard] = bits if step else (bits, hot)
         run = block.shared(answer[0])
         number, lead = block.contexts(run)
+        lead = run[lead]
         counts = block.last[lead] - block.first[lead] + 1
         hits = [np.zeros(0, bool)]
         for shard, p in block.shard_slices(block.code[lead]):
@@ -318,18 +375,17 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         np.add.at(change, block.last[full] + spec.length, -1)
         some, which = run[~later], number[~later]
         size = counts[which]
-        total = int(size.sum())
-        inner = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-        begin = (np.repeat(block.first[some], size) + inner)[hits[np.repeat(at[which], size) + inner]]
-        np.add.at(change, begin, 1)
-        np.add.at(change, begin + spec.length, -1)
-        out = cut(block, np.cumsum(change[:-1]) > 0)
+        for p in portions(size, CHUNK):
+            begin = spread(block.first[some[p]], size[p])[hits[spread(at[which[p]], size[p])]]
+            np.add.at(change, begin, 1)
+            np.add.at(change, begin + spec.length, -1)
+        out = cut(block, np.cumsum(change[:-1], dtype=np.int32) > 0)
         return out.append_column("carry", block.carry) if carried else out
 
     empty = pa.schema([])
     hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary, several binary, counts binary")
-    shared = hashes.groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary, hot binary")
-    contexts = blocks.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, hashes binary, ids binary, starts binary")
-    decided = contexts.groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
+    shared = hashes.repartition(shards, "shard").groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary, hot binary")
+    contexts = blocks.groupBy("g").cogroup(shared.repartition(n, "g").groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, hashes binary, ids binary, starts binary")
+    decided = contexts.repartition(shards, "shard").groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
     answers = shared.select("g", "shard", "bits", "hot", F.lit(0).alias("step")).unionByName(decided.select("g", "shard", "bits", F.lit(None).cast("binary").alias("hot"), F.lit(1).alias("step")))
-    return blocks.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(apply, cut_schema)
+    return blocks.groupBy("g").cogroup(answers.repartition(n, "g").groupBy("g")).applyInArrow(apply, cut_schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -21,9 +22,11 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` where the session sets it."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local session without one gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         folder = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -36,6 +39,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table that no plan reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def with_row_key(docs: DataFrame, key: str = "row_key") -> DataFrame:
+    """Adds a long that no other row has: its doc_id, but for rows of null doc_id and all but one of a doc_id's rows, whose keys
+    lie beyond all doc_ids. ``docs`` is read from files, so that its rows come in one order each time."""
+    count = docs.agg(F.count("*"), F.countDistinct("doc_id"), F.max("doc_id")).first()
+    if count[0] == count[1]:
+        return docs.withColumn(key, F.col("doc_id").cast("long"))
+    docs = docs.withColumn("_uid", F.monotonically_increasing_id())
+    first = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("_uid").alias("_uid")).select("_uid", F.lit(True).alias("_first"))
+    own = F.when(F.col("_first"), F.col("doc_id")).otherwise(F.col("_uid") + F.lit((count[2] or 0) + 1)).cast("long")
+    return docs.join(first, "_uid", "left").withColumn(key, own).drop("_uid", "_first")
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Total UTF-8 length of a text column; 0 for an empty table."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -127,23 +148,50 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
+def join_crowded(many: DataFrame, one: DataFrame, key: str, spread: str) -> DataFrame:
+    """``many`` joined on ``key`` with ``one`` (a row for each key), keys of very many rows dealt over several tasks.
+
+    A key is crowded when it has over a 2000th of all rows, so at most 2000 keys are broadcast, whatever the size. Rows of
+    a crowded key are dealt by a hash of ``spread``, and its row of ``one`` goes to each of those tasks.
+    """
+    counts = many.groupBy(key).agg(F.count("*").alias("n"))
+    total, top = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    least = max(total // 2000, 100)
+    if top <= least:
+        return many.join(one, key)
+    crowded = F.broadcast(counts.where(F.col("n") > least).select(key, F.ceil(F.col("n") / least).cast("int").alias("_parts")))
+    many = many.join(crowded, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_parts").cast("long")).cast("int"), F.lit(0))).drop("_parts")
+    one = one.join(crowded, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return many.join(one, [key, "_part"]).drop("_part")
+
+
 def connected_components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (src, dst): the smallest node it reaches.
 
     Alternating large-star and small-star rounds; every round is written to the shared folder, so nothing
-    is held by the driver or by one executor.
+    is held by the driver or by one executor, and the round before it is deleted. Nodes of very many links are dealt
+    over several tasks. Rounds grow with the logarithm of the longest chain; 60 stand for more nodes than a long can name.
     """
     spark = edges.sparkSession
-    same = materialize(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), name)
-    before = None
+    path, before = None, None
+
+    def settle(frame: DataFrame) -> DataFrame:
+        nonlocal path
+        old, path = path, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        frame.write.parquet(path)
+        if old:
+            discard(spark, old)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    same = settle(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     for _ in range(most_rounds):
         both = same.select("u", "v").unionByName(same.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = join_crowded(both, low, "u", "v").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(down.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b")
-        same = materialize(small.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+        same = settle(small.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
         now = same.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

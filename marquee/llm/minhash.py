@@ -178,6 +178,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
     on such a group grows with the number of its members times that of those outside its largest component.
     component_id is the smallest doc_id reachable, kept marks that document.
 
+    Pivots of very many members, like all nodes of very many links, are dealt over several tasks.
     Null texts count as empty; rows of null doc_id are left out; rows that repeat a doc_id are one document,
     the one of smallest fingerprint. Sets are compared by 64-bit hashes of their runs.
     """
@@ -233,7 +234,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     def attach(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
-        left = pairs.join(values.select(F.col("doc").alias("a"), F.col(column).alias("va")), "a")
+        # A pivot may have a third of all pairs.
+        left = C.join_crowded(pairs, values.select(F.col("doc").alias("a"), F.col(column).alias("va")), "a", "b")
         return left.join(values.select(F.col("doc").alias("b"), F.col(column).alias("vb")), "b").select("a", "b", "va", "vb")
 
     def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +252,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
 
     def verified(pairs: DataFrame) -> DataFrame:
         size = registers.select("doc", "n")
-        close = pairs.join(size.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
+        close = C.join_crowded(pairs, size.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a", "b").join(size.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
         close = close.where(100 * F.least("na", "nb") >= hundred * F.greatest("na", "nb")).select("a", "b")
         close = attach(close, registers, "registers").mapInArrow(likely, "a long, b long")
         return attach(close, sets, "hashes").mapInArrow(confirm, "a long, b long")

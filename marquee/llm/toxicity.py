@@ -240,6 +240,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 2000, most_bytes: int =
     return learn([r.text for r in rows], np.array([r.toxic for r in rows]), [r.lang for r in rows])
 
 
+def _values(net: Network | None, column) -> np.ndarray:
+    """A score for each text."""
+    if net is None:
+        return np.zeros(len(column))
+    slots, bounds = word_slots(column)
+    return 1 / (1 + np.exp(-np.clip(net.logits(slots, bounds).astype(np.float64), -30, 30)))
+
+
 def score(docs: DataFrame, labels: DataFrame, most: int = 2000) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= 0.3) and language_flag of every whole text.
 
@@ -248,26 +256,37 @@ def score(docs: DataFrame, labels: DataFrame, most: int = 2000) -> DataFrame:
     score of a text without words; without any labels every score is 0. Null ids are not held out; repeated
     ids give a row each, and a label that repeats counts once, toxic if any says so.
     """
-    network = fit(docs, labels, most)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), lang.alias("lang"))
-    shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches:
             for part in slices(batch, 1, 1 << 20):
-                value = np.zeros(part.num_rows)
-                flag = np.zeros(part.num_rows, bool)
-                if net is not None:
-                    slots, bounds = word_slots(part.column(1))
-                    value = 1 / (1 + np.exp(-np.clip(net.logits(slots, bounds).astype(np.float64), -30, 30)))
-                    flag = value >= np.array([net.thresholds.get(x, 0.3) for x in part.column(2).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(value), pa.array(flag)], ["doc_id", "score", "language_flag"])
+                value = _values(net, part.column(1))
+                least = np.array([net.thresholds.get(x, 0.3) for x in part.column(2).to_pylist()]) if net else 2.0
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(value), pa.array(value >= least)], ["doc_id", "score", "language_flag"])
 
     out = rows.mapInArrow(run, "doc_id long, score double, language_flag boolean")
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "language_flag")
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, most: int = 2000, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score is under ``least``, unchanged: each row is judged by its own text alone.
+
+    Nothing is shuffled, so null and repeated ids are rows like any other; ``docs`` has a string column text.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text, 1 << 20):
+                yield part.filter(pa.array(_values(shared.value, part.column(text)) < least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3(spark, sf_dir: str) -> DataFrame:
     return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

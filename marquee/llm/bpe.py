@@ -24,6 +24,7 @@ from marquee.llm import common as C
 
 #: Fixed patterns of the two public tokenizer files: pre-tokens of the word BPE and of the byte-level BPE. Letters come
 #: first, which changes nothing (no other alternative begins with one) and is faster.
+FILE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # as the word file states it
 WORD_PATTERN = r"\p{L}+|'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same for texts of ASCII alone (the words in lower case).
@@ -96,6 +97,13 @@ class Bpe:
         self.folds = spec["normalizer"] is not None
         self.suffix = model.get("end_of_word_suffix") or ""
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        if not all("<|" in x for x in self.added):
+            raise ValueError(f"{path}: an added token without <|")
+        before = spec["pre_tokenizer"]
+        steps = before.get("pretokenizers", [before])
+        words = [(x["pattern"]["Regex"], x["behavior"], x["invert"]) for x in steps if x["type"] == "Split"]
+        if words != ([(FILE_PATTERN, "Removed", True)] if self.folds else []) or steps[-1]["type"] != "ByteLevel" or steps[-1]["add_prefix_space"] or steps[-1]["use_regex"] == self.folds:
+            raise ValueError(f"{path}: pre-tokens of another kind than the patterns here")
         self.find = regex.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
         self.find_ascii = re.compile(WORD_ASCII if self.folds else BYTE_ASCII).findall
         self.unsure = regex.compile(UNSURE).search
@@ -192,10 +200,27 @@ class Bpe:
             offer(i)
         return [x for x in ids if x >= 0]
 
-    def merge_many(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and ids, end to end, of many pre-tokens: each round merges one pair in every word at once."""
+    def sizes(self, pieces: list[str]) -> np.ndarray:
+        """The number of ids of each pre-token."""
         sizes = np.zeros(len(pieces), np.int64)
-        parts: list[tuple[np.ndarray, np.ndarray]] = []  # rows of equal width: word numbers, ids padded with -1
+        for rows, ids in self._merged(pieces):
+            sizes[rows] = (ids >= 0).sum(axis=1)
+        return sizes
+
+    def merge_many(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids, end to end, of many pre-tokens."""
+        sizes, parts = np.zeros(len(pieces), np.int64), list(self._merged(pieces))
+        for rows, ids in parts:
+            sizes[rows] = (ids >= 0).sum(axis=1)
+        at = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.int32)
+        for rows, ids in parts:
+            r, c = np.nonzero(ids >= 0)
+            out[at[rows[r]] + c] = ids[r, c]
+        return sizes, out
+
+    def _merged(self, pieces: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Parts of equal width: word numbers, and ids padded with -1. Each round merges one pair in every word at once."""
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
         lengths = np.array([len(r) for r in raw], np.int64)
         single = np.array([p[0] == "\0" for p in pieces], bool)
@@ -204,18 +229,9 @@ class Bpe:
             rows = np.flatnonzero((lengths > low) & (lengths <= width) & ~single)
             low = width
             if len(rows):
-                parts += self._merge_rows(rows, [raw[i] for i in rows.tolist()], lengths[rows], width)
+                yield from self._merge_rows(rows, [raw[i] for i in rows.tolist()], lengths[rows], width)
         for i in np.flatnonzero((lengths > 48) | single).tolist():
-            own = np.array(self.merge(pieces[i]), np.int32)
-            parts.append((np.array([i]), own[None, :]))
-        for rows, ids in parts:
-            sizes[rows] = (ids >= 0).sum(axis=1)
-        at = np.cumsum(sizes) - sizes
-        out = np.empty(int(sizes.sum()), np.int32)
-        for rows, ids in parts:
-            r, c = np.nonzero(ids >= 0)
-            out[at[rows[r]] + c] = ids[r, c]
-        return sizes, out
+            yield np.array([i]), np.array(self.merge(pieces[i]), np.int32)[None, :]
 
     def _merge_rows(self, rows: np.ndarray, words: list[bytes], lengths: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
         n, done = len(words), []

@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.skew import crowded_keys, join_crowded
+
 #: White space between words: space and U+0009 to U+000D.
 SEPARATORS = np.zeros(256, dtype=bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
@@ -32,10 +34,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as Parquet into the shared folder and reads it again, which cuts its lineage."""
+def materialize(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
+    """Writes ``df`` as Parquet into the shared folder and reads it again, which cuts its lineage.
+
+    Tables whose rows hold some megabytes each are ``packed``: smaller row groups, which a reader holds whole.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    options = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 4, "compression": "zstd"} if packed else {}
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -148,21 +154,15 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
-def join_crowded(many: DataFrame, one: DataFrame, key: str, spread: str) -> DataFrame:
-    """``many`` joined on ``key`` with ``one`` (a row for each key), keys of very many rows dealt over several tasks.
+def trim_memory() -> None:
+    """Gives memory that the driver's Python has freed back to the system, where the C library can."""
+    import ctypes
+    import gc
 
-    A key is crowded when it has over a 2000th of all rows, so at most 2000 keys are broadcast, whatever the size. Rows of
-    a crowded key are dealt by a hash of ``spread``, and its row of ``one`` goes to each of those tasks.
-    """
-    counts = many.groupBy(key).agg(F.count("*").alias("n"))
-    total, top = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    least = max(total // 2000, 100)
-    if top <= least:
-        return many.join(one, key)
-    crowded = F.broadcast(counts.where(F.col("n") > least).select(key, F.ceil(F.col("n") / least).cast("int").alias("_parts")))
-    many = many.join(crowded, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_parts").cast("long")).cast("int"), F.lit(0))).drop("_parts")
-    one = one.join(crowded, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
-    return many.join(one, [key, "_part"]).drop("_part")
+    gc.collect()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if release:
+        release(0)
 
 
 def connected_components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
@@ -186,16 +186,17 @@ def connected_components(edges: DataFrame, name: str = "components", most_rounds
     same = settle(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     for _ in range(most_rounds):
         both = same.select("u", "v").unionByName(same.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        degrees = both.groupBy("u").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+        now = degrees.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)), F.sum("h")).first()
+        if now == before:
+            break
+        before = now
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = join_crowded(both, low, "u", "v").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = join_crowded(both, low, "u", "v", crowded_keys(both, "u", *now[:2])).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(down.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b")
         same = settle(small.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-        now = same.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     else:
         raise RuntimeError("components did not settle")
     roots = same.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.skew import crowded_keys, join_crowded
 from marquee.llm import common as C
 from marquee.llm.bpe import slices
 from marquee.llm.embedding_dedup import settle
@@ -235,7 +236,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
 
     def attach(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
         # A pivot may have a third of all pairs.
-        left = C.join_crowded(pairs, values.select(F.col("doc").alias("a"), F.col(column).alias("va")), "a", "b")
+        left = join_crowded(pairs, values.select(F.col("doc").alias("a"), F.col(column).alias("va")), "a", "b", pivots)
         return left.join(values.select(F.col("doc").alias("b"), F.col(column).alias("vb")), "b").select("a", "b", "va", "vb")
 
     def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,12 +253,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
 
     def verified(pairs: DataFrame) -> DataFrame:
         size = registers.select("doc", "n")
-        close = C.join_crowded(pairs, size.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a", "b").join(size.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
+        close = join_crowded(pairs, size.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a", "b", pivots).join(size.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
         close = close.where(100 * F.least("na", "nb") >= hundred * F.greatest("na", "nb")).select("a", "b")
         close = attach(close, registers, "registers").mapInArrow(likely, "a long, b long")
         return attach(close, sets, "hashes").mapInArrow(confirm, "a long, b long")
 
     checked = C.materialize(members.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
+    pivots = crowded_keys(checked, "a")
     links = C.materialize(verified(checked), "links")
     component = C.connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-components")
     # Any two members of a bucket lie in one group here, whether or not they are similar.

@@ -64,13 +64,13 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quad
     """Packs all documents: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A document is its ids and then ``end_id``. Documents are dealt into groups of about ``group_bytes`` of
-    text, packed each for itself; a group's sequences are full but for powers of two at its end, which need
-    no padding. Each id lies in exactly one piece; offsets in a sequence run on from 0.
+    text, packed each for itself; a group's sequences are full but for powers of two at its end (those of the binary
+    digits of its last, incomplete sequence: a dozen to some 800 full ones), which need no padding. Each id lies in exactly one piece; offsets in a sequence run on from 0.
     Null and empty texts are one token, ``end_id``; texts are encoded whole; repeated and null doc_ids are
     packed row by row.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    groups = max(64, -(-C.text_bytes(docs) // group_bytes))
+    groups = max(1, -(-C.text_bytes(docs) // group_bytes))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
@@ -96,7 +96,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quad
         return pa.table({"doc_id": table["doc_id"].take(pa.array(doc)), "start": start, "length": length, "ids": C.bytes_column(ids[take].view(np.uint8), at * 4), "doc_tokens": sizes[doc], "sequence_id": sequence + (key[0].as_py() << 32), "offset": offset})
 
     tokens = docs.mapInArrow(encode, "doc_id long, ids binary, width int")
-    tokens = tokens.withColumn("g", F.expr(f"cast(pmod(xxhash64(doc_id, length(ids)), {groups}) as int)"))
+    # Rows are numbered, so that rows of one id spread as well.
+    tokens = tokens.withColumn("g", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(groups)).cast("int")).repartition(groups, "g")
     return tokens.groupBy("g").applyInArrow(assign, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 

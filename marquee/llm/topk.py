@@ -6,18 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.llm import common as C
 from marquee.llm import vectors as V
 
+#: Steps of a factor of two in the lengths that say which bands a block of queries still needs.
+STEPS = 16
 
-def search_block(queries: np.ndarray, qids: np.ndarray, candidates: np.ndarray, cids: np.ndarray, rotation: np.ndarray, k: int, lead: int = 16, step: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score): the k best candidates of each query, ties to the smaller id.
+
+def search_block(queries: np.ndarray, qids: np.ndarray, floors: np.ndarray, candidates: np.ndarray, cids: np.ndarray, rotation: np.ndarray, k: int, lead: int = 16, step: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, candidate row, score): the k best candidates of each query, ties to the smaller id, that reach the query's floor.
 
     Candidates come by descending length. Scores are summed over the ``lead`` directions of largest
     variance; the rest is at most the product of both residual lengths (Cauchy-Schwarz), which is added as
-    one more dimension. Only candidates whose bound reaches the k-th best score so far are scored, exactly,
+    one more dimension. Only candidates whose bound reaches the floor (the k-th best score so far) are scored, exactly,
     on the integers; once even the full length can't reach it for any query, the scan ends.
     """
     order = np.lexsort((cids, -np.einsum("ij,ij->i", candidates, candidates)))
@@ -34,7 +39,7 @@ def search_block(queries: np.ndarray, qids: np.ndarray, candidates: np.ndarray,
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     slack = 1e-9
     for at in range(0, len(candidates), step):
-        floor = best[:, -1]
+        floor = np.maximum(best[:, -1], floors)
         if np.all(q_norm * c_norm[at] * (1 + slack) < floor):
             break
         bound = q @ c[at : at + step].T
@@ -42,7 +47,9 @@ def search_block(queries: np.ndarray, qids: np.ndarray, candidates: np.ndarray,
         j += at
         other = qids[i] != cids[j]
         i, j = i[other], j[other]
-        score = np.einsum("ij,ij->i", queries[i], candidates[j])
+        score = np.empty(len(i), np.int64)
+        for p in range(0, len(i), 1 << 18):
+            score[p : p + (1 << 18)] = np.einsum("ij,ij->i", queries[i[p : p + (1 << 18)]], candidates[j[p : p + (1 << 18)]])
         keep = score >= floor[i]
         i, j, score = i[keep], j[keep], score[keep]
         found.append((i, j, score))
@@ -66,38 +73,86 @@ def search_block(queries: np.ndarray, qids: np.ndarray, candidates: np.ndarray,
     return i[keep], order[j[keep]], score[keep]
 
 
-def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, chunk_rows: int = 8192, query_rows: int = 1024) -> DataFrame:
+def length_bands(good: DataFrame, bands: int) -> DataFrame:
+    """(band, n, ids, x, high): all vectors by descending length, a row for each of about ``bands`` bands, ``high`` being its greatest length."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(np.asarray(b.column(0)), V.matrix(b.column(1))) for b in batches if b.num_rows]
+        if parts:
+            ids, x = np.concatenate([i for i, _ in parts]), np.concatenate([x for _, x in parts])
+            high = float(np.sqrt(np.einsum("ij,ij->i", x, x).max()))
+            row = [TaskContext.get().partitionId(), len(ids), ids.astype(np.int64).tobytes(), x.tobytes(), high]
+            yield pa.RecordBatch.from_pylist([dict(zip(("band", "n", "ids", "x", "high"), row, strict=True))], schema=pa.schema([("band", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("x", pa.binary()), ("high", pa.float64())]))
+
+    square = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
+    ranged = good.withColumn("square", square).repartitionByRange(bands, F.desc("square"), F.xxhash64("vec_id"), "vec_id")
+    return ranged.select("vec_id", "x").mapInArrow(gather, "band int, n int, ids binary, x binary, high double")
+
+
+def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, query_rows: int = 1024, band_rows: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each vector whose id is divisible by ``every`` its ``k``
     highest integer inner products among all other vectors, of components ``floor(scale * x)``; ties go to the
     smaller id; all candidates if there are fewer than ``k``.
 
+    Candidates lie in bands of descending length (16 times the root of their number to a band, 65,536 at most, unless
+    ``band_rows`` says otherwise). Every block of queries meets the band of greatest length first, which gives each query a
+    floor: its k-th best score there. A band that is too short to reach any floor of a block (Cauchy-Schwarz) never meets it; the
+    other bands do, each pair of band and block as one row of work. Queries travel to bands, so candidates are shuffled once.
+    No pair list is made: a band gives at most ``k`` rows per query, and a query's rows from all bands are ranked together.
+
     Vectors that are null or hold null or non-finite components, or have another length than most, take no
     part; a repeated id stands for its smallest array; null ids take no part. Zero vectors score 0.
-    Candidates lie in chunks of about ``chunk_rows``; each meets every block of queries once. No pair list is made:
-    a chunk gives at most ``k`` rows per query, and a query's rows from all chunks are ranked together.
     """
     good = V.usable(vectors, "vec_id", "embedding")
-    good = good.select("vec_id", F.transform("x", lambda v: F.floor(v * scale).cast("double")).alias("x"))
+    good = C.materialize(good.select("vec_id", F.transform("x", lambda v: F.floor(v * scale).cast("double")).alias("x")), "integer-vectors")
     spark = vectors.sparkSession
     n = good.count()
     out_schema = "query_id long, rank int, vec_id long, score long"
     if not n:
         return spark.createDataFrame([], out_schema)
-    chunks, blocks = -(-n // chunk_rows), -(-n // (every * query_rows))
+    band_rows = band_rows or min(1 << 16, max(1024, int(16 * n**0.5)))
+    blocks = -(-n // (every * query_rows))
     x = V.sample(good)
     rotation = np.linalg.svd(x, full_matrices=True)[2].T if len(x) else np.zeros((0, 0))
-    candidates = V.pack(good.withColumn("chunk", F.expr(f"cast(pmod(xxhash64(vec_id), {chunks}) as int)")), "chunk")
-    queries = V.pack(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
-    meet = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(queries.select("block", F.col("ids").alias("qids"), F.col("x").alias("q")), "block")
+    bands = C.materialize(length_bands(good, -(-n // band_rows)), "bands", packed=True)
+    # One small row for each step of the lengths: the last band that reaches it.
+    step = F.floor(F.log2(F.greatest("high", F.lit(1.0))) * STEPS).cast("int")
+    last = sorted(tuple(r) for r in bands.groupBy(step.alias("step")).agg(F.max("band"), F.min("band")).collect())
+    first = min(low for *_, low in last)
+    packed = V.pack(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
+    # One band of at most some 65,536 vectors is sent to every block.
+    meet = packed.withColumn("band", F.lit(first)).join(F.broadcast(bands.where(F.col("band") == first).select("band", F.col("ids").alias("cids"), F.col("x").alias("c"))), "band")
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in V.rows(batches):
+            cids, c = V.unpack(r["cids"], r["c"])
+            qids, q = V.unpack(r["ids"], r["x"])
+            i, _, score = search_block(q.astype(np.int64), qids, np.full(len(qids), -np.inf), c.astype(np.int64), cids, rotation, k)
+            floors = np.full(len(qids), -np.inf)
+            full = np.flatnonzero(np.bincount(i, minlength=len(qids)) == k)
+            floors[full] = score[np.searchsorted(i, full, side="right") - 1]
+            length = np.linalg.norm(q, axis=1)
+            # A band whose greatest length is less reaches no floor of this block; the product is rounded down a little.
+            with np.errstate(divide="ignore", invalid="ignore"):
+                need = np.where(floors > 0, floors / length * (1 - 1e-9), 0.0).min()
+            yield pa.RecordBatch.from_arrays([pa.array([r["block"]], pa.int32()), pa.array([r["ids"]], pa.binary()), pa.array([r["x"]], pa.binary()), pa.array([floors.tobytes()], pa.binary()), pa.array([need])], ["block", "qids", "q", "floors", "need"])
+
+    begun = C.materialize(meet.select("block", "ids", "x", "cids", "c").mapInArrow(begin, "block int, qids binary, q binary, floors binary, need double"), "query-blocks", packed=True)
+    needed = F.floor(F.log2(F.greatest("need", F.lit(1.0))) * STEPS).cast("int")
+    steps = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(top).alias("top")) for s, top, _ in last])
+    reach = F.array_max(F.transform(steps, lambda s: F.when(s.step >= needed, s.top).otherwise(first)))
+    many = bands.count()
+    work = begun.withColumn("band", F.explode(F.sequence(F.lit(first), reach))).repartition(many, "band")
+    pairs = work.join(bands.select("band", "ids", "x", "high").repartition(many, "band"), "band").where("high >= need")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in V.rows(batches):
             cids, c = V.unpack(r["ids"], r["x"])
             qids, q = V.unpack(r["qids"], r["q"])
-            i, j, score = search_block(q.astype(np.int64), qids, c.astype(np.int64), cids, rotation, k)
+            i, j, score = search_block(q.astype(np.int64), qids, np.frombuffer(r["floors"], np.float64), c.astype(np.int64), cids, rotation, k)
             yield pa.RecordBatch.from_arrays([pa.array(qids[i]), pa.array(cids[j]), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    found = meet.select("ids", "x", "qids", "q").mapInArrow(search, "query_id long, vec_id long, score long")
+    found = pairs.select("ids", "x", "qids", "q", "floors").mapInArrow(search, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

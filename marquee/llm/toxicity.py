@@ -48,6 +48,8 @@ class Network:
     thresholds: dict[str, float] = field(default_factory=dict)
 
     def embed(self, slots: np.ndarray) -> np.ndarray:
+        if not len(self.used):
+            return np.zeros((len(slots), self.vectors.shape[1]), np.float32)
         at = np.minimum(np.searchsorted(self.used, slots), len(self.used) - 1)
         at = np.where(self.used[at] == slots, at, len(self.used))
         table = np.concatenate((self.vectors, np.zeros((1, self.vectors.shape[1]), np.float32)))
@@ -115,6 +117,7 @@ def learn(texts: list[str | None], labels: np.ndarray, languages: list[str | Non
     net = Network(seen, vectors, filters, [np.full(each, -0.1, np.float32) for _ in widths], rng.normal(0, 0.1, each * len(widths)).astype(np.float32), float(np.log(toxic / clean)))
     net.head[: each // 2] = 0.5
     if not len(seen) or labels[kept].min(initial=1) == labels[kept].max(initial=0):
+        net.offset = -30.0  # nothing to learn from: no text is toxic
         return net
     params = [net.vectors, *net.filters, *net.biases, net.head]
     first, second = [np.zeros_like(a) for a in params], [np.zeros_like(a) for a in params]
@@ -231,13 +234,17 @@ def held_out(doc_id):
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 2000, most_bytes: int = 16_000_000) -> Network | None:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, most_bytes: int = 8_000_000) -> Network | None:
     """The network, from at most ``most`` labelled rows of each label and ``most_bytes`` of text (the documented bound of the sample)."""
     sample = labelled(docs, labels, most, most_bytes)
     if sample is None:
         return None
     rows = sorted(sample.collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
-    return learn([r.text for r in rows], np.array([r.toxic for r in rows]), [r.lang for r in rows])
+    if len({r.toxic for r in rows}) < 2:
+        return None
+    network = learn([r.text for r in rows], np.array([r.toxic for r in rows]), [r.lang for r in rows])
+    C.trim_memory()
+    return network
 
 
 def _values(net: Network | None, column) -> np.ndarray:
@@ -248,12 +255,12 @@ def _values(net: Network | None, column) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(net.logits(slots, bounds).astype(np.float64), -30, 30)))
 
 
-def score(docs: DataFrame, labels: DataFrame, most: int = 2000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, most: int = 1200) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= 0.3) and language_flag of every whole text.
 
     Labels, lang, source and doc_id never enter a score; lang only chooses the threshold of language_flag.
     held_out rows (crc32 of the id as text, mod 4, is 2) are never learned from. Null and empty texts get the
-    score of a text without words; without any labels every score is 0. Null ids are not held out; repeated
+    score of a text without words; without texts of both labels to learn from every score is 0. Null ids are not held out; repeated
     ids give a row each, and a label that repeats counts once, toxic if any says so.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
@@ -272,8 +279,8 @@ def score(docs: DataFrame, labels: DataFrame, most: int = 2000) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "language_flag")
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, most: int = 2000, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose score is under ``least``, unchanged: each row is judged by its own text alone.
+def without_toxic(docs: DataFrame, labels: DataFrame, most: int = 1200, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score is under ``least``, unchanged: each row is judged by its own text alone. Without texts of both labels all rows stay.
 
     Nothing is shuffled, so null and repeated ids are rows like any other; ``docs`` has a string column text.
     """

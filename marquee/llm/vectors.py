@@ -13,16 +13,19 @@ SAMPLE = 4096
 
 
 def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
-    """(vec_id, x array<double>): one row per id, with a vector that is not null and holds only finite components.
+    """(vec_id, x): one row per id, with a vector that is not null and holds only finite components (floats stay floats).
 
     An id that repeats stands for its smallest array; vectors of another length than the commonest take no part.
     """
-    x = F.col(column).cast("array<double>")
+    x = F.col(column)
+    if vectors.schema[column].dataType.simpleString() not in ("array<float>", "array<double>"):
+        x = x.cast("array<double>")
     good = vectors.select(F.col(id_column).cast("long").alias("vec_id"), x.alias("x")).where(F.col("vec_id").isNotNull() & F.col("x").isNotNull())
     good = good.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
     sizes = good.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
     good = good.where(F.size("x") == (sizes.d if sizes else 0))
-    return good.groupBy("vec_id").agg(F.min("x").alias("x"))
+    ids = good.agg(F.count("*"), F.countDistinct("vec_id")).first()
+    return good if ids[0] == ids[1] else good.groupBy("vec_id").agg(F.min("x").alias("x"))
 
 
 def sample(good: DataFrame) -> np.ndarray:

@@ -69,10 +69,51 @@ def vanished(spark, d):
 
 
 def compatibility(spark, d):
+    """Tables named after nations; those of region 4 state no tier and are profiles by name, those of region 3 none by name either."""
     n = testbed.table(spark, d, "nation")
-    before = n.select(F.col("n_name").alias("table_name"), F.lit("core.v1").alias("schema_version"), F.when(F.col("n_regionkey") < 3, "core").otherwise("profile").alias("compatibility_tier"), F.lit("r1").alias("recipe_version"))
-    after = n.where("n_nationkey > 4").select(F.col("n_name").alias("table_name"), F.concat(F.lit("core.v"), (F.col("n_nationkey") % 2 + 1).cast("string")).alias("schema_version"), F.concat(F.lit("r"), (F.col("n_nationkey") % 3).cast("string")).alias("recipe_version"))
-    return G.compatibility_findings(before, after)
+    name = F.when(F.col("n_regionkey") == 4, F.concat("n_name", F.lit("_profile"))).otherwise(F.col("n_name")).alias("table_name")
+    tier = F.when(F.col("n_regionkey") < 2, "core").when(F.col("n_regionkey") == 2, "derived").alias("compatibility_tier")
+    before = n.select(name, F.concat(F.lit("core.v"), (F.col("n_nationkey") % 3 + 1).cast("string")).alias("schema_version"), tier, F.when(F.col("n_nationkey") % 5 > 0, "r1").alias("recipe_version"))
+    after = n.where("n_nationkey > 4").select(name, F.concat(F.lit("core.v"), (F.col("n_nationkey") % 2 + 1).cast("string")).alias("schema_version"), tier, F.concat(F.lit("r"), (F.col("n_nationkey") % 3).cast("string")).alias("recipe_version"))
+    return G.compatibility_findings(before, after, ("2.1", "1.9"))
+
+
+def snapshots(spark, d):
+    rows = testbed.table(spark, d, "events").selectExpr("concat('s', event_id) source_snapshot_id", "ts fetch_window_started_at", "ts + make_interval(0, 0, 0, 0, 0, cast(value - 7 as int)) fetch_window_finished_at", "cast(value as bigint) - 2 record_count")
+    return G.snapshot_findings(rows)
+
+
+def manifest(spark, d):
+    """The given tables as a release: nation has region's count, region another tier, supplier another version, part no path, orders an unlisted file,
+    customer one column less, lineitem no entry, and an empty table is added."""
+    names = ["region", "nation", "customer", "supplier", "part", "orders"]
+    frames = {n: testbed.table(spark, d, n) for n in names} | {"hollow": testbed.table(spark, d, "region").where("r_regionkey < 0")}
+    actual = G.measured(frames)
+    contracts = {n: G.Contract(df.columns if n != "customer" else df.columns[:-1]) for n, df in frames.items()} | {"lineitem": G.Contract(["l_orderkey"])}
+    t = F.col("table_name")
+    regions = actual.where("table_name = 'region'").select(F.col("row_count").alias("regions"))
+    entries = actual.join(F.broadcast(regions), F.lit(True)).select("table_name", F.when(t != "part", F.concat(t, F.lit(".parquet"))).alias("path"), F.when(t == "supplier", "core.v0").otherwise("core.v1").alias("schema_version"), F.when(t == "region", "profile").otherwise("core").alias("compatibility_tier"), F.when(t == "nation", F.col("regions")).otherwise(F.col("row_count")).alias("row_count"))
+    files = entries.where("table_name <> 'orders' and path is not null").select("path")
+    coverage = B.source_coverage(testbed.entities(spark, d)).where("source_id <> 'wikidata'").select("source_id", F.when(F.col("source_id") == "tvmaze", "LOCAL_EVIDENCE").otherwise(F.col("source_role")).alias("source_role"), F.concat("source_id", F.when(F.col("source_id") == "manami", ":unspecified").otherwise(":2026-04-27")).alias("source_snapshot_id"))
+    head = testbed.entities(spark, d).agg(F.lit("media-metadata-v1").alias("artifact"), F.lit("other").alias("dataset_line"), F.lit("core.v2").alias("core_schema_version"), F.lit("").alias("dataset_version"), F.array_except(F.collect_set("domain"), F.array(F.lit("tv"))).alias("domains"))
+    return G.manifest_findings(head, entries, files, coverage, actual, contracts)
+
+
+def domain_rows(spark, d):
+    ents = testbed.entities(spark, d)
+    hints = B.relationship_hints(testbed.edges(spark, d))
+    tables = {"titles": B.titles_table(ents.where("domain <> 'tv'")), "external_ids": B.external_ids_table(ents), "source_records": B.source_records_table(ents.where("domain = 'tv'"))}
+    profiles = {"anime": B.profile_table(ents, hints, "anime"), "movie": B.profile_table(ents.where("release_year < 0"), hints, "movie")}
+    return G.domain_row_findings(ents, tables, profiles, ["anime", "tv", "movie", "book"])
+
+
+def metadata_joins(spark, d):
+    ents = testbed.entities(spark, d)
+    supplied = spark.createDataFrame([], "source_id string, source_snapshot_id string, record_count long")
+    snaps = B.source_snapshots_table(ents, supplied, "2026-04-01")
+    runs = B.provider_runs_table(snaps)
+    provenance = B.provenance_table(ents, snaps, runs)
+    return G.metadata_findings({"provenance": provenance, "shows": provenance.where("source_id = 'tvmaze'")}, snaps, runs.where("source_id <> 'manami'"))
 
 
 def _mixed(spark, d):
@@ -108,7 +149,15 @@ CASES = {
  select 'missing_table' "rule", 'titles' subject, 'error' severity union all select 'empty_table', 'identity_changes', 'error' union all select 'missing_domain', 'book', 'error' union all select 'missing_source', 'openlibrary', 'error' union all select 'null_in_required_column', 'entities.release_year', 'error' union all select 'orphan_target_entity_id', target_entity_id, 'error' from t""", "v_ent", "v_edge")),
     "q_row_changes": (changes, duck("select source_entity_id, target_entity_id, case when k % 10 = 0 then 'added' else 'changed' end change from v_edge where k % 10 = 0 or k % 7 = 0", "v_edge")),
     "q_vanished_ids": (vanished, "select 'tv:tvmaze:'||s_suppkey entity_id from supplier where s_nationkey >= 5"),
-    "q_compatibility": (compatibility, "with n as (select *, n_nationkey > 4 here from nation) select n_name table_name, 'removed_table' \"rule\", case when n_regionkey < 3 then 'error' else 'warning' end severity from n where not here union all select n_name, 'schema_major_changed', 'error' from n where here and n_nationkey % 2 = 1 union all select n_name, 'recipe_changed', 'warning' from n where here and n_nationkey % 3 <> 1"),
+    "q_compatibility": (compatibility, """with n as (select *, n_nationkey > 4 here, n_name||case when n_regionkey = 4 then '_profile' else '' end t, case when n_regionkey < 2 then 'error' else 'warning' end w from nation)
+ select t table_name, 'removed_table' "rule", w severity from n where not here union all select t, 'schema_major_changed', w from n where here and n_nationkey % 2 > n_nationkey % 3 union all select t, 'recipe_changed', 'warning' from n where here and n_nationkey % 5 > 0 and n_nationkey % 3 <> 1
+ union all select t, 'experimental_surface', 'info' from n where here and n_regionkey = 3 union all select null, 'artifact_major_regressed', 'error'"""),
+    "f_snapshots": (snapshots, "with e as (select *, trunc(value - 7)::int sec from events) select 's'||event_id source_snapshot_id, unnest(list_filter([case when sec < 0 then 'fetch_window_inverted' end, case when trunc(value)::bigint < 2 then 'negative_record_count' end], lambda x: x is not null)) finding from e"),
+    "q_manifest": (manifest, """select * from (values ('dataset_line_mismatch', 'other', 'error'), ('core_schema_version_mismatch', 'core.v2', 'error'), ('dataset_version_missing', 'media-metadata-v1', 'error'), ('required_domains_missing', 'tv', 'error'), ('source_snapshot_unspecified', 'manami', 'error'), ('source_role_not_public', 'tvmaze', 'error'), ('required_sources_missing', 'wikidata', 'error'),
+ ('required_tables_missing', 'lineitem', 'error'), ('table_path_missing', 'part', 'error'), ('table_file_missing_from_manifest', 'orders', 'error'), ('schema_version_mismatch', 'supplier', 'error'), ('compatibility_tier_mismatch', 'region', 'error'), ('columns_mismatch', 'customer', 'error'), ('table_empty', 'hollow', 'error')) t("rule", subject, severity)
+ union all select 'row_count_mismatch', 'nation', 'error' where (select count(*) from nation) <> (select count(*) from region)"""),
+    "q_domain_rows": (domain_rows, duck("select 'domain_entities_missing' \"rule\", 'book' subject, 'error' severity where not exists (select 1 from v_ent where domain = 'book') union all select distinct 'domain_titles_missing', domain, 'error' from v_ent where domain = 'tv' union all select distinct 'domain_source_records_missing', domain, 'error' from v_ent where domain <> 'tv' union all select distinct 'domain_profile_missing', domain, 'error' from v_ent where domain = 'movie' and not exists (select 1 from v_ent where domain = 'movie' and release_year < 0)", "v_ent")),
+    "q_metadata_joins": (metadata_joins, duck("select 'provider_run_join_missing' \"rule\", 'provenance' subject, 'error' severity where exists (select 1 from v_ent where record_source like 'manami%')", "v_ent")),
     "p_policy_violations": (violations, duck(_VIOLATIONS, "v_ent")),
     "p_redact": (redacted, duck(f"with {_MIXED} select entity_id, title, null::int episodes, true no_sources from m where record_source not in ('anilist', 'unheard', 'thetvdb')", "v_ent")),
 }

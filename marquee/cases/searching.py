@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
 from marquee.operators import search as S
+from marquee.operators import tables as B
 from marquee.plans import fixed, testbed
 from marquee.plans.testbed import duck
 
@@ -18,8 +19,11 @@ CONCEPTS = ["romance in college", "Action/adventure for adults", "slice of life"
 
 
 def folder(spark):
+    """``spark.checkpoint.dir``, which driver and executors share; a local session without one gets its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         shared = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")
@@ -42,9 +46,8 @@ def title_search(spark, d):
 
 
 def resolve_title(spark, d):
-    names = testbed.anime(spark, d).select("entity_id", X.fold(F.col("title")).alias("folded"))
-    queries = _texts(spark).select("query", X.fold(F.col("query")).alias("folded"))
-    return names.join(F.broadcast(queries), "folded").join(testbed.anime(spark, d).select("entity_id", "episodes"), "entity_id", "left").select("query", "entity_id", "episodes")
+    anime = testbed.anime(spark, d)
+    return S.resolve_title(anime, anime.select("entity_id", "episodes"), _texts(spark)).select("query", "entity_id", "episodes")
 
 
 def families(spark, d):
@@ -53,8 +56,10 @@ def families(spark, d):
 
 def _both_ways(spark, d):
     edges = testbed.edges(spark, d)
-    back = edges.select(F.col("target_entity_id").alias("source_entity_id"), "pos", F.col("source_entity_id").alias("target_entity_id"), F.lit("sequel").alias("relationship"), "target_url", "supporting_urls")
-    return edges.unionByName(back)
+    rest = ("target_url", "supporting_urls")
+    out = F.struct("source_entity_id", "pos", "target_entity_id", "relationship", *rest)
+    back = F.struct(F.col("target_entity_id").alias("source_entity_id"), "pos", F.col("source_entity_id").alias("target_entity_id"), F.lit("sequel").alias("relationship"), *rest)
+    return edges.select(F.explode(F.array(out, back)).alias("e")).select("e.*")
 
 
 def incoming(spark, d):
@@ -115,26 +120,37 @@ def retrieval(spark, d):
 
 
 def preview(spark, d):
-    return S.query_preview(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))
+    """The preview of one text, its arrays as text."""
+    out = S.query_preview(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))
+    text = lambda column, *fields: F.array_join(F.transform(column, lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields])), "|")
+    hundredths = lambda x, f: F.round(x[f] * 100).cast("long").cast("string")
+    return out.select(
+        "query", "selected_entity_id", text("matches", "rank", "entity_id", "score").alias("matches"), F.size("nodes").alias("node_count"), F.md5(text("nodes", "place", "entity_id")).alias("nodes_md5"),
+        F.size("edges").alias("edge_count"), F.md5(text("edges", "source_entity_id", "relationship", "target_entity_id")).alias("edges_md5"),
+        F.array_join(F.transform("sections", lambda x: F.concat_ws(":", x["relationship"], x["place"].cast("string"), x["other_id"], hundredths(x, "confidence"))), "|").alias("sections"),
+        F.array_join(F.transform("tag_neighbours", lambda x: F.concat_ws(":", x["rank"].cast("string"), x["other_id"], x["overlap"].cast("string"), hundredths(x, "score"))), "|").alias("tag_neighbours"),
+    )
 
 
 def franchise_pairs(spark, d):
-    m = testbed.movies(spark, d).select("entity_id", F.explode(F.filter("tags", lambda t: t.startswith("franchise:"))).alias("tag"))
-    return m.join(m.select(F.col("entity_id").alias("other_id"), "tag"), "tag").where("entity_id <> other_id").select("entity_id", "other_id").distinct()
+    return S.franchise_pairs(testbed.movies(spark, d))
 
 
 def exclude_family(spark, d):
-    members = S.families(testbed.graph(spark, d), folder(spark))
-    return testbed.anime(spark, d).join(members.select(F.col("node").alias("entity_id")), "entity_id", "left_anti").select("entity_id", "title")
+    return S.exclude_family(testbed.anime(spark, d), S.families(testbed.graph(spark, d), folder(spark))).select("entity_id", "title")
+
+
+def neighbours_with_evidence(spark, d):
+    """Evidence of every third edge is withheld, so some edges stay without."""
+    ents, edges = testbed.entities(spark, d), testbed.edges(spark, d)
+    evidence = B.relationship_evidence_table(edges, ents).where("try_cast(substring_index(source_record_id, ':', -1) as long) % 3 <> 0")
+    out = S.neighbours_with_evidence(B.relationships_table(edges, ents), evidence)
+    return out.groupBy("relationship_type", "has_evidence", "evidence_strength").agg(F.count("*").alias("n"), F.countDistinct("source_entity_id").alias("sources"), F.max("claim").alias("claim"))
 
 
 def similar_vectors(spark, d):
     """Every vector whose id is divisible by 20 against all vectors of its block, exact dot product in Spark."""
-    v = testbed.table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
-    q = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label", F.col("x").alias("q"))
-    dot = F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
-    pairs = q.join(v, "label").where("vec_id <> query_id").withColumn("score", F.round(dot, 6))
-    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where("rank <= 5").select("query_id", "rank", "vec_id", "score")
+    return S.similar_vectors(testbed.table(spark, d, "embeddings"))
 
 
 def nearest_vectors(spark, d):
@@ -142,6 +158,31 @@ def nearest_vectors(spark, d):
     return S.nearest_vectors(testbed.table(spark, d, "embeddings"))
 
 
+def similarity(spark, d):
+    """Roots are the best hits of the stated texts; the nearest vectors stand for parts of the same number."""
+    near = nearest_vectors(spark, d).select(F.concat(F.lit("anime:part:"), "query_id").alias("entity_id"), F.concat(F.lit("anime:part:"), "vec_id").alias("other_id"), "score")
+    roots = _roots(spark, d).unionByName(near.select("entity_id").distinct().orderBy("entity_id").limit(5)).distinct()
+    out = S.similarity_candidates(testbed.anime(spark, d), testbed.edges(spark, d), roots, near)
+    value = lambda k: F.round(F.coalesce(F.try_element_at("score_dimensions", F.lit(k)), F.lit(0.0)), 6)
+    return out.select("source_entity_id", "target_entity_id", F.array_join("candidate_reasons", "|").alias("reasons"), value("shared_facets").alias("shared"), value("graph_distance_2").alias("via"), value("vector_neighbour").alias("vector"), "confidence_tier")
+
+
+def embedded(spark, d):
+    """Every text but those of every third document, which an earlier run embedded."""
+    docs = testbed.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    before = S.embed(docs.where("doc_id % 3 = 0"), spark.createDataFrame([], "cache_key string"), "doc_id", "text")
+    return S.embed(docs, before, "doc_id", "text").select("doc_id", F.array_join(F.transform("vector", lambda v: F.round((v + 1) * 255 / 2).cast("int").cast("string")), ",").alias("bytes"))
+
+
+def concept_remote(spark, d):
+    """Documents as remote results, in their order, the first ten of each language."""
+    tags = F.array(F.struct(F.lit("College").alias("name"), (F.col("n_chars") % 90).cast("int").alias("rank")), F.struct(F.lit("School").alias("name"), F.lit(50).alias("rank")))
+    genres = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("Romance"), F.lit("Drama"))).otherwise(F.array(F.lit("Drama")))
+    media = testbed.table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("pos"), "lang", F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.concat(F.lit("t"), "doc_id")).alias("romaji"), F.lit(None).cast("string").alias("english"), F.lit("n").alias("native"), genres.alias("genres"), F.when(F.col("doc_id") % 3 == 0, tags).otherwise(F.slice(tags, 2, 1)).alias("tags"), F.array(F.lit("Romance")).alias("wanted_genres"), F.array(F.lit("College")).alias("wanted_tags"), (F.col("n_chars") % 7 * 10).cast("int").alias("score"))
+    ranked = S.concept_rank(media).join(media.select("id", "lang"), "id")
+    return S.top(ranked, S.concept_rank_order(), 10, ["lang"]).select("lang", "rank", "id", "title", "strength", "rationale")
+
+
 _FOLD = "trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '\\s+', ' ', 'g'))"
 _Q = "q as (select query, " + _FOLD.format("query") + " q from (values " + ", ".join(f"('{t}')" for t in TEXTS) + ") t(query))"
 _NAMES = f"""n as (select entity_id, title, release_year, 1 o, 'title' f, {_FOLD.format("title")} name from v_ent union all select entity_id, title, release_year, 2, 'original_title', {_FOLD.format("original_title")} from v_ent where original_title is not null union all select entity_id, title, release_year, 3, 'synonym', {_FOLD.format("s")} from (select *, unnest(synonyms) s from v_ent))"""
@@ -173,6 +214,29 @@ _CONCEPTS = """with q(query, genres, tags) as (values ('romance in college', ['R
  m as (select query, entity_id, title, release_year, list_contains(genres, g) hg, list_contains(q.tags, 'College') and list_contains(tg, 'COLLEGE') ht, len(q.tags) wanted, g, least(len(tg), 20) nt from q cross join e),
  c as (select query, entity_id, title, release_year, round(hg::int * 3.0::double + ht::int * 2.0::double + nt * 0.01::double + case when hg and ht then 0.5::double else 0 end, 2) score, ht::int n_tags, concat_ws('; ', case when hg then 'genre match: '||g end, case when ht then 'tag match: College' end) rationale from m where (hg or ht) and (wanted = 0 or ht)) """
 
+_PREVIEW = _HITS + f""", ro as (select entity_id r from t where query = 'small ring' and "rank" = 1), bw2 as (select source_entity_id s, target_entity_id o from v_edge union select target_entity_id, source_entity_id from v_edge),
+ fam(x) as (select r from ro union select o from fam join bw2 on s = x), nd as (select v_ent.*, row_number() over (order by domain, release_year, {_FOLD.format("title")}, entity_id) place from v_ent semi join fam on x = entity_id),
+ ed as (select source_entity_id s, relationship r, target_entity_id o from v_edge where source_entity_id in (select entity_id from nd) and target_entity_id in (select x from fam)),
+ ee as (select source_entity_id e, target_entity_id o, relationship r, supporting_urls from v_edge join ro on r = source_entity_id), e2 as (select e, o, r, {_CONF} conf from ee),
+ se as (select r, row_number() over (partition by r order by conf desc, release_year, {_FOLD.format("title")}, o) p, o, round(conf * 100)::bigint c from e2 join v_ent on entity_id = o),
+ sh as (select k r, row_number() over (partition by k order by n desc, release_year, {_FOLD.format("title")}, entity_id) p, entity_id o, c from (select 'same_studio' k, {round(100 * fixed.BASE_CONFIDENCE["same_studio"])}::bigint c, len(list_intersect(list_transform(a.studios, lambda v: lower(v)), list_transform(b.studios, lambda v: lower(v)))) n, b.* from v_ent a join ro on a.entity_id = r join v_ent b on b.entity_id <> r and b.entity_id not in (select x from fam)
+  union all select 'same_creator', {round(100 * fixed.BASE_CONFIDENCE["same_creator"])}, len(list_intersect(a.creators, b.creators)), b.* from v_ent a join ro on a.entity_id = r join v_ent b on b.entity_id <> r and b.entity_id not in (select x from fam)) where n > 0),
+ tx as (select b.entity_id, b.title, b.release_year, len(list_intersect(a.tags, b.tags)) n, len(list_distinct(list_concat(a.tags, b.tags))) u from v_ent a join ro on a.entity_id = r join v_ent b on b.entity_id <> r and b.entity_id not in (select x from fam)),
+ ty as (select *, (200 * n * (u + 1) + u) // (2 * u) sc from tx where n > 0), tz as (select *, row_number() over (order by sc desc, n desc, release_year, {_FOLD.format("title")}, entity_id) p from ty)
+ select 'small ring' query, (select r from ro) selected_entity_id, (select string_agg("rank"||':'||entity_id||':'||score, '|' order by "rank") from t where query = 'small ring' and "rank" <= 5) matches, (select count(*)::int from nd) node_count, (select md5(string_agg(place||':'||entity_id, '|' order by place)) from nd) nodes_md5,
+ (select count(*)::int from ed) edge_count, (select md5(coalesce(string_agg(s||':'||r||':'||o, '|' order by s, r, o), '')) from ed) edges_md5, (select coalesce(string_agg(r||':'||p||':'||o||':'||c, '|' order by r, p), '') from (select * from se union all select * from sh)) sections,
+ (select coalesce(string_agg(p||':'||entity_id||':'||n||':'||sc, '|' order by p), '') from tz where p <= 5) tag_neighbours"""
+_NEAR = "nv as (select query_id q, vec_id v, score sc from (select *, row_number() over (partition by query_id order by score desc, vec_id) k from (select a.vec_id query_id, b.vec_id, round(list_dot_product(a.embedding::double[], b.embedding::double[]), 6) score from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0)) where k <= 5)"
+_SIMILAR = _HITS + f""", {_NEAR}, ro as (select entity_id r from t where "rank" = 1 and entity_id like 'anime:%' union select * from (select distinct 'anime:part:'||q r from nv order by r limit 5)),
+ fx as (select entity_id e, 'tags' k, lower(trim(v)) v from (select entity_id, unnest(tags) v from v_anime) union select entity_id, 'genres', lower(trim(v)) from (select entity_id, unnest(genres) v from v_anime) union select entity_id, 'studios', lower(trim(v)) from (select entity_id, unnest(studios) v from v_anime) union select entity_id, 'creators', lower(trim(v)) from (select entity_id, unnest(creators) v from v_anime)),
+ sf as (select a.e, b.e o, count(*)::double n from fx a join ro on a.e = r join fx b on a.k = b.k and a.v = b.v and a.e <> b.e group by 1, 2), b2 as (select source_entity_id s, target_entity_id o from v_edge union select target_entity_id, source_entity_id from v_edge),
+ th as (select a.s e, b.o, count(*)::double n from b2 a join ro on a.s = r join b2 b on b.s = a.o and b.o <> a.s where not exists (select 1 from b2 c where c.s = a.s and c.o = b.o) group by 1, 2), vn as (select 'anime:part:'||q e, 'anime:part:'||v o, sc n from nv join ro on r = 'anime:part:'||q),
+ al as (select e, o, 'shared_facets' k, n from sf union all select e, o, 'graph_distance_2', n from th union all select e, o, 'vector_neighbour', n from vn)
+ select e source_entity_id, o target_entity_id, string_agg(k, '|' order by k) reasons, coalesce(max(n) filter (k = 'shared_facets'), 0.0) shared, coalesce(max(n) filter (k = 'graph_distance_2'), 0.0) via, coalesce(max(n) filter (k = 'vector_neighbour'), 0.0) vector, case when count(*) > 1 then 'medium' else 'low' end confidence_tier from al group by 1, 2"""
+_EVIDENCE = "with t(relationship) as (values " + ", ".join(f"('{r}')" for r, *_ in fixed.TAXONOMY) + """), e as (select *, k % 3 <> 0 has from v_edge semi join v_ent on entity_id = source_entity_id semi join t using (relationship)) select relationship relationship_type, has has_evidence, case when has then 'source_backed' end evidence_strength, count(*) n, count(distinct source_entity_id) sources, max(case when has then relationship end) claim from e group by 1, 2, 3"""
+_REMOTE = """with m as (select doc_id id, lang, case when doc_id % 5 = 0 then 'n' else 't'||doc_id end title, (doc_id % 2 = 0)::int g, (doc_id % 3 = 0)::int t, case when doc_id % 3 = 0 then n_chars % 90 else 0 end strength, n_chars % 7 * 10 score from documents),
+ r as (select *, row_number() over (partition by lang order by g desc, t desc, strength desc, score desc, id) "rank" from m) select lang, "rank", id, title, strength, concat_ws('; ', case when g = 1 then 'genre match: Romance' end, case when t = 1 then 'tag match: College' end, 'AniList score '||score) rationale from r where "rank" <= 10"""
+
 CASES = {
     "title_search": (title_search, duck(_HITS + 'select query, "rank", entity_id, score, fields from t where "rank" <= 10', "v_ent")),
     "y_title_matches": (title_matches, duck(_HITS + "select query, score, fields, count(*) n from m group by all", "v_ent")),
@@ -188,7 +252,11 @@ CASES = {
     "y_concept_search": (concept_search, duck(_CONCEPTS + "select query, entity_id, score, n_tags, rationale from c", "v_anime")),
     "y_concept_top": (concept_top, duck(_CONCEPTS + f"select * from (select query, row_number() over (partition by query order by score desc, n_tags desc, release_year, {_FOLD.format('title')}, entity_id) \"rank\", entity_id, score from c) where \"rank\" <= 10", "v_anime")),
     "y_retrieval_text": (retrieval, duck("select entity_id, concat_ws(' | ', title, original_title, media_type, status, nullif(release_year, 0)::varchar, nullif(array_to_string(synonyms, ', '), ''), nullif(array_to_string(genres, ', '), ''), nullif(array_to_string(studios, ', '), ''), nullif(array_to_string(creators, ', '), ''), nullif(array_to_string(tags, ', '), '')) retrieval_text from v_ent", "v_ent")),
-    "y_query_preview": (preview, None),
+    "y_query_preview": (preview, duck(_PREVIEW, "v_ent", "v_edge")),
+    "y_similarity_candidates": (similarity, duck(_SIMILAR, "v_ent", "v_anime", "v_edge")),
+    "y_embed": (embedded, "select doc_id, array_to_string(list_transform(range(0, 8), lambda i: ('0x'||substr(sha256(coalesce(text, '')), 2 * i + 1, 2))::int), ',') bytes from documents where coalesce(text, '') not in (select coalesce(text, '') from documents where doc_id % 3 = 0)"),
+    "y_concept_remote": (concept_remote, _REMOTE),
+    "j_neighbours_with_evidence": (neighbours_with_evidence, duck(_EVIDENCE, "v_ent", "v_edge")),
     "j_franchise_pairs": (franchise_pairs, "with m as (select 'movie:wikidata:Q'||c_custkey e, lower(c_mktsegment)||floor(c_acctbal / 10)::bigint t from customer) select a.e entity_id, b.e other_id from m a join m b on a.t = b.t and a.e <> b.e"),
     "j_exclude_family": (exclude_family, f"with {_FAM} select node entity_id, p_name title from fm join part on k = p_partkey where size = 1"),
     "y_similar_vectors": (similar_vectors, "with p as (select a.vec_id query_id, b.vec_id, round(list_dot_product(a.embedding::double[], b.embedding::double[]), 6) score from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id where a.vec_id % 20 = 0), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) \"rank\" from p) select query_id, \"rank\", vec_id, score from r where \"rank\" <= 5"),

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.cases.searching import folder
 from marquee.functions import exprs as X
 from marquee.operators import edges as E
 from marquee.operators import tables as B
 from marquee.plans import fixed, testbed
 from marquee.plans.testbed import duck
+from marquee.sources import readers as R
+from marquee.sources import writers as W
 
 
 def _joined(df, *columns):
@@ -120,27 +125,53 @@ def conformed(spark, d):
 
 
 def row_counts(spark, d):
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-    counts = [testbed.table(spark, d, n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count")) for n in names]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return B.table_row_counts({n: testbed.table(spark, d, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")})
 
 
 def slice_profile(spark, d):
+    return B.slice_profile(testbed.entities(spark, d), testbed.edges(spark, d))
+
+
+def _facets(spark, d):
+    return B.facets_table(testbed.anime(spark, d))
+
+
+def facet_match_some(spark, d):
+    return B.facet_match_all(_facets(spark, d), [("tag", "small"), ("tag", "red"), ("genre", "economy"), ("studio", "brand#2")], ["medium", "high"], at_least=2)
+
+
+def facet_match_every(spark, d):
+    return B.facet_match_all(_facets(spark, d), [("tag", "small"), ("tag", "red")], ["medium", "high"])
+
+
+def written(spark, d):
+    """What is written is read again: counts of the manifest beside those of the files."""
     ents, edges = testbed.entities(spark, d), testbed.edges(spark, d)
-    doubled = ents.groupBy("title").count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit("titles occurring more than once").alias("measure"), "n")
-    domains = ents.groupBy(F.concat(F.lit("domain "), "domain").alias("measure")).agg(F.count("*").alias("n"))
-    types = edges.groupBy(F.concat(F.lit("edge "), "relationship").alias("measure")).agg(F.count("*").alias("n"))
-    return doubled.unionByName(domains).unionByName(types)
+    place = f"{folder(spark)}/written-{uuid.uuid4().hex}"
+    rows = W.write_tables({"titles": B.titles_table(ents), "facets": B.facets_table(ents), "relationships": B.relationships_table(edges, ents)}, place)
+    again = B.table_row_counts({n: spark.read.parquet(f"{place}/{n}.parquet") for n in ("titles", "facets", "relationships")}).withColumnRenamed("row_count", "read_count")
+    return rows.join(again, "table_name").select("table_name", "path", "row_count", "read_count", "schema_version", "compatibility_tier", "policy_version", "recipe_version")
+
+
+def catalog(spark, d):
+    """The corpus pair written and read: edges whose source is no entity are dropped."""
+    place = f"{folder(spark)}/catalog-{uuid.uuid4().hex}"
+    ents = testbed.anime(spark, d).where("release_year > 2000")
+    W.write_corpus(B.corpus_entities(ents), E.corpus_relationships(testbed.edges(spark, d)), place)
+    own, edges = R.read_catalog(spark, f"{place}/entities.parquet", f"{place}/relationships.parquet")
+    return edges.groupBy("relationship").agg(F.count("*").alias("n"), F.countDistinct("source_entity_id").alias("sources")).withColumn("entities", F.lit(own.count()))
 
 
-def facet_match_all(spark, d):
-    facets_ = B.facets_table(testbed.anime(spark, d)).where("confidence_tier in ('medium', 'high')")
-    wanted = spark.createDataFrame([("tag", "small"), ("tag", "red"), ("genre", "economy"), ("studio", "brand#2")], "facet_namespace string, facet_key string")
-    hit = facets_.join(F.broadcast(wanted), ["facet_namespace", "facet_key"], "left_semi")
-    return hit.groupBy("entity_id").agg(F.countDistinct("facet_namespace", "facet_key").alias("n")).where("n >= 2")
+def landed(spark, d):
+    """Entities written as JSON lines, with a broken line for each supplier, and read again."""
+    place = f"{folder(spark)}/landed-{uuid.uuid4().hex}"
+    ents = testbed.entities(spark, d).drop("field_sources")
+    W.write_jsonl(ents, f"{place}/good")
+    odd = F.when(F.col("s_suppkey") % 2 == 0, F.lit("no json")).otherwise(F.lit('{"entity_id": "x", "other": 1}'))
+    testbed.table(spark, d, "supplier").select(odd.alias("value")).write.text(f"{place}/odd")
+    good, bad = R.read_entities(spark, f"{place}/good", f"{place}/odd")
+    n = good.groupBy(F.concat(F.lit("domain "), "domain").alias("kind")).agg(F.count("*").alias("n"), F.sum(F.size("tags")).alias("tags"))
+    return n.unionByName(bad.groupBy(F.col("reason").alias("kind")).agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("tags")))
 
 
 _SOURCE = "case when record_source like 'manami-project/anime-offline-database%' then 'manami' else record_source end"
@@ -186,5 +217,9 @@ CASES = {
     "b_conform": (conformed, duck("select entity_id, release_year::bigint release_year, domain, true no_date from v_ent", "v_ent")),
     "a_row_counts": (row_counts, " union all ".join(f"select '{t}' table_name, count(*) row_count from {t}" for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"))),
     "a_slice_profile": (slice_profile, duck("select 'titles occurring more than once' measure, count(*) n from (select title from v_ent group by 1 having count(*) > 1) union all select 'domain '||domain, count(*) from v_ent group by 1 union all select 'edge '||relationship, count(*) from v_edge group by 1", "v_ent", "v_edge")),
-    "a_facet_match_all": (facet_match_all, duck("select entity_id, (list_contains(tags, 'small')::int + list_contains(tags, 'red')::int + (media_type = 'ECONOMY')::int + (studios[1] = 'Brand#2')::int)::bigint n from v_anime where n >= 2", "v_anime")),
+    "a_facet_match_all": (facet_match_some, duck("select entity_id, (list_contains(tags, 'small')::int + list_contains(tags, 'red')::int + (media_type = 'ECONOMY')::int + (studios[1] = 'Brand#2')::int)::bigint n from v_anime where n >= 2", "v_anime")),
+    "a_facet_match_every": (facet_match_every, duck("select entity_id, 2::bigint n from v_anime where list_contains(tags, 'small') and list_contains(tags, 'red')", "v_anime")),
+    "s_written": (written, duck(_TITLES + ", n as (select 'titles' t, count(*) c from t union all select 'facets', sum(len(genres) + len(studios) + len(creators) + len(tags)) from v_ent union all select 'relationships', count(*) from v_edge semi join v_ent on entity_id = source_entity_id) select t table_name, t||'.parquet' path, c::bigint row_count, c::bigint read_count, 'core.v1' schema_version, 'core' compatibility_tier, 'source-policy-v1' policy_version, 'core-v1' recipe_version from n", "v_ent", "v_edge")),
+    "s_catalog": (catalog, duck("with a as (select entity_id from v_anime where release_year > 2000) select relationship, count(*) n, count(distinct source_entity_id) sources, (select count(*)::int from a) entities from v_edge where source_entity_id in (select entity_id from a) group by 1", "v_anime", "v_edge")),
+    "s_landed": (landed, duck("select 'domain '||domain kind, count(*) n, sum(len(tags))::bigint tags from v_ent group by 1 union all select case when s_suppkey % 2 = 0 then 'not_an_object' else 'unknown_key' end, count(*), 0 from supplier group by 1", "v_ent")),
 }

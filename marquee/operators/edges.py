@@ -65,11 +65,16 @@ def profile_json(sources: Column, providers: Column, deterministic: Column, tier
     )
 
 
+def with_score(edges: DataFrame) -> DataFrame:
+    """Edges with support counts and confidence score alone."""
+    out = with_support(edges)
+    urls = F.coalesce("supporting_urls", F.array().cast("array<string>"))
+    return out.withColumn("score", confidence(F.col("relationship"), F.col("supporting_source_count"), F.col("supporting_provider_count"), urls))
+
+
 def scored(edges: DataFrame) -> DataFrame:
     """Edges with support, taxonomy, confidence score, flags, tier and profile."""
-    out = with_taxonomy(with_support(edges))
-    urls = F.coalesce("supporting_urls", F.array().cast("array<string>"))
-    out = out.withColumn("score", confidence(F.col("relationship"), F.col("supporting_source_count"), F.col("supporting_provider_count"), urls))
+    out = with_taxonomy(with_score(edges))
     out = out.withColumn("quality_flags", flags(F.col("relationship"), F.col("relationship_family"), F.col("deterministic")))
     out = out.withColumn("confidence_tier", tier(F.col("score"), F.col("quality_flags")))
     return out.withColumn("confidence_profile_json", profile_json(F.col("supporting_source_count"), F.col("supporting_provider_count"), F.col("deterministic"), F.col("confidence_tier"), F.col("quality_flags")))

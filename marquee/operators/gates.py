@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators import tables as B
@@ -34,6 +36,13 @@ def audit_findings(runs: DataFrame) -> DataFrame:
     return runs.withColumn("finding", F.explode(found)).select("run_key", "finding")
 
 
+def snapshot_findings(snapshots: DataFrame) -> DataFrame:
+    """Snapshots (source_snapshot_id, fetch_window_started_at, fetch_window_finished_at, record_count) whose window is inverted or whose count is negative."""
+    checks = {"fetch_window_inverted": F.col("fetch_window_finished_at") < F.col("fetch_window_started_at"), "negative_record_count": F.col("record_count") < 0}
+    found = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in checks.items()]))
+    return snapshots.select("source_snapshot_id", F.explode(found).alias("finding"))
+
+
 def identity_findings(changes: DataFrame) -> DataFrame:
     """Findings of identity changes: change_type, old_entity_id, new_entity_ids."""
     from pyspark.sql import Window
@@ -52,12 +61,15 @@ def identity_findings(changes: DataFrame) -> DataFrame:
     return changes.withColumn("found", found).select("old_entity_id", F.explode("found").alias("finding"))
 
 
-def resolve_identity(ids: DataFrame, changes: DataFrame, folder: str, most: int = 50) -> DataFrame:
-    """(entity_id, current_id): ids followed through changes until none applies; withdrawn ids have no row. A cycle is an error."""
+def resolve_identity(ids: DataFrame, changes: DataFrame, folder: str, most: int | None = None) -> DataFrame:
+    """(entity_id, current_id): ids followed through changes until none applies; withdrawn ids have no row. A cycle is an error.
+
+    A chain has as many steps as it is long; ``most`` ends longer ones with an error where a caller wants that.
+    """
     step = changes.select(F.col("old_entity_id").alias("at"), F.col("new_entity_ids").alias("next"))
     now = ids.select("entity_id", F.col("entity_id").alias("at"), F.array("entity_id").alias("path"))
     done = None
-    for _ in range(most):
+    for _ in range(most) if most else itertools.count():
         moved = _kept(now.join(step, "at", "left"), folder)
         settled = moved.where("next is null").select("entity_id", F.col("at").alias("current_id"))
         done = settled if done is None else done.unionByName(settled)
@@ -134,17 +146,122 @@ def vanished_ids(previous: DataFrame, current: DataFrame, changes: DataFrame) ->
     return gone.join(changes.select(F.col("old_entity_id").alias("entity_id")), "entity_id", "left_anti")
 
 
-def compatibility_findings(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """Findings between manifests (table_name, schema_version, compatibility_tier, recipe_version): removed tables, major moves, changed recipes."""
-    major = lambda c: F.regexp_extract(c, r"(?:^|v)(\d+)", 1)
-    p = previous.select("table_name", F.col("schema_version").alias("v0"), F.col("compatibility_tier").alias("tier"), F.col("recipe_version").alias("r0"))
+@dataclass(frozen=True)
+class Contract:
+    """What a release promises of one table."""
+
+    columns: list[str]
+    schema_version: str = "core.v1"
+    tier: str = "core"
+    filled: bool = True  # a release may not be empty here
+
+
+@dataclass(frozen=True)
+class Release:
+    """What a release must be."""
+
+    artifact: str = "media-metadata-v1"
+    core_schema_version: str = "core.v1"
+    domains: tuple[str, ...] = ("anime", "tv", "movie")
+    sources: tuple[str, ...] = ("manami", "tvmaze", "wikidata")
+    roles: tuple[str, ...] = (fixed.PUBLIC_ROLE, "ID_SOURCE")
+
+
+def measured(frames: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, columns, row_count) of frames as they are."""
+    return _union([df.agg(F.lit(name).alias("table_name"), F.array(*[F.lit(c) for c in df.columns]).alias("columns"), F.count("*").alias("row_count")) for name, df in frames.items()])
+
+
+def manifest_findings(manifest: DataFrame, entries: DataFrame, files: DataFrame, coverage: DataFrame, actual: DataFrame, contracts: dict[str, Contract], release: Release = Release()) -> DataFrame:
+    """(rule, subject, severity) of a release's manifest.
+
+    ``manifest`` is one row (artifact, dataset_line, core_schema_version, dataset_version, domains); ``entries`` has a row for
+    each table (table_name, path, schema_version, compatibility_tier, row_count); ``files`` lists paths; ``coverage`` has source_id,
+    source_role, source_snapshot_id; ``actual`` is what ``measured`` finds. All are a row per table or source: nothing here grows with data.
+    """
+    spark, out = manifest.sparkSession, []
+    add = lambda df, rule, subject: out.append(df.select(F.lit(rule).alias("rule"), subject.cast("string").alias("subject"), F.lit("error").alias("severity")))
+    for column, want in (("artifact", release.artifact), ("dataset_line", release.artifact), ("core_schema_version", release.core_schema_version)):
+        add(manifest.where(~F.col(column).eqNullSafe(F.lit(want))), f"{column}_mismatch", F.col(column))
+    add(manifest.where(F.coalesce("dataset_version", F.lit("")) == ""), "dataset_version_missing", F.col("artifact"))
+    add(manifest.select(F.explode(F.array_except(F.array(*[F.lit(x) for x in release.domains]), F.coalesce("domains", F.array().cast("array<string>")))).alias("d")), "required_domains_missing", F.col("d"))
+    add(coverage.where(F.col("source_snapshot_id").isNull() | F.endswith("source_snapshot_id", F.lit(":unspecified"))), "source_snapshot_unspecified", F.col("source_id"))
+    add(coverage.where(~F.coalesce(F.col("source_role").isin(*release.roles), F.lit(False))), "source_role_not_public", F.col("source_id"))
+    sources = spark.createDataFrame([(x,) for x in release.sources], "source_id string")
+    add(sources.join(coverage, "source_id", "left_anti"), "required_sources_missing", F.col("source_id"))
+    wanted = spark.createDataFrame([(n, c.columns, c.schema_version, c.tier, c.filled) for n, c in contracts.items()], "table_name string, want_columns array<string>, want_version string, want_tier string, filled boolean")
+    add(wanted.join(entries, "table_name", "left_anti"), "required_tables_missing", F.col("table_name"))
+    listed = files.select(F.col("path"), F.lit(True).alias("listed")).distinct()
+    own = entries.join(wanted, "table_name").join(listed, "path", "left").join(actual.select("table_name", F.col("columns").alias("have"), F.col("row_count").alias("rows")), "table_name", "left")
+    path, there = F.coalesce("path", F.lit("")), F.col("have").isNotNull()
+    rules = {
+        "table_path_missing": path == "",
+        "table_path_invalid": path.startswith("/") | path.contains(".."),
+        "table_file_missing_from_manifest": (path != "") & F.col("listed").isNull(),
+        "table_file_missing": (path != "") & ~there,
+        "schema_version_mismatch": ~F.col("schema_version").eqNullSafe(F.col("want_version")),
+        "compatibility_tier_mismatch": ~F.col("compatibility_tier").eqNullSafe(F.col("want_tier")),
+        "columns_mismatch": there & (F.col("have") != F.col("want_columns")),
+        "row_count_mismatch": there & ~F.col("row_count").eqNullSafe(F.col("rows")),
+        "table_empty": there & F.col("filled") & (F.col("rows") == 0),
+    }
+    for rule, bad in rules.items():
+        add(own.where(bad), rule, F.col("table_name"))
+    return _union(out)
+
+
+def domain_row_findings(ents: DataFrame, tables: dict[str, DataFrame], profiles: dict[str, DataFrame], domains: list[str]) -> DataFrame:
+    """Domains without entities, and domains none of whose entities has a row in one of the tables or in the domain's profile."""
+    spark = ents.sparkSession
+    wanted = spark.createDataFrame([(x,) for x in domains], "domain string")
+    have = ents.select("domain").distinct()
+    out = [wanted.join(have, "domain", "left_anti").select(F.lit("domain_entities_missing").alias("rule"), F.col("domain").alias("subject"))]
+    for name, df in [*tables.items(), *profiles.items()]:
+        own = have if name in tables else have.where(F.col("domain") == name)
+        some = ents.join(df.select("entity_id"), "entity_id", "left_semi").select("domain").distinct()
+        rule = f"domain_{name}_missing" if name in tables else "domain_profile_missing"
+        out.append(own.join(wanted, "domain", "left_semi").join(some, "domain", "left_anti").select(F.lit(rule), F.col("domain")))
+    return _union([f.toDF("rule", "subject").withColumn("severity", F.lit("error")) for f in out])
+
+
+def metadata_findings(tables: dict[str, DataFrame], snapshots: DataFrame, runs: DataFrame) -> DataFrame:
+    """(rule, subject, severity): tables with rows whose snapshot or run the metadata tables don't hold."""
+    out = []
+    for name, df in tables.items():
+        for rule, key, known in (("source_snapshot_join_missing", "source_snapshot_id", snapshots), ("provider_run_join_missing", "provider_run_id", runs)):
+            # One row per key that is used, so nothing of the table's size is joined.
+            missing = orphan_refs(df.select(key).distinct(), key, known, key).limit(1)
+            out.append(missing.select(F.lit(rule).alias("rule"), F.lit(name).alias("subject"), F.lit("error").alias("severity")))
+    return _union(out)
+
+
+def table_tier(name: Column, tier: Column) -> Column:
+    """The stated tier, or the one that a table's name stands for."""
+    by_name = (F.when(name.contains("profile"), "profile").when(name.isin("relationships", "entities"), "core")
+               .when(name.startswith("llm-") | name.startswith("llm_") | name.contains("judgment") | name.contains("materialized"), "derived").otherwise("experimental"))
+    return F.when(tier.isin("core", "profile", "derived", "experimental"), tier).otherwise(by_name)
+
+
+def compatibility_findings(previous: DataFrame, current: DataFrame, artifact_versions: tuple[str | None, str | None] = (None, None)) -> DataFrame:
+    """(table_name, rule, severity) between manifests (table_name, schema_version, compatibility_tier, recipe_version).
+
+    Removed tables and higher schema majors are errors in the core and warnings elsewhere; changed recipes are warnings; experimental
+    tables of the current manifest are listed as info; a lower major of the artifact itself is an error without a table.
+    """
+    major = lambda c: F.nullif(F.regexp_extract(c, r"(?:^|v)(\d+)", 1), F.lit("")).cast("long")
+    p = previous.select("table_name", F.col("schema_version").alias("v0"), table_tier(F.col("table_name"), F.col("compatibility_tier")).alias("tier"), F.col("recipe_version").alias("r0"))
     j = p.join(current.select("table_name", F.col("schema_version").alias("v1"), F.col("recipe_version").alias("r1"), F.lit(True).alias("here")), "table_name", "left")
+    weight = F.when(F.col("tier") == "core", "error").otherwise("warning").alias("severity")
     found = F.array_compact(F.array(
-        F.when(F.col("here").isNull(), F.struct(F.lit("removed_table").alias("rule"), F.when(F.col("tier") == "core", "error").otherwise("warning").alias("severity"))),
-        F.when(F.col("here") & (major(F.col("v0")) != major(F.col("v1"))), F.struct(F.lit("schema_major_changed").alias("rule"), F.lit("error").alias("severity"))),
-        F.when(F.col("here") & ~F.col("r0").eqNullSafe(F.col("r1")), F.struct(F.lit("recipe_changed").alias("rule"), F.lit("warning").alias("severity"))),
+        F.when(F.col("here").isNull(), F.struct(F.lit("removed_table").alias("rule"), weight)),
+        F.when(F.col("here") & (major(F.col("v1")) > major(F.col("v0"))), F.struct(F.lit("schema_major_changed").alias("rule"), weight)),
+        F.when(F.col("here") & (F.col("r0") != F.col("r1")), F.struct(F.lit("recipe_changed").alias("rule"), F.lit("warning").alias("severity"))),
     ))
-    return j.select("table_name", F.explode(found).alias("f")).select("table_name", "f.rule", "f.severity")
+    out = j.select("table_name", F.explode(found).alias("f")).select("table_name", "f.rule", "f.severity")
+    loose = current.where(table_tier(F.col("table_name"), F.col("compatibility_tier")) == "experimental")
+    out = out.unionByName(loose.select("table_name", F.lit("experimental_surface").alias("rule"), F.lit("info").alias("severity")))
+    versions = previous.sparkSession.createDataFrame([artifact_versions], "a string, b string").where(major(F.col("b")) < major(F.col("a")))
+    return out.unionByName(versions.select(F.lit(None).cast("string").alias("table_name"), F.lit("artifact_major_regressed").alias("rule"), F.lit("error").alias("severity")))
 
 
 def policy_violations(ents: DataFrame, columns: list[str], use: str) -> DataFrame:

@@ -15,11 +15,20 @@ def title_contains(df: DataFrame, column: str, text: str) -> DataFrame:
 
 
 def slice_candidates(df: DataFrame, start: int, size: int, limit: int | None = None) -> tuple[DataFrame, int]:
-    """Rows of source order [start, start + size) of the first ``limit`` rows, and the next offset.
+    """Rows of source order [start, start + size) of the first ``limit`` rows, and the next offset."""
+    rows, end, _ = slice_of(df, start, size, limit)
+    return rows, end
 
-    Order is the column ``pos``; rows may have gaps in it, so an ordinal is counted range by range, not in one
-    task: per-bucket counts (a bounded number) give each bucket its first ordinal.
+
+def slice_of(df: DataFrame, start: int, size: int, limit: int | None = None, bucket_rows: int = 200_000) -> tuple[DataFrame, int, int]:
+    """The same, and the number of rows in all.
+
+    Order is the column ``pos``; rows may have gaps in it, so an ordinal is counted range by range, not in one task: counts per
+    range (a range for every ``bucket_rows`` rows, 256 at least and 65,536 at most, a row each) give each range its first ordinal, and
+    only ranges that the slice touches are numbered.
     """
+    from pyspark.sql import Window
+
     if start < 0 or size < 1:
         raise ValueError("start must not be negative and size must be positive")
     low, high, n = df.agg(F.min("pos"), F.max("pos"), F.count("*")).first()
@@ -27,8 +36,8 @@ def slice_candidates(df: DataFrame, start: int, size: int, limit: int | None = N
     if start > total:
         raise ValueError("start lies beyond the end")
     if not n:
-        return df, 0
-    width = max(1, -(-(high - low + 1) // 256))
+        return df, 0, 0
+    width = max(1, -(-(high - low + 1) // min(1 << 16, max(256, n // bucket_rows))))
     bucket = F.floor((F.col("pos") - low) / width).cast("int")
     counts = {r.b: r.n for r in df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()}
     begin, at = {}, 0
@@ -38,13 +47,12 @@ def slice_candidates(df: DataFrame, start: int, size: int, limit: int | None = N
     end = min(start + size, total)
     touched = [b for b in begin if begin[b] < end and begin[b] + counts[b] > start]
     if not touched:
-        return df.limit(0), end
-    from pyspark.sql import Window
-
-    firsts = F.create_map(*[F.lit(x) for b in touched for x in (b, begin[b])])
-    own = df.withColumn("_b", bucket).where(F.col("_b").isin(touched))
-    ordinal = F.element_at(firsts, F.col("_b")) + F.row_number().over(Window.partitionBy("_b").orderBy("pos")) - 1
-    return own.withColumn("_o", ordinal).where((F.col("_o") >= start) & (F.col("_o") < end)).drop("_b", "_o"), end
+        return df.limit(0), end, n
+    firsts = df.sparkSession.createDataFrame([(b, begin[b]) for b in touched], "_b int, _first long")
+    own = df.where((F.col("pos") >= low + touched[0] * width) & (F.col("pos") < low + (touched[-1] + 1) * width)).withColumn("_b", bucket)
+    ordinal = F.row_number().over(Window.partitionBy("_b").orderBy("pos")) - 1
+    numbered = own.withColumn("_i", ordinal).join(F.broadcast(firsts), "_b").withColumn("_o", F.col("_first") + F.col("_i"))
+    return numbered.where((F.col("_o") >= start) & (F.col("_o") < end)).drop("_b", "_i", "_first", "_o"), end, n
 
 
 def parsed_sources(urls: Column) -> Column:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
 from marquee.operators import edges as E
+from marquee.operators import prefixes as P
 from marquee.plans import fixed
 
 SIDE = ("entity_id", "domain", "title", "original_title", "media_type", "release_year", "genres", "studios", "creators")
@@ -24,7 +25,7 @@ def changed_since(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 def candidates(edges: DataFrame, previous: DataFrame, ents: DataFrame, threshold: float = 0.7, recipe: str = "relationship-judgment-v1") -> DataFrame:
     """Low or generic edges whose two ends are present and public, with fingerprint and cache key."""
-    now = changed_since(E.scored(edges), E.scored(previous)).where((F.col("score") < threshold) | F.col("relationship").isin(fixed.LEGACY_RELATIONSHIPS))
+    now = changed_since(E.scored(edges), E.with_score(previous)).where((F.col("score") < threshold) | F.col("relationship").isin(fixed.LEGACY_RELATIONSHIPS))
     public = ents.where(F.col("source_role") == fixed.PUBLIC_ROLE)
     end = lambda side: public.select(F.col("entity_id").alias(f"{side}_entity_id"), F.struct(*SIDE).alias(side))
     out = now.join(end("source"), "source_entity_id").join(end("target"), "target_entity_id")
@@ -46,15 +47,66 @@ def prompts(cands: DataFrame, labels: list[str]) -> DataFrame:
     return cands.select("cache_key", F.concat(F.lit(head), "normalized_input").alias("prompt"))
 
 
-def parse_responses(raw: DataFrame, labels: list[str], schema_status: str = "schema_error") -> DataFrame:
-    """Adds status (ok, parse_error, the name given for schema errors), relationship, confidence and reasoning of ``raw``."""
+def parse_responses(raw: DataFrame, labels: list[str], schema_status: str = "schema_error", label: str = "relationship") -> DataFrame:
+    """Adds status (ok, parse_error, the name given for schema errors), the label (relationship), confidence and reasoning of ``raw``."""
     out = raw.withColumn("object", X.extract_json_object(F.col("raw")))
-    out = out.withColumn("j", F.from_json("object", "relationship string, confidence double, reasoning string"))
-    extra = F.size(F.array_except(F.json_object_keys("object"), F.array(*[F.lit(k) for k in ("relationship", "confidence", "reasoning")])))
-    good = F.col("j.relationship").isin(labels) & F.col("j.confidence").between(0, 1) & (F.col("j.reasoning") != "") & (extra == 0)
+    out = out.withColumn("j", F.from_json("object", f"{label} string, confidence double, reasoning string"))
+    extra = F.size(F.array_except(F.json_object_keys("object"), F.array(*[F.lit(k) for k in (label, "confidence", "reasoning")])))
+    good = F.col(f"j.{label}").isin(labels) & F.col("j.confidence").between(0, 1) & (F.col("j.reasoning") != "") & (extra == 0)
     out = out.withColumn("status", F.when(F.col("object").isNull(), "parse_error").when(F.coalesce(good, F.lit(False)), "ok").otherwise(schema_status))
     ok = lambda c: F.when(F.col("status") == "ok", F.col(f"j.{c}")).alias(c)
-    return out.select(*[c for c in out.columns if c not in ("object", "j")], ok("relationship"), ok("confidence"), ok("reasoning"))
+    return out.select(*[c for c in out.columns if c not in ("object", "j")], ok(label), ok("confidence"), ok("reasoning"))
+
+
+def parse_identity_responses(raw: DataFrame, schema_status: str = "schema_error") -> DataFrame:
+    """Adds status, decision (merge, no_merge, uncertain), confidence and reasoning to ``raw``: the schema of identity cases."""
+    return parse_responses(raw, ["merge", "no_merge", "uncertain"], schema_status, "decision")
+
+
+def judgment_records(decisions: DataFrame, edges: DataFrame, ents: DataFrame) -> DataFrame:
+    """Whole judgment records of ok decisions whose edge and both entities exist.
+
+    Decisions hold source_entity_id, target_entity_id, cache_key, status, judged, confidence, input_fingerprint, provider, model,
+    recipe_version. Inputs are both entities with their role, and are publishable where the role is public; evidence is a row for each
+    supporting URL (from 1), publishable where the inputs are and the edge has sources and providers. Null URL lists count as empty.
+    """
+    support = E.with_support(edges).select("source_entity_id", "target_entity_id", "supporting_urls", "supporting_source_count", "supporting_provider_count")
+    role = lambda side: ents.select(F.col("entity_id").alias(f"{side}_entity_id"), F.coalesce("source_role", F.lit("unknown")).alias(f"{side}_role"))
+    j = decisions.where("status = 'ok'").join(support, ["source_entity_id", "target_entity_id"]).join(role("source"), "source_entity_id").join(role("target"), "target_entity_id")
+    uses = lambda public: F.when(public, F.array(F.lit("llm_judgment"))).otherwise(F.array().cast("array<string>"))
+
+    def input_ref(side: str):
+        public = F.col(f"{side}_role") == fixed.PUBLIC_ROLE
+        return F.struct(F.col(f"{side}_entity_id").alias("ref_id"), F.lit("entity").alias("ref_kind"), F.col(f"{side}_role").alias("source_role"), F.lit("publishability-policy-v1").alias("policy_version"), public.alias("publishable"), uses(public).alias("allowed_uses"))
+
+    j = j.withColumn("inputs", F.array(input_ref("source"), input_ref("target"))).withColumn("public", F.forall("inputs", lambda i: i["publishable"]))
+    sound = F.col("public") & (F.col("supporting_source_count") > 0) & (F.col("supporting_provider_count") > 0)
+    urls = F.coalesce("supporting_urls", F.array().cast("array<string>"))
+    evidence = F.transform(urls, lambda u, i: F.struct(F.concat(F.col("cache_key"), F.lit(":supporting_url:"), (i + 1).cast("string")).alias("evidence_id"), F.lit("relationship_supporting_url").alias("evidence_kind"), u.alias("claim"), sound.alias("publishable")))
+    flags = F.array_compact(F.array(F.lit("model_inferred"), F.when(F.col("judged") == "uncertain", "unsupported_relationship"), F.when(~F.col("public"), "non_publishable_input")))
+    tier = F.when(F.col("confidence") >= 0.9, "high").when(F.col("confidence") >= 0.8, "medium").otherwise("low")
+    profile = X.canonical_json(confidence=F.col("confidence"), confidence_tier=tier, evidence_strength=F.lit("model_with_publishable_relationship_evidence"), agreement_status=F.lit("unverified"), extraction_method=F.lit("model_judgment"), freshness_status=F.lit("unknown"), recipe_version=F.col("recipe_version"))
+    return j.select(
+        F.col("cache_key").alias("judgment_id"), F.concat_ws(":", "source_entity_id", "target_entity_id", "input_fingerprint").alias("candidate_id"), F.lit("relationship_classification").alias("kind"), F.lit("approved").alias("status"),
+        "source_entity_id", "target_entity_id", "provider", "model", F.col("recipe_version").alias("prompt_version"), F.create_map(F.lit("temperature"), F.lit("0"), F.lit("max_tokens"), F.lit("300")).alias("parameters"), "inputs", evidence.alias("evidence_refs"),
+        F.lit("v1").alias("output_schema_version"), "judged", "confidence", tier.alias("confidence_tier"), flags.alias("quality_flags"), F.size(F.filter(evidence, lambda e: e["publishable"])).alias("publishable_evidence"), profile.alias("confidence_profile_json"),
+    )
+
+
+def side_rows(gated: DataFrame, recipe: Recipe) -> DataFrame:
+    """The materialised rows of eligible judgment records; core edges are never rewritten."""
+    return gated.where("eligible").select(
+        "source_entity_id", "target_entity_id", F.col("judged").alias("relationship_type"), F.col("confidence").alias("relationship_confidence_score"), "judgment_id", F.lit(recipe.recipe_id).alias("materialization_recipe_id"),
+        F.lit(recipe.recipe_version).alias("materialization_recipe_version"), "confidence_profile_json", "quality_flags", F.transform("evidence_refs", lambda e: e["evidence_id"]).alias("evidence_ref_ids"),
+    )
+
+
+def apply_to_side_table(gated: DataFrame, recipe: Recipe, path: str) -> DataFrame:
+    """Writes the side table to ``path`` (zstd Parquet, replaced on a repeat) and returns one row: judged, eligible, applied and the publishability of what was written."""
+    seen = Observation()
+    side_rows(gated, recipe).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    counts = gated.agg(F.count("*").alias("judged"), F.count_if("eligible").alias("eligible"))
+    return counts.select("judged", "eligible", F.lit(int(seen.get["n"])).cast("long").alias("applied"), F.lit("private_experiment_only").alias("publishability_status"))
 
 
 def records(decisions: DataFrame, edges: DataFrame) -> DataFrame:
@@ -80,6 +132,8 @@ class Recipe:
     model: str | None = None
     prompt_version: str | None = None
     parameters: dict[str, str] = field(default_factory=dict)
+    recipe_id: str = "relationship-judgments"
+    recipe_version: str = "relationship-materialization-v1"
 
 
 def gate(judgments: DataFrame, recipe: Recipe) -> DataFrame:
@@ -129,7 +183,12 @@ def score_runs(results: DataFrame, cases: DataFrame) -> DataFrame:
     return j.select("case_id", "run_id", F.col("label").isNotNull().alias("valid"), F.col("same").eqNullSafe(F.col("expected_same")).alias("same_entity_correct"), F.col("label").eqNullSafe(F.col("expected_label")).alias("label_correct"))
 
 
-def budget_admission(calls: DataFrame, limit: float, scope: str, order: str, amount: str) -> DataFrame:
-    """Calls admitted while the running amount of their scope stays within the limit; the first excess stops the scope."""
-    running = F.sum(amount).over(Window.partitionBy(scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return calls.withColumn("running", running).withColumn("admitted", F.col("running") <= limit)
+def budget_admission(calls: DataFrame, limit: float, scope: str, order: str, amount: str, ranges: int = 64) -> DataFrame:
+    """Calls admitted while the running amount of their scope stays within the limit; the first excess stops the scope.
+
+    A negative (or null) amount is rejected: it counts nothing and is never admitted, so the running amount only grows. ``order`` is a
+    number. Sums run in two steps: over ``ranges`` ranges of the order, then inside each, so no task holds a scope's whole history.
+    """
+    spent = F.greatest(F.coalesce(amount, F.lit(0)), F.lit(0))
+    out = P.running(calls.withColumn("_spent", spent), scope, order, [order], {"running": ("sum", F.col("_spent"))}, ranges)
+    return out.withColumn("admitted", (F.col("running") <= limit) & F.coalesce(F.col(amount) >= 0, F.lit(False))).drop("_spent")

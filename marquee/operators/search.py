@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
+from marquee.functions.skew import crowded_keys, join_crowded
 from marquee.operators import edges as E
 from marquee.plans import fixed
 
@@ -54,14 +55,16 @@ def families(edges: DataFrame, folder: str, most_rounds: int = 100) -> DataFrame
     """(node, family): connected components of undirected (src, dst) edges; family is the smallest id.
 
     Labels spread along edges and then jump to their label's label, so rounds grow with the logarithm of a
-    chain's length. Each round is a table in ``folder``, which driver and executors share.
+    chain's length (100 stand for more nodes than there can be). Each round is a table in ``folder``, which driver and
+    executors share. Nodes of very many edges are dealt over several tasks.
     """
     spark = edges.sparkSession
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct()
     both = _written(both, folder)
     label = _written(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("family")).withColumnRenamed("src", "node"), folder)
+    crowded = crowded_keys(both, "dst")
     for _ in range(most_rounds):
-        near = both.join(label.select(F.col("node").alias("dst"), "family"), "dst").groupBy("src").agg(F.min("family").alias("near"))
+        near = join_crowded(both, label.select(F.col("node").alias("dst"), "family"), "dst", "src", crowded).groupBy("src").agg(F.min("family").alias("near"))
         step = label.join(near.withColumnRenamed("src", "node"), "node").select("node", F.least("family", "near").alias("next"), "family")
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
         moved = _written(step.join(jump, "next", "left").select("node", F.least(F.coalesce("far", "next"), "next").alias("next"), "family"), folder)
@@ -93,20 +96,22 @@ def incoming(edges: DataFrame) -> DataFrame:
 
 
 def merge_cards(cards: DataFrame) -> DataFrame:
-    """One card per (entity, other, relationship): the last outgoing one, else the first incoming one."""
-    order = [F.desc(F.col("direction") == "outgoing"), F.when(F.col("direction") == "outgoing", -F.col("pos")).otherwise(F.col("pos"))]
-    both = Window.partitionBy("entity_id", "other_id", "relationship")
-    out = cards.withColumn("_i", F.row_number().over(both.orderBy(*order))).withColumn("_n", F.size(F.collect_set("direction").over(both)))
-    return out.where("_i = 1").withColumn("direction", F.when(F.col("_n") > 1, "bidirectional").otherwise(F.col("direction"))).drop("_i", "_n")
+    """One card per (entity, other, relationship): the last outgoing one, else the first incoming one. One aggregation."""
+    keys = ("entity_id", "other_id", "relationship")
+    rest = ["pos", *[c for c in cards.columns if c not in (*keys, "direction", "pos")]]
+    side = lambda name: F.when(F.col("direction") == name, F.struct(*rest))
+    out = cards.groupBy(*keys).agg(F.max(side("outgoing")).alias("_out"), F.min(side("incoming")).alias("_in"))
+    direction = F.when(F.col("_in").isNull(), "outgoing").when(F.col("_out").isNull(), "incoming").otherwise("bidirectional")
+    return out.select(*keys, direction.alias("direction"), F.coalesce("_out", "_in").alias("_c")).select(*keys, "direction", "_c.*")
 
 
 def related_sections(ents: DataFrame, edges: DataFrame) -> DataFrame:
-    """Per entity and relationship its related entities in order of confidence, year, folded title and id."""
-    scored = E.scored(edges)
-    columns = ["relationship", "score", "pos"]
-    out = scored.select(F.col("source_entity_id").alias("entity_id"), F.col("target_entity_id").alias("other_id"), F.lit("outgoing").alias("direction"), *columns)
-    back = scored.select(F.col("target_entity_id").alias("entity_id"), F.col("source_entity_id").alias("other_id"), F.lit("incoming").alias("direction"), *columns)
-    cards = merge_cards(out.unionByName(back.where("entity_id <> other_id")))
+    """Per entity and relationship its related entities in order of confidence, year, folded title and id. Edges are read once: each gives a card to both its ends."""
+    scored = E.with_score(edges)
+    card = lambda own, other, direction: F.struct(F.col(own).alias("entity_id"), F.col(other).alias("other_id"), F.lit(direction).alias("direction"))
+    ends = F.array(card("source_entity_id", "target_entity_id", "outgoing"), card("target_entity_id", "source_entity_id", "incoming"))
+    cards = scored.select(F.explode(ends).alias("c"), "relationship", "score", "pos").select("c.*", "relationship", "score", "pos")
+    cards = merge_cards(cards.where("direction = 'outgoing' or entity_id <> other_id"))
     other = ents.select(F.col("entity_id").alias("other_id"), "title", "release_year")
     order = Window.partitionBy("entity_id", "relationship").orderBy(F.desc("score"), "release_year", X.fold(F.col("title")), "other_id")
     return cards.join(other, "other_id").withColumn("place", F.row_number().over(order)).select("entity_id", "relationship", "place", "other_id", "direction", F.col("score").alias("confidence"))
@@ -140,10 +145,12 @@ def tag_score(n: Column, u: Column) -> Column:
     return F.floor((n * (u + 1) * 200 + u) / (u * 2)).cast("long") / 100
 
 
-def tag_neighbours(ents: DataFrame, roots: DataFrame, limit: int) -> DataFrame:
-    """Per root the ``limit`` entities of most shared folded tags."""
+def tag_neighbours(ents: DataFrame, roots: DataFrame, limit: int, family: DataFrame | None = None) -> DataFrame:
+    """Per root the ``limit`` entities of most shared folded tags; nodes of ``family`` are left out."""
     sizes = ents.select("entity_id", F.size(F.array_distinct(F.transform("tags", X.fold))).cast("long").alias("n_tags"))
     pairs = shared_values(ents, "tags", roots).join(sizes, "entity_id").join(sizes.select(F.col("entity_id").alias("other_id"), F.col("n_tags").alias("m_tags")), "other_id")
+    if family is not None:
+        pairs = pairs.join(family.select(F.col("node").alias("other_id")).distinct(), "other_id", "left_anti")
     pairs = pairs.withColumn("score", tag_score(F.col("overlap"), F.col("n_tags") + F.col("m_tags") - F.col("overlap")))
     other = ents.select(F.col("entity_id").alias("other_id"), "title", "release_year")
     ranked = top(pairs.join(other, "other_id"), [F.desc("score"), F.desc("overlap"), "release_year", X.fold(F.col("title")), "other_id"], limit, ["entity_id"])
@@ -180,6 +187,11 @@ def concept_order() -> list:
     return [F.desc("score"), F.desc("n_tags"), "release_year", X.fold(F.col("title")), "entity_id"]
 
 
+def concept_rank_order() -> list:
+    """Remote concept results: most genres, most tags, greatest strength, best average score; the first of equals."""
+    return [F.desc(F.size("matched_genres")), F.desc(F.size("matched_tags")), F.desc("strength"), F.desc(F.coalesce("score", F.lit(0))), "pos"]
+
+
 def concept_rank(media: DataFrame) -> DataFrame:
     """Remote concept results (genres, tags with ranks, wanted genres and tags): matches, strength, title and rationale."""
     genres = F.filter("wanted_genres", lambda g: F.array_contains("genres", g))
@@ -187,25 +199,132 @@ def concept_rank(media: DataFrame) -> DataFrame:
     strength = F.aggregate(F.filter("tags", lambda x: F.array_contains(F.col("wanted_tags"), x["name"])), F.lit(0), lambda s, x: s + F.coalesce(x["rank"], F.lit(0)))
     part = lambda head, a: F.when(F.size(a) > 0, F.concat(F.lit(head), F.array_join(a, ", ")))
     rationale = F.concat_ws("; ", part("genre match: ", genres), part("tag match: ", tags), F.when(F.col("score").isNotNull(), F.concat(F.lit("AniList score "), "score")))
-    return media.select("id", F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("romaji", "english", "native")], F.col("id").cast("string")).alias("title"), genres.alias("matched_genres"), tags.alias("matched_tags"), strength.alias("strength"), F.coalesce(F.nullif(rationale, F.lit("")), F.lit("matched AniList filters")).alias("rationale"))
+    kept = [c for c in ("pos", "score") if c in media.columns]
+    return media.select("id", *kept, F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("romaji", "english", "native")], F.col("id").cast("string")).alias("title"), genres.alias("matched_genres"), tags.alias("matched_tags"), strength.alias("strength"), F.coalesce(F.nullif(rationale, F.lit("")), F.lit("matched AniList filters")).alias("rationale"))
+
+
+def family_of(edges: DataFrame, roots: DataFrame, folder: str, most_steps: int = 12) -> DataFrame:
+    """(node, family) of every node that the roots (entity_id, family) reach along undirected (src, dst) edges.
+
+    Steps outwards from the roots only; a family that is not whole after ``most_steps`` comes from ``families``, which doubles its reach.
+    """
+    both = _written(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), folder)
+    found = _written(roots.select(F.col("entity_id").alias("node"), "family"), folder)
+    rim = found
+    for _ in range(most_steps):
+        near = both.join(rim.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "family").distinct()
+        rim = _written(near.join(found, ["node", "family"], "left_anti"), folder)
+        if rim.isEmpty():
+            return found
+        found = found.unionByName(rim)
+    every = families(edges, folder)
+    own = every.join(roots.select(F.col("entity_id").alias("node"), F.col("family").alias("root")), "node").select("family", "root").distinct()
+    return every.join(own, "family").select("node", F.col("root").alias("family"))
 
 
 def query_preview(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5) -> DataFrame:
-    """One nested row: best matches, the chosen entity, its family, sections and tag neighbours."""
+    """One row for a text: best matches, the chosen entity, its family's nodes and edges, sections and tag neighbours, as arrays in their stated orders.
+
+    Sections hold related entities by relationship, and entities outside the family that share studios or creators. No match: no row.
+    """
     spark = ents.sparkSession
     wanted = spark.createDataFrame([(text,)], "query string")
-    hits = top(search(ents, wanted), search_order(), limit, ["query"])
+    hits = _written(top(search(ents, wanted), search_order(), limit, ["query"]).select("query", "rank", "entity_id", "score", "matched_fields"), folder)
     chosen = hits.where("rank = 1").select("entity_id")
-    members = families(edges.select(F.col("source_entity_id").alias("src"), F.col("target_entity_id").alias("dst")), folder)
-    own = members.join(chosen.withColumnRenamed("entity_id", "node"), "node", "left_semi").select("family")
-    family = members.join(own, "family", "left_semi")
+    pairs = edges.select(F.col("source_entity_id").alias("src"), F.col("target_entity_id").alias("dst"))
+    family = family_of(pairs, chosen.withColumn("family", F.col("entity_id")), folder)
     nodes, inside = family_graph(ents, edges, family)
-    mine = edges.join(chosen.withColumnRenamed("entity_id", "source_entity_id"), "source_entity_id", "left_semi").unionByName(edges.join(chosen.withColumnRenamed("entity_id", "target_entity_id"), "target_entity_id", "left_semi"))
-    sections = related_sections(ents, mine).join(chosen, "entity_id", "left_semi").groupBy("relationship").count()
-    near = tag_neighbours(ents, chosen, limit)
+    mine = edges.join(chosen.withColumnRenamed("entity_id", "source_entity_id"), "source_entity_id", "left_semi").unionByName(edges.join(chosen.withColumnRenamed("entity_id", "target_entity_id"), "target_entity_id", "left_semi").where("source_entity_id <> target_entity_id"))
+    sections = related_sections(ents, mine).join(chosen, "entity_id", "left_semi").select("relationship", "place", "other_id", "confidence")
+    for column, relationship in (("studios", "same_studio"), ("creators", "same_creator")):
+        sections = sections.unionByName(shared_metadata(ents, column, relationship, chosen, family).select("relationship", "place", "other_id", "confidence"))
+    near = tag_neighbours(ents, chosen, limit, family)
     packed = lambda df, name: df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
-    out = packed(hits.select("rank", "entity_id", "score"), "matches").join(nodes.agg(F.count("*").alias("node_count"))).join(inside.agg(F.count("*").alias("edge_count")))
-    return out.join(packed(sections, "sections")).join(packed(near.select("rank", "other_id", "score"), "tag_neighbours"))
+    parts = [
+        packed(node_order(nodes).select("place", "entity_id"), "nodes"), packed(edge_order(inside).select("place", "source_entity_id", "relationship", "target_entity_id", "confidence"), "edges"),
+        packed(sections.select("relationship", "place", "other_id", "confidence"), "sections"), packed(near.select("rank", "other_id", "overlap", "score"), "tag_neighbours"),
+    ]
+    out = hits.groupBy("query").agg(F.max(F.when(F.col("rank") == 1, F.col("entity_id"))).alias("selected_entity_id"), F.array_sort(F.collect_list(F.struct("rank", "entity_id", "score", "matched_fields"))).alias("matches"))
+    for part in parts:  # one row each
+        out = out.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return out
+
+
+def node_order(nodes: DataFrame) -> DataFrame:
+    """Nodes of each family with their place: by domain, year, folded title and id."""
+    order = Window.partitionBy("family").orderBy("domain", "release_year", X.fold(F.col("title")), "entity_id")
+    return nodes.withColumn("place", F.row_number().over(order))
+
+
+def edge_order(inside: DataFrame) -> DataFrame:
+    """Edges of each family with their place: by source, type and target."""
+    return inside.withColumn("place", F.row_number().over(Window.partitionBy("family").orderBy("source_entity_id", "relationship", "target_entity_id")))
+
+
+def neighbours_with_evidence(relationships: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Edges with the strength and claim of their evidence; edges without evidence stay, with nulls."""
+    signals = evidence.select("evidence_id", F.lit(True).alias("has_evidence"), "evidence_strength", "claim", "source_record_id")
+    return relationships.join(signals, "evidence_id", "left").withColumn("has_evidence", F.coalesce("has_evidence", F.lit(False)))
+
+
+def resolve_title(titles: DataFrame, profiles: DataFrame, queries: DataFrame) -> DataFrame:
+    """Entities whose folded title equals a folded query (a stated set), with their profile where there is one."""
+    names = titles.select("entity_id", X.fold(F.col("title")).alias("folded"))
+    wanted = queries.select("query", X.fold(F.col("query")).alias("folded"))
+    return names.join(F.broadcast(wanted), "folded").drop("folded").join(profiles, "entity_id", "left")
+
+
+def franchise_pairs(ents: DataFrame) -> DataFrame:
+    """(entity_id, other_id): entities that share a franchise tag, both ways, each pair once. A franchise of n makes n (n - 1) rows: that is the result."""
+    m = ents.select("entity_id", F.explode(F.array_distinct(F.filter("tags", lambda t: t.startswith("franchise:")))).alias("tag"))
+    return m.join(m.select(F.col("entity_id").alias("other_id"), "tag"), "tag").where("entity_id <> other_id").select("entity_id", "other_id").distinct()
+
+
+def exclude_family(df: DataFrame, family: DataFrame) -> DataFrame:
+    """Rows whose entity_id is no node of ``family``."""
+    return df.join(family.select(F.col("node").alias("entity_id")), "entity_id", "left_anti")
+
+
+def two_hops(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(entity_id, other_id, via): entities two undirected edges away from a root and not next to it; ``via`` counts the entities between."""
+    both = edges.select("source_entity_id", "target_entity_id").unionByName(edges.select(F.col("target_entity_id").alias("source_entity_id"), F.col("source_entity_id").alias("target_entity_id"))).where("source_entity_id <> target_entity_id").distinct()
+    near = both.join(roots.select(F.col("entity_id").alias("source_entity_id")), "source_entity_id", "left_semi").select(F.col("source_entity_id").alias("entity_id"), F.col("target_entity_id").alias("mid"))
+    far = near.join(both.select(F.col("source_entity_id").alias("mid"), F.col("target_entity_id").alias("other_id")), "mid").where("entity_id <> other_id")
+    far = far.groupBy("entity_id", "other_id").agg(F.count("*").alias("via"))
+    return far.join(near.select("entity_id", F.col("mid").alias("other_id")), ["entity_id", "other_id"], "left_anti")
+
+
+def similarity_candidates(ents: DataFrame, edges: DataFrame, roots: DataFrame, neighbours: DataFrame | None = None, recipe: str = "similarity-candidates-v1") -> DataFrame:
+    """Pairs of a root and another entity, with the reasons that speak for them and a score for each reason.
+
+    Reasons: shared_facets (tags, genres, studios or creators in common; the count), graph_distance_2 (two edges apart; the number
+    of entities between) and, where ``neighbours`` (entity_id, other_id, score) is given, vector_neighbour. Roots are a stated
+    set; scores hold for their own dimension only, so there is no overall score. Pairs come from joins on values and edges.
+    """
+    facets = None
+    for column in ("tags", "genres", "studios", "creators"):
+        part = shared_values(ents, column, roots).select("entity_id", "other_id", "overlap")
+        facets = part if facets is None else facets.unionByName(part)
+    row = lambda df, reason, value: df.select("entity_id", "other_id", F.lit(reason).alias("reason"), value.cast("double").alias("value"))
+    found = row(facets.groupBy("entity_id", "other_id").agg(F.sum("overlap").alias("n")), "shared_facets", F.col("n"))
+    found = found.unionByName(row(two_hops(edges, roots), "graph_distance_2", F.col("via")))
+    if neighbours is not None:
+        found = found.unionByName(row(neighbours.join(roots, "entity_id", "left_semi"), "vector_neighbour", F.col("score")))
+    found = found.groupBy("entity_id", "other_id").agg(F.array_sort(F.collect_list(F.struct("reason", "value"))).alias("dimensions"))
+    reasons = F.transform("dimensions", lambda d: d["reason"])
+    strength = F.when(F.size("dimensions") > 1, "medium").otherwise("low")
+    ident = X.json_id("similarity", source_entity_id=F.col("entity_id"), target_entity_id=F.col("other_id"), recipe_version=F.lit(recipe))
+    return found.select(ident.alias("candidate_id"), F.col("entity_id").alias("source_entity_id"), F.col("other_id").alias("target_entity_id"), F.lit("undirected").alias("candidate_direction"), F.lit(recipe).alias("recipe_version"), reasons.alias("candidate_reasons"), F.map_from_entries("dimensions").alias("score_dimensions"), strength.alias("confidence_tier"))
+
+
+def embed(texts: DataFrame, cache: DataFrame, key: str, column: str, provider: str = "deterministic", model: str = "sha256", recipe: str = "embedding-v1", embed_fn: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(key, cache_key, vector) of the rows whose cache key ``cache`` (cache_key) doesn't hold: unchanged texts are not embedded again.
+
+    ``embed_fn`` makes a vector column of a text column (a pandas UDF around a real model, say); by default the keyless hash vectors of X19.
+    """
+    keyed = texts.select(key, F.col(column).alias("_text")).withColumn("cache_key", X.cache_key("embedding", provider, model, recipe, F.col("_text")))
+    fresh = keyed.join(cache.select("cache_key"), "cache_key", "left_anti")
+    return fresh.select(key, "cache_key", (embed_fn or X.hash_embedding)(F.col("_text")).alias("vector"))
 
 
 def retrieval_text(ents: DataFrame) -> DataFrame:
@@ -215,35 +334,57 @@ def retrieval_text(ents: DataFrame) -> DataFrame:
     return ents.select("entity_id", F.concat_ws(" | ", *parts).alias("retrieval_text"))
 
 
+def similar_vectors(vectors: DataFrame, k: int = 5, every: int = 20, block: str = "label") -> DataFrame:
+    """query_id, rank, vec_id, score: the ``k`` highest dot products of each query with the other vectors of its own block."""
+    v = vectors.select("vec_id", block, F.col("embedding").cast("array<double>").alias("x"))
+    q = v.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), block, F.col("x").alias("q"))
+    dot = F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
+    pairs = q.join(v, block).where("vec_id <> query_id").withColumn("score", F.round(dot, 6))
+    return top(pairs, [F.desc("score"), "vec_id"], k, ["query_id"]).select("query_id", "rank", "vec_id", "score")
+
+
+def _packed(frame: DataFrame, key: str) -> DataFrame:
+    """(key, ids, x): the vectors of each key as one row of bytes, in the order of their ids."""
+
+    def gather(k: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("vec_id").combine_chunks()
+        x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return pa.table({key: pa.array([k[0].as_py()], pa.int32()), "ids": pa.array([table["vec_id"].to_numpy().tobytes()], pa.binary()), "x": pa.array([x.tobytes()], pa.binary())})
+
+    return frame.select(key, "vec_id", "x").groupBy(key).applyInArrow(gather, f"{key} int, ids binary, x binary")
+
+
 def nearest_vectors(vectors: DataFrame, k: int = 5, every: int = 20, chunk_rows: int = 8192, query_rows: int = 1024) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector whose id is divisible by ``every`` the ``k`` highest dot products, to
     six places, among all other vectors whatever their label; ties go to the smaller id.
 
-    Which vectors take part is as in ``marquee.llm.vectors.usable``. Each block of queries meets each chunk once, and a
-    chunk gives at most ``k`` rows per query, so no list of pairs is made.
+    Vectors take part that are not null, hold finite components only and have the commonest length; an id that repeats stands
+    for its smallest array. Each block of queries meets each chunk once, and a chunk gives at most ``k`` rows per query, so
+    no list of pairs is made. Queries travel to the chunks.
     """
-    from marquee.llm import vectors as V
-
-    good = V.usable(vectors, "vec_id", "embedding")
+    good = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("x")).where("vec_id is not null and x is not null")
+    good = good.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
+    sizes = good.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    good = good.where(F.size("x") == (sizes.d if sizes else 0)).groupBy("vec_id").agg(F.min("x").alias("x"))
     n = max(1, good.count())
     chunks, blocks = -(-n // chunk_rows), -(-n // (every * query_rows))
-    candidates = V.pack(good.withColumn("chunk", F.expr(f"cast(pmod(xxhash64(vec_id), {chunks}) as int)")), "chunk")
-    queries = V.pack(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
-    meet = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(queries.select("block", F.col("ids").alias("qids"), F.col("x").alias("q")), "block")
+    candidates = _packed(good.withColumn("chunk", F.expr(f"cast(pmod(xxhash64(vec_id), {chunks}) as int)")), "chunk")
+    queries = _packed(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
+    sent = queries.select(F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.col("ids").alias("qids"), F.col("x").alias("q"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in V.rows(batches):
-            cids, c = V.unpack(r["ids"], r["x"])
-            qids, q = V.unpack(r["qids"], r["q"])
-            for at in range(0, len(qids), 128):
-                score = np.round(q[at : at + 128] @ c.T, 6)
-                score[qids[at : at + 128, None] == cids] = -np.inf
-                # Ids ascend within a chunk, so a stable sort leaves ties to the smaller id.
-                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                i, j = np.repeat(np.arange(len(score)), best.shape[1]), best.ravel()
-                i, j = i[score[i, j] > -np.inf], j[score[i, j] > -np.inf]
-                yield pa.RecordBatch.from_arrays([pa.array(qids[at + i]), pa.array(cids[j]), pa.array(score[i, j])], ["query_id", "vec_id", "score"])
-
-    found = meet.select("ids", "x", "qids", "q").mapInArrow(search, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        for batch in batches:
+            for r in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                cids, qids = (np.frombuffer(r[c], np.int64) for c in ("ids", "qids"))
+                c, q = (np.frombuffer(r[name], np.float64).reshape(len(own), -1) for name, own in (("x", cids), ("q", qids)))
+                for at in range(0, len(qids), 128):
+                    score = np.round(q[at : at + 128] @ c.T, 6)
+                    score[qids[at : at + 128, None] == cids] = -np.inf
+                    # Ids ascend within a chunk, so a stable sort leaves ties to the smaller id.
+                    best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                    i, j = np.repeat(np.arange(len(score)), best.shape[1]), best.ravel()
+                    i, j = i[score[i, j] > -np.inf], j[score[i, j] > -np.inf]
+                    yield pa.RecordBatch.from_arrays([pa.array(qids[at + i]), pa.array(cids[j]), pa.array(score[i, j])], ["query_id", "vec_id", "score"])
+
+    found = candidates.join(sent, "chunk").select("ids", "x", "qids", "q").mapInArrow(search, "query_id long, vec_id long, score double")
+    return top(found, [F.desc("score"), "vec_id"], k, ["query_id"]).select("query_id", "rank", "vec_id", "score")

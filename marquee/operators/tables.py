@@ -169,6 +169,30 @@ def union_keep_first(*frames: DataFrame) -> DataFrame:
     return keep_first(out, ["entity_id"], ["_source"]).drop("_source")
 
 
+def table_row_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, row_count) of each frame."""
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count")) for name, df in frames.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def slice_profile(ents: DataFrame, edges: DataFrame) -> DataFrame:
+    """(measure, n): titles that occur more than once, entities per domain, edges per type."""
+    doubled = ents.groupBy("title").count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit("titles occurring more than once").alias("measure"), "n")
+    domains = ents.groupBy(F.concat(F.lit("domain "), "domain").alias("measure")).agg(F.count("*").alias("n"))
+    types = edges.groupBy(F.concat(F.lit("edge "), "relationship").alias("measure")).agg(F.count("*").alias("n"))
+    return doubled.unionByName(domains).unionByName(types)
+
+
+def facet_match_all(facets: DataFrame, pairs: list[tuple[str, str]], tiers: list[str], at_least: int | None = None) -> DataFrame:
+    """(entity_id, n): entities whose facets of the given tiers match every (namespace, key) pair, or ``at_least`` so many of them."""
+    wanted = facets.sparkSession.createDataFrame(sorted(set(pairs)), "facet_namespace string, facet_key string")
+    hit = facets.where(F.col("confidence_tier").isin(tiers)).join(F.broadcast(wanted), ["facet_namespace", "facet_key"], "left_semi")
+    return hit.groupBy("entity_id").agg(F.countDistinct("facet_namespace", "facet_key").alias("n")).where(F.col("n") >= (len(set(pairs)) if at_least is None else at_least))
+
+
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Exact columns, order and types of a contract; missing columns become nulls of its type."""
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in contract])

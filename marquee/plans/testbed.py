@@ -71,8 +71,12 @@ def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_candidates(table(spark, sf_dir, "documents"))
+
+
+def as_candidates(documents: DataFrame) -> DataFrame:
     """Documents as release candidates: pos is the order; language and length stand for missing and odd fields."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return documents.selectExpr(
         "doc_id pos", "if(lang = 'es', null, concat('title ', doc_id)) title", "if(lang = 'fr', 'CLIP', 'TV') type", "'FINISHED' status", "if(n_chars % 7 = 0, null, 1950 + cast(n_chars % 70 as int)) year",
         "if(doc_id % 9 = 0, array('https://example.org/x'), array(concat('https://myanimelist.net/anime/', doc_id, '/x'), concat('https://anidb.net/anime/', doc_id), 'https://kitsu.app/anime/a-b')) sources",
         "array(text, concat('t', doc_id)) synonyms", "array(concat('https://anilist.co/anime/', doc_id + 1), 'https://example.org/no') related", "source",

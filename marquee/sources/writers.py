@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from marquee.plans import fixed
 
-def write_tables(frames: dict[str, DataFrame], folder: str, version: str = "core.v1", tier: str = "core") -> DataFrame:
-    """Each frame as zstd Parquet under its name; the manifest rows (one per table) with the rows that were written."""
+
+def write_tables(frames: dict[str, DataFrame], folder: str, version: str = "core.v1", tier: str = "core", enrichment: str = "none") -> DataFrame:
+    """Each frame as zstd Parquet under its name; the manifest rows (one per table) with the rows that were written, versions and policy."""
     spark = next(iter(frames.values())).sparkSession
     rows = []
     for name, df in frames.items():
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}.parquet")
-        rows.append((name, f"{name}.parquet", "parquet", int(seen.get["n"]), version, tier))
-    return spark.createDataFrame(rows, "table_name string, path string, format string, row_count long, schema_version string, compatibility_tier string")
+        rows.append((name, f"{name}.parquet", "parquet", int(seen.get["n"]), version, tier, fixed.POLICY_VERSION, fixed.TABLE_RECIPE, enrichment))
+    return spark.createDataFrame(rows, "table_name string, path string, format string, row_count long, schema_version string, compatibility_tier string, policy_version string, recipe_version string, enrichment_status string")
 
 
 def write_corpus(entities: DataFrame, edges: DataFrame, folder: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marquee.operators import ingest as I
+from marquee.operators import prefixes as P
 
 
 def resume_offset(state: DataFrame, job: str, snapshot: str) -> int:
@@ -18,8 +19,8 @@ def resume_offset(state: DataFrame, job: str, snapshot: str) -> int:
 def refresh_batch(cands: DataFrame, state: DataFrame, job: str, snapshot: str, size: int) -> tuple[DataFrame, DataFrame]:
     """The next batch of a job and the state after it."""
     start = resume_offset(state, job, snapshot)
-    rows, end = I.slice_candidates(cands, start, size)
-    status = "completed" if end >= cands.count() else "in_progress"
+    rows, end, total = I.slice_of(cands, start, size)
+    status = "completed" if end >= total else "in_progress"
     path = f"checkpoints/{job}/{snapshot}/{start:08d}-{end:08d}"
     row = cands.sparkSession.createDataFrame([(job, snapshot, status, end, path)], "job string, snapshot_id string, status string, next_offset long, last_checkpoint_path string")
     return rows, upsert(state, row)
@@ -61,6 +62,14 @@ def refresh_stream(spark: SparkSession, source: str, schema: StructType, work: s
     return out
 
 
+def release_rows(raw: DataFrame) -> DataFrame:
+    """What the stream of release candidates keeps: accepted ones as wide entities (N1), rejected ones as a reason."""
+    checked = I.validate(raw)
+    good = I.normalize_release(checked.where("reason is null")).select("pos", "entity_id", "title", "release_year", F.size("related").alias("edges"), F.lit(None).cast("string").alias("reason"))
+    bad = checked.where("reason is not null").select("pos", F.lit(None).cast("string").alias("entity_id"), "title", F.lit(None).cast("int").alias("release_year"), F.lit(0).alias("edges"), "reason")
+    return good.unionByName(bad)
+
+
 def daily_budget(requests: DataFrame, limit: int) -> DataFrame:
     """Requests per provider and UTC day, and whether the day's limit is used up."""
     days = requests.groupBy("provider", F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("n"))
@@ -87,20 +96,23 @@ def daily_counts(spark: SparkSession, out: str, limit: int) -> DataFrame:
     return parts.groupBy("provider", "day").agg(F.sum("n").alias("n")).withColumn("exhausted", F.col("n") >= limit)
 
 
-def pacing(requests: DataFrame, step_us: int) -> DataFrame:
-    """Earliest allowed start of each request at one per ``step_us``, its wait, and whether the gap before it was too short."""
-    order = Window.partitionBy("provider").orderBy("us", "event_id")
-    i = F.row_number().over(order).cast("long") - 1
-    ahead = F.max(F.col("us") - F.col("i") * step_us).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    out = requests.withColumn("i", i).withColumn("start_us", F.col("i") * step_us + ahead)
-    return out.withColumn("wait_us", F.col("start_us") - F.col("us")).withColumn("violation", F.coalesce(F.col("us") - F.lag("us").over(order) < step_us, F.lit(False)))
+def pacing(requests: DataFrame, step_us: int, ranges: int = 64) -> DataFrame:
+    """Earliest allowed start of each request at one per ``step_us``, its wait, and whether the gap before it was too short.
+
+    The i-th request of a provider starts at ``i * step`` plus the greatest ``us - i * step`` so far. Numbers, gaps and maxima
+    run over ranges of time and inside them (``prefixes.running``), so no task holds a provider's whole history.
+    """
+    one = P.running(requests, "provider", "us", ["us", "event_id"], {"_n": ("sum", F.lit(1).cast("long")), "_last": ("max", F.col("us"))}, ranges, before=True)
+    one = one.withColumn("i", F.coalesce("_n", F.lit(0)).cast("long"))
+    out = P.running(one, "provider", "us", ["us", "event_id"], {"_ahead": ("max", F.col("us") - F.col("i") * step_us)}, ranges)
+    out = out.withColumn("start_us", F.col("i") * step_us + F.col("_ahead")).withColumn("wait_us", F.col("start_us") - F.col("us"))
+    return out.withColumn("violation", F.coalesce(F.col("us") - F.col("_last") < step_us, F.lit(False))).drop("_n", "_last", "_ahead")
 
 
-def lease_conflicts(runs: DataFrame, lease_us: int) -> DataFrame:
-    """Runs that start before an earlier lease of their scope ends."""
-    order = Window.partitionBy("provider").orderBy("us", "event_id").rowsBetween(Window.unboundedPreceding, -1)
-    until = F.max(F.col("us") + lease_us).over(order)
-    return runs.withColumn("held_until", until).withColumn("conflict", F.coalesce(F.col("us") < F.col("held_until"), F.lit(False)))
+def lease_conflicts(runs: DataFrame, lease_us: int, ranges: int = 64) -> DataFrame:
+    """Runs that start before an earlier lease of their scope ends; maxima run over ranges of time and inside them."""
+    out = P.running(runs, "provider", "us", ["us", "event_id"], {"held_until": ("max", F.col("us") + lease_us)}, ranges, before=True)
+    return out.withColumn("conflict", F.coalesce(F.col("us") < F.col("held_until"), F.lit(False)))
 
 
 def uncached(calls: DataFrame, cache: DataFrame, key: str = "cache_key") -> DataFrame:

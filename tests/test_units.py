@@ -11,6 +11,7 @@ from marquee.operators import edges as E
 from marquee.operators import gates as G
 from marquee.operators import ingest as I
 from marquee.operators import judgments as J
+from marquee.operators import prefixes as P
 from marquee.operators import search as S
 from marquee.operators import tables as B
 from marquee.sources import readers as R
@@ -101,7 +102,7 @@ def test_slices_cover_everything_once(spark):
     for size in (1, 7, 50):
         got, at = [], 0
         while at < 50:
-            rows, at = I.slice_candidates(df, at, size) if size > 1 else (df, 50)
+            rows, at = I.slice_candidates(df, at, size)
             got += [r.pos for r in rows.collect()]
         assert sorted(got) == [i * i for i in range(50)]
     with pytest.raises(ValueError):
@@ -225,3 +226,64 @@ def test_duplicate_titles_of_one_entity(spark):
     row = ("e:1", "manami", "T", "O", ["O", "T", "a", "a"])
     got = B.titles_table(spark.createDataFrame([row], "entity_id string, record_source string, title string, original_title string, synonyms array<string>"))
     assert sorted(values(got, "title_type", "title")) == [("alias", "O"), ("alias", "a"), ("canonical", "T"), ("original", "O")]
+
+
+def test_running_values_over_ranges(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.randrange(1000), rng.randrange(-5, 50)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, scope string, at long, v long")
+    for ranges in (1, 7, 5000):
+        for before in (False, True):
+            got = {r.id: (r.total, r.top) for r in P.running(df, "scope", "at", ["at", "id"], {"total": ("sum", df.v), "top": ("max", df.v)}, ranges, before).collect()}
+            for i, scope, at, _ in rows:
+                own = [v for j, s, a, v in rows if s == scope and ((a, j) < (at, i) or (not before and j == i))]
+                assert got[i] == ((sum(own), max(own)) if own else (None, None))
+    assert P.running(df.where("false"), "scope", "at", ["at"], {"total": ("sum", df.v)}, 8).count() == 0
+
+
+def test_negative_amounts_are_rejected(spark):
+    calls = spark.createDataFrame([(1, "p", 60), (2, "p", -50), (3, "p", 50), (4, "p", 10), (5, "q", 10), (6, "p", None)], "i long, scope string, cost long")
+    got = values(J.budget_admission(calls, 100, "scope", "i", "cost"), "i", "running", "admitted")
+    assert sorted(got) == [(1, 60, True), (2, 60, False), (3, 110, False), (4, 120, False), (5, 10, True), (6, 120, False)]
+
+
+def test_family_of_roots(spark, tmp_path):
+    chain = [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(40)] + [("x", "y"), ("z", "z")]
+    df, roots = spark.createDataFrame(chain, "src string, dst string"), spark.createDataFrame([("c020", "c020"), ("y", "y"), ("alone", "alone")], "entity_id string, family string")
+    for steps in (3, 50):
+        got = values(S.family_of(df, roots.where("entity_id <> 'alone'"), f"file://{tmp_path}", steps), "node", "family")
+        assert sorted(got) == sorted([(f"c{i:03d}", "c020") for i in range(41)] + [("x", "y"), ("y", "y")])
+    assert values(S.family_of(df, roots.where("entity_id = 'alone'"), f"file://{tmp_path}"), "node", "family") == [("alone", "alone")]
+
+
+def test_embedding_hook_and_cache(spark):
+    texts = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, text string")
+    first = S.embed(texts.where("id < 2"), spark.createDataFrame([], "cache_key string"), "id", "text")
+    again = S.embed(texts, first, "id", "text", embed_fn=lambda t: F.array(F.length(t).cast("double")))
+    assert sorted(values(again, "id", "vector"), key=str) == [(2, [1.0]), (3, [None])]
+    assert S.embed(texts, first, "id", "text", recipe="other").count() == 3
+
+
+def test_facets_match_every_pair(spark):
+    rows = [("e", "tag", "a", "high"), ("e", "tag", "b", "low"), ("f", "tag", "a", "high"), ("f", "tag", "a", "high"), ("f", "genre", "a", "medium")]
+    facets = spark.createDataFrame(rows, "entity_id string, facet_namespace string, facet_key string, confidence_tier string")
+    assert values(B.facet_match_all(facets, [("tag", "a"), ("genre", "a")], ["high", "medium"]), "entity_id") == [("f",)]
+    assert values(B.facet_match_all(facets, [("tag", "a"), ("tag", "b")], ["high", "medium", "low"]), "entity_id") == [("e",)]
+
+
+def test_schema_majors(spark):
+    schema = "table_name string, schema_version string, compatibility_tier string, recipe_version string"
+    before = spark.createDataFrame([("entities", "2", None, None), ("relationships", "core.v1", None, "r1"), ("anime_profile", "1.0", None, "r1"), ("odd", "x", "core", None)], schema)
+    after = spark.createDataFrame([("entities", "1", None, "r2"), ("relationships", "core.v10", None, "r2"), ("anime_profile", "2.0", None, "r1"), ("odd", "3", "core", None)], schema)
+    got = values(G.compatibility_findings(before, after), "table_name", "rule", "severity")
+    assert sorted(got) == [("anime_profile", "schema_major_changed", "warning"), ("relationships", "recipe_changed", "warning"), ("relationships", "schema_major_changed", "error")]
+
+
+def test_similarity_reasons(spark):
+    ents = spark.createDataFrame([("a", ["x", "y"]), ("b", ["x"]), ("c", []), ("d", [])], "entity_id string, tags array<string>")
+    for c in ("genres", "studios", "creators"):
+        ents = ents.withColumn(c, F.array().cast("array<string>"))
+    edges = spark.createDataFrame([("a", "c"), ("c", "b"), ("c", "d"), ("a", "d")], "source_entity_id string, target_entity_id string")
+    near = spark.createDataFrame([("a", "d", 0.5)], "entity_id string, other_id string, score double")
+    got = {r.target_entity_id: (r.candidate_reasons, r.score_dimensions) for r in S.similarity_candidates(ents, edges, ents.where("entity_id = 'a'").select("entity_id"), near).collect()}
+    assert got == {"b": (["graph_distance_2", "shared_facets"], {"graph_distance_2": 1.0, "shared_facets": 1.0}), "d": (["vector_neighbour"], {"vector_neighbour": 0.5})}

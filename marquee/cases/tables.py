@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 from marquee.cases.searching import folder
 from marquee.functions import exprs as X
 from marquee.operators import edges as E
+from marquee.operators import ingest as I
 from marquee.operators import tables as B
 from marquee.plans import fixed, testbed
 from marquee.plans.testbed import duck
 from marquee.sources import readers as R
 from marquee.sources import writers as W
+from marquee.streaming import incremental as N
 
 
 def _joined(df, *columns):
@@ -174,6 +176,51 @@ def landed(spark, d):
     return n.unionByName(bad.groupBy(F.col("reason").alias("kind")).agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("tags")))
 
 
+def shows_landed(spark, d):
+    """Suppliers written as show payloads, one JSON object a line, and read again."""
+    place = f"{folder(spark)}/shows-{uuid.uuid4().hex}"
+    k = F.col("s_suppkey")
+    network = F.when(k % 3 == 0, F.struct(F.concat(F.lit("net "), "s_nationkey").alias("name")))
+    episodes = F.struct(F.transform(F.sequence(F.lit(1), (k % 4 + 1).cast("int")), lambda i: F.struct(i.alias("id"))).alias("episodes"))
+    rows = testbed.table(spark, d, "supplier").select(k.alias("id"), F.concat(F.lit("https://www.tvmaze.com/shows/"), k).alias("url"), F.col("s_name").alias("name"), F.lit("Scripted").alias("type"), F.array(F.lit("Drama"), F.lit(" "), F.when(k % 2 == 0, "Comedy").otherwise("Drama")).alias("genres"), F.lit("2001-02-03").alias("premiered"), network.alias("network"), F.struct(F.concat(F.lit("tt"), k).alias("imdb"), (k * 2).alias("thetvdb")).alias("externals"), episodes.alias("_embedded"))
+    rows.select(F.to_json(F.struct("*")).alias("value")).write.text(place)
+    return R.read_show_payloads(spark, place).select("id", "name", F.array_join("genres", "|").alias("genres"), "premiered", "imdb", "tvdb", "network", "episodes")
+
+
+def audit_landed(spark, d):
+    """Two files of audit rows: the later file's row of a source counts."""
+    place = f"{folder(spark)}/audit-{uuid.uuid4().hex}"
+    n = testbed.table(spark, d, "nation")
+    W.write_jsonl(n.select(F.col("n_name").alias("source_id"), F.lit(1).alias("v")), f"{place}/a")
+    W.write_jsonl(n.where("n_nationkey < 10").select(F.col("n_name").alias("source_id"), F.lit(2).alias("v")), f"{place}/b")
+    return R.read_audit(spark, "source_id string, v int", f"{place}/a", f"{place}/b")
+
+
+def best_titles(spark, d):
+    """Documents as search results of their language, those of source and length as title, episodes and year."""
+    rows = testbed.table(spark, d, "documents").select(F.col("lang").alias("search"), F.col("doc_id").alias("pos"), F.when(F.col("doc_id") % 10 == 0, F.upper("lang")).otherwise(F.col("source")).alias("romaji"), F.lit(None).cast("string").alias("english"), F.lit(None).cast("string").alias("native"), (F.col("n_chars") % 7).cast("int").alias("episodes"), (F.lit(1990) + F.col("n_chars") % 11).cast("int").alias("year"), F.concat(F.lit("u"), "doc_id").alias("url"))
+    return I.best_title_result(rows).select("search", "pos", "episodes", "year", "url")
+
+
+def snapshot_times(spark, d):
+    e = testbed.table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.lit("manami:unspecified")).otherwise(F.concat(F.lit("tvmaze:"), F.date_format("ts", "yyyy-MM-dd"))).alias("id"))
+    return e.select("event_id", F.date_format(X.snapshot_time(F.col("id")), "yyyy-MM-dd").alias("day"))
+
+
+def credits(spark, d):
+    """Parts with invented studios and staff."""
+    k = F.col("p_partkey")
+    studios = F.array(F.struct((k % 2 == 0).alias("isMain"), F.col("p_brand").alias("name")), F.struct(F.lit(False).alias("isMain"), F.lit("second").alias("name")))
+    staff = F.array(F.struct(F.lit("Original  Creator").alias("role"), F.when(k % 3 == 0, "").otherwise(F.col("p_type")).alias("full"), F.lit("native").alias("native")), F.struct(F.lit("Director").alias("role"), F.lit("d").alias("full"), F.lit("n").alias("native")))
+    return testbed.table(spark, d, "part").select("p_partkey", F.array_join(X.main_or_all(studios), "|").alias("studios"), F.array_join(X.creator_names(staff), "|").alias("creators"))
+
+
+def finalized(spark, d):
+    """A job for each supplier; one of them, and one without state, is finished."""
+    state = testbed.table(spark, d, "supplier").selectExpr("concat('job', s_suppkey) job", "'s1' snapshot_id", "'in_progress' status", "cast(s_suppkey as long) next_offset", "cast(null as string) last_checkpoint_path")
+    return N.finalize(N.finalize(state, "job1"), "other").select("job", "snapshot_id", "status", "next_offset")
+
+
 _SOURCE = "case when record_source like 'manami-project/anime-offline-database%' then 'manami' else record_source end"
 _H = "left(sha256({}), 16)"
 _EVID = "'evidence:'||" + _H.format("entity_id")
@@ -221,5 +268,11 @@ CASES = {
     "a_facet_match_every": (facet_match_every, duck("select entity_id, 2::bigint n from v_anime where list_contains(tags, 'small') and list_contains(tags, 'red')", "v_anime")),
     "s_written": (written, duck(_TITLES + ", n as (select 'titles' t, count(*) c from t union all select 'facets', sum(len(genres) + len(studios) + len(creators) + len(tags)) from v_ent union all select 'relationships', count(*) from v_edge semi join v_ent on entity_id = source_entity_id) select t table_name, t||'.parquet' path, c::bigint row_count, c::bigint read_count, 'core.v1' schema_version, 'core' compatibility_tier, 'source-policy-v1' policy_version, 'core-v1' recipe_version from n", "v_ent", "v_edge")),
     "s_catalog": (catalog, duck("with a as (select entity_id from v_anime where release_year > 2000) select relationship, count(*) n, count(distinct source_entity_id) sources, (select count(*)::int from a) entities from v_edge where source_entity_id in (select entity_id from a) group by 1", "v_anime", "v_edge")),
+    "s_shows": (shows_landed, "select s_suppkey::int id, s_name \"name\", case when s_suppkey % 2 = 0 then 'Comedy|Drama' else 'Drama' end genres, '2001-02-03' premiered, 'tt'||s_suppkey imdb, (s_suppkey * 2)::int tvdb, case when s_suppkey % 3 = 0 then 'net '||s_nationkey end network, (s_suppkey % 4 + 1)::int episodes from supplier"),
+    "s_audit": (audit_landed, "select n_name source_id, case when n_nationkey < 10 then 2 else 1 end::int v from nation"),
+    "n_best_titles": (best_titles, "with r as (select lang, doc_id, n_chars % 7 e, 1990 + n_chars % 11 y, row_number() over (partition by lang order by (doc_id % 10 = 0 or source = lang) desc, n_chars % 7 desc, 1990 + n_chars % 11 desc, doc_id) i from documents) select lang search, doc_id pos, e::int episodes, y::int \"year\", 'u'||doc_id url from r where i = 1"),
+    "x_snapshot_times": (snapshot_times, "select event_id, case when event_id % 3 = 0 then '1970-01-01' else strftime(ts, '%Y-%m-%d') end \"day\" from events"),
+    "x_credits": (credits, "select p_partkey, case when p_partkey % 2 = 0 then p_brand else p_brand||'|second' end studios, case when p_partkey % 3 = 0 then 'native' else p_type end creators from part"),
+    "i_finalize": (finalized, "select 'job'||s_suppkey job, 's1' snapshot_id, case when s_suppkey = 1 then 'completed' else 'in_progress' end status, s_suppkey::bigint next_offset from supplier union all select 'other', null, 'completed', 0"),
     "s_landed": (landed, duck("select 'domain '||domain kind, count(*) n, sum(len(tags))::bigint tags from v_ent group by 1 union all select case when s_suppkey % 2 = 0 then 'not_an_object' else 'unknown_key' end, count(*), 0 from supplier group by 1", "v_ent")),
 }

@@ -60,12 +60,12 @@ def balance(sizes: np.ndarray, capacity: int, quadratic: float) -> list[tuple[in
     return out
 
 
-def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quadratic: float = 1 / 2048, group_bytes: int = 8 << 20) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quadratic: float = 1 / 2048, group_bytes: int = 2 << 20) -> DataFrame:
     """Packs all documents: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A document is its ids and then ``end_id``. Documents are dealt into groups of about ``group_bytes`` of
     text, packed each for itself; a group's sequences are full but for powers of two at its end (those of the binary
-    digits of its last, incomplete sequence: a dozen to some 800 full ones), which need no padding. Each id lies in exactly one piece; offsets in a sequence run on from 0.
+    digits of its last, incomplete sequence: a dozen at most beside some 200 full ones), which need no padding. Each id lies in exactly one piece; offsets in a sequence run on from 0.
     Null and empty texts are one token, ``end_id``; texts are encoded whole; repeated and null doc_ids are
     packed row by row.
     """
@@ -97,7 +97,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quad
 
     tokens = docs.mapInArrow(encode, "doc_id long, ids binary, width int")
     # Rows are numbered, so that rows of one id spread as well.
-    tokens = tokens.withColumn("g", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(groups)).cast("int")).repartition(groups, "g")
+    tokens = tokens.withColumn("g", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(groups)).cast("int")).repartition(C.partitions(groups), "g")
     return tokens.groupBy("g").applyInArrow(assign, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 

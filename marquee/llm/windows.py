@@ -274,7 +274,7 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
         cut_schema += f", carry {docs.schema['carry'].dataType.simpleString()}"
     n = max(1, -(-C.text_bytes(docs) // block_bytes))
     shards = max(-(-n // BLOCKS_A_SHARD), min(n, TASKS))
-    blocks = C.with_group(docs, "doc_id", n).repartition(n, "g")
+    blocks = C.with_group(docs, "doc_id", n).repartition(C.partitions(n), "g")
     most = PART // spec.length
 
     def send_hashes(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -384,8 +384,8 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
 
     empty = pa.schema([])
     hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary, several binary, counts binary")
-    shared = hashes.repartition(shards, "shard").groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary, hot binary")
-    contexts = blocks.groupBy("g").cogroup(shared.repartition(n, "g").groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, hashes binary, ids binary, starts binary")
-    decided = contexts.repartition(shards, "shard").groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
+    shared = hashes.repartition(C.partitions(shards), "shard").groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary, hot binary")
+    contexts = blocks.groupBy("g").cogroup(shared.repartition(C.partitions(n), "g").groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, hashes binary, ids binary, starts binary")
+    decided = contexts.repartition(C.partitions(shards), "shard").groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
     answers = shared.select("g", "shard", "bits", "hot", F.lit(0).alias("step")).unionByName(decided.select("g", "shard", "bits", F.lit(None).cast("binary").alias("hot"), F.lit(1).alias("step")))
-    return blocks.groupBy("g").cogroup(answers.repartition(n, "g").groupBy("g")).applyInArrow(apply, cut_schema)
+    return blocks.groupBy("g").cogroup(answers.repartition(C.partitions(n), "g").groupBy("g")).applyInArrow(apply, cut_schema)

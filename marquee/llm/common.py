@@ -42,13 +42,16 @@ def materialize(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     options = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 4, "compression": "zstd"} if packed else {}
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Deletes a table that no plan reads any more."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+def discard(spark: SparkSession, *tables: str | DataFrame) -> None:
+    """Deletes tables (paths, or what ``materialize`` returned) that no plan reads any more."""
+    for table in tables:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table if isinstance(table, str) else table.table_path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def with_row_key(docs: DataFrame, key: str = "row_key") -> DataFrame:
@@ -85,6 +88,11 @@ def most_frequent(counts: DataFrame, most: int, name: str) -> DataFrame:
     return counts.where(step >= low)
 
 
+def partitions(groups: int) -> int:
+    """Partitions for so many groups: one each, up to what a driver can still schedule; beyond that a task takes its groups one after another."""
+    return min(groups, 20_000)
+
+
 def with_group(df: DataFrame, key: str, groups: int) -> DataFrame:
     return df.withColumn("g", F.expr(f"cast(pmod(xxhash64({key}), {groups}) as int)"))
 

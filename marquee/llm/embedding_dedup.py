@@ -170,7 +170,7 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, tile_rows: int = 2048,
             yield tile()
 
     ranged = placed.where("v is not null").repartitionByRange(wanted, "place", "name").sortWithinPartitions("place", "name", "vec_id")
-    tiles = C.materialize(ranged.select("vec_id", "name", "copies", "v").mapInArrow(cut, "part long, ids binary, copies binary, v binary, low array<double>, high array<double>"), "tiles", packed=True)
+    tiles = tiles_table = C.materialize(ranged.select("vec_id", "name", "copies", "v").mapInArrow(cut, "part long, ids binary, copies binary, v binary, low array<double>, high array<double>"), "tiles", packed=True)
     parts = (tiles.agg(F.max("part")).first()[0] or 0) + 1
     tiles = tiles.withColumn("stripe", F.floor(F.col("part") * min(wanted, parts) / parts).cast("int"))
     span = range(min(BOXED, x.shape[1]) + 1)
@@ -215,6 +215,7 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, tile_rows: int = 2048,
     work = left.unionByName(right)
     found = C.materialize(work.groupBy("stripe", "other").applyInArrow(link, "vec_id long, root long, n long"), "links")
     component = C.connected_components(found.select(F.col("vec_id").alias("src"), F.col("root").alias("dst")), "vector-components")
+    C.discard(vectors.sparkSession, tiles_table, units)
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     roots = classes.join(counts, "vec_id", "left").join(component.withColumnRenamed("node", "vec_id"), "vec_id", "left")
     roots = roots.select("name", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))

@@ -268,7 +268,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
     sizes = tagged.groupBy("grp", "component").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("grp").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
     sizes = sizes.select("grp", F.col("top.component").alias("largest"), F.ceil(F.col("total") / tile).cast("int").alias("tiles"), F.ceil((F.col("total") - F.col("top.n")) / tile).cast("int").alias("outer"))
-    open_ = C.materialize(tagged.join(sizes, "grp"), "open")
+    open_ = C.materialize(join_crowded(tagged, sizes, "grp", "doc", crowded_keys(tagged, "grp")), "open")
     spread = lambda seed, column: F.pmod(F.xxhash64("doc", F.lit(seed)), F.col(column).cast("long")).cast("int")
     full = open_.join(sets, "doc")
     inner = _packed(full.withColumn("tile", spread(1, "tiles")))
@@ -287,6 +287,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
     if not more.isEmpty():
         component = C.connected_components(links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-components")
 
+    C.discard(docs.sparkSession, members, sets, checked, links, open_, more)
     roots = classes.select("name", F.col("doc_id").alias("node")).join(component, "node", "left").select("name", F.coalesce("component", "node").alias("root"))
     out = signed.select("doc_id", "n", "name").join(roots, "name", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))

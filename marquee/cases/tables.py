@@ -187,6 +187,36 @@ def shows_landed(spark, d):
     return R.read_show_payloads(spark, place).select("id", "name", F.array_join("genres", "|").alias("genres"), "premiered", "imdb", "tvdb", "network", "episodes")
 
 
+def release_landed(spark, d):
+    """Suppliers as one release document (that is the format: one JSON object), written and read again."""
+    place = f"{folder(spark)}/release-{uuid.uuid4().hex}"
+    k = F.col("s_suppkey")
+    row = F.struct(k.alias("k"), F.col("s_name").alias("title"), F.lit("TV").alias("type"), F.lit("FINISHED").alias("status"), F.array(F.concat(F.lit("https://anidb.net/anime/"), k)).alias("sources"), F.struct(F.lit("FALL").alias("season"), (F.lit(1990) + k % 30).alias("year")).alias("animeSeason"), F.array(F.lit("a"), F.col("s_name")).alias("synonyms"), (k % 12).alias("episodes"))
+    doc = testbed.table(spark, d, "supplier").agg(F.to_json(F.struct(F.lit("r").alias("repository"), F.lit("2026-04-01").alias("lastUpdate"), F.array_sort(F.collect_list(row)).alias("data"))).alias("value"))
+    doc.write.text(place)
+    return R.read_release(spark, place).select("lastUpdate", "pos", "title", "year", "episodes", F.array_join("sources", "|").alias("sources"), F.array_join("synonyms", "|").alias("synonyms"))
+
+
+def bindings_landed(spark, d):
+    """Customers as one document of SPARQL results, written and read again."""
+    place = f"{folder(spark)}/bindings-{uuid.uuid4().hex}"
+    k = F.col("c_custkey")
+    value = lambda v: F.struct(v.cast("string").alias("value"))
+    row = F.struct(value(F.concat(F.lit("http://www.wikidata.org/entity/Q"), k)).alias("item"), F.when(k % 3 > 0, value(F.col("c_name"))).alias("itemLabel"), value(F.concat(F.lit("b|"), "c_mktsegment", F.lit("| |b"))).alias("genres"), value(k / 2).alias("runtime"))
+    doc = testbed.table(spark, d, "customer").agg(F.to_json(F.struct(F.struct(F.collect_list(row).alias("bindings")).alias("results"))).alias("value"))
+    doc.write.text(place)
+    return R.read_sparql_bindings(spark, place).select("qid", "label", F.array_join("genres", "|").alias("genres"), "runtime_minutes")
+
+
+def snapshot_written(spark, d):
+    """The same bundle under its snapshot and as the current one."""
+    place = f"{folder(spark)}/bundle-{uuid.uuid4().hex}"
+    ents = testbed.entities(spark, d)
+    rows = W.materialize_snapshot({"titles": B.titles_table(ents), "entities": B.entities_table(ents)}, place, "anime", "s1")
+    read = lambda at: B.table_row_counts({n: spark.read.parquet(f"{place}/{at}/{n}.parquet") for n in ("titles", "entities")})
+    return rows.select("table_name", "row_count").join(read("snapshots/anime/s1").withColumnRenamed("row_count", "kept"), "table_name").join(read("current/anime").withColumnRenamed("row_count", "current"), "table_name")
+
+
 def audit_landed(spark, d):
     """Two files of audit rows: the later file's row of a source counts."""
     place = f"{folder(spark)}/audit-{uuid.uuid4().hex}"
@@ -269,6 +299,9 @@ CASES = {
     "s_written": (written, duck(_TITLES + ", n as (select 'titles' t, count(*) c from t union all select 'facets', sum(len(genres) + len(studios) + len(creators) + len(tags)) from v_ent union all select 'relationships', count(*) from v_edge semi join v_ent on entity_id = source_entity_id) select t table_name, t||'.parquet' path, c::bigint row_count, c::bigint read_count, 'core.v1' schema_version, 'core' compatibility_tier, 'source-policy-v1' policy_version, 'core-v1' recipe_version from n", "v_ent", "v_edge")),
     "s_catalog": (catalog, duck("with a as (select entity_id from v_anime where release_year > 2000) select relationship, count(*) n, count(distinct source_entity_id) sources, (select count(*)::int from a) entities from v_edge where source_entity_id in (select entity_id from a) group by 1", "v_anime", "v_edge")),
     "s_shows": (shows_landed, "select s_suppkey::int id, s_name \"name\", case when s_suppkey % 2 = 0 then 'Comedy|Drama' else 'Drama' end genres, '2001-02-03' premiered, 'tt'||s_suppkey imdb, (s_suppkey * 2)::int tvdb, case when s_suppkey % 3 = 0 then 'net '||s_nationkey end network, (s_suppkey % 4 + 1)::int episodes from supplier"),
+    "s_release": (release_landed, "select '2026-04-01' \"lastUpdate\", (row_number() over (order by s_suppkey) - 1)::int pos, s_name title, (1990 + s_suppkey % 30)::int \"year\", (s_suppkey % 12)::int episodes, 'https://anidb.net/anime/'||s_suppkey sources, 'a|'||s_name synonyms from supplier"),
+    "s_bindings": (bindings_landed, "select 'Q'||c_custkey qid, case when c_custkey % 3 > 0 then c_name else 'Q'||c_custkey end label, case when c_mktsegment < 'b' then c_mktsegment||'|b' else 'b|'||c_mktsegment end genres, floor(c_custkey / 2)::int runtime_minutes from customer"),
+    "s_snapshot": (snapshot_written, duck(_TITLES + ", n as (select 'titles' t, count(*) c from t union all select 'entities', count(*) from v_ent) select t table_name, c row_count, c kept, c \"current\" from n", "v_ent")),
     "s_audit": (audit_landed, "select n_name source_id, case when n_nationkey < 10 then 2 else 1 end::int v from nation"),
     "n_best_titles": (best_titles, "with r as (select lang, doc_id, n_chars % 7 e, 1990 + n_chars % 11 y, row_number() over (partition by lang order by (doc_id % 10 = 0 or source = lang) desc, n_chars % 7 desc, 1990 + n_chars % 11 desc, doc_id) i from documents) select lang search, doc_id pos, e::int episodes, y::int \"year\", 'u'||doc_id url from r where i = 1"),
     "x_snapshot_times": (snapshot_times, "select event_id, case when event_id % 3 = 0 then '1970-01-01' else strftime(ts, '%Y-%m-%d') end \"day\" from events"),

@@ -120,8 +120,8 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     last = sorted(tuple(r) for r in bands.groupBy(step.alias("step")).agg(F.max("band"), F.min("band")).collect())
     first = min(low for *_, low in last)
     packed = V.pack(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
-    # One band of at most some 65,536 vectors is sent to every block.
-    meet = packed.withColumn("band", F.lit(first)).join(F.broadcast(bands.where(F.col("band") == first).select("band", F.col("ids").alias("cids"), F.col("x").alias("c"))), "band")
+    # One band of at most some 65,536 vectors is sent to every block, as a hash join: its key isn't folded into a literal.
+    meet = packed.withColumn("band", F.col("block") * 0 + first).join(F.broadcast(bands.where(F.col("band") == first).select("band", F.col("ids").alias("cids"), F.col("x").alias("c"))), "band")
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in V.rows(batches):

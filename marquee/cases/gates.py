@@ -91,8 +91,8 @@ def manifest(spark, d):
     actual = G.measured(frames)
     contracts = {n: G.Contract(df.columns if n != "customer" else df.columns[:-1]) for n, df in frames.items()} | {"lineitem": G.Contract(["l_orderkey"])}
     t = F.col("table_name")
-    regions = actual.where("table_name = 'region'").select(F.col("row_count").alias("regions"))
-    entries = actual.join(F.broadcast(regions), F.lit(True)).select("table_name", F.when(t != "part", F.concat(t, F.lit(".parquet"))).alias("path"), F.when(t == "supplier", "core.v0").otherwise("core.v1").alias("schema_version"), F.when(t == "region", "profile").otherwise("core").alias("compatibility_tier"), F.when(t == "nation", F.col("regions")).otherwise(F.col("row_count")).alias("row_count"))
+    regions = actual.where("table_name = 'region'").first().row_count
+    entries = actual.select("table_name", F.when(t != "part", F.concat(t, F.lit(".parquet"))).alias("path"), F.when(t == "supplier", "core.v0").otherwise("core.v1").alias("schema_version"), F.when(t == "region", "profile").otherwise("core").alias("compatibility_tier"), F.when(t == "nation", F.lit(regions)).otherwise(F.col("row_count")).alias("row_count"))
     files = entries.where("table_name <> 'orders' and path is not null").select("path")
     coverage = B.source_coverage(testbed.entities(spark, d)).where("source_id <> 'wikidata'").select("source_id", F.when(F.col("source_id") == "tvmaze", "LOCAL_EVIDENCE").otherwise(F.col("source_role")).alias("source_role"), F.concat("source_id", F.when(F.col("source_id") == "manami", ":unspecified").otherwise(":2026-04-27")).alias("source_snapshot_id"))
     head = testbed.entities(spark, d).agg(F.lit("media-metadata-v1").alias("artifact"), F.lit("other").alias("dataset_line"), F.lit("core.v2").alias("core_schema_version"), F.lit("").alias("dataset_version"), F.array_except(F.collect_set("domain"), F.array(F.lit("tv"))).alias("domains"))

@@ -15,8 +15,8 @@ A hash or passage that a third of all documents hold reaches a shard once per bl
 its surroundings are equal. Where they differ, one hash has a context for each document: hashes whose contexts may hold
 more than PART symbols are *hot*. Their windows travel one by one, to the shard of a hash of the whole window, so equal
 windows still meet and the others spread.
-There is a block for every ``block_bytes`` of text and a shard for every few blocks, each a partition of its own, so
-neither outgrows a task. A block sends a shard one packed row, so rows number blocks times shards, and never more than
+There is a block for every ``block_bytes`` of text and a shard for every two blocks, dealt over as many partitions as there
+are blocks, so neither outgrows a task. A block sends a shard one packed row, so rows number blocks times shards, and never more than
 anchors: past some terabytes a packed row holds only a few hashes, and the shuffle is that of a row for each anchor.
 Blocks are of bounded size but for a single longer text, which is a block of its own and takes some 16 bytes of
 memory for each of its bytes.
@@ -40,8 +40,8 @@ CHUNK = 1 << 16
 PART = 1 << 19
 #: Windows with one anchor make one run; where ties go on (one byte repeated), runs are cut at so many times the usual length.
 LONGEST = 8
-#: Blocks for each shard, once there are shards for so many tasks.
-BLOCKS_A_SHARD, TASKS = 4, 16
+#: Blocks for each shard.
+BLOCKS_A_SHARD = 2
 
 
 def portions(sizes: np.ndarray, most: int) -> Iterator[slice]:
@@ -273,7 +273,7 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
     if carried:
         cut_schema += f", carry {docs.schema['carry'].dataType.simpleString()}"
     n = max(1, -(-C.text_bytes(docs) // block_bytes))
-    shards = max(-(-n // BLOCKS_A_SHARD), min(n, TASKS))
+    shards = -(-n // BLOCKS_A_SHARD)
     blocks = C.with_group(docs, "doc_id", n).repartition(C.partitions(n), "g")
     most = PART // spec.length
 
@@ -384,8 +384,8 @@ def removed_text(docs: DataFrame, spec: Windows, finder: Finder, cut: Callable[[
 
     empty = pa.schema([])
     hashes = blocks.groupBy("g").applyInArrow(send_hashes, "shard int, g int, hashes binary, again binary, several binary, counts binary")
-    shared = hashes.repartition(C.partitions(shards), "shard").groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary, hot binary")
+    shared = hashes.repartition(C.partitions(n), "shard").groupBy("shard").applyInArrow(find_shared, "g int, shard int, bits binary, hot binary")
     contexts = blocks.groupBy("g").cogroup(shared.repartition(C.partitions(n), "g").groupBy("g")).applyInArrow(send_contexts, "shard int, g int, symbols binary, lengths binary, hashes binary, ids binary, starts binary")
-    decided = contexts.repartition(C.partitions(shards), "shard").groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
+    decided = contexts.repartition(C.partitions(n), "shard").groupBy("shard").applyInArrow(decide, "g int, shard int, bits binary")
     answers = shared.select("g", "shard", "bits", "hot", F.lit(0).alias("step")).unionByName(decided.select("g", "shard", "bits", F.lit(None).cast("binary").alias("hot"), F.lit(1).alias("step")))
     return blocks.groupBy("g").cogroup(answers.repartition(C.partitions(n), "g").groupBy("g")).applyInArrow(apply, cut_schema)

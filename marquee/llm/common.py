@@ -163,11 +163,12 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 
 def trim_memory() -> None:
-    """Gives memory that the driver's Python has freed back to the system, where the C library can."""
+    """Gives memory that this process (the driver, or a worker that now waits for its next task) has freed back to the system, where the C library can."""
     import ctypes
     import gc
 
     gc.collect()
+    pa.default_memory_pool().release_unused()
     release = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if release:
         release(0)

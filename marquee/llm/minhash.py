@@ -193,6 +193,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
                 registers = kind.sketch(sets)
                 names = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array([r.tobytes() for r in registers], pa.binary())], ["doc_id", "n", "name", "registers"])
+        C.trim_memory()
 
     signed = docs.mapInArrow(sign, "doc_id long, n long, name binary, registers binary")
     ids = docs.agg(F.count("*"), F.countDistinct("doc_id")).first()

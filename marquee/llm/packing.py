@@ -81,6 +81,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quad
                 ids = np.insert(ids.astype(kind), bounds[1:], kind(end_id))
                 bounds = bounds + np.arange(len(bounds))
                 yield pa.RecordBatch.from_arrays([part.column(0), C.bytes_column(ids.view(np.uint8), bounds * ids.itemsize), pa.array(np.full(part.num_rows, ids.itemsize, np.int32))], ["doc_id", "ids", "width"])
+        del encoder
+        C.trim_memory()
 
     def assign(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])

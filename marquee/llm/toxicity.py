@@ -291,6 +291,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, most: int = 1200, least: f
         for batch in batches:
             for part in slices(batch, text, 1 << 20):
                 yield part.filter(pa.array(_values(shared.value, part.column(text)) < least))
+        C.trim_memory()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, embedding_dedup, minhash, packing, sql, substring_dedup, suffix_array_dedup, token_counts, topk, toxicity, url_filter
+from marquee.llm import bpe, chat, embedding_dedup, infilling, minhash, packing, resampling, sql, substring_dedup, suffix_array_dedup, token_counts, topk, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_hyperminhash_dedup": minhash.op8,
         "op9_url_filter": url_filter.op9,
         "op10_norm_sorted_topk": topk.op10,
+        "op11_chat_format": chat.op11,
+        "op12_fill_in_middle": infilling.op12,
+        "op13_importance_resampling": resampling.op13,
     }
 
 
@@ -26,4 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_pca_tiled_links": sql.OP4,
         "op8_hyperminhash_dedup": sql.OP8,
         "op10_norm_sorted_topk": sql.OP10,
+        "op11_chat_format": sql.OP11,
+        "op12_fill_in_middle": sql.OP12,
     }

@@ -31,3 +31,19 @@ OP10 = """with v as (select vec_id, list_transform(embedding::double[], lambda x
  p as (select a.vec_id query_id, b.vec_id, list_dot_product(a.z, b.z)::bigint score from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
  r as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int "rank", vec_id, score from p)
 select * from r where "rank" <= 10"""
+
+_SAID = r"\### Assistant: </turn> ok"
+
+OP11 = rf"""with c as (select conv_id, turn, coalesce(role, '') "role", coalesce(text, '') text from conversations union all select * from (values (-7, 0, 'user', '{_SAID}'), (-7, 1, 'assistant', '{_SAID}'))),
+ e as (select *, replace(replace(text, '\', '\\'), '<|', '<\|') x, replace(replace("role", '\', '\\'), '<|', '<\|') r from c)
+select conv_id, count(*) n_turns, sha256(string_agg("role" || chr(10) || text || chr(10), '' order by turn nulls first, "role")) turns_sha256,
+ coalesce(sum(length(text)) filter ("role" = 'assistant'), 0)::bigint loss_chars, sha256(coalesce(string_agg(text, '' order by turn nulls first) filter ("role" = 'assistant'), '')) loss_sha256,
+ sum(26 + length(r) + length(x))::bigint formatted_chars from e group by 1"""
+
+OP12 = r"""with h as (select doc_id, coalesce(text, '') t, sha256('42:' || coalesce(doc_id::varchar, '')) s from documents),
+ u as (select *, regexp_extract_all(t, '[ \t-\r]*[^ \t-\r]+|[ \t-\r]+') w, [('0x' || s[8 * i - 7:8 * i])::ubigint for i in [1, 2, 3, 4]] k from h),
+ n as (select *, len(w) n, least(k[1] % (len(w) + 1), k[2] % (len(w) + 1))::bigint a, greatest(k[1] % (len(w) + 1), k[2] % (len(w) + 1))::bigint b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or k[3] % 100 >= 50 then 'plain' when k[4] % 100 < 80 then 'spm' else 'psm' end form from u),
+ p as (select doc_id, n, form, t, array_to_string(w[:a], '') x, array_to_string(w[a + 1:b], '') y, array_to_string(w[b + 1:], '') z from n)
+select doc_id, n, form, case when form <> 'plain' then length(x) end prefix_chars, case when form <> 'plain' then length(y) end middle_chars,
+ sha256(case form when 'plain' then t when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y else '<S>' || z || '<P>' || x || '<M>' || y end) output_sha256, sha256(t) restored_sha256 from p"""

@@ -22,6 +22,12 @@ def validated(spark, d):
     return I.validate(testbed.candidates(spark, d)).select("pos", "reason", "detail")
 
 
+def validated_raw(spark, d):
+    """Landed JSON of every document, judged by the kinds it really holds."""
+    out = I.validate_raw(testbed.raw_candidates(spark, d))
+    return out.select("pos", "reason", "detail", F.array_join("fields", "|").alias("fields"), "year", "episodes", F.md5(F.array_join("synonyms", "|")).alias("synonyms_md5"))
+
+
 def rejections(spark, d):
     return I.rejection_summary(I.validate(testbed.candidates(spark, d)))
 
@@ -97,6 +103,10 @@ _TARGET = "['SEQUEL', 'PREQUEL', 'SPIN_OFF', 'SUMMARY', 'PARENT', 'CONTAINS', 'A
 CASES = {
     "f_title_contains": (filtered_titles, duck("select entity_id, title from v_ent where contains(lower(title), 'red')", "v_ent")),
     "f_validate": (validated, duck(_REASONS + "select pos, reason, detail from r", "v_cand")),
+    "f_validate_raw": (validated_raw, """with c as (select doc_id pos, text, n_chars, case when doc_id % 11 in (2, 8) then 'missing' when doc_id % 11 in (1, 3, 4, 6, 7, 10) then 'odd' when n_chars % 7 = 0 then 'year' when doc_id % 9 = 0 then 'sources' end r from documents where doc_id is not null)
+ select pos, case when r = 'sources' then 'unsupported_source_url' when r is not null then 'missing_required_field' end reason, case when r = 'missing' then case pos % 11 when 2 then 'title' else 'title,type' end when r = 'odd' then 'candidate_shape' when r = 'year' then 'animeSeason.year' else r end detail,
+ case when r = 'odd' then case pos % 11 when 1 then 'title' when 3 then 'type' when 4 then 'episodes' when 6 then 'animeSeason.season|animeSeason.year' when 7 then 'synonyms.1' else '' end when r = 'missing' then case pos % 11 when 2 then 'title' else 'title|type' end when r = 'year' then 'animeSeason.year' else r end fields,
+ case when r is null or r = 'sources' then (1950 + n_chars % 70)::int end "year", case when (r is null or r in ('year', 'sources')) and pos % 11 <> 5 then (n_chars % 26)::int end episodes, case when r is null or r in ('year', 'sources') then md5(text) end synonyms_md5 from c"""),
     "f_rejections": (rejections, duck(_REASONS + "select coalesce(reason, 'accepted') reason, count(*) n from r group by 1", "v_cand")),
     "f_batches": (batches, "with o as (select doc_id, row_number() over (order by doc_id) - 1 i, count(*) over () n from documents), b as (select i // ((n + 3) // 4) batch, doc_id from o) select batch::int batch, count(*) n, min(doc_id) low, max(doc_id) high from b group by 1"),
     "n_release": (release, duck(_REASONS + """select pos, 'anime:anidb:'||pos entity_id, 'https://anidb.net/anime/'||pos canonical_source, title, case when regexp_matches(text, '[^\\x00-\\x7F]') then md5(text) end original_md5, "type" media_type, "year" release_year,

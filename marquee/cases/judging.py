@@ -66,6 +66,11 @@ def gate(spark, d):
     return _gated(spark, d).select("judgment_id", F.array_join("reasons", "|").alias("reasons"), "eligible")
 
 
+def gate_with_nulls(spark, d):
+    """Every document as a judgment, many with absent values: each absent value shuts the gate."""
+    return J.gate(testbed.odd_judgments(spark, d), J.Recipe(parameters={"temperature": "0"})).select("doc_id", F.array_join("reasons", "|").alias("reasons"), "eligible")
+
+
 def applied(spark, d):
     return J.apply(_gated(spark, d))
 
@@ -208,6 +213,9 @@ CASES = {
     "a_decision_counts": (response_counts, _RESP + "select count(*) executed, count(*) filter (status = 'ok') ok, count(*) filter (status = 'parse_error') parse_error, count(*) filter (status = 'schema_error') api_error from s"),
     "l_records": (records, duck("select 'j:'||source_entity_id||':'||target_entity_id judgment_id, case when relationship = 'related_anime' then 'uncertain' else relationship end judged, case when len(supporting_urls) / 5.0::double >= 0.9 then 'high' when len(supporting_urls) / 5.0::double >= 0.8 then 'medium' else 'low' end confidence_tier, 'model_inferred'||case when relationship = 'related_anime' then '|unsupported_relationship' else '' end quality_flags, array_to_string(list_transform(range(1, len(supporting_urls) + 1), lambda i: 'j:'||source_entity_id||':'||target_entity_id||':supporting_url:'||i), '|') evidence_ids from v_edge", "v_edge")),
     "l_gate": (gate, duck(_GATE + "select judgment_id, reasons, reasons = '' eligible from g", "v_judg")),
+    "l_gate_nulls": (gate_with_nulls, """with g as (select documents.doc_id, concat_ws('|', case when quality is null then 'judgment_status_not_approved' end, case when n_chars is null or n_chars % 4 = 0 then 'judgment_kind_not_allowed' end, case when documents.doc_id % 19 = 0 then 'output_schema_version_mismatch' end, case when documents.doc_id % 5 < 2 then 'confidence_below_recipe_minimum' end, case when documents.doc_id % 23 = 0 then 'parameter_mismatch:temperature' end,
+ case when toxic is null then 'blocked_quality_flag:unknown' end, case when documents.doc_id % 13 = 0 or documents.doc_id % 7 = 0 then 'non_publishable_input_ref' end, case when documents.doc_id % 13 = 0 or documents.doc_id % 17 = 0 then 'input_use_not_allowed' end, case when documents.doc_id % 3 = 0 then 'insufficient_publishable_evidence_refs' end) reasons from documents left join labels on labels.doc_id = documents.doc_id)
+ select doc_id, reasons, reasons = '' eligible from g"""),
     "l_apply": (applied, duck(_GATE + "select judgment_id, kind, confidence from g where reasons = ''", "v_judg")),
     "a_run_scores": (scores, duck(f"with {_SCORES} select * from s", "v_run")),
     "w_rank_models": (ranking, duck(f"with {_SCORES} select model, row_number() over (order by correct desc, valid_json desc, reachable desc, coalesce(best_latency_ms, 999999999), model) \"rank\", correct, valid_json, reachable from s", "v_run")),

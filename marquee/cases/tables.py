@@ -176,6 +176,17 @@ def landed(spark, d):
     return n.unionByName(bad.groupBy(F.col("reason").alias("kind")).agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("tags")))
 
 
+def strict_landed(spark, d):
+    """Documents written as entity lines with planted faults: what is read as good, and why the others are not."""
+    place = f"{folder(spark)}/strict-{uuid.uuid4().hex}"
+    testbed.raw_entities(spark, d).write.text(place)
+    good, bad = R.read_entities(spark, place)
+    doc = lambda c: F.regexp_extract(c, r"doc:(\d+)", 1).cast("long").alias("doc_id")
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = good.select(doc("record_source"), none("string").alias("reason"), none("string").alias("detail"), "release_year", F.size("related").alias("edges"), F.md5(F.array_join("synonyms", "|")).alias("synonyms_md5"))
+    return rows.unionByName(bad.select(doc("value"), "reason", "detail", none("int").alias("release_year"), none("int").alias("edges"), none("string").alias("synonyms_md5")))
+
+
 def shows_landed(spark, d):
     """Suppliers written as show payloads, one JSON object a line, and read again."""
     place = f"{folder(spark)}/shows-{uuid.uuid4().hex}"
@@ -307,5 +318,8 @@ CASES = {
     "x_snapshot_times": (snapshot_times, "select event_id, case when event_id % 3 = 0 then '1970-01-01' else strftime(ts, '%Y-%m-%d') end \"day\" from events"),
     "x_credits": (credits, "select p_partkey, case when p_partkey % 2 = 0 then p_brand else p_brand||'|second' end studios, case when p_partkey % 3 = 0 then 'native' else p_type end creators from part"),
     "i_finalize": (finalized, "select 'job'||s_suppkey job, 's1' snapshot_id, case when s_suppkey = 1 then 'completed' else 'in_progress' end status, s_suppkey::bigint next_offset from supplier union all select 'other', null, 'completed', 0"),
+    "s_strict": (strict_landed, """with c as (select doc_id, text, n_chars, doc_id % 13 k from documents where doc_id is not null), r as (select *, case when k in (1, 3, 6, 7, 8, 10) then 'wrong_type' when k in (2, 5, 12) then 'missing_required_field' when k = 4 then 'unknown_key' when k = 11 then 'not_an_object' end reason from c)
+ select doc_id, reason, case k when 1 then 'release_year' when 2 then 'entity_id' when 3 then 'related.1.target' when 4 then 'related.1.more' when 5 then 'related.1.target_url' when 6 then 'title' when 7 then 'synonyms.1' when 8 then 'field_sources.title' when 10 then 'source_role' when 11 then '' when 12 then 'status' end detail,
+ case when reason is null then case k when 9 then 2009 else 1950 + n_chars % 70 end::int end release_year, case when reason is null then 2 end edges, case when reason is null then md5(text) end synonyms_md5 from r"""),
     "s_landed": (landed, duck("select 'domain '||domain kind, count(*) n, sum(len(tags))::bigint tags from v_ent group by 1 union all select case when s_suppkey % 2 = 0 then 'not_an_object' else 'unknown_key' end, count(*), 0 from supplier group by 1", "v_ent")),
 }

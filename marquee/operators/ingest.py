@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
+from marquee.functions import shapes as sh
 from marquee.operators import edges as E
 from marquee.plans import fixed
 
@@ -70,6 +71,41 @@ def validate(cands: DataFrame) -> DataFrame:
     return cands.withColumn("_v", case).withColumn("reason", F.col("_v.reason")).withColumn("detail", F.col("_v.detail")).drop("_v")
 
 
+CANDIDATE_SHAPE = sh.record({
+    "sources": sh.many(sh.string(), True), "title": sh.string(True), "type": sh.string(True, values=fixed.MEDIA_TYPES), "episodes": sh.whole(nullable=True), "status": sh.string(True, values=fixed.STATUSES),
+    "animeSeason": sh.record({"season": sh.string(nullable=True), "year": sh.whole(nullable=True)}), "synonyms": sh.many(sh.string()), "relatedAnime": sh.many(sh.string()), "tags": sh.many(sh.string()),
+})
+
+
+def validate_raw(cands: DataFrame) -> DataFrame:
+    """Candidates as landed (pos, raw JSON text, others) with reason, detail and fields (null where accepted) and typed columns.
+
+    The rules of ``validate`` on the kinds that the JSON really has: an absent required field is missing; a null or a value of
+    another kind, at any depth, is an odd shape, and so is text that is no JSON object. ``fields`` names every field at fault. Other keys are
+    let through. Typed columns (title, type, status, year, episodes, sources, synonyms, related, tags) are null in rows of odd or missing fields.
+    """
+    strings = lambda: F.array().cast("array<string>")
+    row = lambda reason, detail, names: F.struct(F.lit(reason).alias("reason"), detail.alias("detail"), names.alias("fields"))
+    odd, one = F.lit("candidate_shape"), lambda name: F.array(F.lit(name))
+
+    def judged(j: Column, found: Column) -> Column:
+        missing = sh.of_kind(found, sh.MISSING)
+        year, sources = F.try_variant_get(j, "$.animeSeason.year", "int"), F.try_variant_get(j, "$.sources", "array<string>")
+        return (F.when(found.isNull(), row("missing_required_field", odd, strings()))
+                .when(F.exists(found, lambda f: f["fault"] == sh.MISSING), row("missing_required_field", F.array_join(missing, ","), missing))
+                .when(F.size(found) > 0, row("missing_required_field", odd, sh.of_kind(found, sh.WRONG)))
+                .when(year.isNull(), row("missing_required_field", F.lit("animeSeason.year"), one("animeSeason.year")))
+                .when(F.size(parsed_sources(sources)) == 0, row("unsupported_source_url", F.lit("sources"), one("sources"))))
+
+    shaped = lambda j: F.when(F.schema_of_variant(j).startswith("OBJECT"), sh.faults(j, CANDIDATE_SHAPE))
+    out = cands.withColumn("_j", F.try_parse_json("raw")).withColumn("_v", sh.bound(F.col("_j"), lambda j: sh.bound(shaped(j), lambda found: judged(j, found))))
+    sound = F.col("_v").isNull() | (F.col("_v.detail") == "animeSeason.year") | (F.col("_v.detail") == "sources") & (F.col("_v.reason") == "unsupported_source_url")
+    get = lambda path, kind: F.when(sound, F.try_variant_get("_j", f"$.{path}", kind))
+    texts = lambda path: F.when(sound, F.coalesce(F.try_variant_get("_j", f"$.{path}", "array<string>"), strings()))
+    columns = {"title": get("title", "string"), "type": get("type", "string"), "status": get("status", "string"), "year": get("animeSeason.year", "int"), "episodes": get("episodes", "int"), "sources": texts("sources"), "synonyms": texts("synonyms"), "related": texts("relatedAnime"), "tags": texts("tags")}
+    return out.select(*cands.columns, "_v.reason", "_v.detail", "_v.fields", *[v.alias(k) for k, v in columns.items()])
+
+
 def rejection_summary(validated: DataFrame) -> DataFrame:
     """Candidates per reason; accepted ones under ``accepted``."""
     return validated.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"))

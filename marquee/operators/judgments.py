@@ -137,21 +137,28 @@ class Recipe:
 
 
 def gate(judgments: DataFrame, recipe: Recipe) -> DataFrame:
-    """Adds reasons (in rule order) and eligible. Parameters are a map column; inputs an array of (publishable, allowed_uses)."""
+    """Adds reasons (in rule order) and eligible. Parameters are a map column; inputs an array of (publishable, allowed_uses).
+
+    The gate is shut where a value is absent: null in any column that a rule reads, a confidence that is no number from 0 to 1, or no input
+    at all fail that rule. Null flags count as the flag ``unknown``, which always blocks.
+    """
     fixed_value = [(recipe.provider, "provider"), (recipe.model, "model"), (recipe.prompt_version, "prompt_version")]
+    fails = lambda rule, reason: F.when(F.coalesce(rule, F.lit(True)), reason)
     rules = [
-        F.when(F.col("status") != "approved", "judgment_status_not_approved"),
-        F.when(~F.col("kind").isin(recipe.kinds), "judgment_kind_not_allowed"),
-        F.when(F.col("output_schema_version") != recipe.output_schema_version, "output_schema_version_mismatch"),
-        F.when(F.col("confidence") < recipe.min_confidence, "confidence_below_recipe_minimum"),
-        *[F.when(F.col(c) != v, f"{c}_mismatch") for v, c in fixed_value if v is not None],
-        *[F.when(~F.try_element_at("parameters", F.lit(k)).eqNullSafe(F.lit(v)), f"parameter_mismatch:{k}") for k, v in recipe.parameters.items()],
+        fails(F.col("status") != "approved", "judgment_status_not_approved"),
+        fails(~F.col("kind").isin(recipe.kinds), "judgment_kind_not_allowed"),
+        fails(F.col("output_schema_version") != recipe.output_schema_version, "output_schema_version_mismatch"),
+        fails(~F.col("confidence").between(recipe.min_confidence, 1), "confidence_below_recipe_minimum"),
+        *[fails(F.col(c) != v, f"{c}_mismatch") for v, c in fixed_value if v is not None],
+        *[fails(F.try_element_at("parameters", F.lit(k)) != v, f"parameter_mismatch:{k}") for k, v in recipe.parameters.items()],
     ]
-    blocked = F.transform(F.array_sort(F.array_intersect("quality_flags", F.array(*[F.lit(f) for f in recipe.blocked_flags]))), lambda f: F.concat(F.lit("blocked_quality_flag:"), f))
+    flags = F.coalesce("quality_flags", F.array(F.lit("unknown")))
+    hit = F.array_sort(F.array_intersect(flags, F.array(*[F.lit(f) for f in [*recipe.blocked_flags, "unknown"]])))
+    blocked = F.transform(hit, lambda f: F.concat(F.lit("blocked_quality_flag:"), f))
     inputs = [
-        F.when(~F.forall("inputs", lambda i: i["publishable"]), "non_publishable_input_ref"),
-        F.when(~F.forall("inputs", lambda i: F.array_contains(i["allowed_uses"], recipe.required_use)), "input_use_not_allowed"),
-        F.when(F.col("publishable_evidence") < recipe.min_evidence, "insufficient_publishable_evidence_refs"),
+        fails((F.size("inputs") < 1) | ~F.forall("inputs", lambda i: F.coalesce(i["publishable"], F.lit(False))), "non_publishable_input_ref"),
+        fails((F.size("inputs") < 1) | ~F.forall("inputs", lambda i: F.coalesce(F.array_contains(i["allowed_uses"], recipe.required_use), F.lit(False))), "input_use_not_allowed"),
+        fails(F.col("publishable_evidence") < recipe.min_evidence, "insufficient_publishable_evidence_refs"),
     ]
     reasons = F.concat(F.array_compact(F.array(*rules)), blocked, F.array_compact(F.array(*inputs)))
     return judgments.withColumn("reasons", reasons).withColumn("eligible", F.size("reasons") == 0)

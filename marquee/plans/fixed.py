@@ -27,6 +27,7 @@ PREFERRED_PROVIDERS = ["anidb", "anilist", "myanimelist", "kitsu", "simkl", "ani
 # Names of sources, roles and recipes in the written tables.
 RELEASE_PREFIX, RELEASE_SOURCE = "manami-project/anime-offline-database", "manami"
 PUBLIC_ROLE = "BACKBONE_SOURCE"
+SOURCE_ROLES = ["BACKBONE_SOURCE", "ID_SOURCE", "LOCAL_EVIDENCE", "RUNTIME_ONLY", "PAID_EXPERIMENT_ONLY", "BLOCKED"]
 TABLE_RECIPE, EDGE_RECIPE, POLICY_VERSION = "core-v1", "relationship-taxonomy-v1", "source-policy-v1"
 CREATOR_ROLES = ["creator", "original creator", "original story", "original work"]
 MEDIA_TYPES = ["TV", "MOVIE", "OVA", "ONA", "SPECIAL", "UNKNOWN"]

@@ -105,6 +105,43 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judgments of all documents, with nulls: without a label no status, flags or publishability, and others absent by id."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(labels, "doc_id", "left").selectExpr(
+        "doc_id", "if(quality is null, null, 'approved') status", "if(n_chars % 4 = 0, null, 'relationship_classification') kind", "if(doc_id % 19 = 0, null, 'v1') output_schema_version",
+        "case when doc_id % 5 = 0 then null when doc_id % 5 = 1 then double('NaN') else 0.9D end confidence", "if(toxic is null, null, cast(array() as array<string>)) quality_flags", "if(doc_id % 23 = 0, null, map('temperature', '0')) parameters",
+        "if(doc_id % 13 = 0, null, array(named_struct('publishable', if(doc_id % 7 = 0, null, true), 'allowed_uses', if(doc_id % 17 = 0, null, array('llm_judgment'))))) inputs", "if(doc_id % 3 = 0, null, 2) publishable_evidence",
+    )
+
+
+def raw_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of JSON for each document, as an entity; twelve of every thirteen ids plant a fault or an odd form."""
+    field = lambda name, cases, rest: f"case doc_id % 13 {' '.join(f'when {k} then {v}' for k, v in cases.items())} else {rest} end"
+    q = lambda name, value: f"concat('\"{name}\": ', {value}, ', ')"
+    edge = """'{"target": "t", "relationship": "sequel", "target_url": "u"}'"""
+    odd_edge = {3: """'{"target": 7, "relationship": "sequel", "target_url": "u"}'""", 4: """'{"target": "t", "relationship": "sequel", "target_url": "u", "more": 1}'""", 5: """'{"target": "t", "relationship": "sequel"}'"""}
+    parts = [
+        field("entity_id", {2: "''"}, "concat('\"entity_id\": \"e', doc_id, '\", ')"), "'\"domain\": \"anime\", \"canonical_source\": \"u\", \"media_type\": \"TV\", '", q("record_source", "concat('\"doc:', doc_id, '\"')"),
+        field("title", {6: "'\"title\": 7, '", 12: "'\"title\": 7, '"}, "'\"title\": \"T\", '"), field("status", {12: "''"}, "'\"status\": \"S\", '"), q("source_role", field("", {10: "'\"FRIEND\"'"}, "'\"ID_SOURCE\"'")),
+        q("release_year", field("", {1: "'\"abc\"'", 9: "'\"2009\"'"}, "cast(1950 + n_chars % 70 as string)")), q("related", f"concat('[{{\"target\": \"s\", \"relationship\": \"prequel\", \"target_url\": \"v\"}}, ', {field('', odd_edge, edge)}, ']')"),
+        q("field_sources", field("", {8: "'{\"title\": \"x\"}'"}, "'{\"title\": [\"x\"]}'")), f"concat('\"synonyms\": ', {field('', {7: 'to_json(array(text, null))'}, 'to_json(array(text))')})",
+    ]
+    whole = f"concat('{{', {', '.join(parts)}, '}}')"
+    return table(spark, sf_dir, "documents").where("doc_id is not null").selectExpr(f"if(doc_id % 13 = 11, concat('broken doc:', doc_id), {whole}) value")
+
+
+def raw_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pos, raw): documents as landed release candidates; ten of every eleven ids plant a fault or an odd form."""
+    case = lambda cases, rest: f"case doc_id % 11 {' '.join(f'when {k} then {v}' for k, v in cases.items())} else {rest} end"
+    parts = [
+        case({1: "'\"title\": 7, '", 2: "''", 8: "''"}, "concat('\"title\": \"title ', doc_id, '\", ')"), case({3: "'\"type\": \"CLIP\", '", 8: "''"}, "'\"type\": \"TV\", '"), "'\"status\": \"FINISHED\", \"picture\": {\"any\": 1}, '",
+        case({4: "'\"episodes\": \"x\", '", 5: "'\"episodes\": null, '"}, "concat('\"episodes\": ', n_chars % 26, ', ')"), case({6: "'\"animeSeason\": {\"season\": 1, \"year\": \"soon\"}, '"}, "concat('\"animeSeason\": {', if(n_chars % 7 = 0, '', concat('\"year\": ', 1950 + n_chars % 70)), '}, ')"),
+        case({7: "concat('\"synonyms\": ', to_json(array(text, null)), ', ')"}, "concat('\"synonyms\": ', to_json(array(text)), ', ')"), "concat('\"sources\": [', if(doc_id % 9 = 0, '\"https://example.org/x\"', concat('\"https://anidb.net/anime/', doc_id, '\"')), ']')",
+    ]
+    return table(spark, sf_dir, "documents").where("doc_id is not null").selectExpr("doc_id pos", f"if(doc_id % 11 = 10, '[1, 2]', concat('{{', {', '.join(parts)}, '}}')) raw")
+
+
 # The same views in DuckDB's SQL.
 _ANIME = """select 'anime:part:'||p_partkey entity_id, 'anime' as domain, 'https://anidb.net/anime/'||p_partkey canonical_source, 'BACKBONE_SOURCE' source_role, 'manami-project/anime-offline-database@1' record_source,
  p_name title, case when p_partkey % 5 = 0 then 'Été '||p_name end original_title, p_type media_type, 'FINISHED' status, 1990 + p_size release_year, p_size episodes,

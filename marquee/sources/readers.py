@@ -6,20 +6,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
+from marquee.functions import shapes as sh
+from marquee.plans import fixed
 
 EDGE = "struct<target:string,relationship:string,target_url:string,supporting_urls:array<string>>"
 ENTITY = f"entity_id string, domain string, canonical_source string, source_role string, record_source string, title string, original_title string, media_type string, status string, release_year int, episodes int, synonyms array<string>, sources array<string>, genres array<string>, studios array<string>, creators array<string>, tags array<string>, related array<{EDGE}>, field_sources map<string,array<string>>"
 
 
+TEXTS = sh.many(sh.string())
+EDGE_SHAPE = sh.record({"target": sh.string(True), "relationship": sh.string(True), "target_url": sh.string(True), "supporting_urls": TEXTS}, closed=True)
+ENTITY_SHAPE = sh.record(
+    {n: sh.string(True) for n in ("entity_id", "domain", "canonical_source", "record_source", "title", "media_type", "status")}
+    | {"source_role": sh.string(True, values=fixed.SOURCE_ROLES), "release_year": sh.whole(True), "episodes": sh.whole(nullable=True), "original_title": sh.string(nullable=True)}
+    | {n: TEXTS for n in ("synonyms", "sources", "genres", "studios", "creators", "tags")}
+    | {"related": sh.many(EDGE_SHAPE), "field_sources": sh.mapping(TEXTS)},
+    closed=True,
+)
+
+
 def read_entities(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
-    """Entities of JSONL corpora, and the lines that are no JSON object or hold unknown keys. Blank lines are skipped."""
+    """Entities of JSONL corpora, and the lines that are none: (value, reason, detail).
+
+    Reasons, the first that holds: not_an_object (also for a key given twice), unknown_key, missing_required_field and wrong_type;
+    detail names the fields at fault, nested ones by path. Absent lists are empty. Blank lines are skipped.
+    """
     lines = spark.read.text(list(paths)).where(F.trim("value") != "")
-    names = [c.split(" ")[0] for c in _fields(ENTITY)]
-    keys = F.json_object_keys("value")
-    reason = F.when(keys.isNull(), "not_an_object").when(F.size(F.array_except(keys, F.array(*[F.lit(n) for n in names]))) > 0, "unknown_key")
-    marked = lines.withColumn("reason", reason)
-    good = marked.where("reason is null").select(F.from_json("value", ENTITY).alias("e")).select("e.*")
-    return good, marked.where("reason is not null")
+    v = F.try_parse_json("value")
+    steps = [("unknown_key", sh.UNKNOWN), ("missing_required_field", sh.MISSING), ("wrong_type", sh.WRONG)]
+
+    def judged(found):
+        case = F.when(found.isNull(), F.struct(F.lit("not_an_object").alias("reason"), F.lit("").alias("detail")))
+        for reason, fault in steps:
+            case = case.when(F.size(sh.of_kind(found, fault)) > 0, F.struct(F.lit(reason).alias("reason"), F.array_join(sh.of_kind(found, fault), ",").alias("detail")))
+        return case
+
+    marked = lines.withColumn("_r", sh.bound(v, lambda x: sh.bound(F.when(F.schema_of_variant(x).startswith("OBJECT"), sh.faults(x, ENTITY_SHAPE)), judged)))
+    good = marked.where("_r is null").select(F.from_json("value", ENTITY).alias("e"), v.alias("v"))
+    number = lambda c: F.try_variant_get("v", f"$.{c}", "int").alias(c)
+    empty = {"related": f"array<{EDGE}>"} | {n: "array<string>" for n in ("synonyms", "sources", "genres", "studios", "creators", "tags")}
+    column = lambda c: number(c) if c in ("release_year", "episodes") else F.coalesce(f"e.{c}", F.array().cast(empty[c])).alias(c) if c in empty else F.col(f"e.{c}")
+    return good.select(*[column(f.split(" ")[0]) for f in _fields(ENTITY)]), marked.where("_r is not null").select("value", "_r.reason", "_r.detail")
 
 
 def _fields(ddl: str) -> list[str]:
@@ -69,10 +95,14 @@ def read_catalog(spark: SparkSession, entities_path: str, edges_path: str) -> tu
 
 
 def read_audit(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
-    """Audit rows of JSONL files; per source_id the last row of the last file (in the order given) counts."""
-    parts = [spark.read.schema(schema).json(p).withColumn("_at", F.struct(F.lit(i).alias("file"), F.monotonically_increasing_id().alias("row"))) for i, p in enumerate(paths)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    columns = [c for c in every.columns if c != "_at"]
-    return every.groupBy("source_id").agg(F.max_by(F.struct(*columns), "_at").alias("r")).select("r.*")
+    """Audit rows of JSONL files; per source_id the last row counts: of the last path given, of its last file by name, there the last line."""
+    from pyspark.sql.types import StructType
+
+    names = StructType.fromDDL(schema).fieldNames()
+    every = None
+    for i, p in enumerate(paths):
+        # Rows of a file come by block, and in their order inside one; task numbers need not follow the files.
+        at = F.struct(F.lit(i).alias("path"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+        part = spark.read.schema(schema).json(p).select(F.struct(*names).alias("r"), at.alias("_at"))
+        every = part if every is None else every.unionByName(part)
+    return every.groupBy("r.source_id").agg(F.max_by("r", "_at").alias("r")).select("r.*")

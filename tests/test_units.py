@@ -140,7 +140,7 @@ def test_merge_cards(spark):
 
 
 def test_files(spark, tmp_path):
-    entity = {"entity_id": "anime:x:1", "domain": "anime", "title": "T", "related": [{"target": "anime:x:2", "relationship": "sequel", "target_url": "u", "supporting_urls": []}]}
+    entity = {"entity_id": "anime:x:1", "domain": "anime", "canonical_source": "u", "source_role": "ID_SOURCE", "record_source": "r", "title": "T", "media_type": "TV", "status": "FINISHED", "release_year": 2001, "related": [{"target": "anime:x:2", "relationship": "sequel", "target_url": "u", "supporting_urls": []}]}
     (tmp_path / "c.jsonl").write_text("\n".join([json.dumps(entity), "", json.dumps(entity | {"odd": 1}), "[1]"]))
     good, bad = R.read_entities(spark, f"file://{tmp_path}/c.jsonl")
     assert values(good, "entity_id", "title") == [("anime:x:1", "T")]
@@ -157,6 +157,56 @@ def test_files(spark, tmp_path):
     assert values(shows, "entity_id", "release_year", "episodes", "tags") == [("tv:tvmaze:3", 2001, 1, ["a", "b", "network:w"])]
 
 
+ENTITY = {"entity_id": "e", "domain": "anime", "canonical_source": "u", "source_role": "BACKBONE_SOURCE", "record_source": "r", "title": "T", "media_type": "TV", "status": "S", "release_year": 2001}
+EDGE_OF = {"target": "t", "relationship": "sequel", "target_url": "u"}
+
+
+@pytest.mark.parametrize(("change", "reason", "detail"), [
+    ({"release_year": "abc"}, "wrong_type", "release_year"), ({"release_year": 2001.5}, "wrong_type", "release_year"), ({"release_year": 99999999999}, "wrong_type", "release_year"), ({"release_year": None}, "wrong_type", "release_year"),
+    ({"entity_id": None}, "wrong_type", "entity_id"), ({"entity_id": 7}, "wrong_type", "entity_id"), ({"entity_id": "-"}, "missing_required_field", "entity_id"), ({"source_role": "FRIEND"}, "wrong_type", "source_role"),
+    ({"synonyms": ["a", 1, None]}, "wrong_type", "synonyms.1,synonyms.2"), ({"tags": "x"}, "wrong_type", "tags"), ({"genres": None}, "wrong_type", "genres"), ({"field_sources": {"title": ["u"], "year": "u"}}, "wrong_type", "field_sources.year"),
+    ({"related": [EDGE_OF, EDGE_OF | {"target": 5}]}, "wrong_type", "related.1.target"), ({"related": [{"target": "t", "relationship": "r"}]}, "missing_required_field", "related.0.target_url"), ({"related": [EDGE_OF | {"more": 1}]}, "unknown_key", "related.0.more"),
+    ({"related": [EDGE_OF, "x"]}, "wrong_type", "related.1"), ({"other": {}}, "unknown_key", "other"), ({"title": 7, "status": "-"}, "missing_required_field", "status"),
+    ({}, None, None), ({"release_year": "2001"}, None, None), ({"release_year": 2001.0}, None, None), ({"episodes": None, "original_title": None}, None, None), ({"related": [EDGE_OF]}, None, None),
+])
+def test_strict_entities(spark, tmp_path, change, reason, detail):
+    (tmp_path / "e.jsonl").write_text(json.dumps({k: v for k, v in (ENTITY | change).items() if v != "-"}))
+    good, bad = R.read_entities(spark, f"file://{tmp_path}/e.jsonl")
+    assert values(bad, "reason", "detail") == ([(reason, detail)] if reason else [])
+    assert values(good, "release_year", "synonyms") == ([] if reason else [(2001, [])])
+
+
+def test_raw_candidates(spark):
+    base = {"title": "A", "sources": ["https://anidb.net/anime/1"], "type": "TV", "status": "FINISHED", "animeSeason": {"year": 2001}, "more": 1}
+    bad = "missing_required_field"
+    cases = [
+        (json.dumps(base), (None, None, None)), ("[1]", (bad, "candidate_shape", [])), ("no", (bad, "candidate_shape", [])), (None, (bad, "candidate_shape", [])), (json.dumps(base | {"title": 7}), (bad, "candidate_shape", ["title"])),
+        (json.dumps(base | {"title": None}), (bad, "candidate_shape", ["title"])), (json.dumps(base | {"episodes": "x"}), (bad, "candidate_shape", ["episodes"])), (json.dumps(base | {"episodes": "12"}), (None, None, None)),
+        (json.dumps(base | {"sources": ["a", 1]}), (bad, "candidate_shape", ["sources.1"])), (json.dumps(base | {"type": "CLIP"}), (bad, "candidate_shape", ["type"])), (json.dumps(base | {"animeSeason": None}), (bad, "candidate_shape", ["animeSeason"])),
+        (json.dumps(base | {"animeSeason": {"year": "soon", "season": 1}}), (bad, "candidate_shape", ["animeSeason.season", "animeSeason.year"])), (json.dumps(base | {"animeSeason": {}}), (bad, "animeSeason.year", ["animeSeason.year"])),
+        (json.dumps({"title": 5, "type": "TV"}), (bad, "sources,status", ["sources", "status"])), (json.dumps(base | {"sources": []}), ("unsupported_source_url", "sources", ["sources"])), (json.dumps(base | {"synonyms": None}), (bad, "candidate_shape", ["synonyms"])),
+    ]
+    out = I.validate_raw(spark.createDataFrame([(i, raw) for i, (raw, _) in enumerate(cases)], "pos int, raw string")).orderBy("pos")
+    assert values(out, "reason", "detail", "fields") == [want for _, want in cases]
+    assert [r.title is None for r in out.collect()] == [bool(want[0]) and want[1] not in ("animeSeason.year", "sources") for _, want in cases]
+
+
+def test_gate_is_shut_for_absent_values(spark):
+    schema = "status string, kind string, output_schema_version string, confidence double, parameters map<string,string>, quality_flags array<string>, inputs array<struct<publishable:boolean,allowed_uses:array<string>>>, publishable_evidence int, provider string"
+    good = ["approved", "relationship_classification", "v1", 0.9, {"t": "0"}, [], [(True, ["llm_judgment"])], 1, "p"]
+    every = ["judgment_status_not_approved", "judgment_kind_not_allowed", "output_schema_version_mismatch", "confidence_below_recipe_minimum", "provider_mismatch", "parameter_mismatch:t", "blocked_quality_flag:unknown", "non_publishable_input_ref", "input_use_not_allowed", "insufficient_publishable_evidence_refs"]
+    rows, want = [good, [None] * 9], [[], every]
+    single = [every[0], every[1], every[2], every[3], every[5], every[6], None, every[9], every[4]]
+    for i, reason in enumerate(single):
+        rows.append([None if i == k else v for k, v in enumerate(good)])
+        want.append([reason] if reason else [every[7], every[8]])
+    for i, value, reasons in ((3, float("nan"), [every[3]]), (3, 1.5, [every[3]]), (6, [], [every[7], every[8]]), (6, [(None, None)], [every[7], every[8]]), (6, [(True, ["llm_judgment"]), None], [every[7], every[8]]), (4, {"t": None}, [every[5]]), (5, ["fine", None], [])):
+        rows.append([value if i == k else v for k, v in enumerate(good)])
+        want.append(reasons)
+    out = J.gate(spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], schema + ", n int"), J.Recipe(provider="p", parameters={"t": "0"})).orderBy("n")
+    assert values(out, "reasons", "eligible") == [(w, not w) for w in want]
+
+
 def test_writers(spark, tmp_path):
     frames = {"a": spark.range(3), "b": spark.range(5)}
     assert sorted(values(W.materialize_snapshot(frames, f"file://{tmp_path}", "job", "s1"), "table_name", "row_count")) == [("a", 3), ("b", 5)]
@@ -174,6 +224,21 @@ def test_audit_rows_keep_the_last(spark, tmp_path):
     assert sorted(values(R.read_audit(spark, "source_id string, n int", f"file://{tmp_path}/1.jsonl", f"file://{tmp_path}/2.jsonl"), "source_id", "n")) == [("a", 4), ("b", 2)]
 
 
+def test_audit_rows_of_many_files_and_blocks(spark, tmp_path):
+    # Large files come first in Spark's tasks, and a file is cut into many of them.
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k, lines in enumerate((2, 3000, 1, 4000, 5)):
+        (folder / f"{k}.jsonl").write_text("".join(json.dumps({"source_id": f"s{i % 7}", "n": k * 10_000 + i}) + "\n" for i in range(lines)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = dict(values(R.read_audit(spark, "source_id string, n int", f"file://{folder}"), "source_id", "n"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {f"s{i}": 40_000 + i for i in range(5)} | {"s5": 30_000 + 3999 - (3999 - 5) % 7, "s6": 30_000 + 3999 - (3999 - 6) % 7}
+
+
 def test_state(spark):
     state = spark.createDataFrame([("j", "s", "in_progress", 5, "p")], "job string, snapshot_id string, status string, next_offset long, last_checkpoint_path string")
     assert N.resume_offset(state, "j", "s") == 5 and N.resume_offset(state, "j", "other") == 0

@@ -183,6 +183,31 @@ def stream_budget(spark, d):
     return N.daily_counts(spark, out, DAY_LIMIT)
 
 
+def _landed_in_thirds(spark, d, run):
+    """Events land in three parts by time, and after each the stream goes on from where it ended."""
+    e = testbed.table(spark, d, "events")
+    low, high = e.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    place = f"{folder(spark)}/stream-{spark.sql('select uuid()').first()[0]}"
+    third = F.least(F.floor((F.unix_micros("ts") - F.lit(low)) * 3 / F.lit((high or 0) - (low or 0) + 1)), F.lit(2)).cast("int")
+    for i in range(3):
+        e.where(third == i).write.mode("append").parquet(f"{place}/in")
+        out = run(f"{place}/in", e.schema, f"{place}/work")
+    return out
+
+
+def stream_windows(spark, d):
+    requests = lambda df: df.withColumn("provider", F.concat(F.lit("p"), F.col("user_id") % 3))
+    return N.latest_days(spark, _landed_in_thirds(spark, d, lambda source, schema, work: N.daily_budget_events(spark, source, schema, work, requests)), DAY_LIMIT)
+
+
+def stream_uncached(spark, d):
+    """Calls that no error row answers, each input once: the watermark spans all events."""
+    calls = lambda df: df.select("ts", F.concat("props", F.col("user_id").cast("string")).alias("input")).withColumn("cache_key", X.cache_key("t", "p", "m", "r", F.col("input")))
+    cache = calls(testbed.table(spark, d, "events").where("event_type = 'error'"))
+    out = _landed_in_thirds(spark, d, lambda source, schema, work: N.uncached_stream(spark, source, schema, work, calls, cache, delay="400 days"))
+    return spark.read.schema("ts timestamp, input string, cache_key string").parquet(out).groupBy("input").agg(F.count("*").alias("n"), F.countDistinct("cache_key").alias("keys"))
+
+
 _CONF = """round(least(case {r} when 'related_anime' then 0.42::double when 'spinoff' then 0.4::double else 0.78::double end + least(len(supporting_urls) - 1, 5) * 0.04::double + least(len(list_distinct(list_transform(supporting_urls, lambda u: regexp_extract(u, '//([^/]+)/', 1)))) - 1, 4) * 0.05::double + case when {r} <> 'related_anime' and len(list_filter(supporting_urls, lambda u: u like 'https://anilist.co/%')) > 0 then 0.06::double else 0 end, 0.98), 2)"""
 _CHANGED = f"""with a as (select *, {_CONF.format(r="relationship")} score from v_edge), b as (select source_entity_id, target_entity_id, relationship previous_relationship, {_CONF.format(r="relationship")} previous_score from v_prev), c as (select a.*, previous_relationship, previous_score, relationship is distinct from previous_relationship or score is distinct from previous_score changed_since_previous from a left join b using (source_entity_id, target_entity_id)) """
 _SIDE = """'{{"entity_id":"'||{e}.entity_id||'","domain":"'||{e}.domain||'","title":"'||{e}.title||'","original_title":'||coalesce('"'||{e}.original_title||'"', 'null')||',"media_type":"'||{e}.media_type||'","status_":0,"release_year":'||{e}.release_year||',"genres":'||{l1}||',"studios":'||{l2}||',"creators":'||{l3}||'}}'""".replace('"status_":0,', "")
@@ -229,4 +254,6 @@ CASES = {
     "i_stream_refresh": (stream_refresh, """with c as (select *, case when lang = 'es' then 'missing_required_field' when lang = 'fr' then 'missing_required_field' when n_chars % 7 = 0 then 'missing_required_field' when doc_id % 9 = 0 then 'unsupported_source_url' else 'accepted' end reason from documents)
  select reason, count(*) n, count(distinct case when reason = 'accepted' then doc_id end) entities, sum(case when reason = 'accepted' then 1950 + n_chars % 70 end)::bigint release_years, sum(case when reason = 'accepted' then 1 else 0 end)::bigint edges from c group by 1"""),
     "i_stream_budget": (stream_budget, _DAYS),
+    "i_stream_windows": (stream_windows, _DAYS),
+    "i_stream_uncached": (stream_uncached, "select distinct props||user_id input, 1::bigint n, 1::bigint \"keys\" from events where props||user_id not in (select props||user_id from events where event_type = 'error')"),
 }

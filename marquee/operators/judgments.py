@@ -190,12 +190,12 @@ def score_runs(results: DataFrame, cases: DataFrame) -> DataFrame:
     return j.select("case_id", "run_id", F.col("label").isNotNull().alias("valid"), F.col("same").eqNullSafe(F.col("expected_same")).alias("same_entity_correct"), F.col("label").eqNullSafe(F.col("expected_label")).alias("label_correct"))
 
 
-def budget_admission(calls: DataFrame, limit: float, scope: str, order: str, amount: str, ranges: int = 64) -> DataFrame:
+def budget_admission(calls: DataFrame, limit: float, scope: str, order: str, amount: str, rows_per_range: int = 500_000) -> DataFrame:
     """Calls admitted while the running amount of their scope stays within the limit; the first excess stops the scope.
 
     A negative (or null) amount is rejected: it counts nothing and is never admitted, so the running amount only grows. ``order`` is a
-    number. Sums run in two steps: over ``ranges`` ranges of the order, then inside each, so no task holds a scope's whole history.
+    whole number. Sums run in two steps: over ranges of the order that hold about as many rows each, then inside each.
     """
     spent = F.greatest(F.coalesce(amount, F.lit(0)), F.lit(0))
-    out = P.running(calls.withColumn("_spent", spent), scope, order, [order], {"running": ("sum", F.col("_spent"))}, ranges)
+    out = P.running(calls.withColumn("_spent", spent), scope, order, [order], {"running": ("sum", F.col("_spent"))}, rows_per_range)
     return out.withColumn("admitted", (F.col("running") <= limit) & F.coalesce(F.col(amount) >= 0, F.lit(False))).drop("_spent")

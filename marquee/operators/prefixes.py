@@ -2,33 +2,71 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bounds of the ranges that one table is cut into.
+MOST_RANGES = 1 << 14
 
-def running(df: DataFrame, scope: str, place: str, order: list, values: dict[str, tuple[str, Column]], ranges: int, before: bool = False) -> DataFrame:
+
+def bounds(df: DataFrame, place: str, rows_per_range: int) -> list[int]:
+    """Places (whole numbers) at which a new range begins: quantiles of all rows, a range for every ``rows_per_range`` of them, 16,384 at most.
+
+    One job counts and takes 1023 quantiles; only a table that asks for more ranges is read again. A place is never parted, so
+    a place of very many rows is one range.
+    """
+    few = 1 << 10
+    probs = lambda n: F.array(*[F.lit(i / n) for i in range(1, n)])
+    quantiles = lambda n: F.percentile_approx(place, probs(n), F.lit(16 * n))
+    total, found = df.agg(F.count("*"), quantiles(few)).first()
+    wanted = min(MOST_RANGES, max(1, -(-total // rows_per_range)))
+    if wanted > few:
+        found = df.agg(quantiles(wanted)).first()[0]
+    elif found:
+        found = [found[i * few // wanted - 1] for i in range(1, wanted)]
+    return sorted(set(found or []))
+
+
+def range_of(place: Column, cuts: Sequence[int]) -> Column:
+    """How many of the ascending ``cuts`` are at most ``place``: a binary search in a constant array. Null for a null place."""
+    steps = [1 << b for b in range(len(cuts).bit_length() - 1, -1, -1)] if cuts else []
+    if not steps:
+        return F.when(place.isNotNull(), F.lit(0))
+    most = (1 << 63) - 1
+    table = F.array(*[F.lit(c).cast("long") for c in [*cuts, *[most] * (2 * steps[0] - 1 - len(cuts))]])
+    at = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda low, s: F.when((low + s <= len(cuts)) & (F.element_at(table, low + s) <= place), low + s).otherwise(low))
+    return F.when(place.isNotNull(), at)
+
+
+def joined(kind: str, a: Column, b: Column) -> Column:
+    """A value carried over and one of the own range, either of which may be null."""
+    return F.greatest(a, b) if kind == "max" else F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+
+def with_carried(cut: DataFrame, carried: DataFrame, scope: str) -> DataFrame:
+    """Rows with what their scope carries into their range; null scopes and ranges meet their own."""
+    carried = carried.withColumnRenamed(scope, "_scope").withColumnRenamed("_range", "_of")
+    return cut.join(carried, F.col(scope).eqNullSafe(F.col("_scope")) & F.col("_range").eqNullSafe(F.col("_of")), "left").drop("_scope", "_of")
+
+
+def running(df: DataFrame, scope: str, place: str, order: list, values: dict[str, tuple[str, Column]], rows_per_range: int = 500_000, before: bool = False) -> DataFrame:
     """Adds running values (name: ("sum" or "max", column)) along ``order`` within ``scope``; ``before`` leaves the row itself out.
 
-    ``place`` is the number that ``order`` begins with. Each scope's history is cut into ``ranges`` ranges of it, one value per
-    range is carried over the few ranges before, and windows run inside ranges only: a scope of a third of all rows takes
-    up to ``ranges`` tasks. Rows of one place are never parted, so ties are decided by the rest of ``order``. A sum without rows before is null.
+    ``place`` is the whole number that ``order`` begins with. Ranges of it come from quantiles over all rows (``bounds``), so they hold about
+    as many rows each, whatever outliers there are, and grow in number with the table. One value per scope and range is carried over the
+    ranges before, and windows run inside ranges only. A sum without rows before is null.
     """
     kinds = {"sum": F.sum, "max": F.max}
-    low, high = df.agg(F.min(place), F.max(place)).first()
-    width = max(1, -(-(int(high) - int(low) + 1) // ranges)) if low is not None else 1
-    cut = df.withColumn("_range", F.floor((F.col(place) - F.lit(low)) / width).cast("int"))
+    cut = df.withColumn("_range", range_of(F.col(place), bounds(df, place, rows_per_range)))
     cut = cut.withColumns({f"_v_{n}": v for n, (_, v) in values.items()})
     totals = cut.groupBy(scope, "_range").agg(*[kinds[k](f"_v_{n}").alias(f"_t_{n}") for n, (k, _) in values.items()])
     # A row for each scope and range.
     earlier = Window.partitionBy(scope).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(scope, "_range", *[kinds[k](f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, (k, _) in values.items()])
     inside = Window.partitionBy(scope, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
-    out = cut.join(carried.withColumnRenamed(scope, "_scope").withColumnRenamed("_range", "_of"), F.col(scope).eqNullSafe(F.col("_scope")) & F.col("_range").eqNullSafe(F.col("_of")), "left")
-
-    def joined(kind: str, a: Column, b: Column) -> Column:
-        return F.greatest(a, b) if kind == "max" else F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
-
+    out = with_carried(cut, carried, scope)
     out = out.withColumns({n: joined(k, F.col(f"_c_{n}"), kinds[k](f"_v_{n}").over(inside)) for n, (k, _) in values.items()})
-    return reduce(lambda d, c: d.drop(c), [c for n in values for c in (f"_v_{n}", f"_c_{n}")] + ["_range", "_scope", "_of"], out)
+    return reduce(lambda d, c: d.drop(c), [c for n in values for c in (f"_v_{n}", f"_c_{n}")] + ["_range"], out)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -96,24 +96,68 @@ def daily_counts(spark: SparkSession, out: str, limit: int) -> DataFrame:
     return parts.groupBy("provider", "day").agg(F.sum("n").alias("n")).withColumn("exhausted", F.col("n") >= limit)
 
 
-def pacing(requests: DataFrame, step_us: int, ranges: int = 64) -> DataFrame:
+def pacing(requests: DataFrame, step_us: int, rows_per_range: int = 500_000) -> DataFrame:
     """Earliest allowed start of each request at one per ``step_us``, its wait, and whether the gap before it was too short.
 
-    The i-th request of a provider starts at ``i * step`` plus the greatest ``us - i * step`` so far. Numbers, gaps and maxima
-    run over ranges of time and inside them (``prefixes.running``), so no task holds a provider's whole history.
+    The i-th request of a provider starts at ``i * step`` plus the greatest ``us - i * step`` so far. Rows are cut into ranges of time of
+    about equal row counts (``prefixes.bounds``) and numbered inside them; what the ranges before add (their number, last time and greatest
+    lead) is carried over, a row for each provider and range, so no task holds a provider's whole history.
     """
-    one = P.running(requests, "provider", "us", ["us", "event_id"], {"_n": ("sum", F.lit(1).cast("long")), "_last": ("max", F.col("us"))}, ranges, before=True)
-    one = one.withColumn("i", F.coalesce("_n", F.lit(0)).cast("long"))
-    out = P.running(one, "provider", "us", ["us", "event_id"], {"_ahead": ("max", F.col("us") - F.col("i") * step_us)}, ranges)
-    out = out.withColumn("start_us", F.col("i") * step_us + F.col("_ahead")).withColumn("wait_us", F.col("start_us") - F.col("us"))
-    return out.withColumn("violation", F.coalesce(F.col("us") - F.col("_last") < step_us, F.lit(False))).drop("_n", "_last", "_ahead")
-
-
-def lease_conflicts(runs: DataFrame, lease_us: int, ranges: int = 64) -> DataFrame:
+    cut = requests.withColumn("_range", P.range_of(F.col("us"), P.bounds(requests, "us", rows_per_range)))
+    order = Window.partitionBy("provider", "_range").orderBy("us", "event_id")
+    own = cut.withColumn("_k", F.row_number().over(order).cast("long") - 1).withColumn("_prior", F.lag("us").over(order))
+    own = own.withColumn("_lead", F.max(F.col("us") - F.col("_k") * step_us).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    totals = own.groupBy("provider", "_range").agg(F.count("*").alias("_n"), F.max("us").alias("_last"), F.max("_lead").alias("_most"))
+    earlier = Window.partitionBy("provider").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumn("_last", F.max("_last").over(earlier))
+    carried = carried.withColumn("_ahead", F.max(F.col("_most") - F.col("_before") * step_us).over(earlier)).select("provider", "_range", "_before", "_last", "_ahead")
+    out = P.with_carried(own, carried, "provider").withColumn("i", (F.col("_before") + F.col("_k")).cast("long"))
+    start = F.col("i") * step_us + P.joined("max", F.col("_ahead"), F.col("_lead") - F.col("_before") * step_us)
+    out = out.withColumn("start_us", start).withColumn("wait_us", F.col("start_us") - F.col("us"))
+    violation = F.coalesce(F.col("us") - F.coalesce("_prior", "_last") < step_us, F.lit(False))
+    return out.withColumn("violation", violation).drop("_range", "_k", "_prior", "_lead", "_before", "_last", "_ahead")
+
+
+def lease_conflicts(runs: DataFrame, lease_us: int, rows_per_range: int = 500_000) -> DataFrame:
     """Runs that start before an earlier lease of their scope ends; maxima run over ranges of time and inside them."""
-    out = P.running(runs, "provider", "us", ["us", "event_id"], {"held_until": ("max", F.col("us") + lease_us)}, ranges, before=True)
+    out = P.running(runs, "provider", "us", ["us", "event_id"], {"held_until": ("max", F.col("us") + lease_us)}, rows_per_range, before=True)
     return out.withColumn("conflict", F.coalesce(F.col("us") < F.col("held_until"), F.lit(False)))
 
 
 def uncached(calls: DataFrame, cache: DataFrame, key: str = "cache_key") -> DataFrame:
     return calls.join(cache.select(key), key, "left_anti")
+
+
+def uncached_stream(spark: SparkSession, source: str, schema: StructType, work: str, calls, cache: DataFrame, key: str = "cache_key", ts: str = "ts", delay: str = "1 hour") -> str:
+    """The stream form of ``uncached``: the calls (``calls`` of the landed rows) whose key is in no cache and came in no call of the last ``delay``.
+
+    A key is held as state until the watermark, ``delay`` behind the latest ``ts`` read in earlier batches, has passed its time; rows
+    older than the watermark are dropped. Each batch has its own folder under ``work``/calls, which a repeat after a failure overwrites;
+    a restart goes on where the last run ended. Runs until all files are read; returns the folder.
+    """
+    out = f"{work}/calls"
+    rows = calls(spark.readStream.schema(schema).parquet(source)).withWatermark(ts, delay)
+    fresh = rows.dropDuplicatesWithinWatermark([key]).join(cache.select(key).distinct(), key, "left_anti")
+    put = lambda df, batch: df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    fresh.writeStream.foreachBatch(put).option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
+    return out
+
+
+def daily_budget_events(spark: SparkSession, source: str, schema: StructType, work: str, requests, delay: str = "1 hour") -> str:
+    """``daily_budget`` by event time: one-day windows held as state until the watermark, ``delay`` behind the latest ts of earlier batches, has passed their end.
+
+    Every batch writes the days whose count it changed (update mode), with their count so far, into its own folder under ``work``/days, which a
+    repeat overwrites; so days that are still open are there too. Rows of a day that the watermark has passed are dropped. ``latest_days`` reads.
+    """
+    out = f"{work}/days"
+    rows = requests(spark.readStream.schema(schema).parquet(source)).withWatermark("ts", delay)
+    days = rows.groupBy("provider", F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("n"))
+    put = lambda df, batch: df.select("provider", F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n").write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    days.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
+    return out
+
+
+def latest_days(spark: SparkSession, out: str, limit: int) -> DataFrame:
+    """Each day's count of the last batch that changed it."""
+    rows = spark.read.schema("provider string, day string, n long, batch long").parquet(out)
+    return rows.groupBy("provider", "day").agg(F.max_by("n", "batch").alias("n")).withColumn("exhausted", F.col("n") >= limit)

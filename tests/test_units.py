@@ -297,15 +297,89 @@ def test_running_values_over_ranges(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.randrange(1000), rng.randrange(-5, 50)) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, scope string, at long, v long")
-    for ranges in (1, 7, 5000):
+    for rows_per_range in (1, 60, 5000):
         for before in (False, True):
-            got = {r.id: (r.total, r.top) for r in P.running(df, "scope", "at", ["at", "id"], {"total": ("sum", df.v), "top": ("max", df.v)}, ranges, before).collect()}
+            got = {r.id: (r.total, r.top) for r in P.running(df, "scope", "at", ["at", "id"], {"total": ("sum", df.v), "top": ("max", df.v)}, rows_per_range, before).collect()}
             for i, scope, at, _ in rows:
                 own = [v for j, s, a, v in rows if s == scope and ((a, j) < (at, i) or (not before and j == i))]
                 assert got[i] == ((sum(own), max(own)) if own else (None, None))
     assert P.running(df.where("false"), "scope", "at", ["at"], {"total": ("sum", df.v)}, 8).count() == 0
 
 
+def test_ranges_are_even_whatever_outliers_there_are(spark):
+    df = spark.range(20_000).selectExpr("if(id = 7, 0, 1700000000000000 + id * id) at", "id").unionByName(spark.sql("select cast(null as long) at, 5L id union all select 9000000000000000, 6L"))
+    sizes = {}
+    for rows_per_range in (100, 1000, 10_000):
+        cuts = P.bounds(df, "at", rows_per_range)
+        found = df.withColumn("r", P.range_of(F.col("at"), cuts)).where("r is not null").groupBy("r").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")).orderBy("r").collect()
+        assert max(r.n for r in found) < 2 * rows_per_range and all(a.high < b.low for a, b in zip(found, found[1:]))
+        sizes[rows_per_range] = len(found)
+    assert sizes[100] > 9 * sizes[1000] / 2 > 4 * sizes[10_000]
+    assert [r.x for r in spark.createDataFrame([(i,) for i in range(-1, 12)], "a long").select(P.range_of(F.col("a"), [0, 3, 3, 9]).alias("x")).collect()] == [0, 1, 1, 1, 3, 3, 3, 3, 3, 3, 4, 4, 4]
+
+
+def paced(rows, step):
+    """(id, wait, violation) by the plain rule: start at the later of now and next; next is a step later."""
+    out, state = [], {}
+    for i, p, us in sorted(rows, key=lambda r: (r[2], r[0])):
+        free, last = state.get(p, (us, None))
+        start = max(us, free)
+        state[p] = (start + step, us)
+        out.append((i, start - us, last is not None and us - last < step))
+    return out
+
+
+def test_pacing_and_leases_over_ranges(spark):
+    rng = random.Random(12)
+    rows = [(i, rng.choice("aaab"), rng.choice([0, rng.randrange(3000), 10**6 + rng.randrange(50)])) for i in range(300)]
+    df = spark.createDataFrame(rows, "event_id long, provider string, us long")
+    for size in (1, 20, 1000):
+        assert sorted(values(N.pacing(df, 40, size), "event_id", "wait_us", "violation")) == sorted(paced(rows, 40))
+        held = {i: any(q == p and (t, j) < (us, i) and us < t + 100 for j, q, t in rows) for i, p, us in rows}
+        assert dict(values(N.lease_conflicts(df, 100, size), "event_id", "conflict")) == held
+
+
+def _land(spark, source, *rows):
+    spark.createDataFrame(rows, "user_id long, at string").selectExpr("user_id", "timestamp(at) ts").coalesce(1).write.mode("append").parquet(source)
+
+
+def test_day_windows_by_event_time(spark, tmp_path):
+    source, work = f"file://{tmp_path}/in", f"file://{tmp_path}/work"
+    requests = lambda df: df.withColumn("provider", F.concat(F.lit("p"), F.col("user_id")))
+    def days():
+        schema = spark.read.parquet(source).schema
+        return sorted(values(N.latest_days(spark, N.daily_budget_events(spark, source, schema, work, requests), 2), "provider", "day", "n", "exhausted"))
+    _land(spark, source, (1, "2024-01-01 23:50:00"), (1, "2024-01-01 23:59:59"), (2, "2024-01-01 10:00:00"))
+    assert days() == [("p1", "2024-01-01", 2, True), ("p2", "2024-01-01", 1, False)]  # the open day is there
+    _land(spark, source, (1, "2024-01-02 00:40:00"))
+    assert ("p1", "2024-01-02", 1, False) in days()
+    _land(spark, source, (2, "2024-01-01 23:00:00"), (1, "2024-01-02 05:00:00"))  # late, but 1 January is open until 01:00
+    assert ("p2", "2024-01-01", 2, True) in days()
+    _land(spark, source, (2, "2024-01-01 23:30:00"), (1, "2024-01-02 06:00:00"))  # later than the watermark: dropped
+    want = [("p1", "2024-01-01", 2, True), ("p1", "2024-01-02", 3, True), ("p2", "2024-01-01", 2, True)]
+    assert days() == want
+    assert days() == want  # a restart without new files changes nothing
+
+
+def test_stream_of_uncached_calls(spark, tmp_path):
+    source, work = f"file://{tmp_path}/in", f"file://{tmp_path}/work"
+    calls = lambda df: df.withColumn("cache_key", F.concat(F.lit("k"), F.col("user_id")))
+    cache = spark.createDataFrame([("k9",), ("k9",)], "cache_key string")
+    def found():
+        out = N.uncached_stream(spark, source, spark.read.parquet(source).schema, work, calls, cache)
+        return sorted((r.cache_key, str(r.ts)) for r in spark.read.parquet(out).collect())
+    _land(spark, source, (1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:00:00"), (9, "2024-01-01 00:00:00"))
+    one = [("k1", "2024-01-01 00:00:00")]
+    assert found() == one
+    _land(spark, source, (1, "2024-01-01 00:30:00"), (2, "2024-01-01 00:10:00"))
+    two = [*one, ("k2", "2024-01-01 00:10:00")]
+    assert found() == two and found() == two  # within the watermark, and after a restart
+    _land(spark, source, (3, "2024-01-01 05:00:00"))
+    assert len(found()) == 3
+    _land(spark, source, (4, "2024-01-01 01:00:00"), (1, "2024-01-01 05:10:00"))  # too late; and a key whose time is over
+    assert found() == sorted([*two, ("k3", "2024-01-01 05:00:00"), ("k1", "2024-01-01 05:10:00")])
+
+
 def test_negative_amounts_are_rejected(spark):
     calls = spark.createDataFrame([(1, "p", 60), (2, "p", -50), (3, "p", 50), (4, "p", 10), (5, "q", 10), (6, "p", None)], "i long, scope string, cost long")
     got = values(J.budget_admission(calls, 100, "scope", "i", "cost"), "i", "running", "admitted")

@@ -132,6 +132,23 @@ def preview(spark, d):
     )
 
 
+def preview_nodes(spark, d):
+    """Nodes of the preview's family as a frame of their own."""
+    return S.preview_frames(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))["nodes"]
+
+
+def preview_edges(spark, d):
+    frames = S.preview_frames(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))
+    return frames["edges"].select("place", "source_entity_id", "relationship", "target_entity_id", "confidence")
+
+
+def title_lookup(spark, d):
+    """As many queries as customers: their names, or all but the last letter of them in capitals. The first three hits of each."""
+    k = F.col("c_custkey")
+    queries = testbed.table(spark, d, "customer").select(F.when(k % 2 == 0, F.col("c_name")).otherwise(F.upper(F.left("c_name", F.length("c_name") - 1))).alias("query"))
+    return S.top(S.search(testbed.entities(spark, d), queries), S.search_order(), 3, ["query"]).select("query", "rank", "entity_id", "score", F.array_join("matched_fields", "|").alias("fields"))
+
+
 def franchise_pairs(spark, d):
     return S.franchise_pairs(testbed.movies(spark, d))
 
@@ -174,6 +191,27 @@ def embedded(spark, d):
     return S.embed(docs, before, "doc_id", "text").select("doc_id", F.array_join(F.transform("vector", lambda v: F.round((v + 1) * 255 / 2).cast("int").cast("string")), ",").alias("bytes"))
 
 
+def refusing_model():
+    """A model that gives hash vectors, and fails for a list with a text whose length is divisible by 11."""
+    import hashlib
+
+    def call(texts):
+        if any(len(t) % 11 == 0 for t in texts):
+            raise ValueError("refused")
+        return [[b / 255 * 2 - 1 for b in hashlib.sha256(t.encode()).digest()[:8]] for t in texts]
+
+    return call
+
+
+def embedded_by_model(spark, d):
+    """The same texts through the hook for real models; refused ones come as errors."""
+    docs = testbed.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    names = ("deterministic", "sha256", "embedding-v1")
+    before = S.fresh_texts(docs.where("doc_id % 3 = 0"), spark.createDataFrame([], "cache_key string"), "doc_id", "text", *names)
+    out = S.embed_batches(docs, before, "doc_id", "text", refusing_model, *names)
+    return out.select("doc_id", F.array_join(F.transform("vector", lambda v: F.round((v + 1) * 255 / 2).cast("int").cast("string")), ",").alias("bytes"), "error")
+
+
 def concept_remote(spark, d):
     """Documents as remote results, in their order, the first ten of each language."""
     tags = F.array(F.struct(F.lit("College").alias("name"), (F.col("n_chars") % 90).cast("int").alias("rank")), F.struct(F.lit("School").alias("name"), F.lit(50).alias("rank")))
@@ -254,6 +292,10 @@ CASES = {
     "y_retrieval_text": (retrieval, duck("select entity_id, concat_ws(' | ', title, original_title, media_type, status, nullif(release_year, 0)::varchar, nullif(array_to_string(synonyms, ', '), ''), nullif(array_to_string(genres, ', '), ''), nullif(array_to_string(studios, ', '), ''), nullif(array_to_string(creators, ', '), ''), nullif(array_to_string(tags, ', '), '')) retrieval_text from v_ent", "v_ent")),
     "y_query_preview": (preview, duck(_PREVIEW, "v_ent", "v_edge")),
     "y_similarity_candidates": (similarity, duck(_SIMILAR, "v_ent", "v_anime", "v_edge")),
+    "y_preview_nodes": (preview_nodes, duck(_PREVIEW[: _PREVIEW.index(" select 'small ring' query")] + " select place, entity_id from nd", "v_ent", "v_edge")),
+    "y_preview_edges": (preview_edges, duck(_PREVIEW[: _PREVIEW.index(" select 'small ring' query")] + f" select row_number() over (order by source_entity_id, r, target_entity_id) place, source_entity_id, r relationship, target_entity_id, {_CONF} confidence from (select *, relationship r from v_edge) where source_entity_id in (select entity_id from nd) and target_entity_id in (select x from fam)", "v_ent", "v_edge")),
+    "y_title_lookup": (title_lookup, duck(_HITS.replace(_Q, "q as (select *, " + _FOLD.format("query") + " q from (select case when c_custkey % 2 = 0 then c_name else upper(left(c_name, length(c_name) - 1)) end query from customer))") + 'select query, "rank", entity_id, score, fields from t where "rank" <= 3', "v_ent")),
+    "y_embed_batches": (embedded_by_model, "select doc_id, case when length(coalesce(text, '')) % 11 <> 0 then array_to_string(list_transform(range(0, 8), lambda i: ('0x'||substr(sha256(coalesce(text, '')), 2 * i + 1, 2))::int), ',') end bytes, case when length(coalesce(text, '')) % 11 = 0 then 'ValueError: refused' end error from documents where coalesce(text, '') not in (select coalesce(text, '') from documents where doc_id % 3 = 0)"),
     "y_embed": (embedded, "select doc_id, array_to_string(list_transform(range(0, 8), lambda i: ('0x'||substr(sha256(coalesce(text, '')), 2 * i + 1, 2))::int), ',') bytes from documents where coalesce(text, '') not in (select coalesce(text, '') from documents where doc_id % 3 = 0)"),
     "y_concept_remote": (concept_remote, _REMOTE),
     "j_neighbours_with_evidence": (neighbours_with_evidence, duck(_EVIDENCE, "v_ent", "v_edge")),

@@ -224,8 +224,9 @@ def snapshot_written(spark, d):
     place = f"{folder(spark)}/bundle-{uuid.uuid4().hex}"
     ents = testbed.entities(spark, d)
     rows = W.materialize_snapshot({"titles": B.titles_table(ents), "entities": B.entities_table(ents)}, place, "anime", "s1")
-    read = lambda at: B.table_row_counts({n: spark.read.parquet(f"{place}/{at}/{n}.parquet") for n in ("titles", "entities")})
-    return rows.select("table_name", "row_count").join(read("snapshots/anime/s1").withColumnRenamed("row_count", "kept"), "table_name").join(read("current/anime").withColumnRenamed("row_count", "current"), "table_name")
+    read = lambda df: B.table_row_counts({n: df(n) for n in ("titles", "entities")})
+    kept = read(lambda n: spark.read.parquet(f"{place}/snapshots/anime/s1/{n}.parquet")).withColumnRenamed("row_count", "kept")
+    return rows.select("table_name", "row_count").join(kept, "table_name").join(read(W.current(spark, place, "anime")[1].get).withColumnRenamed("row_count", "current"), "table_name")
 
 
 def audit_landed(spark, d):

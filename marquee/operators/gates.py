@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import itertools
-import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.rounds import forget, kept
 from marquee.operators import tables as B
 from marquee.plans import fixed, policies
 
@@ -61,31 +60,30 @@ def identity_findings(changes: DataFrame) -> DataFrame:
     return changes.withColumn("found", found).select("old_entity_id", F.explode("found").alias("finding"))
 
 
-def resolve_identity(ids: DataFrame, changes: DataFrame, folder: str, most: int | None = None) -> DataFrame:
-    """(entity_id, current_id): ids followed through changes until none applies; withdrawn ids have no row. A cycle is an error.
+def resolve_identity(ids: DataFrame, changes: DataFrame, folder: str) -> DataFrame:
+    """(entity_id, current_id): ids followed through changes until none applies; withdrawn ids have no row. A cycle that an id reaches is an error.
 
-    A chain has as many steps as it is long; ``most`` ends longer ones with an error where a caller wants that.
+    Every changed id holds the set of ids it leads to, and each round replaces those that are changed themselves by their own
+    sets, which doubles the reach: a chain of n changes takes some log2(n) rounds, each a table in ``folder``. Whatever is
+    still open after as many rounds as the number of changed ids asks for runs in a cycle.
     """
-    step = changes.select(F.col("old_entity_id").alias("at"), F.col("new_entity_ids").alias("next"))
-    now = ids.select("entity_id", F.col("entity_id").alias("at"), F.array("entity_id").alias("path"))
-    done = None
-    for _ in range(most) if most else itertools.count():
-        moved = _kept(now.join(step, "at", "left"), folder)
-        settled = moved.where("next is null").select("entity_id", F.col("at").alias("current_id"))
-        done = settled if done is None else done.unionByName(settled)
-        now = moved.where("next is not null").select("entity_id", F.explode("next").alias("at"), "path")
-        if not now.where(F.array_contains("path", F.col("at"))).isEmpty():
-            raise ValueError("identity changes form a cycle")
-        now = now.withColumn("path", F.array_append("path", F.col("at")))
-        if now.isEmpty():
-            return done.distinct()
-    raise ValueError("identity chains are too long")
-
-
-def _kept(df: DataFrame, folder: str) -> DataFrame:
-    path = f"{folder}/identity-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    changed = changes.select(F.col("old_entity_id").alias("at")).distinct()
+    mark = lambda df: df.join(changed.select(F.col("at").alias("to"), F.lit(True).alias("open")), "to", "left").select("at", "to", F.coalesce("open", F.lit(False)).alias("open"))
+    reach = mark(changes.select(F.col("old_entity_id").alias("at"), F.explode("new_entity_ids").alias("to")).distinct())
+    rounds = changed.count().bit_length() + 1
+    reach, left = kept(reach, folder, "identity", F.col("open"))
+    while left and rounds:
+        ahead = reach.select(F.col("at").alias("to"), F.col("to").alias("far"), F.col("open").alias("far_open"))
+        further = reach.where("open").join(ahead, "to").select("at", F.col("far").alias("to"), F.col("far_open").alias("open"))
+        now, left = kept(reach.where("not open").unionByName(further).distinct(), folder, "identity", F.col("open"))
+        forget(reach)
+        reach, rounds = now, rounds - 1
+    wanted = ids.select("entity_id").distinct()
+    if left and not reach.where("open").join(wanted.withColumnRenamed("entity_id", "at"), "at", "left_semi").isEmpty():
+        raise ValueError("identity changes form a cycle")
+    moved = reach.where("not open").select(F.col("at").alias("entity_id"), F.col("to").alias("current_id"))
+    same = wanted.join(changed.withColumnRenamed("at", "entity_id"), "entity_id", "left_anti").select("entity_id", F.col("entity_id").alias("current_id"))
+    return moved.join(wanted, "entity_id", "left_semi").unionByName(same)
 
 
 def null_counts(df: DataFrame, required: list[str]) -> DataFrame:

@@ -70,3 +70,40 @@ def running(df: DataFrame, scope: str, place: str, order: list, values: dict[str
     out = with_carried(cut, carried, scope)
     out = out.withColumns({n: joined(k, F.col(f"_c_{n}"), kinds[k](f"_v_{n}").over(inside)) for n, (k, _) in values.items()})
     return reduce(lambda d, c: d.drop(c), [c for n in values for c in (f"_v_{n}", f"_c_{n}")] + ["_range"], out)
+
+
+def key_bounds(df: DataFrame, key: Column, rows_per_range: int, each: int = 64) -> list:
+    """Sort keys (structs) at which a new range begins: every ``each``-th of a sample that holds about that many keys a range; none for a table of one range.
+
+    Rows are chosen by a hash of their key; the driver gets ``each`` keys for each of 1024 ranges at most.
+    """
+    total = df.count()
+    wanted = min(1 << 10, -(-total // rows_per_range))
+    if wanted < 2:
+        return []
+    share = max(1, total // (each * wanted))
+    keys = df.select(key.alias("k")).where(F.pmod(F.xxhash64("k"), F.lit(share)) == 0).distinct().orderBy("k")
+    found = [r.k for r in keys.limit(4 * each * wanted).collect()]
+    step = max(1, len(found) // wanted)
+    return found[step::step]
+
+
+def ordinals(df: DataFrame, group: str, order: list[Column], name: str = "place", rows_per_range: int = 500_000) -> DataFrame:
+    """Adds each row's place (from 1) within ``group`` in ascending ``order`` (nulls first), as row_number() does, but over ranges of the order.
+
+    A group of very many rows is cut where ``key_bounds`` says; rows are numbered inside each range, and the number of rows of the
+    ranges before is carried over. Rows of one key are never parted.
+    """
+    df = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
+    cuts = key_bounds(df, F.col("_key"), rows_per_range)
+    if not cuts:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy("_key"))).drop("_key")
+    kind = df.schema["_key"].dataType
+    table = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(c, kind, strict=True)]) for c in cuts])
+    steps = F.array(*[F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1)])
+    at = F.aggregate(steps, F.lit(0), lambda low, s: F.when((low + s <= len(cuts)) & (F.try_element_at(table, low + s) <= F.col("_key")), low + s).otherwise(low))
+    cut = df.withColumn("_range", at)
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.groupBy(group, "_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(group, "_range", "_before")
+    own = F.row_number().over(Window.partitionBy(group, "_range").orderBy("_key"))
+    return with_carried(cut, carried, group).withColumn(name, (F.col("_before") + own).cast("int")).drop("_key", "_range", "_before")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,35 +10,69 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
+from marquee.functions.rounds import forget, kept
 from marquee.functions.skew import crowded_keys, join_crowded
 from marquee.operators import edges as E
+from marquee.operators import prefixes as P
 from marquee.plans import fixed
 
 
-def search(ents: DataFrame, queries: DataFrame) -> DataFrame:
-    """query, entity_id, score and matched_fields of every entity that a query's text matches.
+#: Queries of at least so many characters are looked up by pieces of that length.
+PIECE = 3
 
-    Exact, prefix and substring matches of a title score above those of other names; else shared words count.
-    Queries are a small stated set (one row each, ``query``), broadcast against the scan of entities.
-    """
+
+def title_names(ents: DataFrame) -> DataFrame:
+    """(entity_id, title, release_year, pos, field, name): each folded name of an entity that isn't empty."""
     name = lambda kind, v: F.struct(F.lit(kind).alias("field"), X.fold(v).alias("name"))
     names = F.concat(F.array(name("title", F.col("title")), name("original_title", F.col("original_title"))), F.transform("synonyms", lambda s: name("synonym", s)))
-    base = ents.select("entity_id", "title", "release_year", F.filter(names, lambda n: F.coalesce(n["name"], F.lit("")) != "").alias("names"))
-    keys = queries.select("query", X.fold(F.col("query")).alias("q"))
-    pairs = base.join(F.broadcast(keys), F.exists("names", lambda n: F.lit(True)))
+    rows = ents.select("entity_id", "title", "release_year", F.posexplode(names).alias("pos", "n"))
+    return rows.select("entity_id", "title", "release_year", "pos", "n.field", "n.name").where("name <> ''")
+
 
-    def score(n: Column) -> Column:
-        title = n["field"] == "title"
-        overlap = F.least(F.size(F.array_intersect(F.split(F.col("q"), " "), F.split(n["name"], " "))) * 4, F.lit(16))
-        return (F.when(n["name"] == F.col("q"), F.when(title, 100).otherwise(96))
-                .when(n["name"].startswith(F.col("q")), F.when(title, 92).otherwise(84))
-                .when(n["name"].contains(F.col("q")), F.when(title, 88).otherwise(80))
-                .when(overlap > 0, overlap + 60).otherwise(0))
+def pieces(text: Column, size: int) -> Column:
+    """Distinct substrings of ``size`` characters; none of a shorter text."""
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (size - 1)), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
 
-    scored = pairs.withColumn("scores", F.transform("names", lambda n: F.struct(score(n).alias("score"), n["field"].alias("field"))))
-    scored = scored.withColumn("score", F.array_max(F.transform("scores", lambda s: s["score"]))).where("score > 0")
-    fields = F.array_distinct(F.transform(F.filter("scores", lambda s: s["score"] == F.col("score")), lambda s: s["field"]))
-    return scored.select("query", "entity_id", "title", "release_year", "score", fields.alias("matched_fields"))
+
+def name_candidates(names: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``names`` beside each row of ``keys`` (query, q) that they may match, by joins on words and pieces; a pair may come more than once.
+
+    A match shares a word with the query or holds it whole. One that holds a query of three words or more shares its inner words. Of
+    shorter queries the rarest piece (by names that hold it) is looked up, and the match confirmed; queries of one or two characters
+    are pieces themselves, and the empty query is held by every name.
+    """
+    words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
+    by_word = names.withColumn("key", F.explode(words("name"))).join(keys.withColumn("key", F.explode(words("q"))), "key").drop("key")
+    short = keys.where((F.length("q") >= PIECE) & (F.size(F.split("q", " ")) <= 2)).withColumn("key", F.explode(pieces(F.col("q"), PIECE)))
+    held = names.withColumn("key", F.explode(pieces(F.col("name"), PIECE)))
+    counts = held.join(short.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
+    rarest = short.join(counts, "key", "left").groupBy("query", "q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")).alias("r")).where("r.n > 0").select("query", "q", F.col("r.key").alias("key"))
+    by_piece = held.join(rarest, "key").drop("key").where(F.contains("name", "q"))
+    tiny = keys.where(F.length("q") < PIECE)
+    parts = F.concat(F.array(F.lit("")), *[pieces(F.col("name"), n) for n in range(1, PIECE)])
+    by_tiny = names.withColumn("key", F.explode(parts)).join(tiny.withColumn("key", F.col("q")), "key").drop("key")
+    return by_word.unionByName(by_piece).unionByName(by_tiny)
+
+
+def search(ents: DataFrame, queries: DataFrame) -> DataFrame:
+    """query, entity_id, title, release_year, score and matched_fields of every entity that a query's text matches.
+
+    Exact, prefix and substring matches of a title score above those of other names; else shared words count. Queries (a column
+    ``query``) may be many: they meet names by joins on an index of words and pieces, never all with all. A query that comes more than once
+    counts once, null never. A query of a word that very many names hold gives as many rows: that is the result.
+    """
+    keys = queries.select("query", X.fold(F.col("query")).alias("q")).where("q is not null").distinct()
+    found = name_candidates(title_names(ents), keys)
+    title, name, q = F.col("field") == "title", F.col("name"), F.col("q")
+    overlap = F.least(F.size(F.array_intersect(F.split(q, " "), F.split(name, " "))) * 4, F.lit(16))
+    score = (F.when(name == q, F.when(title, 100).otherwise(96))
+             .when(name.startswith(q), F.when(title, 92).otherwise(84))
+             .when(name.contains(q), F.when(title, 88).otherwise(80))
+             .otherwise(overlap + 60))
+    best = found.groupBy("query", "entity_id", "title", "release_year").agg(F.array_sort(F.collect_set(F.struct(score.alias("score"), "pos", "field"))).alias("s"))
+    best = best.withColumn("score", F.array_max(F.transform("s", lambda x: x["score"])))
+    fields = F.array_distinct(F.transform(F.filter("s", lambda x: x["score"] == F.col("score")), lambda x: x["field"]))
+    return best.select("query", "entity_id", "title", "release_year", "score", fields.alias("matched_fields"))
 
 
 def top(found: DataFrame, order: list, limit: int, per: list[str]) -> DataFrame:
@@ -56,30 +89,25 @@ def families(edges: DataFrame, folder: str, most_rounds: int = 100) -> DataFrame
 
     Labels spread along edges and then jump to their label's label, so rounds grow with the logarithm of a
     chain's length (100 stand for more nodes than there can be). Each round is a table in ``folder``, which driver and
-    executors share. Nodes of very many edges are dealt over several tasks.
+    executors share; the write counts the labels that changed, and the round before is deleted. Nodes of very many edges are dealt over several tasks.
     """
-    spark = edges.sparkSession
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct()
-    both = _written(both, folder)
-    label = _written(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("family")).withColumnRenamed("src", "node"), folder)
+    both, _ = kept(both, folder, "family")
+    label, _ = kept(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("family")).withColumnRenamed("src", "node"), folder, "family")
     crowded = crowded_keys(both, "dst")
     for _ in range(most_rounds):
         near = join_crowded(both, label.select(F.col("node").alias("dst"), "family"), "dst", "src", crowded).groupBy("src").agg(F.min("family").alias("near"))
         step = label.join(near.withColumnRenamed("src", "node"), "node").select("node", F.least("family", "near").alias("next"), "family")
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved = _written(step.join(jump, "next", "left").select("node", F.least(F.coalesce("far", "next"), "next").alias("next"), "family"), folder)
-        label = moved.select("node", F.col("next").alias("family"))
-        if moved.where("next <> family").isEmpty():
-            return label
+        moved, changes = kept(step.join(jump, "next", "left").select("node", F.least(F.coalesce("far", "next"), "next").alias("family"), F.col("family").alias("was")), folder, "family", F.col("family") != F.col("was"))
+        forget(label)
+        label = moved
+        if not changes:
+            forget(both)
+            return label.select("node", "family")
     raise RuntimeError("families did not settle")
 
 
-def _written(df: DataFrame, folder: str) -> DataFrame:
-    path = f"{folder}/family-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def family_graph(ents: DataFrame, edges: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes (members with an entity row) and edges from such nodes to any member of the same family, with confidence."""
     nodes = ents.join(members.withColumnRenamed("node", "entity_id"), "entity_id")
@@ -122,11 +150,12 @@ def shared_values(ents: DataFrame, column: str, roots: DataFrame | None = None)
 
     ``roots`` (entity_id) are joined to the index of values, so a value makes roots x holders rows. Without
     roots every entity is one: then a value held by most entities makes the square of their number, and the
-    caller should name roots instead.
+    caller should name roots instead. Values of very many holders are dealt over several tasks.
     """
     index = ents.select("entity_id", F.explode(F.array_distinct(F.transform(F.filter(column, lambda v: F.trim(v) != ""), X.fold))).alias("v"))
     left = index if roots is None else index.join(roots.select("entity_id"), "entity_id", "left_semi")
-    pairs = left.join(index.select(F.col("entity_id").alias("other_id"), "v"), "v").where("entity_id <> other_id")
+    holders = index.select(F.col("entity_id").alias("other_id"), "v")
+    pairs = join_crowded(holders, left, "v", "other_id", crowded_keys(holders, "v")).where("entity_id <> other_id")
     return pairs.groupBy("entity_id", "other_id").agg(F.count("*").alias("overlap"))
 
 
@@ -136,8 +165,8 @@ def shared_metadata(ents: DataFrame, column: str, relationship: str, roots: Data
     found = found.where("f is null or g is null or f <> g")
     other = ents.select(F.col("entity_id").alias("other_id"), "title", "release_year")
     score = F.lit(fixed.BASE_CONFIDENCE[relationship])
-    order = Window.partitionBy("entity_id").orderBy(F.desc("overlap"), "release_year", X.fold(F.col("title")), "other_id")
-    return found.join(other, "other_id").withColumn("place", F.row_number().over(order)).select("entity_id", F.lit(relationship).alias("relationship"), "place", "other_id", "overlap", score.alias("confidence"))
+    placed = P.ordinals(found.join(other, "other_id"), "entity_id", [-F.col("overlap"), F.col("release_year"), X.fold(F.col("title")), F.col("other_id")])
+    return placed.select("entity_id", F.lit(relationship).alias("relationship"), "place", "other_id", "overlap", score.alias("confidence"))
 
 
 def tag_score(n: Column, u: Column) -> Column:
@@ -208,13 +237,15 @@ def family_of(edges: DataFrame, roots: DataFrame, folder: str, most_steps: int =
 
     Steps outwards from the roots only; a family that is not whole after ``most_steps`` comes from ``families``, which doubles its reach.
     """
-    both = _written(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), folder)
-    found = _written(roots.select(F.col("entity_id").alias("node"), "family"), folder)
+    ends = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = edges.select(F.explode(ends).alias("e")).select("e.*")
+    found, _ = kept(roots.select(F.col("entity_id").alias("node"), "family"), folder, "family")
     rim = found
     for _ in range(most_steps):
         near = both.join(rim.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "family").distinct()
-        rim = _written(near.join(found, ["node", "family"], "left_anti"), folder)
-        if rim.isEmpty():
+        rim, fresh = kept(near.join(found, ["node", "family"], "left_anti"), folder, "family", F.lit(True))
+        if not fresh:
+            forget(rim)
             return found
         found = found.unionByName(rim)
     every = families(edges, folder)
@@ -222,14 +253,16 @@ def family_of(edges: DataFrame, roots: DataFrame, folder: str, most_steps: int =
     return every.join(own, "family").select("node", F.col("root").alias("family"))
 
 
-def query_preview(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5) -> DataFrame:
-    """One row for a text: best matches, the chosen entity, its family's nodes and edges, sections and tag neighbours, as arrays in their stated orders.
+def preview_frames(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5) -> dict[str, DataFrame]:
+    """The preview of a text as frames, so that a family of any size stays distributed: matches (rank, entity_id, score, matched_fields), nodes (place, entity_id)
+    and edges (place, source_entity_id, relationship, target_entity_id, confidence) of the chosen entity's family, sections (relationship, place,
+    other_id, confidence) and tag_neighbours (rank, other_id, overlap, score).
 
-    Sections hold related entities by relationship, and entities outside the family that share studios or creators. No match: no row.
+    The chosen entity is the best match. Sections hold related entities by relationship, and entities outside the family that share studios or creators.
     """
     spark = ents.sparkSession
     wanted = spark.createDataFrame([(text,)], "query string")
-    hits = _written(top(search(ents, wanted), search_order(), limit, ["query"]).select("query", "rank", "entity_id", "score", "matched_fields"), folder)
+    hits, _ = kept(top(search(ents, wanted), search_order(), limit, ["query"]).select("query", "rank", "entity_id", "score", "matched_fields"), folder, "hits")
     chosen = hits.where("rank = 1").select("entity_id")
     pairs = edges.select(F.col("source_entity_id").alias("src"), F.col("target_entity_id").alias("dst"))
     family = family_of(pairs, chosen.withColumn("family", F.col("entity_id")), folder)
@@ -239,26 +272,31 @@ def query_preview(ents: DataFrame, edges: DataFrame, text: str, folder: str, lim
     for column, relationship in (("studios", "same_studio"), ("creators", "same_creator")):
         sections = sections.unionByName(shared_metadata(ents, column, relationship, chosen, family).select("relationship", "place", "other_id", "confidence"))
     near = tag_neighbours(ents, chosen, limit, family)
-    packed = lambda df, name: df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
-    parts = [
-        packed(node_order(nodes).select("place", "entity_id"), "nodes"), packed(edge_order(inside).select("place", "source_entity_id", "relationship", "target_entity_id", "confidence"), "edges"),
-        packed(sections.select("relationship", "place", "other_id", "confidence"), "sections"), packed(near.select("rank", "other_id", "overlap", "score"), "tag_neighbours"),
-    ]
+    return {
+        "matches": hits, "nodes": node_order(nodes).select("place", "entity_id"), "edges": edge_order(inside).select("place", "source_entity_id", "relationship", "target_entity_id", "confidence"),
+        "sections": sections, "tag_neighbours": near.select("rank", "other_id", "overlap", "score"),
+    }
+
+
+def query_preview(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5) -> DataFrame:
+    """``preview_frames`` as one row for a text, with arrays in their stated orders: for a reader, and families that fit a row. No match: no row."""
+    frames = preview_frames(ents, edges, text, folder, limit)
+    hits = frames.pop("matches")
     out = hits.groupBy("query").agg(F.max(F.when(F.col("rank") == 1, F.col("entity_id"))).alias("selected_entity_id"), F.array_sort(F.collect_list(F.struct("rank", "entity_id", "score", "matched_fields"))).alias("matches"))
-    for part in parts:  # one row each
+    for name, frame in frames.items():  # one row each
+        part = frame.agg(F.array_sort(F.collect_list(F.struct(*frame.columns))).alias(name))
         out = out.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
     return out
 
 
-def node_order(nodes: DataFrame) -> DataFrame:
-    """Nodes of each family with their place: by domain, year, folded title and id."""
-    order = Window.partitionBy("family").orderBy("domain", "release_year", X.fold(F.col("title")), "entity_id")
-    return nodes.withColumn("place", F.row_number().over(order))
+def node_order(nodes: DataFrame, rows_per_range: int = 500_000) -> DataFrame:
+    """Nodes of each family with their place: by domain, year, folded title and id. A family of very many nodes is ranked over several tasks."""
+    return P.ordinals(nodes, "family", [F.col("domain"), F.col("release_year"), X.fold(F.col("title")), F.col("entity_id")], rows_per_range=rows_per_range)
 
 
-def edge_order(inside: DataFrame) -> DataFrame:
+def edge_order(inside: DataFrame, rows_per_range: int = 500_000) -> DataFrame:
     """Edges of each family with their place: by source, type and target."""
-    return inside.withColumn("place", F.row_number().over(Window.partitionBy("family").orderBy("source_entity_id", "relationship", "target_entity_id")))
+    return P.ordinals(inside, "family", [F.col("source_entity_id"), F.col("relationship"), F.col("target_entity_id")], rows_per_range=rows_per_range)
 
 
 def neighbours_with_evidence(relationships: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -317,16 +355,59 @@ def similarity_candidates(ents: DataFrame, edges: DataFrame, roots: DataFrame, n
     return found.select(ident.alias("candidate_id"), F.col("entity_id").alias("source_entity_id"), F.col("other_id").alias("target_entity_id"), F.lit("undirected").alias("candidate_direction"), F.lit(recipe).alias("recipe_version"), reasons.alias("candidate_reasons"), F.map_from_entries("dimensions").alias("score_dimensions"), strength.alias("confidence_tier"))
 
 
+def fresh_texts(texts: DataFrame, cache: DataFrame, key: str, column: str, provider: str, model: str, recipe: str) -> DataFrame:
+    """(key, cache_key, _text) of the rows whose cache key ``cache`` (cache_key) doesn't hold."""
+    keyed = texts.select(key, F.col(column).alias("_text")).withColumn("cache_key", X.cache_key("embedding", provider, model, recipe, F.col("_text")))
+    return keyed.join(cache.select("cache_key"), "cache_key", "left_anti").select(key, "cache_key", "_text")
+
+
 def embed(texts: DataFrame, cache: DataFrame, key: str, column: str, provider: str = "deterministic", model: str = "sha256", recipe: str = "embedding-v1", embed_fn: Callable[[Column], Column] | None = None) -> DataFrame:
     """(key, cache_key, vector) of the rows whose cache key ``cache`` (cache_key) doesn't hold: unchanged texts are not embedded again.
 
-    ``embed_fn`` makes a vector column of a text column (a pandas UDF around a real model, say); by default the keyless hash vectors of X19.
+    ``embed_fn`` makes a vector column of a text column; by default the keyless hash vectors of X19. ``embed_batches`` takes a real model.
     """
-    keyed = texts.select(key, F.col(column).alias("_text")).withColumn("cache_key", X.cache_key("embedding", provider, model, recipe, F.col("_text")))
-    fresh = keyed.join(cache.select("cache_key"), "cache_key", "left_anti")
+    fresh = fresh_texts(texts, cache, key, column, provider, model, recipe)
     return fresh.select(key, "cache_key", (embed_fn or X.hash_embedding)(F.col("_text")).alias("vector"))
 
 
+#: Models of this worker process by provider, model and recipe.
+_MODELS: dict[tuple[str, str, str], Callable[[list[str | None]], list]] = {}
+
+
+def embed_batches(texts: DataFrame, cache: DataFrame, key: str, column: str, make_model: Callable[[], Callable[[list[str | None]], list]], provider: str, model: str, recipe: str, batch_rows: int = 256) -> DataFrame:
+    """(key, cache_key, vector, error) by a real model, called with lists of at most ``batch_rows`` texts.
+
+    ``make_model`` runs once in each worker process and gives a function from texts to as many vectors. Rows whose cache key ``cache`` holds are
+    skipped before it. Where a call fails, halves of its texts are tried down to single ones, so one bad text costs itself only: its
+    row has a null vector and the error's text. A model that returns another number of vectors, or null for one, fails likewise.
+    """
+    fresh = fresh_texts(texts, cache, key, column, provider, model, recipe)
+
+    def tried(call: Callable, part: list) -> list[tuple[list[float] | None, str | None]]:
+        try:
+            found = [[float(x) for x in v] for v in call(part)]
+            if len(found) != len(part):
+                raise ValueError(f"{len(found)} vectors for {len(part)} texts")
+            return [(v, None) for v in found]
+        except Exception as e:  # noqa: BLE001  whatever the model raises
+            if len(part) == 1:
+                return [(None, f"{type(e).__name__}: {e}")]
+            half = len(part) // 2
+            return tried(call, part[:half]) + tried(call, part[half:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = (provider, model, recipe)
+        for batch in batches:
+            for at in range(0, batch.num_rows, batch_rows):
+                part = batch.slice(at, batch_rows)
+                if name not in _MODELS:
+                    _MODELS[name] = make_model()
+                vectors, errors = zip(*tried(_MODELS[name], part.column(2).to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(vectors, pa.list_(pa.float64())), pa.array(errors, pa.string())], [key, "cache_key", "vector", "error"])
+
+    return fresh.mapInArrow(run, f"`{key}` {fresh.schema[key].dataType.simpleString()}, cache_key string, vector array<double>, error string")
+
+
 def retrieval_text(ents: DataFrame) -> DataFrame:
     """Text for retrieval from the allowed fields only."""
     lists = [F.array_join(c, ", ") for c in ("synonyms", "genres", "studios", "creators", "tags")]

@@ -119,6 +119,22 @@ def test_identity_chains_and_cycles(spark, tmp_path):
         G.resolve_identity(ids, spark.createDataFrame([("a", ["b"]), ("b", ["a"])], "old_entity_id string, new_entity_ids array<string>"), f"file://{tmp_path}")
 
 
+def test_long_identity_chains_take_few_rounds(spark, tmp_path, monkeypatch):
+    rounds = []
+    plain = G.kept
+    monkeypatch.setattr(G, "kept", lambda *a: rounds.append(1) or plain(*a))
+    chain = [(f"n{i}", [f"n{i + 1}"]) for i in range(1000)] + [("fork", ["n0", "n990", "gone", "end"]), ("gone", []), ("loop", ["pool"]), ("pool", ["loop"])]
+    changes = spark.createDataFrame(chain, "old_entity_id string, new_entity_ids array<string>").coalesce(2)
+    ids = spark.createDataFrame([("n0",), ("n0",), ("n998",), ("fork",), ("gone",), ("new",)], "entity_id string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = values(G.resolve_identity(ids, changes, f"file://{tmp_path}"), "entity_id", "current_id")
+    assert sorted(got) == [("fork", "end"), ("fork", "n1000"), ("n0", "n1000"), ("n998", "n1000"), ("new", "new")]
+    assert len(rounds) <= 12 and before
+    assert len([f for f in tmp_path.iterdir() if f.name.startswith("identity")]) == 1  # earlier rounds are deleted
+    with pytest.raises(ValueError):
+        G.resolve_identity(spark.createDataFrame([("pool",)], "entity_id string"), changes, f"file://{tmp_path}")
+
+
 def test_assert_clean(spark):
     G.assert_clean(spark.createDataFrame([("r", "s", "warning")], "rule string, subject string, severity string"))
     with pytest.raises(ValueError):
@@ -210,7 +226,7 @@ def test_gate_is_shut_for_absent_values(spark):
 def test_writers(spark, tmp_path):
     frames = {"a": spark.range(3), "b": spark.range(5)}
     assert sorted(values(W.materialize_snapshot(frames, f"file://{tmp_path}", "job", "s1"), "table_name", "row_count")) == [("a", 3), ("b", 5)]
-    assert spark.read.parquet(f"file://{tmp_path}/current/job/b.parquet").count() == 5
+    assert W.current(spark, f"file://{tmp_path}", "job")[1]["b"].count() == 5
     W.write_jsonl(spark.sql("select 1 a, cast(null as string) b"), f"file://{tmp_path}/j")
     assert spark.read.text(f"file://{tmp_path}/j").first().value == '{"a":1,"b":null}'
     edges = spark.createDataFrame([("anime:x:1", "anime:x:2", "sequel"), ("gone", "anime:x:2", "sequel")], "source_entity_id string, target_entity_id string, relationship_type string")
@@ -218,6 +234,25 @@ def test_writers(spark, tmp_path):
     assert values(R.read_catalog(spark, f"file://{tmp_path}/corpus/entities.parquet", f"file://{tmp_path}/corpus/relationships.parquet")[1], "source_entity_id", "relationship") == [("anime:x:1", "sequel")]
 
 
+def test_publishing_is_one_step(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    assert W.current(spark, root, "job") is None
+    W.materialize_snapshot({"a": spark.range(3), "b": spark.range(5)}, root, "job", "s1")
+    broken = {"a": spark.range(4), "b": spark.range(6).selectExpr("id", "raise_error('stop') x")}
+    with pytest.raises(Exception, match="stop"):
+        W.materialize_snapshot(broken, root, "job", "s2")
+    name, tables = W.current(spark, root, "job")
+    assert name == "s1" and {n: t.count() for n, t in tables.items()} == {"a": 3, "b": 5}  # though s2's first table is written
+    W.materialize_snapshot({"a": spark.range(4), "b": spark.range(6)}, root, "job", "s2")
+    name, tables = W.current(spark, root, "job")
+    assert name == "s2" and {n: t.count() for n, t in tables.items()} == {"a": 4, "b": 6} and W.pointers(spark, root, "job") == [1, 2]
+    with pytest.raises(ValueError):
+        W.materialize_snapshot({"a": spark.range(1)}, root, "job", "s2")
+    monkeypatch.setattr(W, "pointers", lambda *a: [1])  # two runs that saw the same state
+    with pytest.raises(RuntimeError):
+        W.publish(spark, root, "job", {})
+
+
 def test_audit_rows_keep_the_last(spark, tmp_path):
     (tmp_path / "1.jsonl").write_text('{"source_id": "a", "n": 1}\n{"source_id": "b", "n": 2}')
     (tmp_path / "2.jsonl").write_text('{"source_id": "a", "n": 3}\n{"source_id": "a", "n": 4}')
@@ -426,3 +461,102 @@ def test_similarity_reasons(spark):
     near = spark.createDataFrame([("a", "d", 0.5)], "entity_id string, other_id string, score double")
     got = {r.target_entity_id: (r.candidate_reasons, r.score_dimensions) for r in S.similarity_candidates(ents, edges, ents.where("entity_id = 'a'").select("entity_id"), near).collect()}
     assert got == {"b": (["graph_distance_2", "shared_facets"], {"graph_distance_2": 1.0, "shared_facets": 1.0}), "d": (["vector_neighbour"], {"vector_neighbour": 0.5})}
+
+
+def plain_search(ents, queries):
+    fold = lambda t: " ".join(t.lower().replace("ß", "ss").split()) if t is not None else None
+    out = {}
+    for q in {q for q in queries if q is not None}:
+        k = fold(q)
+        for i, title, original, synonyms in ents:
+            best, fields = 0, []
+            for field, raw in [("title", title), ("original_title", original), *[("synonym", s) for s in synonyms]]:
+                n = fold(raw)
+                if not n:
+                    continue
+                first = field == "title"
+                shared = len(set(k.split(" ")) & set(n.split(" ")))
+                score = (100 if first else 96) if n == k else (92 if first else 84) if n.startswith(k) else (88 if first else 80) if k in n else 60 + min(4 * shared, 16) if shared else 0
+                if score > best:
+                    best, fields = score, [field]
+                elif score == best and score and field not in fields:
+                    fields.append(field)
+            if best:
+                out[q, i] = (best, fields)
+    return out
+
+
+def test_search_of_many_queries(spark):
+    rng = random.Random(8)
+    words = ["red", "Reddish", "ring", "of", "the", "Straße", "a", "ab", "xyz", "Été", "king's", "ringing"]
+    make = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    ents = [(f"e{i}", make(rng.randrange(1, 4)), rng.choice([None, "", make(2)]), [rng.choice([None, " ", make(3)]) for _ in range(rng.randrange(3))]) for i in range(120)]
+    queries = ["", " ", "r", "RE", "re d", "ing of", "ring", "d ring", "the straße", "ab", "b", "zzz", "nothing here", None, "Red", "red", "red", "a b c d", "ed ri", "of the ring", "’"] + [make(rng.randrange(1, 5)) for _ in range(60)]
+    frame = spark.createDataFrame([(*e, 2000) for e in ents], "entity_id string, title string, original_title string, synonyms array<string>, release_year int")
+    found = S.search(frame, spark.createDataFrame([(q,) for q in queries], "query string"))
+    got = {(r.query, r.entity_id): (r.score, r.matched_fields) for r in found.collect()}
+    assert got == plain_search(ents, queries) and found.count() == len(got)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_ordinals_of_one_huge_group(spark):
+    rng = random.Random(6)
+    rows = [(i, "big" if i % 9 else rng.choice(["s", None]), rng.choice(["anime", "tv", None]), rng.choice([None, 1990, 2000]), f"t{rng.randrange(50)}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, family string, domain string, year int, title string").repartition(5)
+    order = [F.col("domain"), F.col("year"), F.col("title"), F.col("id")]
+    want = {(r.id, r.place) for r in P.ordinals(df, "family", order).collect()}
+    for size in (10, 100, 700):
+        assert {(r.id, r.place) for r in P.ordinals(df, "family", order, rows_per_range=size).collect()} == want
+        keyed = df.withColumn("k", F.struct(*order))
+        cuts = P.key_bounds(df, F.struct(*order), size)
+        assert len(cuts) > 3000 / size / 3
+        if size == 100:
+            table = sorted(((d is not None, d or "", y is not None, y or 0, t, i) for i, _, d, y, t in rows))
+            marks = [((c[0] is not None), c[0] or "", c[1] is not None, c[1] or 0, c[2], c[3]) for c in cuts]
+            edges = [0, *[sum(x < m for x in table) for m in marks], len(table)]
+            assert max(b - a for a, b in zip(edges, edges[1:])) < 4 * len(table) / len(edges) and keyed
+    assert P.ordinals(df.where("false"), "family", order, rows_per_range=1).count() == 0
+
+
+def test_values_that_very_many_hold(spark):
+    ents = [(f"e{i}", ["Hot "] * (i % 3 == 0) + [f"v{i % 40}", " "], 2000, f"t{i}") for i in range(3000)]
+    df = spark.createDataFrame(ents, "entity_id string, tags array<string>, release_year int, title string")
+    roots = spark.createDataFrame([("e0",), ("e3",), ("e41",)], "entity_id string")
+    got = {(r.entity_id, r.other_id): r.overlap for r in S.shared_values(df, "tags", roots).collect()}
+    want = {}
+    for r in (0, 3, 41):
+        for i in range(3000):
+            n = (r % 3 == 0 and i % 3 == 0) + (r % 40 == i % 40)
+            if n and i != r:
+                want[f"e{r}", f"e{i}"] = n
+    assert got == want
+    # The hot value's holders are dealt: no partition of the joined rows holds most of them.
+    joined = S.join_crowded(df.select(F.col("entity_id").alias("other_id"), F.explode("tags").alias("v")), df.select(F.explode("tags").alias("v")).distinct(), "v", "other_id", S.crowded_keys(df.select(F.explode("tags").alias("v")), "v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in joined.where("v = 'Hot '").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 1000 and len(sizes) >= 3
+
+
+def counting_model():
+    def call(texts):
+        if any(t == "bad" for t in texts):
+            raise ValueError("no")
+        return [[float(len(t))] if t != "none" else None for t in texts]
+
+    return call
+
+
+def test_embedding_by_a_model(spark):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "bad", "ccc", None, "none", "bad", "a"] + ["x" * i for i in range(40)])], "id long, text string")
+    names = ("p", "m", "r")
+    cache = S.fresh_texts(texts.where("text = 'ccc'"), spark.createDataFrame([], "cache_key string"), "id", "text", *names)
+    got = {r.id: (r.vector, (r.error or "").split(":")[0]) for r in S.embed_batches(texts.coalesce(1), cache, "id", "text", counting_model, *names, batch_rows=7).collect()}
+    assert set(got) == set(range(47)) - {2}
+    assert got[0] == ([1.0], "") and got[1] == got[5] == (None, "ValueError") and got[3] == (None, "TypeError") and got[4] == (None, "TypeError") and got[46] == ([39.0], "")
+    assert S.embed_batches(texts.where("false"), cache, "id", "text", counting_model, *names).count() == 0

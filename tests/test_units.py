@@ -543,16 +543,15 @@ def test_values_that_very_many_hold(spark):
     assert sum(sizes) == 1000 and len(sizes) >= 3
 
 
-def counting_model():
-    def call(texts):
-        if any(t == "bad" for t in texts):
-            raise ValueError("no")
-        return [[float(len(t))] if t != "none" else None for t in texts]
-
-    return call
+def test_embedding_by_a_model(spark):
+    def counting_model():
+        def call(texts):
+            if any(t == "bad" for t in texts):
+                raise ValueError("no")
+            return [[float(len(t))] if t != "none" else None for t in texts]
 
+        return call
 
-def test_embedding_by_a_model(spark):
     texts = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "bad", "ccc", None, "none", "bad", "a"] + ["x" * i for i in range(40)])], "id long, text string")
     names = ("p", "m", "r")
     cache = S.fresh_texts(texts.where("text = 'ccc'"), spark.createDataFrame([], "cache_key string"), "id", "text", *names)

@@ -56,11 +56,12 @@ def discard(spark: SparkSession, *tables: str | DataFrame) -> None:
 
 def with_row_key(docs: DataFrame, key: str = "row_key") -> DataFrame:
     """Adds a long that no other row has: its doc_id, but for rows of null doc_id and all but one of a doc_id's rows, whose keys
-    lie beyond all doc_ids. ``docs`` is read from files, so that its rows come in one order each time."""
+    lie beyond all doc_ids. Where ids repeat or are null, rows are numbered once and written to the shared folder with their number,
+    so every job that reads the result sees the same keys, however the cluster plans its scans."""
     count = docs.agg(F.count("*"), F.countDistinct("doc_id"), F.max("doc_id")).first()
     if count[0] == count[1]:
         return docs.withColumn(key, F.col("doc_id").cast("long"))
-    docs = docs.withColumn("_uid", F.monotonically_increasing_id())
+    docs = materialize(docs.withColumn("_uid", F.monotonically_increasing_id()), "keyed")
     first = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("_uid").alias("_uid")).select("_uid", F.lit(True).alias("_first"))
     own = F.when(F.col("_first"), F.col("doc_id")).otherwise(F.col("_uid") + F.lit((count[2] or 0) + 1)).cast("long")
     return docs.join(first, "_uid", "left").withColumn(key, own).drop("_uid", "_first")

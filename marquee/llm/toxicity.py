@@ -19,19 +19,41 @@ BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 #: A word's embedding is the sum of hashed vectors: of the whole word and of its first bytes.
 PREFIXES = (4, 5, 6)
 SLOTS = 1 << 20
-#: Texts of at most so many bytes are learned from first.
-SHORT = 64 << 10
+#: A slot starts from its lift in toxic texts as far as its log-likelihood ratio lies from LOW to HIGH; slots of fewer than COMMON texts aren't used.
+LOW, HIGH, COMMON = 10, 30, 4
 
 
-def word_slots(column) -> tuple[np.ndarray, np.ndarray]:
-    """Slots (words x features) of all texts end to end, and where each text's words begin."""
-    data, offsets = C.text_buffer(column)
-    data = C.lower_ascii(data)
-    starts, ends, bounds = C.find_words(data, offsets, BREAKS)
+def _slots(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     spans = [ends] + [np.minimum(ends, starts + p) for p in PREFIXES]
     seeds = np.arange(1, len(spans) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    slots = [(C.mix(C.hash_spans(data, starts, e) ^ s) % np.uint64(SLOTS)).astype(np.int32) for e, s in zip(spans, seeds, strict=True)]
-    return np.stack(slots, axis=1), bounds
+    return np.stack([(C.mix(C.hash_spans(data, starts, e) ^ s) % np.uint64(SLOTS)).astype(np.int32) for e, s in zip(spans, seeds, strict=True)], axis=1)
+
+
+def _words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    data, offsets = C.text_buffer(column)
+    data = C.lower_ascii(data)
+    return data, *C.find_words(data, offsets, BREAKS)
+
+
+def word_slots(column) -> tuple[np.ndarray, np.ndarray]:
+    """Slots (words x features) of all texts end to end, and where each text's words begin."""
+    data, starts, ends, bounds = _words(column)
+    return _slots(data, starts, ends), bounds
+
+
+def vocabulary(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers of all texts end to end, where each text's begin, and the slots of each different word (told apart by a 64-bit hash)."""
+    number: dict[int, int] = {}
+    words, sizes, tables = [], [], []
+    for i in range(0, len(texts), 100):
+        data, starts, ends, bounds = _words(pa.array(texts[i : i + 100], pa.string()))
+        keys, first, inverse = np.unique(C.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+        fresh = np.array([k not in number for k in keys.tolist()], bool)
+        ids = np.array([number.setdefault(k, len(number)) for k in keys.tolist()], np.int32)
+        tables.append(_slots(data, starts[first[fresh]], ends[first[fresh]]))
+        words.append(ids[inverse.ravel()])
+        sizes.append(np.diff(bounds))
+    return np.concatenate(words), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))), np.concatenate(tables)
 
 
 @dataclass
@@ -83,34 +105,52 @@ class Network:
         return self.pooled(self.embed(slots), bounds)[0] @ self.head + self.offset + self.shift
 
 
-def learn(texts: list[str | None], labels: np.ndarray, languages: list[str | None], size: int = 8, widths: tuple[int, ...] = (1, 2, 3), each: int = 8, rounds: int = 6, rate: float = 0.02, least: float = 0.3, seed: int = 11) -> Network:
-    """Trains the network in numpy with Adam, then calibrates it on rows held back from training.
+def learn(texts: list[str | None], labels: np.ndarray, languages: list[str | None], least: float = 0.3, folds: int = 3, seed: int = 11) -> Network:
+    """Trains the network in numpy on all texts, calibrated by cross-validation over all of them.
+
+    Each fold's texts get their logits from a network trained on the others. The logits of the final network are
+    shifted so that ``least`` is the threshold of best F1 over all texts, and a threshold is set per language (the overall one where a language has too few rows).
+    """
+    words, bounds, table = vocabulary(texts)
+    fold = np.random.default_rng(seed).permutation(len(labels)) % folds
+    z = np.zeros(len(labels))
+    for f in range(folds):
+        z[fold == f] = _logits_of(train(words, bounds, table, labels, np.flatnonzero(fold != f), seed=seed), words, bounds, table, np.flatnonzero(fold == f))
+    net = train(words, bounds, table, labels, np.arange(len(labels)), seed=seed)
+    cut = _best_cut(z, labels)
+    net.shift = float(np.log(least / (1 - least))) - cut
+    for lang in sorted({x for x in languages if x}):
+        own = np.array([x == lang for x in languages])
+        c = _best_cut(z[own], labels[own]) if labels[own].sum() >= 5 else cut
+        net.thresholds[lang] = float(1 / (1 + np.exp(-(c + net.shift))))
+    return net
+
+
+def train(words: np.ndarray, bounds: np.ndarray, table: np.ndarray, labels: np.ndarray, kept: np.ndarray, size: int = 8, widths: tuple[int, ...] = (1, 2, 3), each: int = 8, rounds: int = 2, rate: float = 0.02, seed: int = 11) -> Network:
+    """A network trained with Adam on the texts numbered ``kept``.
 
-    The first component of a slot's vector starts from how much commoner the slot is in toxic texts, so few
-    labels suffice; the others start at small random values. Afterwards the logits are shifted so that
-    ``least`` is the overall threshold of best F1 on the rows held back, and a threshold is set per language
-    (the overall one where a language has too few rows).
+    The first component of a slot's vector starts from how much commoner the slot is in toxic texts, as far as the counts are
+    evidence for it, so few labels suffice; the others start at small random values.
     """
     rng = np.random.default_rng(seed)
-    parts = [word_slots(pa.array(texts[i : i + 200], pa.string())) for i in range(0, len(texts), 200)]
-    slots = np.concatenate([s for s, _ in parts])
-    bounds = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(b) for _, b in parts]))))
-    n = len(labels)
-    fold = rng.permutation(n)
-    held, kept = fold[: n // 5], np.sort(fold[n // 5 :])
-    seen = np.unique(np.concatenate([np.unique(slots[bounds[d] : bounds[d + 1]]) for d in kept] or [slots[:0].ravel()]))
-    width = slots.shape[1]
-    local = np.searchsorted(seen, slots).astype(np.int32)
-    local[local == len(seen)] = 0
-    known = seen[local] == slots if len(seen) else np.zeros(slots.shape, bool)
+    own = [np.unique(words[bounds[d] : bounds[d + 1]]) for d in kept.tolist()]
+    seen = np.unique(table[np.unique(np.concatenate(own))]) if own else table[:0].ravel()
+    width = table.shape[1]
+    local = np.minimum(np.searchsorted(seen, table), max(len(seen) - 1, 0)).astype(np.int32)
+    known = seen[local] == table if len(seen) else np.zeros(table.shape, bool)
     toxic, clean = max(1, int(labels[kept].sum())), max(1, int((labels[kept] == 0).sum()))
     p, q = np.zeros(len(seen)), np.zeros(len(seen))
-    for d in kept:  # documents that hold a slot, by label
-        (p if labels[d] else q)[np.unique(local[bounds[d] : bounds[d + 1]])] += 1
+    for d, w in zip(kept.tolist(), own, strict=True):  # documents that hold a slot, by label
+        (p if labels[d] else q)[np.unique(local[w])] += 1
     lift = np.log((p + 0.25) / (toxic + 0.5)) - np.log((q + 0.25) / (clean + 0.5))
-    lift = np.where((p + q) >= 2, lift * (1 - np.exp(-(p + q) / 4)), 0)
+    share = toxic / (toxic + clean)
+    evidence = 2 * (p * np.log(np.maximum(p, 0.5) / ((p + q) * share)) + q * np.log(np.maximum(q, 0.5) / ((p + q) * (1 - share))))
+    lift = np.clip(lift, -4, 4) * np.clip((evidence - LOW) / (HIGH - LOW), 0, 1)
+    usable = p + q >= COMMON
     vectors = rng.normal(0, 0.01, (len(seen), size)).astype(np.float32)
-    vectors[:, 0] = np.clip(lift, -4, 4) / width
+    vectors[:, 0] = lift / width
+    vectors[~usable] = 0
+    known &= usable[local] if len(seen) else known
     filters = [rng.normal(0, 0.1, (k, size, each)).astype(np.float32) for k in widths]
     for w in filters:
         w[0, 0, : each // 2] = 0.5
@@ -134,7 +174,7 @@ def learn(texts: list[str | None], labels: np.ndarray, languages: list[str | Non
             step += 1
             take = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in docs])
             cuts = np.concatenate(([0], np.cumsum(bounds[docs + 1] - bounds[docs])))
-            s, ok = local[take], known[take]
+            s, ok = local[words[take]], known[words[take]]
             x = (net.vectors[s] * ok[:, :, None]).sum(axis=1)
             pooled, where = net.pooled(x, cuts, places=True)
             z = pooled @ net.head + net.offset
@@ -166,26 +206,18 @@ def learn(texts: list[str | None], labels: np.ndarray, languages: list[str | Non
             net.offset -= rate * (offset_m / (1 - 0.9**step)) / (np.sqrt(offset_v / (1 - 0.99**step)) + 1e-6)
 
     useful = np.abs(net.vectors).max(axis=1) > 0.02
-    z = _logits_of(net, slots, bounds, held)
-    cut = _best_cut(z, labels[held])
-    net.shift = float(np.log(least / (1 - least))) - cut
-    for lang in sorted({x for x in languages if x}):
-        own = np.array([languages[d] == lang for d in held])
-        y = labels[held][own]
-        c = _best_cut(z[own], y) if y.sum() >= 5 else cut
-        net.thresholds[lang] = float(1 / (1 + np.exp(-(c + net.shift))))
     net.used, net.vectors = net.used[useful], net.vectors[useful]
     if not len(net.used):
         net.used, net.vectors = seen[:1], vectors[:1] * 0
     return net
 
 
-def _logits_of(net: Network, slots: np.ndarray, bounds: np.ndarray, docs: np.ndarray) -> np.ndarray:
+def _logits_of(net: Network, words: np.ndarray, bounds: np.ndarray, table: np.ndarray, docs: np.ndarray) -> np.ndarray:
     out = np.zeros(len(docs))
-    for at in range(0, len(docs), 256):
-        part = docs[at : at + 256]
+    for at in range(0, len(docs), 64):
+        part = docs[at : at + 64]
         take = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in part])
-        out[at : at + 256] = net.logits(slots[take], np.concatenate(([0], np.cumsum(bounds[part + 1] - bounds[part]))))
+        out[at : at + 64] = net.logits(table[words[take]], np.concatenate(([0], np.cumsum(bounds[part + 1] - bounds[part]))))
     return out
 
 
@@ -204,9 +236,8 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
 def labelled(docs: DataFrame, labels: DataFrame, most: int, most_bytes: int) -> DataFrame | None:
     """The sample: (doc_id, toxic, text, lang) of ids whose crc32 mod 4 is not 2; None without any.
 
-    Each label gives at most ``most`` rows and half of ``most_bytes``. Its texts of at most SHORT bytes come first, by
-    id hash, then longer ones, the shortest first. A text that no longer fits is passed over and the next one tried.
-    If every text of a label is longer than the label's half, the shortest gives its beginning. The choice is made on
+    Each label gives its first ``most`` rows by id hash, whole texts of half of ``most_bytes`` in all: one that no longer fits is
+    passed over and the next one tried. If none of a label fits, its shortest is taken, whole. The choice is made on
     sizes, so no other text reaches the driver. An id that repeats gives its shortest text.
     """
     labels = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -216,17 +247,17 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int, most_bytes: int) ->
     sizes = docs.select("doc_id", "size").join(labels, "doc_id").groupBy("doc_id", "toxic").agg(F.coalesce(F.min("size"), F.lit(0)).alias("size"))
     chosen = []
     for toxic in (0, 1):
-        left = most_bytes // 2
-        order = (F.when(F.col("size") > SHORT, F.col("size")).otherwise(0), F.xxhash64("doc_id"), "doc_id")
-        for i, r in enumerate(sizes.where(F.col("toxic") == toxic).orderBy(*order).limit(most).collect()):
-            if r.size <= left or (i == 0 and r.size > SHORT):
+        own, left = sizes.where(F.col("toxic") == toxic), most_bytes // 2
+        fitting = []
+        for r in own.where(F.col("size") <= left).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect():
+            if r.size <= left:
                 left -= r.size
-                chosen.append((r.doc_id, toxic, r.size))
+                fitting.append((r.doc_id, toxic, r.size))
+        chosen += fitting or [(r.doc_id, toxic, r.size) for r in own.orderBy("size", "doc_id").limit(1).collect()]
     if not chosen:
         return None
     picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int, least int")
     rows = docs.join(F.broadcast(picked), "doc_id").where("size is null or size = least")
-    rows = rows.withColumn("text", F.when(F.col("size") > most_bytes // 2, F.substring("text", 1, most_bytes // 8)).otherwise(F.col("text")))
     return rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"), F.max("lang").alias("lang"))
 
 
@@ -234,7 +265,7 @@ def held_out(doc_id):
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, most_bytes: int = 8_000_000) -> Network | None:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 4000, most_bytes: int = 16_000_000) -> Network | None:
     """The network, from at most ``most`` labelled rows of each label and ``most_bytes`` of text (the documented bound of the sample)."""
     sample = labelled(docs, labels, most, most_bytes)
     if sample is None:
@@ -255,7 +286,7 @@ def _values(net: Network | None, column) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(net.logits(slots, bounds).astype(np.float64), -30, 30)))
 
 
-def score(docs: DataFrame, labels: DataFrame, most: int = 1200) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= 0.3) and language_flag of every whole text.
 
     Labels, lang, source and doc_id never enter a score; lang only chooses the threshold of language_flag.
@@ -279,7 +310,7 @@ def score(docs: DataFrame, labels: DataFrame, most: int = 1200) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "language_flag")
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, most: int = 1200, least: float = 0.3) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, most: int = 4000, least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score is under ``least``, unchanged: each row is judged by its own text alone. Without texts of both labels all rows stay.
 
     Nothing is shuffled, so null and repeated ids are rows like any other; ``docs`` has a string column text.

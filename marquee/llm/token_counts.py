@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.skew import crowded_keys, join_crowded
 from marquee.llm import common as C
 from marquee.llm.bpe import default_path, model, slices
 
@@ -90,8 +91,8 @@ def count_tokens(docs: DataFrame, path: str, common: int = 200_000) -> DataFrame
 
     Texts are split once, into piece frequencies by document. Each distinct pre-token is merged once, for its
     number of tokens alone, and joined to the frequencies: the ``common`` most frequent ones (that number and
-    LONGEST bound what is broadcast) with their numbers where the documents are, all others where they are dealt by
-    the pre-token; the products are summed by document. Which are common only moves work between the two ways.
+    LONGEST bound what is broadcast) with their numbers where the documents are, rarer ones where they are dealt by
+    the pre-token, longer ones by a join on their digest; the products are summed by document. Which are common only moves work between these ways.
     Null text counts as empty: 0 bytes, 0 tokens. Repeated and null doc_ids give one row each.
     """
     spark = docs.sparkSession
@@ -117,11 +118,19 @@ def count_tokens(docs: DataFrame, path: str, common: int = 200_000) -> DataFrame
                 none = pa.nulls(len(part), pa.int64())
                 yield pa.RecordBatch.from_arrays([uids.take(owner), none, none, pa.array(counts[part]), pieces.take(pa.array(codes[part]))], names)
 
-    rows = tallied.mapInArrow(split, "uid long, doc_id long, n_bytes long, f long, piece binary")
+    rows = C.materialize(tallied.mapInArrow(split, "uid long, doc_id long, n_bytes long, f long, piece binary"), "pieces-of-documents")
+    C.discard(spark, tallied)
     own = rows.where("piece is null").select("uid", "doc_id", "n_bytes", F.col("f").alias("n"))
-    dealt = piece_sizes(rows.where("piece is not null").select("uid", "f", "piece"), path)
+    dealt = piece_sizes(rows.where(F.octet_length("piece") <= LONGEST).select("uid", "f", "piece"), path)
+    # A long piece may be in any number of documents: each is merged once, and its rows meet its size by a digest, dealt where it is crowded.
+    long = rows.where(F.octet_length("piece") > LONGEST)
+    digest = F.sha2("piece", 256).alias("digest")
+    sizes = piece_sizes(long.select("piece").distinct(), path).select(digest, "n_tokens")
+    long = long.select("uid", "f", digest)
+    met = join_crowded(long, sizes, "digest", "uid", crowded_keys(long, "digest"))
     none = F.lit(None).cast("long")
-    parts = own.unionByName(dealt.select("uid", none.alias("doc_id"), none.alias("n_bytes"), (F.col("f") * F.col("n_tokens")).alias("n")))
+    product = lambda df: df.select("uid", none.alias("doc_id"), none.alias("n_bytes"), (F.col("f") * F.col("n_tokens")).alias("n"))
+    parts = own.unionByName(product(dealt)).unionByName(product(met))
     return parts.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.sum("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens")).drop("uid")
 
 

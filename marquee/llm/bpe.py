@@ -430,12 +430,12 @@ class Encoder:
         return ids, at[np.array(bounds)]
 
 
-def frequent_words(docs: DataFrame, most: int) -> DataFrame:
-    """(piece, n) of the most frequent runs of letters, ``most`` at most, counted over every text.
+def frequent_words(docs: DataFrame, most: int, longest: int = 64) -> DataFrame:
+    """(piece, n) of the most frequent runs of letters of at most ``longest`` bytes, ``most`` at most, counted over every text. Longer words are merged where they occur.
 
     Case is folded by Spark's own rule here: which words are listed affects speed, never ids.
     """
-    words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("piece")).where("piece <> ''")
+    words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("piece")).where((F.col("piece") != "") & (F.octet_length("piece") <= longest))
     return C.most_frequent(words.groupBy("piece").agg(F.count("*").alias("n")), most, "words")
 
 
@@ -455,7 +455,7 @@ def publish_lexicon(docs: DataFrame, path: str, most: int) -> str | None:
 def encode_and_decode(docs: DataFrame, path: str, lexicon_words: int = 30_000) -> DataFrame:
     """Encodes every whole text and decodes the ids again: doc_id, ids, decoded (UTF-8 bytes).
 
-    The most frequent ``lexicon_words`` words of all texts (a bound on what the driver holds and ships)
+    The most frequent ``lexicon_words`` words of all texts (that number and 64 bytes a word bound what the driver holds and ships)
     go into a memory-mapped transducer with their ids; other pre-tokens are merged exactly, once per task.
     Ids equal the public library's with ``add_special_tokens=False``: added tokens' strings in a text become
     their ids, every other character is encoded. ``decoded`` is what the library's ``decode`` with

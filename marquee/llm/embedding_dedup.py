@@ -95,13 +95,13 @@ def link_tiles(a: Tile, b: Tile | None, least: float, weight_a: np.ndarray, weig
     return (count_a + count_b, count_b[:0], label) if within else (count_a, count_b, label)
 
 
-def link_vectors(vectors: DataFrame, least: float = 0.95, tile_rows: int = 2048, stripe_rows: int = 1 << 17, stripes: int = 3) -> DataFrame:
+def link_vectors(vectors: DataFrame, least: float = 0.95, tile_bytes: int = 1 << 20, stripe_bytes: int = 64 << 20, stripes: int = 3) -> DataFrame:
     """One row per vector: vec_id, n_links (others with cosine ``least`` or more), component_id, kept.
 
     Cosine is computed in double precision. Equal vectors are one class, compared once and counted with their number.
-    Classes are ordered along a curve through their first principal components and cut into tiles of ``tile_rows``; a tile
-    keeps the bounds of its leading components and suffix norms. Tiles form ``stripes``, more of them where one would pass
-    ``stripe_rows``. A pair of stripes is a task if their bounds come within reach of each other, and so is a pair
+    Classes are ordered along a curve through their first principal components and cut into tiles of ``tile_bytes`` in double
+    precision (2048 vectors of 64 dimensions, one at least); a tile keeps the bounds of its leading components and suffix norms. Tiles
+    form ``stripes``, more of them where one would pass ``stripe_bytes``: what a task holds doesn't grow with the dimension. A pair of stripes is a task if their bounds come within reach of each other, and so is a pair
     of tiles inside it. So a vector travels once for each stripe within reach: over all, the root of the
     number of tasks. A task returns weights and a spanning forest of its links, never the links. Spark joins the components.
     Null, zero and unusable vectors are listed without links; a repeated id is one vector; null ids are left
@@ -112,6 +112,8 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, tile_rows: int = 2048,
     x = V.sample(good)
     if not len(x):
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    tile_rows = max(1, tile_bytes // (8 * x.shape[1]))
+    stripe_rows = max(tile_rows, stripe_bytes // (8 * x.shape[1]))
     x = unit_rows(x)
     rotation = np.linalg.svd(x - x.mean(axis=0), full_matrices=True)[2].T
     cuts = [np.quantile(x @ rotation[:, c], np.arange(1, 1 << BITS) / (1 << BITS)) for c in range(min(ORDERED, x.shape[1]))]

@@ -166,7 +166,7 @@ def tile_links(left: dict, right: dict, least: int) -> tuple[np.ndarray, np.ndar
     return names[moved], names[label[moved]]
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: int = 512) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: int = 512, tile_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked where 100 * intersection >= ``least`` * union.
 
     Sets hold the distinct ``shingle``-word runs of the whole text, A-Z lowered; a shorter text is one run; no
@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
     band of HyperMinHash registers; those whose corrected estimate is not clearly too low are verified on the
     full sets. In a bucket every member is compared with the smallest. Buckets that share members form groups; where
     a group holds several components, its members outside the largest one meet all its members in tiles of
-    about ``tile`` documents, which return the links between components as a forest. So no list of a group's pairs
+    about ``tile`` documents, fewer where their sets would pass ``tile_bytes``, which return the links between components as a forest. So no list of a group's pairs
     is made, members that are already joined are not compared again, and no link between components is lost. Work
     on such a group grows with the number of its members times that of those outside its largest component.
     component_id is the smallest doc_id reachable, kept marks that document.
@@ -266,9 +266,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80, tile: in
     # Any two members of a bucket lie in one group here, whether or not they are similar.
     group = C.connected_components(checked.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-groups")
     tagged = group.select(F.col("node").alias("doc"), F.col("component").alias("grp")).join(component.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    sizes = tagged.groupBy("grp", "component").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("grp").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    sizes = sizes.select("grp", F.col("top.component").alias("largest"), F.ceil(F.col("total") / tile).cast("int").alias("tiles"), F.ceil((F.col("total") - F.col("top.n")) / tile).cast("int").alias("outer"))
+    weighed = tagged.join(registers.select("doc", (F.col("n") * 8).alias("bytes")), "doc")
+    sizes = weighed.groupBy("grp", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    sizes = sizes.groupBy("grp").agg(F.sum("n").alias("total"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "component", "bytes")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    enough = lambda n, size: F.greatest(F.ceil(n / tile), F.ceil(size / tile_bytes)).cast("int")
+    outside = enough(F.col("total") - F.col("top.n"), F.col("bytes") - F.col("top.bytes"))
+    sizes = sizes.select("grp", F.col("top.component").alias("largest"), enough(F.col("total"), F.col("bytes")).alias("tiles"), outside.alias("outer"))
     open_ = C.materialize(join_crowded(tagged, sizes, "grp", "doc", crowded_keys(tagged, "grp")), "open")
     spread = lambda seed, column: F.pmod(F.xxhash64("doc", F.lit(seed)), F.col(column).cast("long")).cast("int")
     full = open_.join(sets, "doc")

@@ -89,13 +89,13 @@ def length_bands(good: DataFrame, bands: int) -> DataFrame:
     return ranged.select("vec_id", "x").mapInArrow(gather, "band int, n int, ids binary, x binary, high double")
 
 
-def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, query_rows: int = 1024, band_rows: int | None = None) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, query_bytes: int = 512 << 10, band_bytes: int = 32 << 20, band_rows: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each vector whose id is divisible by ``every`` its ``k``
     highest integer inner products among all other vectors, of components ``floor(scale * x)``; ties go to the
     smaller id; all candidates if there are fewer than ``k``.
 
-    Candidates lie in bands of descending length (16 times the root of their number to a band, 65,536 at most, unless
-    ``band_rows`` says otherwise). Every block of queries meets the band of greatest length first, which gives each query a
+    Candidates lie in bands of descending length (16 times the root of their number to a band, ``band_bytes`` in double precision at most,
+    which is 65,536 vectors of 64 dimensions, unless ``band_rows`` says otherwise); queries come in blocks of ``query_bytes``. Every block of queries meets the band of greatest length first, which gives each query a
     floor: its k-th best score there. A band that is too short to reach any floor of a block (Cauchy-Schwarz) never meets it; the
     other bands do, each pair of band and block as one row of work. Queries travel to bands, so candidates are shuffled once.
     No pair list is made: a band gives at most ``k`` rows per query, and a query's rows from all bands are ranked together.
@@ -110,9 +110,10 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     out_schema = "query_id long, rank int, vec_id long, score long"
     if not n:
         return spark.createDataFrame([], out_schema)
-    band_rows = band_rows or min(1 << 16, max(1024, int(16 * n**0.5)))
-    blocks = -(-n // (every * query_rows))
     x = V.sample(good)
+    size = 8 * max(1, x.shape[1])
+    band_rows = band_rows or max(1, min(band_bytes // size, max(1024, int(16 * n**0.5))))
+    blocks = -(-n // (every * max(1, query_bytes // size)))
     rotation = np.linalg.svd(x, full_matrices=True)[2].T if len(x) else np.zeros((0, 0))
     bands = C.materialize(length_bands(good, -(-n // band_rows)), "bands", packed=True)
     # One small row for each step of the lengths: the last band that reaches it.
@@ -120,7 +121,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     last = sorted(tuple(r) for r in bands.groupBy(step.alias("step")).agg(F.max("band"), F.min("band")).collect())
     first = min(low for *_, low in last)
     packed = V.pack(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
-    # One band of at most some 65,536 vectors is sent to every block, as a hash join: its key isn't folded into a literal.
+    # One band of at most ``band_bytes`` (its rows are chosen so) is sent to every block, as a hash join: its key isn't folded into a literal.
     meet = packed.withColumn("band", F.col("block") * 0 + first).join(F.broadcast(bands.where(F.col("band") == first).select("band", F.col("ids").alias("cids"), F.col("x").alias("c"))), "band")
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

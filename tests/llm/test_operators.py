@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marquee.llm import bpe, embedding_dedup, minhash, packing, substring_dedup, suffix_array_dedup, token_counts, topk, toxicity, url_filter, windows
@@ -206,6 +207,28 @@ def test_encode_and_decode(table, docs):
     assert None in got
 
 
+def test_long_words_stay_out_of_the_lexicon(spark):
+    from tokenizers import Tokenizer
+
+    path = bpe.default_path("word_bpe_49k.json")
+    data = [(0, "short words"), (1, "straße" * 30_000), (2, "漢字仮名" * 20_000 + " end"), (3, "x" * 65 + " " + "y" * 64)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert {r.piece for r in bpe.frequent_words(docs, 1000).collect()} == {"short", "words", "end", "y" * 64}
+    got, library = rows(bpe.encode_and_decode(docs, path)), Tokenizer.from_file(path)
+    assert all(got[i].ids == library.encode(t, add_special_tokens=False).ids for i, t in data)
+
+
+def test_a_long_piece_that_very_many_hold(spark):
+    from tokenizers import Tokenizer
+
+    path = bpe.default_path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    line, word = "-=" * 60, "Donaudampfschiff" * 9
+    data = [(i, f"row {i}\n{line}\n" * (1 + i % 2) + (f"{word}{i % 5} {word}" if i % 3 else "")) for i in range(1500)]
+    got = rows(token_counts.count_tokens(spark.createDataFrame(data, "doc_id long, text string").repartition(3), path))
+    assert all(got[i].n_tokens == len(library.encode(t, add_special_tokens=False).ids) for i, t in data)
+
+
 def test_token_counts(table, docs):
     from tokenizers import Tokenizer
 
@@ -327,11 +350,51 @@ def test_vector_links(spark):
         i, j = np.nonzero(link)
         np.minimum.at(label, i, label[j])
     for size in (64, 4096):
-        got = rows(embedding_dedup.link_vectors(df, tile_rows=size))
+        got = rows(embedding_dedup.link_vectors(df, tile_bytes=8 * size * x.shape[1]))
         assert [tuple(got[i]) for i in range(len(x))] == [(i, int(link[i].sum()), int(label[i]), bool(label[i] == i)) for i in range(len(x))]
         assert all(tuple(got[i]) == (i, 0, i, True) for i in (400, 401, 402, 403, 404)) and None not in got
 
 
+def test_wide_vectors_stay_within_bytes(spark, monkeypatch):
+    """Vectors of 768 dimensions: what a tile, a stripe, a band and a block of queries hold is bounded in bytes."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(60, 768))
+    x = base[rng.integers(0, 60, 400)] + rng.normal(scale=rng.choice([0.01, 1.0], size=(400, 1)), size=(400, 768))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = u @ u.T >= 0.95
+    got = rows(embedding_dedup.link_vectors(df, tile_bytes=20 * 768 * 8, stripe_bytes=50 * 768 * 8))
+    assert [got[i].n_links for i in range(400)] == (link.sum(axis=1) - 1).tolist()
+    plain, bands = topk.length_bands, []
+    monkeypatch.setattr(topk, "length_bands", lambda good, n: bands.append(n) or plain(good, n))
+    z = np.floor(1024 * x).astype(np.int64)
+    found = topk.top_k(df, query_bytes=768 * 8, band_bytes=64 * 768 * 8).collect()
+    assert bands == [7]
+    for q in range(0, 400, 100):
+        s = z @ z[q]
+        assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == [int(i) for i in np.lexsort((np.arange(400), -s)) if i != q][:10]
+
+
+def test_groups_of_very_long_texts(spark):
+    """Tiles of an open group are bounded by the bytes of their sets."""
+    rng = random.Random(31)
+    words = [f"w{rng.randrange(10**7)}" for _ in range(20_000)]
+    def edited(share):
+        return " ".join(w if rng.random() > share else f"e{rng.randrange(10**7)}" for w in words)
+    data = [(i, edited(0.02 if i < 8 else 0.06)) for i in range(16)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    sets = {i: {tuple(w[j : j + 3]) for j in range(len(w) - 2)} for i, w in ((i, t.split(" ")) for i, t in data)}
+    label = list(range(16))
+    for _ in range(16):
+        for a in range(16):
+            for b in range(16):
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    label[a] = min(label[a], label[b])
+    for size in (1 << 18, 16 << 20):
+        got = rows(minhash.near_duplicates(docs, 3, 85, tile_bytes=size))
+        assert [got[i].component_id for i in range(16)] == label
+
+
 def test_top_k(spark):
     x, df = vectors(spark)
     z = np.floor(1024 * x).astype(np.int64)
@@ -343,7 +406,7 @@ def test_top_k(spark):
         order = [i for i in np.lexsort((ids, -scores)) if ids[i] != q][:10]
         want |= {(q, n + 1): (int(ids[i]), int(scores[i])) for n, i in enumerate(order)}
     for size in (64, 8192):
-        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, query_rows=2, band_rows=size).collect()}
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, query_bytes=16 * x.shape[1], band_rows=size).collect()}
         assert got == want
 
 
@@ -449,25 +512,37 @@ def test_toxicity_passes_over_long_texts(spark):
     got = rows(toxicity.score(docs, labels))
     assert all(got[i].predicted == int(i % 4 == 0) for i in range(600) if i != long)
     small = rows(toxicity.labelled(docs.where(docs.doc_id.isin(long, learned[1])), labels.where(labels.doc_id.isin(long, learned[1])).withColumn("toxic", (labels.doc_id == long).cast("int")), 2000, 16_000_000))
-    assert (small[long].toxic, len(small[long].text)) == (1, 2_000_000) and small[learned[1]].toxic == 0
+    assert (small[long].toxic, small[long].text) == (1, data[long][1]) and small[learned[1]].toxic == 0  # the only toxic text is learned from whole
 
 
-def test_toxicity_of_rows_that_carry_a_sign(spark):
-    """Held-out rows of the labelled table that hold words of several learned toxic rows and of no learned clean one (the others are mislabelled)."""
-    d = "/root/testdata/sf0.01"
+@pytest.mark.parametrize(("sf", "recall"), [("sf0.01", 0.6), ("sf0.1", 0.9)])
+def test_toxicity_on_held_out_rows(spark, sf, recall):
+    """All held-out labelled rows, whatever they hold. Some toxic labels of these tables sit on junk (5 of 14 on sf0.01, 6 of 120 on sf0.1)."""
+    d = f"/root/testdata/{sf}"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
-    text = {r.doc_id: r.text or "" for r in docs.collect()}
-    toxic = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id in text and r.toxic is not None}
-    held = {i for i in toxic if zlib.crc32(str(i).encode()) % 4 == 2}
-    seen = {0: defaultdict(int), 1: defaultdict(int)}
-    for i in toxic.keys() - held:
-        for w in set(re.findall(r"\w+", text[i].lower())):
-            seen[toxic[i]][w] += 1
-    signs = {w for w, n in seen[1].items() if n >= 5 and not seen[0][w]}
-    marked = {i for i in held if signs & set(re.findall(r"\w+", text[i].lower()))}
-    got = {r.doc_id for r in toxicity.score(docs, labels).where("predicted = 1").collect()}
-    assert len(marked) >= 9 and len(got & marked) >= 0.9 * len(marked)
-    assert len(got & {i for i in held if not toxic[i]}) <= 0.02 * len(held)
+    got = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out and toxic is not null").select("predicted", "toxic").collect()
+    toxic, clean = [r for r in got if r.toxic == 1], [r for r in got if r.toxic == 0]
+    assert sum(r.predicted for r in toxic) >= recall * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
+
+
+def test_scores_equal_a_plain_forward_pass():
+    rng = random.Random(15)
+    words = [f"w{i}" for i in range(60)] + ["vile", "vilest", "é"]
+    body = [" ".join(rng.choices(words, k=rng.randrange(0, 30))) for _ in range(200)]
+    labels = np.array([int("vile" in t) for t in body])
+    net = toxicity.learn(body, labels, ["en"] * len(body))
+    where = {int(s): net.vectors[i].astype(float) for i, s in enumerate(net.used)}
+    for t in [*body[:40], "", "one", "unheard words", "vile", "a vilest-vile, é", "w1"]:
+        slots = toxicity.word_slots(pa.array([t]))[0].tolist()
+        x = [sum((where.get(s, np.zeros(8)) for s in row), np.zeros(8)) for row in slots]
+        assert len(x) == len([w for w in re.split("[^a-z0-9\x80-\U0010ffff]+", t) if w])
+        z = net.offset + net.shift
+        for k, (w, b) in enumerate(zip(net.filters, net.biases, strict=True)):
+            for f in range(w.shape[2]):
+                best = max([sum(float(x[i + j] @ w[j, :, f]) for j in range(len(w))) + float(b[f]) for i in range(len(x) - len(w) + 1)] or [0.0])
+                z += max(best, 0.0) * float(net.head[k * w.shape[2] + f])
+        assert abs(toxicity._values(net, pa.array([t]))[0] - 1 / (1 + np.exp(-max(-30, min(30, z))))) < 1e-4
 
 
 def test_toxic_rows_leave_and_others_stay_whole(spark):
@@ -528,6 +603,30 @@ def test_digest_queries_have_the_stated_columns(spark):
     assert len(r.ids_sha256) == len(hashlib.sha256().hexdigest()) == len(r.decoded_sha256)
 
 
+def test_row_keys_do_not_change_with_the_cluster(spark, tmp_path, monkeypatch):
+    """Scans are cut anew by the cores of the moment; here by a setting that changes between the jobs of a stage."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    body = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(900)]
+    data = [(i % 300, body[i] if i < 900 else body[rng.randrange(900)], "en", "s", i) for i in range(1000)] + [(None, body[5], "en", "s", 1000)]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(6).write.parquet(f"{tmp_path}/docs")
+    plain = minhash.near_duplicates
+
+    def shrunk(*a, **b):
+        groups = plain(*a, **b)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return groups
+
+    monkeypatch.setattr(minhash, "near_duplicates", shrunk)
+    spark.conf.set("spark.sql.files.minPartitionNum", "40")
+    try:
+        left = corpus_pipeline.keep_one_of_each_group(spark, spark.read.parquet(f"{tmp_path}/docs"), "").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sorted(r.text for r in left) == sorted(body)
+
+
 def test_pipeline_equals_its_stages_run_plainly(spark):
     import corpus_pipeline
 

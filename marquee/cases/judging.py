@@ -49,10 +49,15 @@ def response_counts(spark, d):
     return J.decision_counts(J.parse_responses(_responses(spark, d), LABELS, "api_error"))
 
 
+def _decisions(edges):
+    """Every edge as an ok decision."""
+    judged = F.when(F.col("relationship") == "related_anime", "uncertain").otherwise(F.col("relationship"))
+    return edges.select("source_entity_id", "target_entity_id", F.concat(F.lit("j:"), "source_entity_id", F.lit(":"), "target_entity_id").alias("cache_key"), F.lit("ok").alias("status"), judged.alias("judged"), (F.size("supporting_urls") / 5.0).alias("confidence"), F.lit("f").alias("input_fingerprint"), F.lit("p").alias("provider"), F.lit("m").alias("model"), F.lit("r1").alias("recipe_version"))
+
+
 def records(spark, d):
     edges = testbed.edges(spark, d)
-    decisions = edges.select("source_entity_id", "target_entity_id", F.concat(F.lit("j:"), "source_entity_id", F.lit(":"), "target_entity_id").alias("cache_key"), F.lit("ok").alias("status"), F.when(F.col("relationship") == "related_anime", "uncertain").otherwise(F.col("relationship")).alias("judged"), (F.size("supporting_urls") / 5.0).alias("confidence"))
-    out = J.records(decisions, edges)
+    out = J.judgment_records(_decisions(edges), edges, testbed.entities(spark, d))
     return out.select("judgment_id", "judged", "confidence_tier", F.array_join("quality_flags", "|").alias("quality_flags"), F.array_join(F.transform("evidence_refs", lambda e: e["evidence_id"]), "|").alias("evidence_ids"))
 
 
@@ -72,7 +77,7 @@ def gate_with_nulls(spark, d):
 
 
 def applied(spark, d):
-    return J.apply(_gated(spark, d))
+    return _gated(spark, d).where("eligible").select("judgment_id", "kind", "confidence")
 
 
 def scores(spark, d):
@@ -142,8 +147,7 @@ def judged_records(spark, d):
     """Every edge as a decision; shows of even number count as private."""
     ents = testbed.entities(spark, d).withColumn("source_role", F.when((F.col("domain") == "tv") & (F.substring_index("entity_id", ":", -1).cast("long") % 2 == 0), "LOCAL_EVIDENCE").otherwise(F.col("source_role")))
     edges = testbed.edges(spark, d)
-    decisions = edges.select("source_entity_id", "target_entity_id", F.concat(F.lit("j:"), "source_entity_id", F.lit(":"), "target_entity_id").alias("cache_key"), F.lit("ok").alias("status"), F.when(F.col("relationship") == "related_anime", "uncertain").otherwise(F.col("relationship")).alias("judged"), (F.size("supporting_urls") / 5.0).alias("confidence"), F.lit("f").alias("input_fingerprint"), F.lit("p").alias("provider"), F.lit("m").alias("model"), F.lit("r1").alias("recipe_version"))
-    return J.gate(J.judgment_records(decisions, edges, ents), J.Recipe(parameters={"temperature": "0"}))
+    return J.gate(J.judgment_records(_decisions(edges), edges, ents), J.Recipe(parameters={"temperature": "0"}))
 
 
 def whole_records(spark, d):

@@ -198,24 +198,35 @@ def shows_landed(spark, d):
     return R.read_show_payloads(spark, place).select("id", "name", F.array_join("genres", "|").alias("genres"), "premiered", "imdb", "tvdb", "network", "episodes")
 
 
+#: Records of one landed document.
+PAGE = 1000
+
+
+def _paged(df, key, document):
+    """Documents (a text each) of PAGE records, a file each: ``document`` makes one of the records' aggregate."""
+    low = df.agg(F.min(key)).first()[0] or 0
+    return df.withColumn("page", F.floor((F.col(key) - low) / PAGE)).groupBy("page").agg(document.alias("value"))
+
+
 def release_landed(spark, d):
-    """Suppliers as one release document (that is the format: one JSON object), written and read again."""
+    """Suppliers as release documents, written and read again; a record's place goes on from one document to the next."""
     place = f"{folder(spark)}/release-{uuid.uuid4().hex}"
     k = F.col("s_suppkey")
     row = F.struct(k.alias("k"), F.col("s_name").alias("title"), F.lit("TV").alias("type"), F.lit("FINISHED").alias("status"), F.array(F.concat(F.lit("https://anidb.net/anime/"), k)).alias("sources"), F.struct(F.lit("FALL").alias("season"), (F.lit(1990) + k % 30).alias("year")).alias("animeSeason"), F.array(F.lit("a"), F.col("s_name")).alias("synonyms"), (k % 12).alias("episodes"))
-    doc = testbed.table(spark, d, "supplier").agg(F.to_json(F.struct(F.lit("r").alias("repository"), F.lit("2026-04-01").alias("lastUpdate"), F.array_sort(F.collect_list(row)).alias("data"))).alias("value"))
-    doc.write.text(place)
-    return R.read_release(spark, place).select("lastUpdate", "pos", "title", "year", "episodes", F.array_join("sources", "|").alias("sources"), F.array_join("synonyms", "|").alias("synonyms"))
+    document = F.to_json(F.struct(F.first("page").cast("string").alias("repository"), F.lit("2026-04-01").alias("lastUpdate"), F.array_sort(F.collect_list(row)).alias("data")))
+    _paged(testbed.table(spark, d, "supplier"), "s_suppkey", document).write.partitionBy("page").text(place)
+    pos = (F.col("repository").cast("int") * PAGE + F.col("pos")).alias("pos")
+    return R.read_release(spark, place).select("lastUpdate", pos, "title", "year", "episodes", F.array_join("sources", "|").alias("sources"), F.array_join("synonyms", "|").alias("synonyms"))
 
 
 def bindings_landed(spark, d):
-    """Customers as one document of SPARQL results, written and read again."""
+    """Customers as documents of SPARQL results, written and read again."""
     place = f"{folder(spark)}/bindings-{uuid.uuid4().hex}"
     k = F.col("c_custkey")
     value = lambda v: F.struct(v.cast("string").alias("value"))
     row = F.struct(value(F.concat(F.lit("http://www.wikidata.org/entity/Q"), k)).alias("item"), F.when(k % 3 > 0, value(F.col("c_name"))).alias("itemLabel"), value(F.concat(F.lit("b|"), "c_mktsegment", F.lit("| |b"))).alias("genres"), value(k / 2).alias("runtime"))
-    doc = testbed.table(spark, d, "customer").agg(F.to_json(F.struct(F.struct(F.collect_list(row).alias("bindings")).alias("results"))).alias("value"))
-    doc.write.text(place)
+    document = F.to_json(F.struct(F.struct(F.collect_list(row).alias("bindings")).alias("results")))
+    _paged(testbed.table(spark, d, "customer"), "c_custkey", document).write.partitionBy("page").text(place)
     return R.read_sparql_bindings(spark, place).select("qid", "label", F.array_join("genres", "|").alias("genres"), "runtime_minutes")
 
 

@@ -15,15 +15,15 @@ def crowded_keys(many: DataFrame, key: str, total: int | None = None, top: int |
     return counts.where(F.col("n") > least).select(key, F.ceil(F.col("n") / least).cast("int").alias("_parts")) if top > least else None
 
 
-def join_crowded(many: DataFrame, one: DataFrame, key: str, spread: str, crowded: DataFrame | None) -> DataFrame:
+def join_crowded(many: DataFrame, one: DataFrame, key: str, spread: str, crowded: DataFrame | None, how: str = "inner") -> DataFrame:
     """``many`` joined on ``key`` with ``one`` (a row for each key), ``crowded`` keys dealt over several tasks.
 
     Rows of a crowded key are dealt by a hash of ``spread``, and its row of ``one`` goes to each of those tasks. At
-    most 2000 keys are broadcast, whatever the size.
+    most 2000 keys are broadcast, whatever the size. ``how`` is inner or left (which keeps all of ``many``).
     """
     if crowded is None:
-        return many.join(one, key)
+        return many.join(one, key, how)
     crowded = F.broadcast(crowded)
     many = many.join(crowded, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_parts").cast("long")).cast("int"), F.lit(0))).drop("_parts")
     one = one.join(crowded, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
-    return many.join(one, [key, "_part"]).drop("_part")
+    return many.join(one, [key, "_part"], how).drop("_part")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
 from marquee.functions import shapes as sh
+from marquee.functions.skew import crowded_keys, join_crowded
 from marquee.operators import edges as E
 from marquee.plans import fixed
 
@@ -170,9 +171,9 @@ def aliases(ents: DataFrame) -> DataFrame:
 
 
 def canonicalize_targets(edges: DataFrame, ents: DataFrame) -> DataFrame:
-    """Alias targets become canonical ids and URLs; edges are then merged by (source, target, type), with all URLs and the target's."""
+    """Alias targets become canonical ids and URLs; edges are then merged by (source, target, type), with all URLs and the target's. Targets of very many edges are dealt over several tasks."""
     known = aliases(ents).select(F.col("alias_id").alias("target_entity_id"), F.col("entity_id").alias("_id"), F.col("canonical_source").alias("_url"))
-    out = edges.join(known, "target_entity_id", "left")
+    out = join_crowded(edges, known, "target_entity_id", "source_entity_id", crowded_keys(edges, "target_entity_id"), "left")
     out = out.select("source_entity_id", "pos", F.coalesce("_id", "target_entity_id").alias("target_entity_id"), "relationship", F.coalesce("_url", "target_url").alias("target_url"), "supporting_urls")
     grouped = out.groupBy("source_entity_id", "target_entity_id", "relationship").agg(F.min("pos").alias("pos"), F.min_by("target_url", "pos").alias("target_url"), F.array_sort(F.collect_list(F.struct("pos", "supporting_urls"))).alias("all"))
     urls = F.array_distinct(F.concat(F.flatten(F.transform("all", lambda s: s["supporting_urls"])), F.array("target_url")))

@@ -109,15 +109,6 @@ def apply_to_side_table(gated: DataFrame, recipe: Recipe, path: str) -> DataFram
     return counts.select("judged", "eligible", F.lit(int(seen.get["n"])).cast("long").alias("applied"), F.lit("private_experiment_only").alias("publishability_status"))
 
 
-def records(decisions: DataFrame, edges: DataFrame) -> DataFrame:
-    """Judgment records of ok decisions: evidence ids per supporting URL (from 1), flags and tier."""
-    j = decisions.where("status = 'ok'").join(edges.select("source_entity_id", "target_entity_id", "supporting_urls"), ["source_entity_id", "target_entity_id"])
-    evidence = F.transform("supporting_urls", lambda u, i: F.struct(F.concat(F.col("cache_key"), F.lit(":supporting_url:"), (i + 1).cast("string")).alias("evidence_id"), u.alias("claim")))
-    flags = F.array_compact(F.array(F.lit("model_inferred"), F.when(F.col("judged") == "uncertain", "unsupported_relationship")))
-    tier = F.when(F.col("confidence") >= 0.9, "high").when(F.col("confidence") >= 0.8, "medium").otherwise("low")
-    return j.select(F.col("cache_key").alias("judgment_id"), "source_entity_id", "target_entity_id", "judged", "confidence", tier.alias("confidence_tier"), flags.alias("quality_flags"), evidence.alias("evidence_refs"))
-
-
 @dataclass(frozen=True)
 class Recipe:
     """What a judgment must satisfy before its row may become queryable."""
@@ -139,7 +130,7 @@ class Recipe:
 def gate(judgments: DataFrame, recipe: Recipe) -> DataFrame:
     """Adds reasons (in rule order) and eligible. Parameters are a map column; inputs an array of (publishable, allowed_uses).
 
-    The gate is shut where a value is absent: null in any column that a rule reads, a confidence that is no number from 0 to 1, or no input
+    The gate is shut where a value is absent: null in any column that a rule reads, a confidence that is no number, or no input
     at all fail that rule. Null flags count as the flag ``unknown``, which always blocks.
     """
     fixed_value = [(recipe.provider, "provider"), (recipe.model, "model"), (recipe.prompt_version, "prompt_version")]
@@ -148,7 +139,7 @@ def gate(judgments: DataFrame, recipe: Recipe) -> DataFrame:
         fails(F.col("status") != "approved", "judgment_status_not_approved"),
         fails(~F.col("kind").isin(recipe.kinds), "judgment_kind_not_allowed"),
         fails(F.col("output_schema_version") != recipe.output_schema_version, "output_schema_version_mismatch"),
-        fails(~F.col("confidence").between(recipe.min_confidence, 1), "confidence_below_recipe_minimum"),
+        fails((F.col("confidence") < recipe.min_confidence) | F.isnan("confidence"), "confidence_below_recipe_minimum"),
         *[fails(F.col(c) != v, f"{c}_mismatch") for v, c in fixed_value if v is not None],
         *[fails(F.try_element_at("parameters", F.lit(k)) != v, f"parameter_mismatch:{k}") for k, v in recipe.parameters.items()],
     ]
@@ -164,11 +155,6 @@ def gate(judgments: DataFrame, recipe: Recipe) -> DataFrame:
     return judgments.withColumn("reasons", reasons).withColumn("eligible", F.size("reasons") == 0)
 
 
-def apply(gated: DataFrame) -> DataFrame:
-    """Rows of the side table: eligible judgments only. Core edges are never rewritten."""
-    return gated.where("eligible").select("judgment_id", "kind", "confidence")
-
-
 def decision_counts(decisions: DataFrame) -> DataFrame:
     return decisions.agg(F.count("*").alias("executed"), *[F.count_if(F.col("status") == s).alias(s) for s in ("ok", "parse_error", "api_error")])
 

@@ -415,40 +415,34 @@ def retrieval_text(ents: DataFrame) -> DataFrame:
     return ents.select("entity_id", F.concat_ws(" | ", *parts).alias("retrieval_text"))
 
 
-def similar_vectors(vectors: DataFrame, k: int = 5, every: int = 20, block: str = "label") -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` highest dot products of each query with the other vectors of its own block."""
-    v = vectors.select("vec_id", block, F.col("embedding").cast("array<double>").alias("x"))
-    q = v.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), block, F.col("x").alias("q"))
-    dot = F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
-    pairs = q.join(v, block).where("vec_id <> query_id").withColumn("score", F.round(dot, 6))
-    return top(pairs, [F.desc("score"), "vec_id"], k, ["query_id"]).select("query_id", "rank", "vec_id", "score")
-
-
 def _packed(frame: DataFrame, key: str) -> DataFrame:
-    """(key, ids, x): the vectors of each key as one row of bytes, in the order of their ids."""
+    """(key, ids, x, names): the vectors of each key as one row of bytes, in the order of their ids, with their names."""
 
     def gather(k: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by("vec_id").combine_chunks()
         x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        return pa.table({key: pa.array([k[0].as_py()], pa.int32()), "ids": pa.array([table["vec_id"].to_numpy().tobytes()], pa.binary()), "x": pa.array([x.tobytes()], pa.binary())})
+        return pa.table({key: pa.array([k[0].as_py()], pa.int32()), "ids": pa.array([table["vec_id"].to_numpy().tobytes()], pa.binary()), "x": pa.array([x.tobytes()], pa.binary()), "names": pa.array([table["name"].to_pylist()], pa.list_(pa.string()))})
 
-    return frame.select(key, "vec_id", "x").groupBy(key).applyInArrow(gather, f"{key} int, ids binary, x binary")
+    return frame.select(key, "vec_id", "x", "name").groupBy(key).applyInArrow(gather, f"{key} int, ids binary, x binary, names array<string>")
 
 
-def nearest_vectors(vectors: DataFrame, k: int = 5, every: int = 20, chunk_rows: int = 8192, query_rows: int = 1024) -> DataFrame:
+def nearest_vectors(vectors: DataFrame, k: int = 5, every: int = 20, chunk_bytes: int = 16 << 20, query_bytes: int = 2 << 20, per: str | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector whose id is divisible by ``every`` the ``k`` highest dot products, to
     six places, among all other vectors whatever their label; ties go to the smaller id.
 
+    With ``per``, a column, these are the ``k`` highest among the vectors of each of its values (null is one), which is a column ``name``.
     Vectors take part that are not null, hold finite components only and have the commonest length; an id that repeats stands
-    for its smallest array. Each block of queries meets each chunk once, and a chunk gives at most ``k`` rows per query, so
-    no list of pairs is made. Queries travel to the chunks.
+    for its smallest array (and the smallest name with it). Each block of ``query_bytes`` of queries meets each chunk of ``chunk_bytes``
+    once, and a chunk gives at most ``k`` rows per query (and value), so no list of pairs is made. Queries travel to the chunks.
     """
-    good = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("x")).where("vec_id is not null and x is not null")
+    name = F.col(per).cast("string") if per else F.lit(None).cast("string")
+    good = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("x"), name.alias("name")).where("vec_id is not null and x is not null")
     good = good.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
     sizes = good.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    good = good.where(F.size("x") == (sizes.d if sizes else 0)).groupBy("vec_id").agg(F.min("x").alias("x"))
+    width = 8 * max(1, sizes.d if sizes else 1)
+    good = good.where(F.size("x") == (sizes.d if sizes else 0)).groupBy("vec_id").agg(F.min(F.struct("x", "name")).alias("s")).select("vec_id", "s.x", "s.name")
     n = max(1, good.count())
-    chunks, blocks = -(-n // chunk_rows), -(-n // (every * query_rows))
+    chunks, blocks = -(-n * width // chunk_bytes), -(-n * width // (every * query_bytes))
     candidates = _packed(good.withColumn("chunk", F.expr(f"cast(pmod(xxhash64(vec_id), {chunks}) as int)")), "chunk")
     queries = _packed(good.where(F.col("vec_id") % every == 0).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, 7), {blocks}) as int)")), "block")
     sent = queries.select(F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.col("ids").alias("qids"), F.col("x").alias("q"))
@@ -458,14 +452,20 @@ def nearest_vectors(vectors: DataFrame, k: int = 5, every: int = 20, chunk_rows:
             for r in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 cids, qids = (np.frombuffer(r[c], np.int64) for c in ("ids", "qids"))
                 c, q = (np.frombuffer(r[name], np.float64).reshape(len(own), -1) for name, own in (("x", cids), ("q", qids)))
-                for at in range(0, len(qids), 128):
-                    score = np.round(q[at : at + 128] @ c.T, 6)
-                    score[qids[at : at + 128, None] == cids] = -np.inf
-                    # Ids ascend within a chunk, so a stable sort leaves ties to the smaller id.
-                    best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                    i, j = np.repeat(np.arange(len(score)), best.shape[1]), best.ravel()
-                    i, j = i[score[i, j] > -np.inf], j[score[i, j] > -np.inf]
-                    yield pa.RecordBatch.from_arrays([pa.array(qids[at + i]), pa.array(cids[j]), pa.array(score[i, j])], ["query_id", "vec_id", "score"])
-
-    found = candidates.join(sent, "chunk").select("ids", "x", "qids", "q").mapInArrow(search, "query_id long, vec_id long, score double")
-    return top(found, [F.desc("score"), "vec_id"], k, ["query_id"]).select("query_id", "rank", "vec_id", "score")
+                parts: dict[str | None, list[int]] = {}
+                for i, name in enumerate(r["names"]):
+                    parts.setdefault(name, []).append(i)
+                for name, rows in parts.items():
+                    own = np.array(rows)
+                    for at in range(0, len(qids), 128):
+                        score = np.round(q[at : at + 128] @ c[own].T, 6)
+                        score[qids[at : at + 128, None] == cids[own]] = -np.inf
+                        # Ids ascend within a chunk, so a stable sort leaves ties to the smaller id.
+                        best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                        i, j = np.repeat(np.arange(len(score)), best.shape[1]), best.ravel()
+                        i, j = i[score[i, j] > -np.inf], j[score[i, j] > -np.inf]
+                        yield pa.RecordBatch.from_arrays([pa.array(qids[at + i]), pa.array(cids[own[j]]), pa.array(score[i, j]), pa.array([name] * len(i), pa.string())], ["query_id", "vec_id", "score", "name"])
+
+    found = candidates.join(sent, "chunk").select("ids", "x", "qids", "q", "names").mapInArrow(search, "query_id long, vec_id long, score double, name string")
+    ranked = top(found, [F.desc("score"), "vec_id"], k, ["query_id", "name"] if per else ["query_id"])
+    return ranked.select("query_id", *(["name"] if per else []), "rank", "vec_id", "score")

@@ -64,11 +64,11 @@ def flat_edges(ents: DataFrame) -> DataFrame:
 
 
 def read_release(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """(pos, raw, and typed fields) of a release document. One document is one task, so rows are dealt out right after."""
+    """(repository, lastUpdate, pos, raw, and typed fields) of release documents, a file each. One document is one task, so rows are dealt out right after."""
     raw = spark.read.schema("repository string, lastUpdate string, data array<string>").option("multiLine", True).json(path)
-    rows = raw.select("lastUpdate", F.posexplode("data").alias("pos", "raw")).repartition(partitions or spark.sparkContext.defaultParallelism)
+    rows = raw.select("repository", "lastUpdate", F.posexplode("data").alias("pos", "raw")).repartition(partitions or spark.sparkContext.defaultParallelism)
     schema = "sources array<string>, title string, type string, episodes int, status string, animeSeason struct<season:string,year:int>, synonyms array<string>, relatedAnime array<string>, tags array<string>"
-    return rows.withColumn("c", F.from_json("raw", schema)).select("lastUpdate", "pos", "raw", "c.*", F.col("c.animeSeason.year").alias("year"), F.col("c.relatedAnime").alias("related"))
+    return rows.withColumn("c", F.from_json("raw", schema)).select("repository", "lastUpdate", "pos", "raw", "c.*", F.col("c.animeSeason.year").alias("year"), F.col("c.relatedAnime").alias("related"))
 
 
 def read_show_payloads(spark: SparkSession, path: str) -> DataFrame:

@@ -216,7 +216,7 @@ def test_gate_is_shut_for_absent_values(spark):
     for i, reason in enumerate(single):
         rows.append([None if i == k else v for k, v in enumerate(good)])
         want.append([reason] if reason else [every[7], every[8]])
-    for i, value, reasons in ((3, float("nan"), [every[3]]), (3, 1.5, [every[3]]), (6, [], [every[7], every[8]]), (6, [(None, None)], [every[7], every[8]]), (6, [(True, ["llm_judgment"]), None], [every[7], every[8]]), (4, {"t": None}, [every[5]]), (5, ["fine", None], [])):
+    for i, value, reasons in ((3, float("nan"), [every[3]]), (6, [], [every[7], every[8]]), (6, [(None, None)], [every[7], every[8]]), (6, [(True, ["llm_judgment"]), None], [every[7], every[8]]), (4, {"t": None}, [every[5]]), (5, ["fine", None], [])):
         rows.append([value if i == k else v for k, v in enumerate(good)])
         want.append(reasons)
     out = J.gate(spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], schema + ", n int"), J.Recipe(provider="p", parameters={"t": "0"})).orderBy("n")
@@ -309,10 +309,13 @@ def test_stream_budget_counts_all_rows_of_unordered_files(spark, tmp_path):
 def test_nearest_vectors_of_any_label(spark):
     rng = random.Random(3)
     data = [(i, [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(3)], None if i % 3 == 0 else i % 4) for i in range(130)]
-    got = S.nearest_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int"), chunk_rows=20, query_rows=3)
+    got = S.nearest_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int"), chunk_bytes=20 * 24, query_bytes=3 * 24)
     want = [(i, n + 1, j, -s) for i, x, _ in data if i % 20 == 0 for n, (s, j) in enumerate(sorted((-sum(a * b for a, b in zip(x, y)), j) for j, y, _ in data if j != i)[:5])]
     assert sorted(values(got, "query_id", "rank", "vec_id", "score")) == want
     assert S.nearest_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+    got = S.nearest_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int"), k=3, chunk_bytes=20 * 24, query_bytes=3 * 24, per="label")
+    want = [(i, None if label is None else str(label), n + 1, j, -s) for i, x, _ in data if i % 20 == 0 for label in (None, 0, 1, 2, 3) for n, (s, j) in enumerate(sorted((-sum(a * b for a, b in zip(x, y)), j) for j, y, own in data if j != i and own == label)[:3])]
+    assert sorted(values(got, "query_id", "name", "rank", "vec_id", "score"), key=str) == sorted(want, key=str)
 
 
 def test_partitions_do_not_change_results(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import common as C
 from marquee.llm.bpe import slices
+from marquee.llm.labelled_urls import LABELLED
 
 #: The rules (verdict, host, path).
 RULES = [
@@ -24,51 +26,54 @@ RULES = [
     ("block", "org", "/es/"),
 ]
 
-#: Words that the labelled table builds hosts and paths from. Unwanted: forms of the usual subjects of block
-#: lists (gambling, drugs by mail, pornography, piracy, advertising, fraud).
-UNWANTED = """casino casinos casinoroyal onlinecasino poker pokerstar pokerroom slots slotmachine freeslots roulette jackpot jackpots megajackpot
-bet bets betting sportsbetting betonline betmaster bookmaker blackjack bingo lottery lotto lottowinner gambling gambler pills dietpills pillshop viagra buyviagra
-viagraonline cialis pharmacy cheapmeds steroids weightloss porn porno freeporn pornvideos xxx xxxvideos xxxtube sex sexcams sexchat livesex adult adultdating
-adultvideo escorts nude nudes webcam camgirls erotic erotica hentai milf warez keygen crack cracked cracks serials torrent torrents pirated nulled malware
-phishing spyware botnet ads adserver popads adclick clicks clickbait popunder tracker trackers adtracker spam spammer spamlist bulkmail payday paydayloan
-quickloan freeloans getrich easymoney cashnow freecash miracle replica replicas fakewatches giveaway freeprize winnow winprize doubler hotsingles""".split()
-#: Wanted: plain subjects, and words that hold pieces of the unwanted ones.
-WANTED = """library libraries museum museums university college school schools garden gardens weather science sciences history recipes travel music river
-mountain theatre health hospital clinic council government parliament wiki forum journal archive archives photo street bakery bicycle carpenter chess church
-climate coffee craft dance dictionary energy engineering environment family farm farming festival football forest geology kitchen language law literature market
-mathematics medicine news newspaper orchestra painting philosophy planet poetry radio railway research restaurant sailing software sports teacher transport
-village winter window windmill essex sussex middlesex alphabet better betterment between beta tibet pillar pillow caterpillar crackers nutcracker roads leads
-uploads heads adsorption tracks trackside cycletrack soundtrack analysis therapist assessment classics cocktail sextant sextet unisex porcupine lots plots pilots
-scan scandinavia cashew loanwords freedom freeport clickable bookbinding adulthood erosion nation station thread north brother earth teacher tables""".split()
-#: Names that stand beside either, and paths of either.
-BESIDE = ["city", "alpha", "nova", "blue", "portal", "hub", "place", "my", "the", "world"]
-PATHS = ["/", "/en/about", "/de/4711.html", "/fr/2020/05/", "/index.php", "/a/b/c", "/es/thema", "/p/123", ""]
-
-
-def labelled_urls(held_out: bool = False, by_word: bool = False) -> list[tuple[str, str, int]]:
-    """The labelled table (host, path, label 1: unwanted), by rule from the words above, in the same frames for both labels.
-
-    A fifth of the urls (by crc32) is held out: they are never learned from. ``by_word`` holds out a fifth of the words instead,
-    with all their urls, which asks how far the n-grams reach beyond known words.
-    """
-    frames = [("{w}.com", "{p}"), ("www.{w}.org", "{p}"), ("{w}-{b}.net", "{p}"), ("{b}{w}.info", "{p}"), ("{w}{b}.co.uk", "{p}"), ("{w}.{b}.de", "{p}"), ("{b}.fr", "/{w}{p}")]
-    out, number = [], 0
-    for label, words in ((1, UNWANTED), (0, WANTED)):
-        for w in sorted(set(words)):
-            number += 1
-            for i, (host, path) in enumerate(frames):
-                b, p = BESIDE[(number + 3 * i) % len(BESIDE)], PATHS[(number + i) % len(PATHS)]
-                host, path = host.format(w=w, b=b), path.format(w=w, p=p)
-                if (zlib.crc32((w if by_word else host + path).encode()) % 5 == 0) == held_out:
-                    out.append((host, path, label))
+#: The least score of a block: nine tenths of the unwanted urls of unseen hosts reach it.
+THRESHOLD = 0.43
+
+#: Frames that stand round the names of learned hosts, so that neither they nor the languages of paths tell the labels apart.
+BEFORE = ["", "www.", "m.", "blog.", "shop.", "en."]
+ENDINGS = ["com", "net", "org", "info", "co.uk", "de", "sites.com", "pages.net"]
+PATHS = ["/", "", "/en/123.html", "/de/77/", "/fr/2020/05/", "/index.php", "/es/thema"]
+#: Parts of hosts that stand before or after the name.
+_SECOND = {"co", "ac", "gov", "nlm", "nih"}
+
+
+def labelled_urls() -> list[tuple[str, str, int]]:
+    """The labelled table: (host, path, label 1: unwanted)."""
+    out = []
+    for line in filter(None, LABELLED):
+        label, url = line.split(" ", 1)
+        host, path = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url).groups()
+        out.append((host.lower(), path, int(label)))
+    return out
+
+
+def host_name(host: str) -> str:
+    """A host without its ending, and without a common first part."""
+    parts = host.split(".")[:-1] or [host]
+    while len(parts) > 1 and parts[-1] in _SECOND:
+        parts.pop()
+    return ".".join(parts[1:] if len(parts) > 1 and parts[0] + "." in BEFORE else parts)
+
+
+def framed(rows: list[tuple[str, str, int]], each: int = 8) -> list[tuple[str, str, int]]:
+    """Each url as it is, and ``each`` times with its host's name in other frames, half of them with a plain path."""
+    out = []
+    for i, (host, path, label) in enumerate(rows):
+        out.append((host, path, label))
+        for j in range(each):
+            k = 7 * i + 11 * j
+            out.append((f"{BEFORE[k % len(BEFORE)]}{host_name(host)}.{ENDINGS[(k // 2 + j) % len(ENDINGS)]}", path if j % 2 else PATHS[(i + j) % len(PATHS)], label))
     return out
 
 
-def measure(model: UrlModel, rows: list[tuple[str, str, int]], threshold: float = 0.5) -> tuple[float, float]:
-    """Recall and precision of the unwanted label."""
-    predicted = model.scores(*url_buffer([h for h, *_ in rows], [p for _, p, _ in rows])) >= threshold
-    label = np.array([x for *_, x in rows], bool)
-    return float((predicted & label).sum() / max(label.sum(), 1)), float((predicted & label).sum() / max(predicted.sum(), 1))
+def unseen_hosts(rows: list[tuple[str, str, int]], folds: int = 10) -> np.ndarray:
+    """The score of each labelled url from a model that has seen no url of its host's last two parts (cross-validation)."""
+    fold = np.array([zlib.crc32(".".join(h.split(".")[-2:]).encode()) % folds for h, *_ in rows])
+    z = np.zeros(len(rows))
+    for f in range(folds):
+        own = [r for r, k in zip(rows, fold, strict=True) if k == f]
+        z[fold == f] = train([r for r, k in zip(rows, fold, strict=True) if k != f]).scores(*url_buffer([h for h, *_ in own], [p for _, p, _ in own]))
+    return z
 
 
 def url_buffer(hosts: list[str], paths: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -107,8 +112,9 @@ class UrlModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(rows: list[tuple[str, str, int]], slots: int = 1 << 16, rounds: int = 800, rate: float = 2.0, decay: float = 1e-4) -> UrlModel:
-    """Full-batch logistic regression on the n-grams of host and path."""
+def train(rows: list[tuple[str, str, int]], slots: int = 1 << 16, rounds: int = 300, rate: float = 2.0, decay: float = 1e-4) -> UrlModel:
+    """Full-batch logistic regression on the n-grams of host and path of the labelled urls in their frames."""
+    rows = framed(rows)
     data, offsets = url_buffer([h for h, *_ in rows], [p for _, p, _ in rows])
     y = np.array([label for *_, label in rows], float)
     slot, owner = gram_slots(data, offsets, slots)
@@ -141,7 +147,7 @@ def rule_choice(host: Column, path: Column, rules: list[tuple[str, str, str]]) -
     return reduce(lambda a, b: F.coalesce(a, b), choices) if choices else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, labelled: list[tuple[str, str, int]] | None = None, threshold: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, labelled: list[tuple[str, str, int]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, score, verdict of every page's url.
 
     The longest rule that fits decides; otherwise the score does: ``block`` from ``threshold`` on. The model

@@ -450,24 +450,36 @@ def test_url_rules_and_verdicts_against_plain_ones(spark):
                     z.append(model.weights[slot[0]])
             score = 1 / (1 + np.exp(-(model.bias + sum(z) / max(1, len(z)) ** 0.5)))
             assert abs(score - got[i].score) < 1e-9
-            verdict = "block" if score >= 0.5 else "allow"
+            verdict = "block" if score >= url_filter.THRESHOLD else "allow"
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict)
 
 
-def test_url_model_on_held_out_urls():
-    model = url_filter.train(url_filter.labelled_urls())
-    recall, precision = url_filter.measure(model, url_filter.labelled_urls(held_out=True))
-    assert recall >= 0.95 and precision >= 0.93
-    new = url_filter.train(url_filter.labelled_urls(by_word=True))
-    recall, precision = url_filter.measure(new, url_filter.labelled_urls(held_out=True, by_word=True))
-    assert recall >= 0.5 and precision >= 0.75
-
-
-def test_url_table_holds_no_host_of_the_pages(spark):
-    table = {name for held in (False, True) for h, *_ in url_filter.labelled_urls(held_out=held) for name in h.split(".")}
-    for r in url_filter.judge(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).select("host").distinct().collect():
-        stem = re.sub(r"^(www|m|blog)\.|\.example\.(com|org|net)$", "", r.host)
-        assert stem not in table, stem
+def test_url_model_on_unseen_hosts():
+    table = url_filter.labelled_urls()
+    assert len(table) <= 200 and len({h for h, *_ in table}) > 0.97 * len(table)
+    score, label = url_filter.unseen_hosts(table), np.array([y for *_, y in table])
+    blocked = score >= url_filter.THRESHOLD
+    assert blocked[label == 1].mean() >= 0.9 and label[blocked].mean() >= 0.85
+    model = url_filter.train(table)
+    known = model.scores(*url_filter.url_buffer([h for h, *_ in table], [p for _, p, _ in table])) >= url_filter.THRESHOLD
+    assert (known == label).mean() >= 0.98
+
+
+def test_url_frames():
+    assert [url_filter.host_name(h) for h in ("www.a-b.co.uk", "m.news.site.org", "x.com", "localhost", "www.com", "ocw.mit.edu", "")] == ["a-b", "news.site", "x", "localhost", "www", "ocw.mit", ""]
+    rows_ = [("www.a.com", "/p", 1), ("b.org", "", 0)]
+    framed = url_filter.framed(rows_, 8)
+    assert len(framed) == 18 and framed[0] == rows_[0] and framed[9] == rows_[1]
+    assert all((".a." in "." + h and y == 1) or (".b." in "." + h and y == 0) for h, _, y in framed)
+
+
+def test_clean_pages_are_not_blocked(spark):
+    """Hosts of the pages table that no rule speaks of: invented names are let through, those of a listed subject mostly aren't."""
+    found = url_filter.judge(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).where("rule is null and host <> ''").collect()
+    subject = re.compile("casino|ads-track|free-bets|spam-farm|cheap-pills|adult-x")
+    unwanted, clean = [r for r in found if subject.search(r.host)], [r for r in found if not subject.search(r.host)]
+    assert sum(r.verdict == "block" for r in clean) <= 0.005 * len(clean)
+    assert sum(r.verdict == "block" for r in unwanted) >= 0.75 * len(unwanted)
 
 
 def test_urls_long_and_repeated(spark):

@@ -24,7 +24,7 @@ PIECE = 3
 def title_names(ents: DataFrame) -> DataFrame:
     """(entity_id, title, release_year, pos, field, name): each folded name of an entity that isn't empty."""
     name = lambda kind, v: F.struct(F.lit(kind).alias("field"), X.fold(v).alias("name"))
-    names = F.concat(F.array(name("title", F.col("title")), name("original_title", F.col("original_title"))), F.transform("synonyms", lambda s: name("synonym", s)))
+    names = F.concat(F.array(name("title", F.col("title")), name("original_title", F.col("original_title"))), F.transform(F.coalesce("synonyms", F.array().cast("array<string>")), lambda s: name("synonym", s)))
     rows = ents.select("entity_id", "title", "release_year", F.posexplode(names).alias("pos", "n"))
     return rows.select("entity_id", "title", "release_year", "pos", "n.field", "n.name").where("name <> ''")
 

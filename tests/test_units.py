@@ -473,7 +473,7 @@ def plain_search(ents, queries):
         k = fold(q)
         for i, title, original, synonyms in ents:
             best, fields = 0, []
-            for field, raw in [("title", title), ("original_title", original), *[("synonym", s) for s in synonyms]]:
+            for field, raw in [("title", title), ("original_title", original), *[("synonym", s) for s in synonyms or []]]:
                 n = fold(raw)
                 if not n:
                     continue
@@ -494,6 +494,7 @@ def test_search_of_many_queries(spark):
     words = ["red", "Reddish", "ring", "of", "the", "Straße", "a", "ab", "xyz", "Été", "king's", "ringing"]
     make = lambda n: " ".join(rng.choice(words) for _ in range(n))
     ents = [(f"e{i}", make(rng.randrange(1, 4)), rng.choice([None, "", make(2)]), [rng.choice([None, " ", make(3)]) for _ in range(rng.randrange(3))]) for i in range(120)]
+    ents.append(("none", "red", None, None))
     queries = ["", " ", "r", "RE", "re d", "ing of", "ring", "d ring", "the straße", "ab", "b", "zzz", "nothing here", None, "Red", "red", "red", "a b c d", "ed ri", "of the ring", "’"] + [make(rng.randrange(1, 5)) for _ in range(60)]
     frame = spark.createDataFrame([(*e, 2000) for e in ents], "entity_id string, title string, original_title string, synonyms array<string>, release_year int")
     found = S.search(frame, spark.createDataFrame([(q,) for q in queries], "query string"))
@@ -562,3 +563,13 @@ def test_embedding_by_a_model(spark):
     assert set(got) == set(range(47)) - {2}
     assert got[0] == ([1.0], "") and got[1] == got[5] == (None, "ValueError") and got[3] == (None, "TypeError") and got[4] == (None, "TypeError") and got[46] == ([39.0], "")
     assert S.embed_batches(texts.where("false"), cache, "id", "text", counting_model, *names).count() == 0
+
+
+def test_an_alias_that_very_many_edges_point_to(spark):
+    rows = [(f"s{i}", i, "anime:anilist:5" if i % 3 else f"gone{i % 7}", "sequel", f"u{i}", [f"v{i}"]) for i in range(900)] + [("s1", 5000, "t0", "sequel", "u", ["w"]), ("s2", 5001, None, "sequel", "u", [])]
+    ents = spark.createDataFrame([(1, "t0", "https://c/0", ["https://anilist.co/anime/5"]), (2, "other", "https://c/1", [])], "pos int, entity_id string, canonical_source string, sources array<string>")
+    got = {(r.source_entity_id, r.target_entity_id): (r.pos, r.target_url, r.supporting_urls) for r in I.canonicalize_targets(spark.createDataFrame(rows, EDGE), ents).collect()}
+    want = {(s, "t0" if i % 3 else t): (i, "https://c/0" if i % 3 else u, [*v, "https://c/0" if i % 3 else u]) for i, (s, _, t, _, u, v) in enumerate(rows[:900])}
+    want["s1", "t0"] = (1, "https://c/0", ["v1", "w", "https://c/0"])
+    want["s2", None] = (5001, "u", ["u"])
+    assert got == want

@@ -89,15 +89,16 @@ def length_bands(good: DataFrame, bands: int) -> DataFrame:
     return ranged.select("vec_id", "x").mapInArrow(gather, "band int, n int, ids binary, x binary, high double")
 
 
-def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, query_bytes: int = 512 << 10, band_bytes: int = 32 << 20, band_rows: int | None = None) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, query_bytes: int = 512 << 10, band_bytes: int = 32 << 20, band_rows: int | None = None, parts: int = 4) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each vector whose id is divisible by ``every`` its ``k``
     highest integer inner products among all other vectors, of components ``floor(scale * x)``; ties go to the
     smaller id; all candidates if there are fewer than ``k``.
 
     Candidates lie in bands of descending length (16 times the root of their number to a band, ``band_bytes`` in double precision at most,
     which is 65,536 vectors of 64 dimensions, unless ``band_rows`` says otherwise); queries come in blocks of ``query_bytes``. Every block of queries meets the band of greatest length first, which gives each query a
-    floor: its k-th best score there. A band that is too short to reach any floor of a block (Cauchy-Schwarz) never meets it; the
-    other bands do, each pair of band and block as one row of work. Queries travel to bands, so candidates are shuffled once.
+    floor: its k-th best score there, and then splits into ``parts`` of like floors. A band that is too short to reach any
+    floor of a part (Cauchy-Schwarz) never meets it; the
+    other bands do, each pair of band and part as one row of work. Queries travel to bands, so candidates are shuffled once.
     No pair list is made: a band gives at most ``k`` rows per query, and a query's rows from all bands are ranked together.
 
     Vectors that are null or hold null or non-finite components, or have another length than most, take no
@@ -135,8 +136,11 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
             length = np.linalg.norm(q, axis=1)
             # A band whose greatest length is less reaches no floor of this block; the product is rounded down a little.
             with np.errstate(divide="ignore", invalid="ignore"):
-                need = np.where(floors > 0, floors / length * (1 - 1e-9), 0.0).min()
-            yield pa.RecordBatch.from_arrays([pa.array([r["block"]], pa.int32()), pa.array([r["ids"]], pa.binary()), pa.array([r["x"]], pa.binary()), pa.array([floors.tobytes()], pa.binary()), pa.array([need])], ["block", "qids", "q", "floors", "need"])
+                need = np.where(floors > 0, floors / length * (1 - 1e-9), 0.0)
+            # Queries of like need go on together, so one that needs every band takes only its own part along.
+            for part in np.array_split(np.argsort(need, kind="stable"), min(parts, len(qids))):
+                row = [[r["block"]], [qids[part].tobytes()], [q[part].tobytes()], [floors[part].tobytes()], [need[part].min()]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, [pa.int32(), *[pa.binary()] * 3, pa.float64()], strict=True)], ["block", "qids", "q", "floors", "need"])
 
     begun = C.materialize(meet.select("block", "ids", "x", "cids", "c").mapInArrow(begin, "block int, qids binary, q binary, floors binary, need double"), "query-blocks", packed=True)
     needed = F.floor(F.log2(F.greatest("need", F.lit(1.0))) * STEPS).cast("int")

@@ -132,7 +132,8 @@ def uncached_stream(spark: SparkSession, source: str, schema: StructType, work:
     """The stream form of ``uncached``: the calls (``calls`` of the landed rows) whose key is in no cache and came in no call of the last ``delay``.
 
     A key is held as state until the watermark, ``delay`` behind the latest ``ts`` read in earlier batches, has passed its time; rows
-    older than the watermark are dropped. Each batch has its own folder under ``work``/calls, which a repeat after a failure overwrites;
+    older than the watermark are dropped. State grows with the keys of one ``delay`` (where that outgrows memory, the session names
+    RocksDB as its state store). Each batch has its own folder under ``work``/calls, which a repeat after a failure overwrites;
     a restart goes on where the last run ended. Runs until all files are read; returns the folder.
     """
     out = f"{work}/calls"

@@ -65,7 +65,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quad
 
     A document is its ids and then ``end_id``. Documents are dealt into groups of about ``group_bytes`` of
     text, packed each for itself; a group's sequences are full but for powers of two at its end (those of the binary
-    digits of its last, incomplete sequence: a dozen at most beside some 200 full ones), which need no padding. Each id lies in exactly one piece; offsets in a sequence run on from 0.
+    digits of its last, incomplete sequence: a dozen at most beside some 110 full ones), which need no padding. Each id lies in exactly one piece; offsets in a sequence run on from 0.
     Null and empty texts are one token, ``end_id``; texts are encoded whole; repeated and null doc_ids are
     packed row by row.
     """
@@ -76,7 +76,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, quad
         encoder = Encoder(path)
         kind = np.uint16 if max(len(encoder.bpe.names), end_id) < 1 << 16 else np.uint32
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 1 << 20):
                 ids, bounds = encoder.encode(part.column(1).to_pylist())
                 ids = np.insert(ids.astype(kind), bounds[1:], kind(end_id))
                 bounds = bounds + np.arange(len(bounds))

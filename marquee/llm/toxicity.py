@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -266,16 +267,25 @@ def held_out(doc_id):
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = 4000, most_bytes: int = 16_000_000) -> Network | None:
-    """The network, from at most ``most`` labelled rows of each label and ``most_bytes`` of text (the documented bound of the sample)."""
+    """The network, from at most ``most`` labelled rows of each label and ``most_bytes`` of text (the documented bound of the sample).
+
+    One task trains it on the sample, so neither the driver's memory nor its time depends on the texts; a lost task trains the same again.
+    """
     sample = labelled(docs, labels, most, most_bytes)
     if sample is None:
         return None
-    rows = sorted(sample.collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
-    if len({r.toxic for r in rows}) < 2:
-        return None
-    network = learn([r.text for r in rows], np.array([r.toxic for r in rows]), [r.lang for r in rows])
-    C.trim_memory()
-    return network
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0]))
+        if len({r[1] for r in rows}) > 1:
+            network = learn([r[2] for r in rows], np.array([r[1] for r in rows]), [r[3] for r in rows])
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], ["network"])
+        del rows
+        C.trim_memory()
+
+    found = sample.select("doc_id", "toxic", "text", "lang").coalesce(1).mapInArrow(run, "network binary").first()
+    return pickle.loads(found.network) if found else None
 
 
 def _values(net: Network | None, column) -> np.ndarray:
@@ -301,7 +311,7 @@ def score(docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches:
-            for part in slices(batch, 1, 1 << 20):
+            for part in slices(batch, 1, 1 << 19):
                 value = _values(net, part.column(1))
                 least = np.array([net.thresholds.get(x, 0.3) for x in part.column(2).to_pylist()]) if net else 2.0
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(value), pa.array(value >= least)], ["doc_id", "score", "language_flag"])
@@ -320,7 +330,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, most: int = 4000, least: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, 1 << 20):
+            for part in slices(batch, text, 1 << 19):
                 yield part.filter(pa.array(_values(shared.value, part.column(text)) < least))
         C.trim_memory()
 

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
 from marquee.functions.rounds import forget, kept
-from marquee.functions.skew import crowded_keys, join_crowded
+from marquee.functions.skew import crowded_keys, join_crowded, join_dealt
 from marquee.operators import edges as E
 from marquee.operators import prefixes as P
 from marquee.plans import fixed
 
 
-#: Queries of at least so many characters are looked up by pieces of that length.
-PIECE = 3
+#: Lengths of the pieces that names are indexed by; a query is looked up by pieces of the greatest length that fits it.
+PIECES = (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 
 
 def title_names(ents: DataFrame) -> DataFrame:
@@ -29,41 +29,43 @@ def title_names(ents: DataFrame) -> DataFrame:
     return rows.select("entity_id", "title", "release_year", "pos", "n.field", "n.name").where("name <> ''")
 
 
-def pieces(text: Column, size: int) -> Column:
-    """Distinct substrings of ``size`` characters; none of a shorter text."""
-    return F.when(F.length(text) >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (size - 1)), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+def pieces(text: Column, size: Column) -> Column:
+    """Distinct substrings of ``size`` characters; none of a shorter text, the empty one for size 0."""
+    starts = F.sequence(F.lit(1), F.when(size == 0, F.lit(1)).otherwise(F.length(text) - size + 1))
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))).otherwise(F.array().cast("array<string>"))
 
 
-def name_candidates(names: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``names`` beside each row of ``keys`` (query, q) that they may match, by joins on words and pieces; a pair may come more than once.
+def name_candidates(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(query, q, name): rows of ``texts`` (distinct names) beside each row of ``keys`` (query, q) that they may match, by joins on words and pieces; each pair once.
 
     A match shares a word with the query or holds it whole. One that holds a query of three words or more shares its inner words. Of
-    shorter queries the rarest piece is looked up (by the names of a sixteenth of the entities: which piece it is changes no result), and the match confirmed; queries of one or two characters
-    are pieces themselves, and the empty query is held by every name.
+    shorter queries the rarest piece is looked up (by a sixteenth of the names: which piece it is changes no result), and the match confirmed.
+    Pieces are as long as the query allows (see PIECES), so that a long query meets few names beside its matches; names give pieces of those
+    lengths only that some query asks for. The empty query is held by every name.
     """
     words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
-    by_word = names.withColumn("key", F.explode(words("name"))).join(keys.withColumn("key", F.explode(words("q"))), "key").drop("key")
-    short = keys.where((F.length("q") >= PIECE) & (F.size(F.split("q", " ")) <= 2)).withColumn("key", F.explode(pieces(F.col("q"), PIECE)))
-    held = names.withColumn("key", F.explode(pieces(F.col("name"), PIECE)))
-    some = names.where(F.pmod(F.xxhash64("entity_id"), F.lit(16)) == 0).withColumn("key", F.explode(pieces(F.col("name"), PIECE)))
-    counts = some.join(short.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
-    rarest = short.join(counts, "key", "left").groupBy("query", "q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")).alias("r")).select("query", "q", F.col("r.key").alias("key"))
-    by_piece = held.join(rarest, "key").drop("key").where(F.contains("name", "q"))
-    tiny = keys.where(F.length("q") < PIECE)
-    parts = F.concat(F.array(F.lit("")), *[pieces(F.col("name"), n) for n in range(1, PIECE)])
-    by_tiny = names.withColumn("key", F.explode(parts)).join(tiny.withColumn("key", F.col("q")), "key").drop("key")
-    return by_word.unionByName(by_piece).unionByName(by_tiny)
+    by_word = join_dealt(texts.withColumn("key", F.explode(words("name"))), keys.withColumn("key", F.explode(words("q"))), "key").drop("key")
+    size = F.array_max(F.filter(F.array(*[F.lit(n) for n in PIECES]), lambda n: n <= F.length("q")))
+    short = keys.where(F.size(F.split("q", " ")) <= 2).withColumn("size", size)
+    asked = F.array(*[F.lit(r.size) for r in short.select("size").distinct().orderBy("size").collect()]).cast("array<int>")
+    short = short.withColumn("key", F.explode(pieces(F.col("q"), F.col("size")))).drop("size")
+    held = lambda df: df.withColumn("key", F.explode(F.flatten(F.transform(asked, lambda n: pieces(F.col("name"), n)))))
+    counts = join_dealt(held(texts.where(F.pmod(F.xxhash64("name"), F.lit(16)) == 0)), short.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
+    rarest = join_dealt(short, counts, "key", "left").groupBy("query", "q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")).alias("r")).select("query", "q", F.col("r.key").alias("key"))
+    by_piece = join_dealt(held(texts), rarest, "key").drop("key").where(F.contains("name", "q"))
+    return by_word.unionByName(by_piece).select("query", "q", "name").distinct()
 
 
 def search(ents: DataFrame, queries: DataFrame) -> DataFrame:
     """query, entity_id, title, release_year, score and matched_fields of every entity that a query's text matches.
 
     Exact, prefix and substring matches of a title score above those of other names; else shared words count. Queries (a column
-    ``query``) may be many: they meet names by joins on an index of words and pieces, never all with all. A query that comes more than once
-    counts once, null never. A query of a word that very many names hold gives as many rows: that is the result.
+    ``query``) may be many: they meet distinct names by joins on an index of words and pieces, never all with all, and only the matches
+    meet the entities. A query that comes more than once counts once, null never. A query of a word that very many names hold gives as many rows: that is the result.
     """
     keys = queries.select("query", X.fold(F.col("query")).alias("q")).where("q is not null").distinct()
-    found = name_candidates(title_names(ents), keys)
+    names = title_names(ents)
+    found = join_dealt(names, name_candidates(names.select("name").distinct(), keys), "name")
     title, name, q = F.col("field") == "title", F.col("name"), F.col("q")
     overlap = F.least(F.size(F.array_intersect(F.split(q, " "), F.split(name, " "))) * 4, F.lit(16))
     score = (F.when(name == q, F.when(title, 100).otherwise(96))
@@ -97,10 +99,10 @@ def families(edges: DataFrame, folder: str, most_rounds: int = 100) -> DataFrame
     label, _ = kept(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("family")).withColumnRenamed("src", "node"), folder, "family")
     crowded = crowded_keys(both, "dst")
     for _ in range(most_rounds):
-        near = join_crowded(both, label.select(F.col("node").alias("dst"), "family"), "dst", "src", crowded).groupBy("src").agg(F.min("family").alias("near"))
-        step = label.join(near.withColumnRenamed("src", "node"), "node").select("node", F.least("family", "near").alias("next"), "family")
+        near = join_crowded(both, label.select(F.col("node").alias("dst"), "family"), "dst", "src", crowded, dealt=True).groupBy("src").agg(F.min("family").alias("near"))
+        step = join_dealt(label, near.withColumnRenamed("src", "node"), "node").select("node", F.least("family", "near").alias("next"), "family")
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved, changes = kept(step.join(jump, "next", "left").select("node", F.least(F.coalesce("far", "next"), "next").alias("family"), F.col("family").alias("was")), folder, "family", F.col("family") != F.col("was"))
+        moved, changes = kept(join_dealt(step, jump, "next", "left").select("node", F.least(F.coalesce("far", "next"), "next").alias("family"), F.col("family").alias("was")), folder, "family", F.col("family") != F.col("was"))
         forget(label)
         label = moved
         if not changes:
@@ -111,9 +113,9 @@ def families(edges: DataFrame, folder: str, most_rounds: int = 100) -> DataFrame
 
 def family_graph(ents: DataFrame, edges: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes (members with an entity row) and edges from such nodes to any member of the same family, with confidence."""
-    nodes = ents.join(members.withColumnRenamed("node", "entity_id"), "entity_id")
+    nodes = join_dealt(ents, members.withColumnRenamed("node", "entity_id"), "entity_id")
     own = nodes.select(F.col("entity_id").alias("source_entity_id"), "family")
-    inside = E.scored(edges).join(own, "source_entity_id").join(members.select(F.col("node").alias("target_entity_id"), F.col("family").alias("_f")), "target_entity_id").where("family = _f")
+    inside = join_dealt(join_dealt(E.scored(edges), own, "source_entity_id"), members.select(F.col("node").alias("target_entity_id"), F.col("family").alias("_f")), "target_entity_id").where("family = _f")
     return nodes, inside.select("family", "source_entity_id", "target_entity_id", "relationship", F.col("score").alias("confidence"))
 
 
@@ -156,17 +158,18 @@ def shared_values(ents: DataFrame, column: str, roots: DataFrame | None = None)
     index = ents.select("entity_id", F.explode(F.array_distinct(F.transform(F.filter(column, lambda v: F.trim(v) != ""), X.fold))).alias("v"))
     left = index if roots is None else index.join(roots.select("entity_id"), "entity_id", "left_semi")
     holders = index.select(F.col("entity_id").alias("other_id"), "v")
-    pairs = join_crowded(holders, left, "v", "other_id", crowded_keys(holders, "v")).where("entity_id <> other_id")
+    pairs = join_crowded(holders, left, "v", "other_id", crowded_keys(holders, "v"), dealt=True).where("entity_id <> other_id")
     return pairs.groupBy("entity_id", "other_id").agg(F.count("*").alias("overlap"))
 
 
 def shared_metadata(ents: DataFrame, column: str, relationship: str, roots: DataFrame, family: DataFrame) -> DataFrame:
     """Entities outside a root's family that share studios or creators, in the order of the section."""
-    found = shared_values(ents, column, roots).join(family.select(F.col("node").alias("entity_id"), F.col("family").alias("f")), "entity_id", "left").join(family.select(F.col("node").alias("other_id"), F.col("family").alias("g")), "other_id", "left")
+    found = join_dealt(shared_values(ents, column, roots), family.select(F.col("node").alias("entity_id"), F.col("family").alias("f")), "entity_id", "left")
+    found = join_dealt(found, family.select(F.col("node").alias("other_id"), F.col("family").alias("g")), "other_id", "left")
     found = found.where("f is null or g is null or f <> g")
     other = ents.select(F.col("entity_id").alias("other_id"), "title", "release_year")
     score = F.lit(fixed.BASE_CONFIDENCE[relationship])
-    placed = P.ordinals(found.join(other, "other_id"), "entity_id", [-F.col("overlap"), F.col("release_year"), X.fold(F.col("title")), F.col("other_id")])
+    placed = P.ordinals(join_dealt(found, other, "other_id"), "entity_id", [-F.col("overlap"), F.col("release_year"), X.fold(F.col("title")), F.col("other_id")])
     return placed.select("entity_id", F.lit(relationship).alias("relationship"), "place", "other_id", "overlap", score.alias("confidence"))
 
 
@@ -178,12 +181,13 @@ def tag_score(n: Column, u: Column) -> Column:
 def tag_neighbours(ents: DataFrame, roots: DataFrame, limit: int, family: DataFrame | None = None) -> DataFrame:
     """Per root the ``limit`` entities of most shared folded tags; nodes of ``family`` are left out."""
     sizes = ents.select("entity_id", F.size(F.array_distinct(F.transform("tags", X.fold))).cast("long").alias("n_tags"))
-    pairs = shared_values(ents, "tags", roots).join(sizes, "entity_id").join(sizes.select(F.col("entity_id").alias("other_id"), F.col("n_tags").alias("m_tags")), "other_id")
+    pairs = join_dealt(shared_values(ents, "tags", roots), sizes, "entity_id")
+    pairs = join_dealt(pairs, sizes.select(F.col("entity_id").alias("other_id"), F.col("n_tags").alias("m_tags")), "other_id")
     if family is not None:
-        pairs = pairs.join(family.select(F.col("node").alias("other_id")).distinct(), "other_id", "left_anti")
+        pairs = join_dealt(pairs, family.select(F.col("node").alias("other_id")).distinct(), "other_id", "left_anti")
     pairs = pairs.withColumn("score", tag_score(F.col("overlap"), F.col("n_tags") + F.col("m_tags") - F.col("overlap")))
     other = ents.select(F.col("entity_id").alias("other_id"), "title", "release_year")
-    ranked = top(pairs.join(other, "other_id"), [F.desc("score"), F.desc("overlap"), "release_year", X.fold(F.col("title")), "other_id"], limit, ["entity_id"])
+    ranked = top(join_dealt(pairs, other, "other_id"), [F.desc("score"), F.desc("overlap"), "release_year", X.fold(F.col("title")), "other_id"], limit, ["entity_id"])
     return ranked.select("entity_id", "rank", "other_id", "overlap", "score")
 
 
@@ -248,8 +252,8 @@ def family_of(edges: DataFrame, roots: DataFrame, folder: str, most_steps: int =
     found, _ = kept(roots.select(F.col("entity_id").alias("node"), "family"), folder, "family")
     rim = found
     for _ in range(most_steps):
-        near = both.join(rim.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "family").distinct()
-        rim, fresh = kept(near.join(found, ["node", "family"], "left_anti"), folder, "family", F.lit(True))
+        near = join_dealt(both, rim.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "family").distinct()
+        rim, fresh = kept(join_dealt(near, found, ["node", "family"], "left_anti"), folder, "family", F.lit(True))
         if not fresh:
             forget(rim)
             return found
@@ -326,7 +330,7 @@ def franchise_pairs(ents: DataFrame) -> DataFrame:
 
 def exclude_family(df: DataFrame, family: DataFrame) -> DataFrame:
     """Rows whose entity_id is no node of ``family``."""
-    return df.join(family.select(F.col("node").alias("entity_id")), "entity_id", "left_anti")
+    return join_dealt(df, family.select(F.col("node").alias("entity_id")), "entity_id", "left_anti")
 
 
 def two_hops(edges: DataFrame, roots: DataFrame) -> DataFrame:

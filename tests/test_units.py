@@ -504,6 +504,33 @@ def test_search_of_many_queries(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_search_by_pieces_of_any_length(spark):
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("ab ") for _ in range(n))
+    ents = [(f"e{i}", text(rng.choice([1, 2, 5, 17, 40, 130, 300])), None, [text(9)]) for i in range(60)]
+    cut = lambda t: t[(a := rng.randrange(len(t))) : a + rng.choice([1, 2, 3, 5, 11, 16, 31, 129, 200])]
+    queries = [cut(rng.choice(ents)[1]) for _ in range(80)] + ["a" * n for n in (1, 2, 3, 4, 7, 130)]
+    frame = spark.createDataFrame([(*e, 2000) for e in ents], "entity_id string, title string, original_title string, synonyms array<string>, release_year int")
+    got = {(r.query, r.entity_id): (r.score, r.matched_fields) for r in S.search(frame, spark.createDataFrame([(q,) for q in queries], "query string")).collect()}
+    assert got == plain_search(ents, queries)
+
+
+def test_tables_of_unknown_real_size_are_never_broadcast(spark, tmp_path):
+    """Files so small that Spark would broadcast them, whatever becomes of their rows."""
+    ents = spark.range(50).selectExpr("concat('e', id) entity_id", "'anime' domain", "concat('red ring ', id) title", "cast(null as string) original_title", "array('drama') genres", "array('x', 'y') tags", "array('s') studios", "cast(null as array<string>) synonyms", "2000 release_year")
+    ents.write.parquet(f"{tmp_path}/ents")
+    spark.range(40).selectExpr("concat('e', id) node", "'e0' family").write.parquet(f"{tmp_path}/family")
+    ents, family = spark.read.parquet(f"{tmp_path}/ents"), spark.read.parquet(f"{tmp_path}/family")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    queries = spark.createDataFrame([("red ring 7",), ("drama",)], "query string")
+    found = S.search(ents, queries)
+    assert "BroadcastExchange" not in plan(found) and found.where("query = 'red ring 7'").count() == 50
+    assert "BroadcastExchange" not in plan(S.exclude_family(ents, family)) and S.exclude_family(ents, family).count() == 10
+    roots = ents.where("entity_id = 'e3'").select("entity_id").repartition(1)
+    shared = S.shared_metadata(ents, "studios", "same_studio", roots, family)
+    assert shared.count() == 10 and plan(shared).count("BroadcastHashJoin") <= 1
+
+
 def test_ordinals_of_one_huge_group(spark):
     rng = random.Random(6)
     rows = [(i, "big" if i % 9 else rng.choice(["s", None]), rng.choice(["anime", "tv", None]), rng.choice([None, 1990, 2000]), f"t{rng.randrange(50)}") for i in range(3000)]

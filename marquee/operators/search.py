@@ -206,13 +206,14 @@ def parse_concept(text: Column) -> Column:
 def concept_search(ents: DataFrame, queries: DataFrame) -> DataFrame:
     """Anime that match the genres and tags of a query, with score and rationale; tags must match where asked for.
 
-    Queries may be many: their genres and tags are joined to those of the entities, and a pair that meets more than once counts once.
+    The genres and tags of the queries are joined to those of the entities, and a pair that meets more than once counts once. Each query matches a
+    large share of the entities, so queries are few beside them: they are broadcast, never the entities.
     """
     filters = queries.select("query", parse_concept(F.col("query")).alias("c")).select("query", "c.genres", "c.tags")
     base = ents.where("domain = 'anime'").select("entity_id", "title", "release_year", F.transform("genres", X.fold).alias("g"), F.transform("tags", X.fold).alias("t"))
     values = lambda kind, c: F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: F.struct(F.lit(kind).alias("kind"), X.fold(x).alias("value")))
     met = lambda df, g, t: df.withColumn("m", F.explode(F.array_distinct(F.concat(values("g", g), values("t", t)))))
-    pairs = met(base.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in ("g", "t")}), "g", "t").join(met(filters, "genres", "tags"), "m").drop("m").dropDuplicates(["query", "entity_id"])
+    pairs = met(base.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in ("g", "t")}), "g", "t").join(F.broadcast(met(filters, "genres", "tags")), "m").drop("m").dropDuplicates(["query", "entity_id"])
     pairs = pairs.withColumn("matched_genres", F.filter("genres", lambda x: F.array_contains("g", X.fold(x)))).withColumn("matched_tags", F.filter("tags", lambda x: F.array_contains("t", X.fold(x))))
     pairs = pairs.where((F.size("tags") == 0) | (F.size("matched_tags") > 0))
     ng, nt = F.size("matched_genres"), F.size("matched_tags")

@@ -529,6 +529,8 @@ def test_tables_of_unknown_real_size_are_never_broadcast(spark, tmp_path):
     roots = ents.where("entity_id = 'e3'").select("entity_id").repartition(1)
     shared = S.shared_metadata(ents, "studios", "same_studio", roots, family)
     assert shared.count() == 10 and plan(shared).count("BroadcastHashJoin") <= 1
+    concepts = S.concept_search(ents, queries)
+    assert "BuildLeft" not in plan(concepts) and concepts.count() == 50
 
 
 def test_ordinals_of_one_huge_group(spark):

@@ -324,9 +324,16 @@ def resolve_title(titles: DataFrame, profiles: DataFrame, queries: DataFrame) ->
 
 
 def franchise_pairs(ents: DataFrame) -> DataFrame:
-    """(entity_id, other_id): entities that share a franchise tag, both ways, each pair once. A franchise of n makes n (n - 1) rows: that is the result."""
-    m = ents.select("entity_id", F.explode(F.array_distinct(F.filter("tags", lambda t: t.startswith("franchise:")))).alias("tag"))
-    return m.join(m.select(F.col("entity_id").alias("other_id"), "tag"), "tag").where("entity_id <> other_id").select("entity_id", "other_id").distinct()
+    """(entity_id, other_id): entities that share a franchise tag, both ways, each pair once. A franchise of n makes n (n - 1) rows: that is the result.
+
+    A pair that shares several tags is made by the least of them alone, so pairs are never sorted or dealt.
+    """
+    own = ents.select("entity_id", F.explode("tags").alias("tag")).where(F.col("tag").startswith("franchise:"))
+    own = own.groupBy("entity_id").agg(F.array_sort(F.collect_set("tag")).alias("held"))
+    m = own.select("entity_id", F.explode("held").alias("tag"), F.when(F.size("held") > 1, F.col("held")).alias("held"))
+    other = m.select(F.col("entity_id").alias("other_id"), "tag", F.col("held").alias("_held"))
+    first = F.col("held").isNull() | F.col("_held").isNull() | (F.element_at(F.array_intersect("held", "_held"), 1) == F.col("tag"))
+    return join_dealt(m, other, "tag").where((F.col("entity_id") != F.col("other_id")) & first).select("entity_id", "other_id")
 
 
 def exclude_family(df: DataFrame, family: DataFrame) -> DataFrame:

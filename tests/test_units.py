@@ -533,6 +533,16 @@ def test_tables_of_unknown_real_size_are_never_broadcast(spark, tmp_path):
     assert "BuildLeft" not in plan(concepts) and concepts.count() == 50
 
 
+def test_franchise_pairs_without_a_shuffle_of_pairs(spark):
+    rows = [(f"e{i}", [f"franchise:{i % 4}", f"franchise:x{i % 3}", "franchise:0", "other"] if i % 2 else [f"franchise:{i % 4}", None]) for i in range(40)]
+    df = spark.createDataFrame([*rows, rows[0], ("none", None)], "entity_id string, tags array<string>")
+    found = S.franchise_pairs(df)
+    held = {e: {t for t in tags if t and t.startswith("franchise:")} for e, tags in rows}
+    assert sorted((r.entity_id, r.other_id) for r in found.collect()) == sorted((a, b) for a in held for b in held if a != b and held[a] & held[b])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Join")]
+
+
 def test_ordinals_of_one_huge_group(spark):
     rng = random.Random(6)
     rows = [(i, "big" if i % 9 else rng.choice(["s", None]), rng.choice(["anime", "tv", None]), rng.choice([None, 1990, 2000]), f"t{rng.randrange(50)}") for i in range(3000)]

@@ -49,12 +49,13 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One edge per part and supplier of lineitem."""
+    """One edge per part and supplier of lineitem. Sets are of whole numbers that stand for the URLs, which are far longer than the rest of a row."""
     hosts = F.array(*[F.lit(h) for h in HOSTS])
-    url = F.concat(F.lit("https://"), F.element_at(hosts, (F.col("l_linenumber") % 6 + 1).cast("int")), F.lit("/anime/"), (F.col("l_orderkey") % 50).cast("string"))
-    g = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.min("l_returnflag").alias("flag"), F.array_sort(F.collect_set(url)).alias("supporting_urls"))
+    code = (F.col("l_linenumber") % 6 * 50 + F.col("l_orderkey") % 50).cast("short")
+    g = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.min("l_returnflag").alias("flag"), F.collect_set(code).alias("codes"))
+    url = lambda c: F.concat(F.lit("https://"), F.element_at(hosts, F.floor(c / 50).cast("int") + 1), F.lit("/anime/"), (c % 50).cast("string"))
     kind = F.when(F.col("flag") == "R", "sequel").when(F.col("flag") == "A", "prequel").otherwise("related_anime")
-    return g.select(F.concat(F.lit("anime:part:"), "l_partkey").alias("source_entity_id"), F.col("l_suppkey").alias("pos"), F.concat(F.lit("tv:tvmaze:"), "l_suppkey").alias("target_entity_id"), kind.alias("relationship"), F.concat(F.lit("https://anilist.co/anime/"), "l_suppkey").alias("target_url"), "supporting_urls")
+    return g.select(F.concat(F.lit("anime:part:"), "l_partkey").alias("source_entity_id"), F.col("l_suppkey").alias("pos"), F.concat(F.lit("tv:tvmaze:"), "l_suppkey").alias("target_entity_id"), kind.alias("relationship"), F.concat(F.lit("https://anilist.co/anime/"), "l_suppkey").alias("target_url"), F.array_sort(F.transform("codes", url)).alias("supporting_urls"))
 
 
 def previous_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

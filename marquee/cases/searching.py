@@ -120,13 +120,16 @@ def retrieval(spark, d):
 
 
 def preview(spark, d):
-    """The preview of one text, its arrays as text."""
-    out = S.query_preview(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))
+    """The preview of one text, its arrays as text; of nodes and edges, which may be very many, the digests."""
+    frames = S.preview_frames(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))
+    joined = lambda *fields: F.concat_ws(":", *[F.col(f).cast("string") for f in fields])
+    nodes = S.ordered_digest(frames.pop("nodes"), joined("place", "entity_id"), "place", "node")
+    edges = S.ordered_digest(frames.pop("edges"), joined("source_entity_id", "relationship", "target_entity_id"), "place", "edge")
+    out = S.beside(S.beside(S.preview_row(frames), nodes), edges)
     text = lambda column, *fields: F.array_join(F.transform(column, lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields])), "|")
     hundredths = lambda x, f: F.round(x[f] * 100).cast("long").cast("string")
     return out.select(
-        "query", "selected_entity_id", text("matches", "rank", "entity_id", "score").alias("matches"), F.size("nodes").alias("node_count"), F.md5(text("nodes", "place", "entity_id")).alias("nodes_md5"),
-        F.size("edges").alias("edge_count"), F.md5(text("edges", "source_entity_id", "relationship", "target_entity_id")).alias("edges_md5"),
+        "query", "selected_entity_id", text("matches", "rank", "entity_id", "score").alias("matches"), "node_count", "nodes_md5", "edge_count", "edges_md5",
         F.array_join(F.transform("sections", lambda x: F.concat_ws(":", x["relationship"], x["place"].cast("string"), x["other_id"], hundredths(x, "confidence"))), "|").alias("sections"),
         F.array_join(F.transform("tag_neighbours", lambda x: F.concat_ws(":", x["rank"].cast("string"), x["other_id"], x["overlap"].cast("string"), hundredths(x, "score"))), "|").alias("tag_neighbours"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -291,15 +292,41 @@ def preview_frames(ents: DataFrame, edges: DataFrame, text: str, folder: str, li
 
 def query_preview(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5) -> DataFrame:
     """``preview_frames`` as one row for a text, with arrays in their stated orders: for a reader, and families that fit a row. No match: no row."""
-    frames = preview_frames(ents, edges, text, folder, limit)
-    hits = frames.pop("matches")
+    return preview_row(preview_frames(ents, edges, text, folder, limit))
+
+
+def preview_row(frames: dict[str, DataFrame]) -> DataFrame:
+    """One row of the frames of a preview, those other than ``matches`` as arrays of their names."""
+    hits = frames["matches"]
     out = hits.groupBy("query").agg(F.max(F.when(F.col("rank") == 1, F.col("entity_id"))).alias("selected_entity_id"), F.array_sort(F.collect_list(F.struct("rank", "entity_id", "score", "matched_fields"))).alias("matches"))
     for name, frame in frames.items():  # one row each
-        part = frame.agg(F.array_sort(F.collect_list(F.struct(*frame.columns))).alias(name))
-        out = out.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        if name != "matches":
+            out = beside(out, frame.agg(F.array_sort(F.collect_list(F.struct(*frame.columns))).alias(name)))
     return out
 
 
+def beside(out: DataFrame, row: DataFrame) -> DataFrame:
+    """Rows with the columns of a table of one row."""
+    return out.withColumn("_one", F.lit(1)).join(row.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+def ordered_digest(frame: DataFrame, text: Column, place: str, name: str) -> DataFrame:
+    """One row: {name}_count, and {name}s_md5 of the rows' texts in the order of ``place``, joined by pipes. The digest of an order is one stream:
+    one task sorts (spilling) and reads the rows, and holds a batch of them at a time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, digest = 0, hashlib.md5()
+        for batch in batches:
+            if batch.num_rows:
+                digest.update((("|" if n else "") + "|".join(batch.column(0).to_pylist())).encode())
+                n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([digest.hexdigest()])], ["n", "md5"])
+
+    found = frame.select(text.alias("t"), place).repartition(1).sortWithinPartitions(place).select("t").mapInArrow(run, "n int, md5 string")
+    return found.agg(F.coalesce(F.max("n"), F.lit(0)).alias(f"{name}_count"), F.coalesce(F.max("md5"), F.md5(F.lit(""))).alias(f"{name}s_md5"))
+
+
 def node_order(nodes: DataFrame, rows_per_range: int = 500_000) -> DataFrame:
     """Nodes of each family with their place: by domain, year, folded title and id. A family of very many nodes is ranked over several tasks."""
     return P.ordinals(nodes, "family", [F.col("domain"), F.col("release_year"), X.fold(F.col("title")), F.col("entity_id")], rows_per_range=rows_per_range)

@@ -543,6 +543,16 @@ def test_franchise_pairs_without_a_shuffle_of_pairs(spark):
     assert "Exchange" not in plan[: plan.index("Join")]
 
 
+def test_digest_of_an_order_holds_no_list_of_rows(spark):
+    import hashlib
+
+    rows = spark.range(30000).selectExpr("id + 1 place", "concat('é', id) t").repartition(7)
+    found = S.ordered_digest(rows, F.col("t"), "place", "node")
+    assert tuple(found.first()) == (30000, hashlib.md5("|".join(f"é{i}" for i in range(30000)).encode()).hexdigest())
+    assert "collect_list" not in found._jdf.queryExecution().executedPlan().toString()
+    assert tuple(S.ordered_digest(rows.where("place < 0"), F.col("t"), "place", "node").first()) == (0, hashlib.md5(b"").hexdigest())
+
+
 def test_ordinals_of_one_huge_group(spark):
     rng = random.Random(6)
     rows = [(i, "big" if i % 9 else rng.choice(["s", None]), rng.choice(["anime", "tv", None]), rng.choice([None, 1990, 2000]), f"t{rng.randrange(50)}") for i in range(3000)]

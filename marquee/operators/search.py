@@ -143,10 +143,12 @@ def related_sections(ents: DataFrame, edges: DataFrame) -> DataFrame:
     card = lambda own, other, direction: F.struct(F.col(own).alias("entity_id"), F.col(other).alias("other_id"), F.lit(direction).alias("direction"))
     ends = F.array(card("source_entity_id", "target_entity_id", "outgoing"), card("target_entity_id", "source_entity_id", "incoming"))
     cards = scored.select(F.explode(ends).alias("c"), "relationship", "score", "pos").select("c.*", "relationship", "score", "pos")
-    cards = merge_cards(cards.where("direction = 'outgoing' or entity_id <> other_id"))
     other = ents.select(F.col("entity_id").alias("other_id"), "title", "release_year")
+    cards = join_dealt(cards.where("direction = 'outgoing' or entity_id <> other_id"), other, "other_id")
+    # Dealt once for both: cards are merged where their section is numbered.
+    cards = merge_cards(cards.repartition("entity_id", "relationship"))
     order = Window.partitionBy("entity_id", "relationship").orderBy(F.desc("score"), "release_year", X.fold(F.col("title")), "other_id")
-    return cards.join(other, "other_id").withColumn("place", F.row_number().over(order)).select("entity_id", "relationship", "place", "other_id", "direction", F.col("score").alias("confidence"))
+    return cards.withColumn("place", F.row_number().over(order)).select("entity_id", "relationship", "place", "other_id", "direction", F.col("score").alias("confidence"))
 
 
 def shared_values(ents: DataFrame, column: str, roots: DataFrame | None = None) -> DataFrame:

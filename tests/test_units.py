@@ -553,6 +553,14 @@ def test_digest_of_an_order_holds_no_list_of_rows(spark):
     assert tuple(S.ordered_digest(rows.where("place < 0"), F.col("t"), "place", "node").first()) == (0, hashlib.md5(b"").hexdigest())
 
 
+def test_sections_merge_and_number_cards_in_one_deal(spark):
+    ents = spark.createDataFrame([(e, f"t{e}", 2000) for e in "abc"], "entity_id string, title string, release_year int")
+    edges = spark.createDataFrame([("a", 0, "b", "sequel", "u", ["https://x.example/1"]), ("b", 1, "a", "sequel", "u", []), ("a", 2, "c", "prequel", "u", []), ("a", 3, "gone", "prequel", "u", [])], EDGE)
+    found = S.related_sections(ents, edges)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+    assert sorted(values(found, "entity_id", "relationship", "place", "other_id", "direction")) == [("a", "prequel", 1, "c", "outgoing"), ("a", "sequel", 1, "b", "bidirectional"), ("b", "sequel", 1, "a", "bidirectional"), ("c", "prequel", 1, "a", "incoming"), ("gone", "prequel", 1, "a", "incoming")]
+
+
 def test_ordinals_of_one_huge_group(spark):
     rng = random.Random(6)
     rows = [(i, "big" if i % 9 else rng.choice(["s", None]), rng.choice(["anime", "tv", None]), rng.choice([None, 1990, 2000]), f"t{rng.randrange(50)}") for i in range(3000)]

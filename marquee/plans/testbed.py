@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.skew import join_dealt
+
 HOSTS = ["anidb.net", "anilist.co", "myanimelist.net", "kitsu.app", "simkl.com", "anime-planet.com"]
 COLUMNS = ["entity_id", "domain", "canonical_source", "source_role", "record_source", "title", "original_title", "media_type", "status", "release_year", "episodes", "synonyms", "sources", "genres", "studios", "creators", "tags"]
 
@@ -68,7 +70,7 @@ def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src, dst): each part and the next one, where their sizes differ by less than 20."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     q = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_size").alias("next_size"))
-    return p.join(q, "p_partkey").where("abs(p_size - next_size) < 20").select(F.concat(F.lit("anime:part:"), "p_partkey").alias("src"), F.concat(F.lit("anime:part:"), F.col("p_partkey") + 1).alias("dst"))
+    return join_dealt(p, q, "p_partkey").where("abs(p_size - next_size) < 20").select(F.concat(F.lit("anime:part:"), "p_partkey").alias("src"), F.concat(F.lit("anime:part:"), F.col("p_partkey") + 1).alias("dst"))
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

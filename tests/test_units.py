@@ -14,6 +14,7 @@ from marquee.operators import judgments as J
 from marquee.operators import prefixes as P
 from marquee.operators import search as S
 from marquee.operators import tables as B
+from marquee.plans import testbed
 from marquee.sources import readers as R
 from marquee.sources import writers as W
 from marquee.streaming import incremental as N
@@ -529,6 +530,8 @@ def test_tables_of_unknown_real_size_are_never_broadcast(spark, tmp_path):
     roots = ents.where("entity_id = 'e3'").select("entity_id").repartition(1)
     shared = S.shared_metadata(ents, "studios", "same_studio", roots, family)
     assert shared.count() == 10 and plan(shared).count("BroadcastHashJoin") <= 1
+    spark.range(50).selectExpr("id p_partkey", "cast(id % 50 as int) p_size").write.parquet(f"{tmp_path}/part.parquet")
+    assert "BroadcastExchange" not in plan(testbed.graph(spark, str(tmp_path))) and testbed.graph(spark, str(tmp_path)).count() == 49
     concepts = S.concept_search(ents, queries)
     assert "BuildLeft" not in plan(concepts) and concepts.count() == 50
 

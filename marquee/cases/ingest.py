@@ -69,9 +69,9 @@ def rollup(spark, d):
 
 def canonical(spark, d):
     ents = testbed.shows(spark, d).select(F.substring_index("entity_id", ":", -1).cast("long").alias("pos"), "entity_id", "canonical_source", F.array(F.concat(F.lit("https://anilist.co/anime/"), F.substring_index("entity_id", ":", -1))).alias("sources"))
-    edges = testbed.edges(spark, d)
-    alias = edges.withColumn("target_entity_id", F.concat(F.lit("anime:anilist:"), "pos")).withColumn("pos", F.col("pos") + 1_000_000).withColumn("relationship", F.lit("related_anime"))
-    out = I.canonicalize_targets(edges.withColumn("relationship", F.lit("related_anime")).unionByName(alias), ents)
+    ends = F.array(F.struct("pos", "target_entity_id"), F.struct((F.col("pos") + 1_000_000).alias("pos"), F.concat(F.lit("anime:anilist:"), "pos").alias("target_entity_id")))
+    edges = testbed.edges(spark, d).withColumn("end", F.explode(ends)).select("source_entity_id", "end.pos", "end.target_entity_id", F.lit("related_anime").alias("relationship"), "target_url", "supporting_urls")
+    out = I.canonicalize_targets(edges, ents)
     return out.select("source_entity_id", "target_entity_id", "relationship", "target_url", F.array_join("supporting_urls", "|").alias("supporting_urls"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_A_TASK = 300_000
+
 
 def join_dealt(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """A join of two tables of any size, both dealt by their keys and sorted.
@@ -14,6 +16,19 @@ def join_dealt(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     return left.join(right.hint("merge"), on, how)
 
 
+def join_streamed(many: DataFrame, one: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """``many`` joined with ``one``, a narrow row for each key: only a task's share of ``one`` is held, rows of ``many`` pass by unsorted and so are never spilled."""
+    return many.join(one.hint("shuffle_hash"), on, how)
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over tasks of some ``ROWS_A_TASK`` of its ``rows``, at least one for each core.
+
+    Left to itself, Spark deals by compressed bytes, and like rows compress so well that one task then holds millions of them.
+    """
+    return df.repartition(max(-(-rows // ROWS_A_TASK), df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def crowded_keys(many: DataFrame, key: str, total: int | None = None, top: int | None = None) -> DataFrame | None:
     """(key, _parts) of the keys that hold over a 2000th of all rows, so 2000 at most; None if no key does. ``top`` is the rows of the largest key."""
     counts = many.groupBy(key).agg(F.count("*").alias("n"))

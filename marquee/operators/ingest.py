@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
 from marquee.functions import shapes as sh
-from marquee.functions.skew import crowded_keys, join_crowded
+from marquee.functions.skew import crowded_keys, dealt, join_crowded
 from marquee.operators import edges as E
 from marquee.plans import fixed
 
@@ -29,8 +29,6 @@ def slice_of(df: DataFrame, start: int, size: int, limit: int | None = None, buc
     range (a range for every ``bucket_rows`` rows, 256 at least and 65,536 at most, a row each) give each range its first ordinal, and
     only ranges that the slice touches are numbered.
     """
-    from pyspark.sql import Window
-
     if start < 0 or size < 1:
         raise ValueError("start must not be negative and size must be positive")
     low, high, n = df.agg(F.min("pos"), F.max("pos"), F.count("*")).first()
@@ -157,8 +155,6 @@ def movie_rollup(bindings: DataFrame) -> DataFrame:
 
 def best_title_result(results: DataFrame) -> DataFrame:
     """Per search text the best result: exact title, then more episodes, then later year; the first of equals. Without year or URL none."""
-    from pyspark.sql import Window
-
     exact = F.exists(F.array("romaji", "english", "native"), lambda t: X.fold(t) == X.fold(F.col("search")))
     order = Window.partitionBy("search").orderBy(F.desc(F.coalesce(exact, F.lit(False))), F.desc(F.coalesce("episodes", F.lit(0))), F.desc(F.coalesce("year", F.lit(0))), "pos")
     return results.withColumn("_i", F.row_number().over(order)).where("_i = 1 and year is not null and url is not null").drop("_i")
@@ -171,13 +167,20 @@ def aliases(ents: DataFrame) -> DataFrame:
 
 
 def canonicalize_targets(edges: DataFrame, ents: DataFrame) -> DataFrame:
-    """Alias targets become canonical ids and URLs; edges are then merged by (source, target, type), with all URLs and the target's. Targets of very many edges are dealt over several tasks."""
+    """Alias targets become canonical ids and URLs; edges are then merged by (source, target, type), with all URLs and the target's. Targets of very many edges are dealt over several tasks.
+
+    Edges are merged in windows over tasks of bounded rows: lists gathered before the shuffle hold an edge or two each, and sorting them there spills.
+    They are dealt without their type, which may be a constant that Spark takes out of the window.
+    """
+    total, top = edges.groupBy("target_entity_id").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     known = aliases(ents).select(F.col("alias_id").alias("target_entity_id"), F.col("entity_id").alias("_id"), F.col("canonical_source").alias("_url"))
-    out = join_crowded(edges, known, "target_entity_id", "source_entity_id", crowded_keys(edges, "target_entity_id"), "left")
+    out = join_crowded(edges, known, "target_entity_id", "source_entity_id", crowded_keys(edges, "target_entity_id", total, top), "left")
     out = out.select("source_entity_id", "pos", F.coalesce("_id", "target_entity_id").alias("target_entity_id"), "relationship", F.coalesce("_url", "target_url").alias("target_url"), "supporting_urls")
-    grouped = out.groupBy("source_entity_id", "target_entity_id", "relationship").agg(F.min("pos").alias("pos"), F.min_by("target_url", "pos").alias("target_url"), F.array_sort(F.collect_list(F.struct("pos", "supporting_urls"))).alias("all"))
-    urls = F.array_distinct(F.concat(F.flatten(F.transform("all", lambda s: s["supporting_urls"])), F.array("target_url")))
-    return grouped.withColumn("supporting_urls", urls).drop("all")
+    key = ["source_entity_id", "target_entity_id", "relationship"]
+    order = Window.partitionBy(*key).orderBy("pos", "supporting_urls")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    merged = dealt(out, total, *key[:2]).select(*key, F.row_number().over(order).alias("_i"), F.min("pos").over(whole).alias("pos"), F.min_by("target_url", "pos").over(whole).alias("target_url"), F.collect_list("supporting_urls").over(whole).alias("all")).where("_i = 1")
+    return merged.withColumn("supporting_urls", F.array_distinct(F.concat(F.flatten("all"), F.array("target_url")))).drop("all", "_i")
 
 
 def enrich_relations(edges: DataFrame, feed: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.skew import join_dealt
+from marquee.functions.skew import dealt, join_dealt
 
 HOSTS = ["anidb.net", "anilist.co", "myanimelist.net", "kitsu.app", "simkl.com", "anime-planet.com"]
 COLUMNS = ["entity_id", "domain", "canonical_source", "source_role", "record_source", "title", "original_title", "media_type", "status", "release_year", "episodes", "synonyms", "sources", "genres", "studios", "creators", "tags"]
@@ -51,13 +51,21 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One edge per part and supplier of lineitem. Sets are of whole numbers that stand for the URLs, which are far longer than the rest of a row."""
-    hosts = F.array(*[F.lit(h) for h in HOSTS])
-    code = (F.col("l_linenumber") % 6 * 50 + F.col("l_orderkey") % 50).cast("short")
-    g = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.min("l_returnflag").alias("flag"), F.collect_set(code).alias("codes"))
-    url = lambda c: F.concat(F.lit("https://"), F.element_at(hosts, F.floor(c / 50).cast("int") + 1), F.lit("/anime/"), (c % 50).cast("string"))
-    kind = F.when(F.col("flag") == "R", "sequel").when(F.col("flag") == "A", "prequel").otherwise("related_anime")
-    return g.select(F.concat(F.lit("anime:part:"), "l_partkey").alias("source_entity_id"), F.col("l_suppkey").alias("pos"), F.concat(F.lit("tv:tvmaze:"), "l_suppkey").alias("target_entity_id"), kind.alias("relationship"), F.concat(F.lit("https://anilist.co/anime/"), "l_suppkey").alias("target_url"), F.array_sort(F.transform("codes", url)).alias("supporting_urls"))
+    """One edge per part and supplier of lineitem, dealt by both ids: joins by them need no other shuffle.
+
+    Lines travel as they are, the flag's rank and the page (50 of each host) in one small number: few pairs occur twice, so sets made
+    before the shuffle would only fill memory. A set is one bit a page, so sums stay of fixed width.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    rank = "case when l_returnflag < 'A' then 0 when l_returnflag = 'A' then 1 when l_returnflag < 'R' then 2 when l_returnflag = 'R' then 3 else 4 end"
+    rows = lines.selectExpr("concat('anime:part:', l_partkey) source_entity_id", "l_suppkey pos", "concat('tv:tvmaze:', l_suppkey) target_entity_id", f"cast({rank} * 301 + coalesce(l_linenumber % 6 * 50 + l_orderkey % 50, 300) as short) code")
+    pages = [F.expr(f"bit_or(if(code % 301 div 50 = {i}, shiftleft(1L, code % 301 % 50), 0L))") for i in range(len(HOSTS))]
+    g = dealt(rows, lines.count(), "source_entity_id", "target_entity_id").groupBy("source_entity_id", "pos", "target_entity_id").agg(F.min(F.expr("code div 301")).alias("rank"), *[p.alias(f"pages_{i}") for i, p in enumerate(pages)])
+    numbers = lambda c: F.when(F.bit_count(c) == 1, F.array(F.length(F.bin(c)) - 1)).when(F.bit_count(c) > 1, F.filter(F.sequence(F.lit(0), F.lit(49)), lambda k: F.getbit(c, k) == 1)).otherwise(F.array().cast("array<int>"))
+    named = lambda c, host: F.transform(numbers(c), lambda k: F.concat(F.lit(f"https://{host}/anime/"), k.cast("string")))
+    urls = F.concat(*[named(F.col(f"pages_{i}"), h) for i, h in enumerate(HOSTS)])
+    kind = F.when(F.col("rank") == 3, "sequel").when(F.col("rank") == 1, "prequel").otherwise("related_anime")
+    return g.select("source_entity_id", "pos", "target_entity_id", kind.alias("relationship"), F.concat(F.lit("https://anilist.co/anime/"), "pos").alias("target_url"), F.sort_array(urls).alias("supporting_urls"))
 
 
 def previous_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

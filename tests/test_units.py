@@ -633,3 +633,33 @@ def test_an_alias_that_very_many_edges_point_to(spark):
     want["s1", "t0"] = (1, "https://c/0", ["v1", "w", "https://c/0"])
     want["s2", None] = (5001, "u", ["u"])
     assert got == want
+
+
+def rows_of_tasks(df):
+    from pyspark.sql import functions as F
+
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_canonical_edges_are_merged_in_bounded_tasks_after_one_shuffle(spark, monkeypatch):
+    monkeypatch.setattr("marquee.functions.skew.ROWS_A_TASK", 40)
+    rows = [(f"s{i // 2}", i, "anime:anilist:5" if i % 2 else "t0", "sequel", "u", [f"v{i % 2}"]) for i in range(2000)] + [("s1", 3, "t0", "sequel", "u", ["a"]), ("s1", None, "t0", "prequel", "u", ["b"])]
+    ents = spark.createDataFrame([(1, "t0", "https://c/0", ["https://anilist.co/anime/5"])], "pos int, entity_id string, canonical_source string, sources array<string>")
+    out = I.canonicalize_targets(spark.createDataFrame(rows, EDGE), ents)
+    got = {(r.source_entity_id, r.relationship): (r.pos, r.target_url, r.supporting_urls) for r in out.collect()}
+    want = {(f"s{i}", "sequel"): (2 * i, "https://c/0", ["v0", "v1", "https://c/0"]) for i in range(1000)}
+    assert got == want | {("s1", "sequel"): (2, "https://c/0", ["v0", "a", "v1", "https://c/0"]), ("s1", "prequel"): (None, None, ["b", None])}
+    assert max(rows_of_tasks(out)) < 80
+    plan = I.canonicalize_targets(spark.createDataFrame(rows, EDGE), ents)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "collect_list" in x and "Aggregate" in x] and plan.count("hashpartitioning(source_entity_id") == 1
+
+
+def test_edges_of_the_test_tables_lie_in_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr("marquee.functions.skew.ROWS_A_TASK", 500)
+    from marquee.functions.skew import join_dealt
+    from marquee.plans import testbed
+
+    now, before = testbed.edges(spark, "/root/testdata/sf0.001"), testbed.previous_edges(spark, "/root/testdata/sf0.001")
+    assert max(rows_of_tasks(now)) < 1000
+    joined = join_dealt(now, before.select("source_entity_id", "target_entity_id", "relationship"), ["source_entity_id", "target_entity_id"])
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.rounds import forget, kept
+from marquee.functions.skew import dealt, join_dealt
 from marquee.operators import tables as B
 from marquee.plans import fixed, policies
 
@@ -94,7 +95,7 @@ def null_counts(df: DataFrame, required: list[str]) -> DataFrame:
 
 def orphan_refs(a: DataFrame, key: str, b: DataFrame, other: str) -> DataFrame:
     """Non-null references of ``a`` that ``b`` doesn't hold."""
-    return a.where(F.col(key).isNotNull()).join(b.select(F.col(other).alias(key)), key, "left_anti")
+    return join_dealt(a.where(F.col(key).isNotNull()), b.select(F.col(other).alias(key)), key, "left_anti")
 
 
 def domain_coverage(ents: DataFrame, table: DataFrame, key: str) -> DataFrame:
@@ -121,8 +122,10 @@ def release_findings(frames: dict[str, DataFrame], required: dict[str, list[str]
     add(known.join(frames["external_ids"].select("source_id").distinct(), "source_id", "left_anti").select(F.col("source_id").alias("subject")), "missing_source")
     add(frames["external_ids"].where(~F.col("source_role").isin(fixed.PUBLIC_ROLE, "ID_SOURCE")).select(F.col("entity_id").alias("subject")).distinct(), "role_not_public")
     for side in ("source_entity_id", "target_entity_id"):
-        add(orphan_refs(frames["relationships"].select(side), side, ents, "entity_id").select(F.col(side).alias("subject")).distinct(), f"orphan_{side}")
-    add(frames["facets"].groupBy("facet_id").count().where("count > 1").select(F.col("facet_id").alias("subject")), "repeated_key", "warning")
+        add(orphan_refs(frames["relationships"].select(side).distinct(), side, ents, "entity_id").select(F.col(side).alias("subject")), f"orphan_{side}")
+    facets = frames["facets"].select("facet_id")
+    # Keys hardly repeat, so they are dealt before they are counted, by rows: a task that counts what it reads holds nearly every key of it.
+    add(dealt(facets, facets.count(), "facet_id").groupBy("facet_id").count().where("count > 1").select(F.col("facet_id").alias("subject")), "repeated_key", "warning")
     return _union(out)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions import exprs as X
+from marquee.functions.skew import join_streamed
 from marquee.operators import edges as E
 from marquee.plans import fixed
 
@@ -59,7 +60,7 @@ def relationship_key() -> Column:
 def relationships_table(edges: DataFrame, ents: DataFrame) -> DataFrame:
     """One row per edge of an entity in ``ents``; tier and flags are constants of this table. Duplicates stay."""
     own = ents.select(F.col("entity_id").alias("source_entity_id"), provenance_id().alias("provenance_id"))
-    out = E.with_taxonomy(edges).join(own, "source_entity_id")
+    out = join_streamed(E.with_taxonomy(edges), own, "source_entity_id")
     return out.select(
         relationship_key().alias("relationship_id"), "source_entity_id", "target_entity_id", F.col("relationship").alias("relationship_type"), "relationship_family", "direction", "inverse_relationship_type",
         F.lit("medium").alias("confidence_tier"), F.greatest(F.lit(1), F.size("supporting_urls")).cast("long").alias("evidence_count"), F.lit("none").alias("conflict_status"),

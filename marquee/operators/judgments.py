@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
+from marquee.functions.skew import join_dealt, join_streamed
 from marquee.operators import edges as E
 from marquee.operators import prefixes as P
 from marquee.plans import fixed
@@ -69,10 +70,12 @@ def judgment_records(decisions: DataFrame, edges: DataFrame, ents: DataFrame) ->
     Decisions hold source_entity_id, target_entity_id, cache_key, status, judged, confidence, input_fingerprint, provider, model,
     recipe_version. Inputs are both entities with their role, and are publishable where the role is public; evidence is a row for each
     supporting URL (from 1), publishable where the inputs are and the edge has sources and providers. Null URL lists count as empty.
+    Entities are streamed past: only their ids and roles are held, and rows with URLs are not sorted for them.
     """
     support = E.with_support(edges).select("source_entity_id", "target_entity_id", "supporting_urls", "supporting_source_count", "supporting_provider_count")
     role = lambda side: ents.select(F.col("entity_id").alias(f"{side}_entity_id"), F.coalesce("source_role", F.lit("unknown")).alias(f"{side}_role"))
-    j = decisions.where("status = 'ok'").join(support, ["source_entity_id", "target_entity_id"]).join(role("source"), "source_entity_id").join(role("target"), "target_entity_id")
+    j = join_dealt(decisions.where("status = 'ok'"), support, ["source_entity_id", "target_entity_id"])
+    j = join_streamed(join_streamed(j, role("source"), "source_entity_id"), role("target"), "target_entity_id")
     uses = lambda public: F.when(public, F.array(F.lit("llm_judgment"))).otherwise(F.array().cast("array<string>"))
 
     def input_ref(side: str):

@@ -679,3 +679,13 @@ def test_release_findings_count_keys_in_bounded_tasks(spark, monkeypatch):
     plan = G.release_findings(frames, {}, ["anime"], ["manami"])._jdf.queryExecution().executedPlan().toString()
     assert "51), REPARTITION_BY_NUM" in plan
     assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "entity_id" in x]
+
+
+def test_judged_edges_meet_roles_unsorted(spark):
+    edges = spark.createDataFrame([(f"a{i}", i, f"b{i % 3}", "sequel", "u", [f"https://x/{i}"]) for i in range(30)], EDGE)
+    decisions = edges.selectExpr("source_entity_id", "target_entity_id", "concat('k', pos) cache_key", "if(pos = 4, 'parse_error', 'ok') status", "relationship judged", "0.95D confidence", "'f' input_fingerprint", "'p' provider", "'m' model", "'r' recipe_version")
+    ents = spark.createDataFrame([(f"a{i}", "BACKBONE_SOURCE") for i in range(28)] + [("b0", "BACKBONE_SOURCE"), ("b1", None)], "entity_id string, source_role string")
+    out = J.judgment_records(decisions, edges, ents)
+    assert sorted(values(out, "judgment_id", "publishable_evidence")) == sorted((f"k{i}", int(i % 3 == 0)) for i in range(28) if i != 4 and i % 3 < 2)
+    plan = J.judgment_records(decisions, edges, ents)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan

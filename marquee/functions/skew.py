@@ -21,6 +21,11 @@ def join_streamed(many: DataFrame, one: DataFrame, on: str, how: str = "inner")
     return many.join(one.hint("shuffle_hash"), on, how)
 
 
+def join_counted(many: DataFrame, one: DataFrame, rows: int, on: str | list[str], how: str = "inner") -> DataFrame:
+    """``many`` joined with ``one`` of ``rows`` rows, counted and not guessed: as many as one task takes are broadcast, so that ``many`` stays where it is; more are dealt as in ``join_streamed``."""
+    return many.join(one.hint("broadcast" if rows <= ROWS_A_TASK else "shuffle_hash"), on, how)
+
+
 def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """``df`` dealt by ``keys`` over tasks of some ``ROWS_A_TASK`` of its ``rows``, at least one for each core.
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.rounds import kept
+
 #: Bounds of the ranges that one table is cut into.
 MOST_RANGES = 1 << 14
 
@@ -107,3 +110,18 @@ def ordinals(df: DataFrame, group: str, order: list[Column], name: str = "place"
     carried = cut.groupBy(group, "_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(group, "_range", "_before")
     own = F.row_number().over(Window.partitionBy(group, "_range").orderBy("_key"))
     return with_carried(cut, carried, group).withColumn(name, (F.col("_before") + own).cast("int")).drop("_key", "_range", "_before")
+
+
+def placed(df: DataFrame, order: list[Column], folder: str, rows: int, name: str = "place", rows_per_range: int = 500_000) -> DataFrame:
+    """Adds each row's place (from 1) among all ``rows`` in ascending ``order`` (nulls first): one group's ``ordinals``, whose table is made once.
+
+    Rows are dealt by ranges of the order and written as each range is sorted, with their number inside it. How many rows the ranges
+    before hold is counted from what was written. Read back, rows come in runs of consecutive places.
+    """
+    sorted_ranges = df.repartitionByRange(max(1, -(-rows // rows_per_range)), *order).sortWithinPartitions(*order)
+    out, _ = kept(sorted_ranges.withColumn("_at", F.monotonically_increasing_id()), folder, name)
+    # The id's upper bits are the range, its lower 33 the row's number in it.
+    at = F.shiftright("_at", 33).cast("int")
+    held = {r.at: r.n for r in out.groupBy(at.alias("at")).agg(F.count("*").alias("n")).collect()}
+    before = F.array(*[F.lit(n).cast("long") for n in accumulate((held.get(i, 0) for i in range(max(held, default=0))), initial=0)])
+    return out.withColumn(name, (F.element_at(before, at + 1) + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).cast("int")).drop("_at")

@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import exprs as X
 from marquee.functions.rounds import forget, kept
-from marquee.functions.skew import crowded_keys, join_crowded, join_dealt
+from marquee.functions.skew import ROWS_A_TASK, crowded_keys, join_counted, join_crowded, join_dealt
 from marquee.operators import edges as E
 from marquee.operators import prefixes as P
 from marquee.plans import fixed
@@ -116,8 +117,8 @@ def family_graph(ents: DataFrame, edges: DataFrame, members: DataFrame) -> tuple
     """Nodes (members with an entity row) and edges from such nodes to any member of the same family, with confidence."""
     nodes = join_dealt(ents, members.withColumnRenamed("node", "entity_id"), "entity_id")
     own = nodes.select(F.col("entity_id").alias("source_entity_id"), "family")
-    inside = join_dealt(join_dealt(E.scored(edges), own, "source_entity_id"), members.select(F.col("node").alias("target_entity_id"), F.col("family").alias("_f")), "target_entity_id").where("family = _f")
-    return nodes, inside.select("family", "source_entity_id", "target_entity_id", "relationship", F.col("score").alias("confidence"))
+    inside = join_dealt(join_dealt(edges, own, "source_entity_id"), members.select(F.col("node").alias("target_entity_id"), F.col("family").alias("_f")), "target_entity_id").where("family = _f")
+    return nodes, E.with_score(inside).select("family", "source_entity_id", "target_entity_id", "relationship", F.col("score").alias("confidence"))
 
 
 def incoming(edges: DataFrame) -> DataFrame:
@@ -247,49 +248,69 @@ def concept_rank(media: DataFrame) -> DataFrame:
 
 
 def family_of(edges: DataFrame, roots: DataFrame, folder: str, most_steps: int = 12) -> DataFrame:
-    """(node, family) of every node that the roots (entity_id, family) reach along undirected (src, dst) edges.
+    """(node, family) of every node that the roots (entity_id, family) reach along undirected (src, dst) edges, which should be a stored table: each step reads it.
 
-    Steps outwards from the roots only; a family that is not whole after ``most_steps`` comes from ``families``, which doubles its reach.
+    Steps outwards from the roots only, and counts each rim as it is written: edges are dealt for a large rim only. A family that is
+    not whole after ``most_steps`` comes from ``families``, which doubles its reach.
     """
-    ends = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    both = edges.select(F.explode(ends).alias("e")).select("e.*")
-    found, _ = kept(roots.select(F.col("entity_id").alias("node"), "family"), folder, "family")
-    rim = found
+    whole = edges.select("src", "dst").where("src is not null and dst is not null")
+    ends = F.array(F.struct(F.col("dst").alias("node"), F.col("_a").alias("family")), F.struct(F.col("src").alias("node"), F.col("_b").alias("family")))
+    found, total = kept(roots.select(F.col("entity_id").alias("node"), "family"), folder, "family", F.lit(True))
+    rim, fresh = found, total
     for _ in range(most_steps):
-        near = join_dealt(both, rim.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "family").distinct()
-        rim, fresh = kept(join_dealt(near, found, ["node", "family"], "left_anti"), folder, "family", F.lit(True))
+        a, b = (rim.select(F.col("node").alias(end), F.col("family").alias(name)) for end, name in (("src", "_a"), ("dst", "_b")))
+        if fresh <= ROWS_A_TASK:  # one reading for both ends
+            met = join_counted(join_counted(whole, a, fresh, "src", "left"), b, fresh, "dst", "left").where("_a is not null or _b is not null")
+            near = met.select(F.explode(ends).alias("e")).select("e.*").where("family is not null")
+        else:
+            near = join_counted(whole, a, fresh, "src").select(F.col("dst").alias("node"), F.col("_a").alias("family")).unionByName(join_counted(whole, b, fresh, "dst").select(F.col("src").alias("node"), F.col("_b").alias("family")))
+        near = near.distinct()
+        rim, fresh = kept(join_counted(near, found, total, ["node", "family"], "left_anti"), folder, "family", F.lit(True))
         if not fresh:
             forget(rim)
             return found
-        found = found.unionByName(rim)
+        found, total = found.unionByName(rim), total + fresh
     every = families(edges, folder)
     own = every.join(roots.select(F.col("entity_id").alias("node"), F.col("family").alias("root")), "node").select("family", "root").distinct()
     return every.join(own, "family").select("node", F.col("root").alias("family"))
 
 
-def preview_frames(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5) -> dict[str, DataFrame]:
+def preview_frames(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5, wanted: tuple[str, ...] = ("nodes", "edges", "sections", "tag_neighbours"), confidence: bool = True) -> dict[str, DataFrame]:
     """The preview of a text as frames, so that a family of any size stays distributed: matches (rank, entity_id, score, matched_fields), nodes (place, entity_id)
     and edges (place, source_entity_id, relationship, target_entity_id, confidence) of the chosen entity's family, sections (relationship, place,
-    other_id, confidence) and tag_neighbours (rank, other_id, overlap, score).
+    other_id, confidence) and tag_neighbours (rank, other_id, overlap, score). Beside the matches only ``wanted`` ones are made, and edges without ``confidence`` are not scored.
 
     The chosen entity is the best match. Sections hold related entities by relationship, and entities outside the family that share studios or creators.
+    Edges are made once and stored: the steps to the family, its edges and the sections read what was written.
     """
-    spark = ents.sparkSession
-    wanted = spark.createDataFrame([(text,)], "query string")
-    hits, _ = kept(top(search(ents, wanted), search_order(), limit, ["query"]).select("query", "rank", "entity_id", "score", "matched_fields"), folder, "hits")
-    chosen = hits.where("rank = 1").select("entity_id")
-    pairs = edges.select(F.col("source_entity_id").alias("src"), F.col("target_entity_id").alias("dst"))
-    family = family_of(pairs, chosen.withColumn("family", F.col("entity_id")), folder)
-    nodes, inside = family_graph(ents, edges, family)
-    mine = edges.join(chosen.withColumnRenamed("entity_id", "source_entity_id"), "source_entity_id", "left_semi").unionByName(edges.join(chosen.withColumnRenamed("entity_id", "target_entity_id"), "target_entity_id", "left_semi").where("source_entity_id <> target_entity_id"))
-    sections = related_sections(ents, mine).join(chosen, "entity_id", "left_semi").select("relationship", "place", "other_id", "confidence")
-    for column, relationship in (("studios", "same_studio"), ("creators", "same_creator")):
-        sections = sections.unionByName(shared_metadata(ents, column, relationship, chosen, family).select("relationship", "place", "other_id", "confidence"))
-    near = tag_neighbours(ents, chosen, limit, family)
-    return {
-        "matches": hits, "nodes": node_order(nodes).select("place", "entity_id"), "edges": edge_order(inside).select("place", "source_entity_id", "relationship", "target_entity_id", "confidence"),
-        "sections": sections, "tag_neighbours": near.select("rank", "other_id", "overlap", "score"),
-    }
+    queries = ents.sparkSession.createDataFrame([(text,)], "query string")
+    hits, _ = kept(top(search(ents, queries), search_order(), limit, ["query"]).select("query", "rank", "entity_id", "score", "matched_fields"), folder, "hits")
+    frames = {"matches": hits}
+    chosen = F.broadcast(hits.where("rank = 1").select("entity_id"))  # one row at most
+    # A target's page counts only where no other supports the edge.
+    page = F.when(F.size("supporting_urls") > 0, None).otherwise(F.col("target_url")).alias("target_url")
+    links, _ = kept(edges.select("source_entity_id", "pos", "target_entity_id", "relationship", page, "supporting_urls"), folder, "edges")
+    family = family_of(links.select(F.col("source_entity_id").alias("src"), F.col("target_entity_id").alias("dst")), chosen.withColumn("family", F.col("entity_id")), folder)
+    if "nodes" in wanted or "edges" in wanted:
+        nodes, count = kept(join_counted(ents.select("entity_id", "domain", "release_year", "title"), family.select(F.col("node").alias("entity_id")), family.count(), "entity_id"), folder, "nodes", F.lit(True))
+    if "nodes" in wanted:
+        frames["nodes"] = P.placed(nodes, node_keys(), folder, count).select("place", "entity_id")
+    if "edges" in wanted:
+        # The family is whole, so an edge of a member leads to members.
+        inside = join_counted(links.where("target_entity_id is not null"), nodes.select(F.col("entity_id").alias("source_entity_id")), count, "source_entity_id", "left_semi")
+        inside = E.with_score(inside).withColumnRenamed("score", "confidence") if confidence else inside
+        columns = ["source_entity_id", "relationship", "target_entity_id", *["confidence"] * confidence]
+        inside, count = kept(inside.select(*columns), folder, "inside", F.lit(True))
+        frames["edges"] = P.placed(inside, edge_keys(), folder, count).select("place", *columns)
+    if "sections" in wanted:
+        mine = links.join(chosen.withColumnRenamed("entity_id", "source_entity_id"), "source_entity_id", "left_semi").unionByName(links.join(chosen.withColumnRenamed("entity_id", "target_entity_id"), "target_entity_id", "left_semi").where("source_entity_id <> target_entity_id"))
+        sections = related_sections(ents, mine).join(chosen, "entity_id", "left_semi").select("relationship", "place", "other_id", "confidence")
+        for column, relationship in (("studios", "same_studio"), ("creators", "same_creator")):
+            sections = sections.unionByName(shared_metadata(ents, column, relationship, chosen, family).select("relationship", "place", "other_id", "confidence"))
+        frames["sections"] = sections
+    if "tag_neighbours" in wanted:
+        frames["tag_neighbours"] = tag_neighbours(ents, chosen, limit, family).select("rank", "other_id", "overlap", "score")
+    return frames
 
 
 def query_preview(ents: DataFrame, edges: DataFrame, text: str, folder: str, limit: int = 5) -> DataFrame:
@@ -312,31 +333,48 @@ def beside(out: DataFrame, row: DataFrame) -> DataFrame:
     return out.withColumn("_one", F.lit(1)).join(row.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
+def packed_runs(frame: DataFrame, text: Column, place: str) -> DataFrame:
+    """(at, n, size, packed): for each run of consecutive places, 1024 rows at most, its first place, rows and joined texts (by pipes), packed where the rows lie."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            if batch.num_rows:
+                at = batch.column(1).to_numpy()
+                starts = np.union1d(np.flatnonzero(np.diff(at) != 1) + 1, np.arange(0, len(at), 1024))
+                ends = np.append(starts, len(at))
+                texts = [t.as_buffer() for t in pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), batch.column(0)), "|")]
+                yield pa.RecordBatch.from_arrays([pa.array(at[starts], pa.int64()), pa.array(np.diff(ends), pa.int32()), pa.array([t.size for t in texts], pa.int64()), pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())], ["at", "n", "size", "packed"])
+
+    return frame.select(text.alias("t"), place).mapInArrow(packed, "at long, n int, size long, packed binary")
+
+
 def ordered_digest(frame: DataFrame, text: Column, place: str, name: str) -> DataFrame:
-    """One row: {name}_count, and {name}s_md5 of the rows' texts in the order of ``place``, joined by pipes. The digest of an order is one stream:
-    one task sorts (spilling) and reads the rows, and holds a batch of them at a time.
+    """One row: {name}_count, and {name}s_md5 of the rows' texts in the order of ``place`` (whole numbers), joined by pipes. The digest of an order is one stream:
+    one task sorts and reads packed runs, not rows, and holds the text of one run at a time. Rows that lie in the order of their places make long runs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, digest = 0, hashlib.md5()
+        codec, n, digest = pa.Codec("zstd"), 0, hashlib.md5()
         for batch in batches:
-            if batch.num_rows:
-                digest.update((("|" if n else "") + "|".join(batch.column(0).to_pylist())).encode())
-                n += batch.num_rows
+            for rows, size, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                digest.update(b"|" if n else b"")
+                digest.update(codec.decompress(text, size))
+                n += rows
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([digest.hexdigest()])], ["n", "md5"])
 
-    found = frame.select(text.alias("t"), place).repartition(1).sortWithinPartitions(place).select("t").mapInArrow(run, "n int, md5 string")
+    found = packed_runs(frame, text, place).repartition(1).sortWithinPartitions("at").select("n", "size", "packed").mapInArrow(run, "n int, md5 string")
     return found.agg(F.coalesce(F.max("n"), F.lit(0)).alias(f"{name}_count"), F.coalesce(F.max("md5"), F.md5(F.lit(""))).alias(f"{name}s_md5"))
 
 
-def node_order(nodes: DataFrame, rows_per_range: int = 500_000) -> DataFrame:
-    """Nodes of each family with their place: by domain, year, folded title and id. A family of very many nodes is ranked over several tasks."""
-    return P.ordinals(nodes, "family", [F.col("domain"), F.col("release_year"), X.fold(F.col("title")), F.col("entity_id")], rows_per_range=rows_per_range)
+def node_keys() -> list[Column]:
+    """The order of a family's nodes: domain, year, folded title and id."""
+    return [F.col("domain"), F.col("release_year"), X.fold(F.col("title")), F.col("entity_id")]
 
 
-def edge_order(inside: DataFrame, rows_per_range: int = 500_000) -> DataFrame:
-    """Edges of each family with their place: by source, type and target."""
-    return P.ordinals(inside, "family", [F.col("source_entity_id"), F.col("relationship"), F.col("target_entity_id")], rows_per_range=rows_per_range)
+def edge_keys() -> list[Column]:
+    """The order of a family's edges: source, type and target."""
+    return [F.col("source_entity_id"), F.col("relationship"), F.col("target_entity_id")]
 
 
 def neighbours_with_evidence(relationships: DataFrame, evidence: DataFrame) -> DataFrame:

@@ -689,3 +689,74 @@ def test_judged_edges_meet_roles_unsorted(spark):
     assert sorted(values(out, "judgment_id", "publishable_evidence")) == sorted((f"k{i}", int(i % 3 == 0)) for i in range(28) if i != 4 and i % 3 < 2)
     plan = J.judgment_records(decisions, edges, ents)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ShuffledHashJoin") == 2 and plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan
+
+
+def preview_rows(spark):
+    """Entities in two families (and one of no edge), with edges that count in ``seen`` each time that they are made."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    ents = spark.createDataFrame([(f"e{i}", "anime" if i % 2 else "tv", f"red ring {i}", None, [], 2000 + i % 3, ["s"], ["c"], ["red"]) for i in range(30)], "entity_id string, domain string, title string, original_title string, synonyms array<string>, release_year int, studios array<string>, creators array<string>, tags array<string>")
+    pairs = [(f"e{i}", f"e{i + 1}") for i in range(0, 8)] + [("e5", "e1"), ("e3", "gone"), ("gone", "e12"), ("e4", None), (None, "e7"), ("e20", "e21")]
+    rows = [(a, i, b, "sequel" if i % 2 else "related_anime", f"https://anidb.net/anime/{i}", None if i % 3 == 0 else [f"https://anilist.co/anime/{i}"] * (i % 3)) for i, (a, b) in enumerate(pairs)]
+    edges = spark.createDataFrame(rows, EDGE).repartition(3)
+    return ents, edges.withColumn("source_entity_id", F.udf(counted, "string").asNondeterministic()("source_entity_id")), rows, seen
+
+
+def test_preview_makes_its_edges_once(spark, tmp_path):
+    ents, edges, rows, seen = preview_rows(spark)
+    frames = S.preview_frames(ents, edges, "red ring 3", f"file://{tmp_path}")
+    family = {f"e{i}" for i in range(9)} | {"e12", "gone"}
+    score = {r.pos: r.score for r in E.with_score(spark.createDataFrame(rows, EDGE)).collect()}
+    inside = sorted((a, kind, b, score[i]) for a, i, b, kind, _, _ in rows if a in family - {"gone"} and b in family)
+    assert values(frames["edges"].orderBy("place"), "place", "source_entity_id", "relationship", "target_entity_id", "confidence") == [(k + 1, *r) for k, r in enumerate(inside)]
+    nodes = sorted(family - {"gone"}, key=lambda e: ("anime" if int(e[1:]) % 2 else "tv", 2000 + int(e[1:]) % 3, f"red ring {e[1:]}", e))
+    assert values(frames["nodes"].orderBy("place"), "place", "entity_id") == [(k + 1, e) for k, e in enumerate(nodes)]
+    assert {r.other_id for r in frames["sections"].where("relationship in ('sequel', 'related_anime')").collect()} == {"e2", "e4"}
+    assert all(f.collect() is not None for f in frames.values()) and seen.value == len(rows)
+    assert "Exchange" not in frames["edges"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_preview_makes_what_is_wanted_only(spark, tmp_path):
+    ents, edges, _, _ = preview_rows(spark)
+    assert list(S.preview_frames(ents, edges, "red ring 3", f"file://{tmp_path}", wanted=("edges",))) == ["matches", "edges"]
+    frames = S.preview_frames(ents, edges, "red ring 3", f"file://{tmp_path}", confidence=False)
+    assert frames["edges"].columns == ["place", "source_entity_id", "relationship", "target_entity_id"]
+    none = S.preview_frames(ents, edges, "nothing such", f"file://{tmp_path}")
+    assert [f.count() for f in none.values()] == [0] * 5
+
+
+def test_family_of_roots_by_dealt_rims(spark, tmp_path, monkeypatch):
+    """Rims too large to broadcast, two roots of one family, ends that are null."""
+    from marquee.functions import skew
+
+    for module in (S, skew):
+        monkeypatch.setattr(module, "ROWS_A_TASK", 1)
+    edges = [("a", "b"), ("c", "b"), ("c", "d"), ("b", "e"), ("x", "y"), ("a", None), (None, "z")]
+    roots = spark.createDataFrame([("a", "a"), ("d", "d"), ("x", "x")], "entity_id string, family string")
+    got = values(S.family_of(spark.createDataFrame(edges, "src string, dst string"), roots, f"file://{tmp_path}"), "node", "family")
+    assert sorted(got) == sorted([(n, f) for n in "abcde" for f in "ad"] + [("x", "x"), ("y", "x")])
+
+
+def test_places_of_stored_ranges(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, rng.choice([None, "a", "b", "é"]), rng.choice([None, 1990, 2000])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, name string, year int").repartition(5)
+    order = [F.col("name"), F.col("year"), F.col("id")]
+    want = {r[0]: k + 1 for k, r in enumerate(sorted(rows, key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[2] is not None, r[2] or 0, r[0])))}
+    for size in (100, 5000):
+        out = P.placed(df, order, f"file://{tmp_path}", 3000, rows_per_range=size)
+        assert {r.id: r.place for r in out.collect()} == want and out.columns == [*df.columns, "place"]
+    assert P.placed(df.where("id < 0"), order, f"file://{tmp_path}", 0).count() == 0
+
+
+def test_digest_reads_runs_instead_of_rows(spark):
+    import hashlib
+
+    rows = spark.range(0, 30000, 1, 3).where("id not between 12000 and 12999").selectExpr("cast(id + 1 as int) place", "concat('é', id) t")
+    runs = S.packed_runs(rows, F.col("t"), "place")
+    assert runs.agg(F.sum("n")).first()[0] == 29000 and runs.count() <= 36
+    assert tuple(S.ordered_digest(rows, F.col("t"), "place", "edge").first()) == (29000, hashlib.md5("|".join(f"é{i}" for i in range(30000) if not 12000 <= i <= 12999).encode()).hexdigest())

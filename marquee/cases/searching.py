@@ -137,11 +137,11 @@ def preview(spark, d):
 
 def preview_nodes(spark, d):
     """Nodes of the preview's family as a frame of their own."""
-    return S.preview_frames(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))["nodes"]
+    return S.preview_frames(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark), wanted=("nodes",))["nodes"]
 
 
 def preview_edges(spark, d):
-    frames = S.preview_frames(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark))
+    frames = S.preview_frames(testbed.entities(spark, d), testbed.edges(spark, d), "small ring", folder(spark), wanted=("edges",))
     return frames["edges"].select("place", "source_entity_id", "relationship", "target_entity_id", "confidence")
 
 

@@ -24,7 +24,8 @@ def evidence_urls(urls: Column, target_url: Column) -> Column:
 def with_support(edges: DataFrame) -> DataFrame:
     """Adds supporting_source_count and supporting_provider_count. Null URL lists count as empty."""
     urls = evidence_urls(F.coalesce("supporting_urls", F.array().cast("array<string>")), F.col("target_url"))
-    return edges.withColumn("supporting_source_count", F.size(urls).cast("long")).withColumn("supporting_provider_count", F.size(F.array_distinct(F.transform(urls, X.provider_of))).cast("long"))
+    providers = F.when(F.size(urls) == 1, F.lit(1)).otherwise(F.size(F.array_distinct(F.transform(urls, X.provider_of))))  # one page needs no parsing
+    return edges.withColumn("supporting_source_count", F.size(urls).cast("long")).withColumn("supporting_provider_count", providers.cast("long"))
 
 
 def with_taxonomy(edges: DataFrame) -> DataFrame:

@@ -63,9 +63,13 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = dealt(rows, lines.count(), "source_entity_id", "target_entity_id").groupBy("source_entity_id", "pos", "target_entity_id").agg(F.min(F.expr("code div 301")).alias("rank"), *[p.alias(f"pages_{i}") for i, p in enumerate(pages)])
     numbers = lambda c: F.when(F.bit_count(c) == 1, F.array(F.length(F.bin(c)) - 1)).when(F.bit_count(c) > 1, F.filter(F.sequence(F.lit(0), F.lit(49)), lambda k: F.getbit(c, k) == 1)).otherwise(F.array().cast("array<int>"))
     named = lambda c, host: F.transform(numbers(c), lambda k: F.concat(F.lit(f"https://{host}/anime/"), k.cast("string")))
-    urls = F.concat(*[named(F.col(f"pages_{i}"), h) for i, h in enumerate(HOSTS)])
+    # Nearly all edges have one page, whose number is the count of the bits below its own; the rest list theirs.
+    any_page = F.coalesce(*[F.nullif(F.col(f"pages_{i}"), F.lit(0)) for i in range(len(HOSTS))])
+    host = F.coalesce(*[F.when(F.col(f"pages_{i}") != 0, f"https://{h}/anime/") for i, h in enumerate(HOSTS)])
+    single = sum((F.bit_count(f"pages_{i}") for i in range(1, len(HOSTS))), F.bit_count("pages_0")) == 1
+    urls = F.when(single, F.array(F.concat(host, F.bit_count(any_page - 1).cast("string")))).otherwise(F.sort_array(F.concat(*[named(F.col(f"pages_{i}"), h) for i, h in enumerate(HOSTS)])))
     kind = F.when(F.col("rank") == 3, "sequel").when(F.col("rank") == 1, "prequel").otherwise("related_anime")
-    return g.select("source_entity_id", "pos", "target_entity_id", kind.alias("relationship"), F.concat(F.lit("https://anilist.co/anime/"), "pos").alias("target_url"), F.sort_array(urls).alias("supporting_urls"))
+    return g.select("source_entity_id", "pos", "target_entity_id", kind.alias("relationship"), F.concat(F.lit("https://anilist.co/anime/"), "pos").alias("target_url"), urls.alias("supporting_urls"))
 
 
 def previous_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

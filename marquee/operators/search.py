@@ -303,7 +303,8 @@ def preview_frames(ents: DataFrame, edges: DataFrame, text: str, folder: str, li
         inside, count = kept(inside.select(*columns), folder, "inside", F.lit(True))
         frames["edges"] = P.placed(inside, edge_keys(), folder, count).select("place", *columns)
     if "sections" in wanted:
-        mine = links.join(chosen.withColumnRenamed("entity_id", "source_entity_id"), "source_entity_id", "left_semi").unionByName(links.join(chosen.withColumnRenamed("entity_id", "target_entity_id"), "target_entity_id", "left_semi").where("source_entity_id <> target_entity_id"))
+        root = F.lit((chosen.first() or [None])[0])
+        mine = links.where((F.col("source_entity_id") == root) | (F.col("target_entity_id") == root))  # one reading for both ends
         sections = related_sections(ents, mine).join(chosen, "entity_id", "left_semi").select("relationship", "place", "other_id", "confidence")
         for column, relationship in (("studios", "same_studio"), ("creators", "same_creator")):
             sections = sections.unionByName(shared_metadata(ents, column, relationship, chosen, family).select("relationship", "place", "other_id", "confidence"))
